@@ -1,0 +1,57 @@
+"""Deterministic stand-in generators for tests and driver checks.
+
+No model ships with the package.  These stubs follow the generator contract of
+:mod:`sftforge.operators.generate` and answer with simple text transforms that
+SQL can restate, so generated tables can be checked against an oracle.
+"""
+
+from __future__ import annotations
+
+from sftforge.functions.prompts import INPUT_SEPARATOR
+from sftforge.functions.scores import RISK_HINT_TOKENS
+
+TAIL_FROM = 40
+
+
+def _user(messages) -> str:
+    text = ""
+    for m in messages:
+        if m.get("role") == "user":
+            text = m.get("content") or ""
+    return text
+
+
+class StubGenerator:
+    """``StubGenerator(options)`` is a generator; the kind comes from ``base_model``.
+
+    * ``stub-echo``: the user content, padded with whitespace (tests strip).
+    * ``stub-lead``: the text before the input separator, plus a risk hint when
+      the user content has an even length.
+    * ``stub-tail``: the user content from its 41st character on.
+    """
+
+    loads = 0  # instances created in this worker process
+
+    def __init__(self, options: dict):
+        self.kind = str(options.get("base_model") or options.get("kind") or "stub-echo")
+        StubGenerator.loads += 1
+
+    def answer(self, messages) -> str:
+        user = _user(messages)
+        if self.kind == "stub-lead":
+            head = user.split(INPUT_SEPARATOR, 1)[0]
+            return head + (" " + RISK_HINT_TOKENS[1] if len(user) % 2 == 0 else "")
+        if self.kind == "stub-tail":
+            return user[TAIL_FROM:]
+        return "  " + user + " \n"
+
+    def __call__(self, prompts):
+        return [self.answer(p) for p in prompts]
+
+
+# The stub models used by the driver checks.
+STUB_MODELS = (
+    "echo::stub-echo::-",
+    "lead::stub-lead::none",
+    "tail::stub-tail::adapters/tail",
+)
