@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
-# Fixed values.  Python's str regex ``\s`` matches every code point for which
-# ``str.isspace()`` is true.  Java's ``\s`` only covers [ \t\n\x0B\f\r], so the
-# class below adds the rest: U+001C-U+001F, U+0085, U+00A0, U+1680,
-# U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+# Fixed values.  Python's str regex ``\s`` matches exactly the code points for
+# which ``str.isspace()`` is true: U+0009-U+000D, U+001C-U+0020, U+0085, U+00A0,
+# U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.  Java's ``\s``
+# covers only the ASCII ones, so the class spells them all out as ranges.
 WHITESPACE_CLASS = (
-    "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a"
+    "[\\t-\\r\\x1c- \\x85\\xa0\\u1680\\u2000-\\u200a"
     "\\u2028\\u2029\\u202f\\u205f\\u3000]"
 )
 # The same class for RE2 (DuckDB oracles); RE2's \s lacks \x0b.

@@ -3,11 +3,19 @@
 The order is ``md5(seed | instruction | input)``: identical in Spark, DuckDB and
 Python, and independent of partitioning (``orderBy(rand(seed))`` is not).
 
-The cap never pulls wide rows into one task.  ``first_n_by_key`` builds a
-histogram of the first four hex digits of the key (at most 65,536 rows, with a
-partial aggregate), finds the bucket holding the n-th key with a running sum,
-keeps every row of the buckets before it, and ranks only the rows of that one
-bucket.  Keys are uniform, so that bucket holds about ``N / 65,536`` rows.
+The cap is planned for inputs far larger than the cap:
+
+1. :func:`key_histogram` counts distinct keys per 4-hex-digit prefix -- a
+   shuffle of 32-byte keys (map-side distinct first), returning at most
+   65,536 small rows to the driver.
+2. :func:`cap_edge` finds the prefix bucket holding the n-th key and the number
+   of keys before it.
+3. :func:`first_n` keeps every row of the earlier buckets and ranks only the
+   rows of the edge bucket (about ``N / 65,536`` keys, since md5 is uniform).
+
+Because the key is a function of the dedup key, the bucket filter is applied
+*before* the dedup shuffle (:func:`within_cap`), so a cap of n rows moves about
+n rows through the exchange instead of the whole table.
 """
 
 from __future__ import annotations
@@ -17,6 +25,7 @@ from pyspark.sql import functions as F
 
 HEX_PREFIX = 4
 HOLDOUT_BUCKETS = 10_000
+KEY = "_skey"
 
 
 def sample_key(seed: int, *cols: Column) -> Column:
@@ -24,30 +33,63 @@ def sample_key(seed: int, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *cols))
 
 
-def first_n_by_key(df: DataFrame, key: Column, n: int, tie_cols=(),
-                   key_name: str = "_skey") -> DataFrame:
-    """The ``n`` rows with the smallest ``(key, *tie_cols)``; all rows when fewer.
+def key_histogram(keyed: DataFrame, key_name: str = KEY) -> list[tuple[str, int]]:
+    """Sorted ``(prefix, distinct keys)`` pairs; at most 16**HEX_PREFIX of them."""
+    k = F.col(key_name)
+    rows = (keyed.select(k).groupBy(F.substring(k, 1, HEX_PREFIX).alias("p"))
+            .agg(F.count_distinct(k).alias("n")).collect())
+    return sorted((r["p"], int(r["n"])) for r in rows)
+
 
-    ``key`` must be a lowercase hex string (an md5) so its prefixes are uniform.
-    The result carries the key as ``key_name``.
+def cap_edge(hist: list[tuple[str, int]], n: int) -> tuple[str | None, int]:
+    """(prefix of the bucket holding the n-th key, keys before that bucket).
+
+    The prefix is None when there are at most ``n`` keys (no cap needed).
     """
+    before = 0
+    for prefix, count in hist:
+        if before + count >= n:
+            return prefix, before
+        before += count
+    return None, before
+
+
+def within_cap(keyed: DataFrame, edge: str | None, key_name: str = KEY) -> DataFrame:
+    """Rows whose key falls in a bucket up to and including ``edge``.
+
+    Safe to apply before deduplication: every copy of a key has the same key.
+    """
+    if edge is None:
+        return keyed
+    k = F.col(key_name)
+    return keyed.where((k < F.lit(edge)) | k.startswith(edge))
+
+
+def first_n(deduped: DataFrame, n: int, hist: list[tuple[str, int]], tie_cols=(),
+            key_name: str = KEY) -> DataFrame:
+    """The ``n`` rows with the smallest ``(key, *tie_cols)`` of a key-unique table."""
+    if n <= 0:
+        return deduped.limit(0)
+    edge, before = cap_edge(hist, n)
+    if edge is None:
+        return deduped
+    k = F.col(key_name)
+    head = deduped.where(k < F.lit(edge))
+    # One bucket only (~N/65,536 keys), so a global ranking window is small.
+    order = Window.orderBy(k, *[F.col(c) for c in tie_cols])
+    edge_rows = (deduped.where(k.startswith(edge))
+                 .withColumn("_r", F.row_number().over(order))
+                 .where(F.col("_r") <= F.lit(n - before)).drop("_r"))
+    return head.unionByName(edge_rows)
+
+
+def first_n_by_key(df: DataFrame, key: Column, n: int, tie_cols=(),
+                   key_name: str = KEY) -> DataFrame:
+    """Cap a key-unique table at ``n`` rows by ``key`` (runs the histogram job now)."""
     keyed = df.withColumn(key_name, key)
     if n <= 0:
         return keyed.limit(0)
-    prefix = F.substring(F.col(key_name), 1, HEX_PREFIX)
-    hist = keyed.groupBy(prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    # <= 65,536 rows: one small window task.
-    cum = hist.withColumn("_cum", F.sum("_n").over(Window.orderBy("_p")))
-    edge = cum.where(F.col("_cum") >= F.lit(n)).agg(F.min("_p")).scalar()
-    before = (cum.where(F.col("_p") < edge)
-              .agg(F.coalesce(F.max("_cum"), F.lit(0)))).scalar()
-    head = keyed.where(edge.isNull() | (prefix < edge))
-    ranked = (keyed.where(prefix == edge)
-              .withColumn("_r", F.row_number().over(
-                  Window.orderBy(F.col(key_name), *[F.col(c) for c in tie_cols])))
-              .where(F.col("_r") <= F.lit(n) - before)
-              .drop("_r"))
-    return head.unionByName(ranked)
+    return first_n(keyed, n, key_histogram(keyed, key_name), tie_cols, key_name)
 
 
 def holdout_split(seed: int, *cols: Column, val_size: float = 0.02) -> Column:

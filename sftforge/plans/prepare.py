@@ -1,9 +1,14 @@
 """Prepare: raw rows -> training table + prompt table.
 
-Plan: scan -> project (P1-P5, P9) -> filter (P6-P8) -> exchange on the key
-(P10, partial aggregate first) -> md5 order and cap (P11, P13) -> write.
+Plan: scan -> project (P1-P5, P9) -> filter (P6-P8) -> md5 order key ->
+[job 1] distinct keys per key prefix (a shuffle of 32-byte keys only) ->
+[job 2] keep rows in the cap's key buckets -> exchange on the key (P10, partial
+aggregate first) -> rank the edge bucket (P11, P13) -> write.
+
 Filtering runs before dedup, so a rejected first copy does not hide a valid
-later one.  Nothing in this plan is evaluated in Python.
+later one.  The cap's bucket filter also runs before dedup (every copy of a
+key shares its md5), so the full-width shuffle carries about ``max_samples``
+rows, not the input.  Nothing in this plan is evaluated in Python.
 """
 
 from __future__ import annotations
@@ -20,8 +25,10 @@ from sftforge.functions.text import (
     INSTRUCTION_CANDIDATES, OUTPUT_CANDIDATES, exact_names, normalize_text, pick_first, quote)
 from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_stats, fold_turns_bounded
-from sftforge.operators.sample import first_n_by_key, holdout_split, sample_key
-from sftforge.session import checkpoint_dir
+from sftforge.operators.project import evaluate_once
+from sftforge.operators.sample import (
+    KEY, cap_edge, first_n, holdout_split, key_histogram, sample_key, within_cap)
+from sftforge.session import materialize
 from sftforge.sources.sinks import write_table
 
 RECORD_COLUMNS = ("instruction", "input", "output", "system")
@@ -42,11 +49,12 @@ class PrepareConfig:
 
 @dataclass
 class Prepared:
-    records: DataFrame      # every row with its reject_reason (null = kept)
-    deduped: DataFrame      # kept rows, first copy of every key
+    records: DataFrame      # per raw row / conversation: reject_reason (null = kept)
+    candidates: DataFrame   # deduplicated kept rows in the cap's key buckets
     training: DataFrame     # capped, carries the order key `_skey`
     prompts: DataFrame      # first prompt_samples of the same order
     rejects: DataFrame      # reject_reason, n
+    histogram: list         # distinct keys per key prefix (driver-side, <= 65,536)
 
 
 def _instruction_and_input(df: DataFrame, names: dict, keep_input: bool) -> tuple[Column, Column]:
@@ -74,8 +82,8 @@ def to_records(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
         instruction = F.when(via_messages & (instruction == ""), user).otherwise(instruction)
         output = F.when(via_messages, assistant).otherwise(output)
     order_col = F.col(quote(names.get(order, order)))
-    records = df.select(instruction.alias("instruction"), input_.alias("input"),
-                        output.alias("output"), order_col.alias(order))
+    records = evaluate_once(df.select(instruction.alias("instruction"), input_.alias("input"),
+                                      output.alias("output"), order_col.alias(order)))
     return records.select(
         "instruction", "input", "output", F.lit(config.system).alias("system"),
         reject_reason(F.col("instruction"), F.col("output"), config.bounds)
@@ -84,19 +92,29 @@ def to_records(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
 
 def select_training(records: DataFrame, config: PrepareConfig, order: str) -> Prepared:
     kept = records.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    deduped = dedup_first(kept, ("instruction", "input"), order, drop_order=True)
-    return _sample(records, deduped, config)
+    return _select(records, kept, config, order)
+
 
+def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
+            order: str) -> Prepared:
+    """Dedup (P10) and cap (P11, P13) ``kept`` rows.
 
-def _sample(records: DataFrame, deduped: DataFrame, config: PrepareConfig) -> Prepared:
-    key = sample_key(config.seed, F.col("instruction"), F.col("input"))
+    Runs one small job now: the key histogram.  The returned frames filter to
+    the cap's key buckets before the dedup exchange.
+    """
+    keyed = kept.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
+    n = config.max_samples
+    m = min(config.prompt_samples, n)
+    hist = key_histogram(keyed) if n > 0 else []
+    edge, _ = cap_edge(hist, n)
+    candidates = dedup_first(within_cap(keyed, edge), ("instruction", "input", KEY), order,
+                             drop_order=True)
     ties = ("instruction", "input")
-    training = first_n_by_key(deduped, key, config.max_samples, ties)
-    n_prompts = min(config.prompt_samples, config.max_samples)
-    prompts = first_n_by_key(deduped, key, n_prompts, ties).select(*PROMPT_COLUMNS, "_skey")
+    training = first_n(candidates, n, hist, ties).select(*RECORD_COLUMNS, KEY)
+    prompts = first_n(candidates, m, hist, ties).select(*PROMPT_COLUMNS, KEY)
     rejects = (records.where(F.col("reject_reason").isNotNull())
                .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")))
-    return Prepared(records, deduped, training, prompts, rejects)
+    return Prepared(records, candidates, training, prompts, rejects, hist)
 
 
 def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
@@ -107,12 +125,15 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
 
 def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
                   conv: str = "conv_id", turn: str = "turn", role: str = "role",
-                  text: str = "text", order: str | None = None) -> Prepared:
+                  text: str = "text", order: str | None = None,
+                  persist: bool = True) -> Prepared:
     """Prepare from a turn-per-row chat table (one conversation = one raw row).
 
     Quality checks run on per-conversation lengths and flags first; only the
     surviving conversations are text-joined (see :mod:`sftforge.operators.fold`).
     Input order of conversations is ``order`` (default: the conversation id).
+    With ``persist`` the folded rows are written once to the shared checkpoint
+    folder, so the key histogram and the cap read them instead of re-folding.
     """
     stats = fold_stats(turns, conv, turn, role, text, config.bounds)
     folded = fold_turns_bounded(turns, conv, turn, role, text, config.bounds, stats)
@@ -120,9 +141,10 @@ def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
     kept = folded.select(
         F.col("instruction"), F.lit("").alias("input"), F.col("output"),
         F.lit(config.system).alias("system"), F.col(quote(order)).alias("_ord"))
-    deduped = dedup_first(kept, ("instruction", "input"), "_ord", drop_order=True)
+    if persist:
+        kept = materialize(kept, "folded")
     records = stats.select(F.col(conv), F.col("reject_reason"))
-    return _sample(records, deduped, config)
+    return _select(records, kept, config, "_ord")
 
 
 def with_holdout(training: DataFrame, config: PrepareConfig = PrepareConfig()) -> DataFrame:
@@ -132,23 +154,22 @@ def with_holdout(training: DataFrame, config: PrepareConfig = PrepareConfig()) -
                                val_size=config.val_size))
 
 
-def run_prepare(prepared_from, out_dir: str, config: PrepareConfig = PrepareConfig(),
+def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareConfig(),
                 fmt: str = "json", mode: str = "errorifexists") -> dict[str, int]:
-    """Write training and prompt tables sorted by the sample key; return counts.
+    """Write the training table sorted by the sample key, then the prompt table.
 
-    ``prepared_from`` is a ``Prepared`` or a callable ``(config) -> Prepared``.
-    The deduplicated table is checkpointed to ``spark.checkpoint.dir`` first,
-    so the cap's histogram pass and the writes re-read it instead of re-running
-    the scan and the dedup shuffle, and a lost executor costs no recompute
-    beyond that point.
+    Prompts are the first ``prompt_samples`` rows of the written training table
+    (at most ``max_samples`` rows), so the raw input is not read again.
     """
-    prep = prepared_from(config) if callable(prepared_from) else prepared_from
-    spark = prep.deduped.sparkSession
-    checkpoint_dir(spark)
-    deduped = prep.deduped.checkpoint(eager=True)
-    prep = _sample(prep.records, deduped, config)
-    n_train = write_table(prep.training.select(*RECORD_COLUMNS, "_skey"), f"{out_dir}/train",
-                          fmt, mode, order_by="_skey", name="train")
-    n_prompts = write_table(prep.prompts, f"{out_dir}/prompts", fmt, mode,
-                            order_by="_skey", name="prompts")
+    spark = prep.training.sparkSession
+    n_train = write_table(prep.training, f"{out_dir}/train", fmt, mode,
+                          order_by=[KEY, "instruction", "input"], name="train",
+                          drop=[KEY])
+    train = spark.read.schema("instruction string, input string, output string, "
+                              "system string").format(fmt).load(f"{out_dir}/train")
+    m = min(config.prompt_samples, config.max_samples)
+    prompts = (train.withColumn(KEY, sample_key(config.seed, F.col("instruction"),
+                                                F.col("input")))
+               .orderBy(KEY, "instruction", "input").limit(m).select(*PROMPT_COLUMNS))
+    n_prompts = write_table(prompts, f"{out_dir}/prompts", fmt, mode, name="prompts")
     return {"train": n_train, "prompts": n_prompts}

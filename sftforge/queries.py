@@ -22,10 +22,10 @@ from sftforge.operators.compare import (
     comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_turns
-from sftforge.operators.sample import first_n_by_key, holdout_split, sample_key
+from sftforge.operators.sample import holdout_split
 from sftforge.plans.distill import distill
 from sftforge.plans.evaluate import answers, items_by_model, prompts_for
-from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns
+from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns, select_training
 from sftforge.plans.stubs import STUB_MODELS, StubGenerator
 from sftforge.functions.models import models_frame
 from sftforge.session import scratch_path
@@ -115,28 +115,24 @@ def dedup_first_docs(spark, sf):
     return dedup_first(keyed, ("instruction", "input"), "doc_id")
 
 
-def _kept_unique_docs(spark, sf):
-    kept = (_doc_records(spark, sf).where(F.col("reject_reason").isNull())
-            .select("instruction", F.lit("").alias("input"), "output",
-                    F.lit(DEFAULT_SYSTEM_PROMPT).alias("system"), "doc_id"))
-    return dedup_first(kept, ("instruction", "input"), "doc_id", drop_order=True)
+def _doc_prepared(spark, sf):
+    recs = _doc_records(spark, sf).select(
+        "instruction", F.lit("").alias("input"), "output",
+        F.lit(DEFAULT_SYSTEM_PROMPT).alias("system"), "reject_reason", "doc_id")
+    config = PrepareConfig(seed=SEED, max_samples=SAMPLE_CAP, prompt_samples=PROMPT_CAP)
+    return select_training(recs, config, "doc_id")
 
 
 @query
 def sample_cap(spark, sf):
-    rows = _kept_unique_docs(spark, sf)
-    key = sample_key(SEED, F.col("instruction"), F.col("input"))
-    return (first_n_by_key(rows, key, SAMPLE_CAP, ("instruction", "input"))
-            .select("instruction", "input", "output", "system",
-                    F.col("_skey").alias("sample_key")))
+    return _doc_prepared(spark, sf).training.select(
+        "instruction", "input", "output", "system", F.col("_skey").alias("sample_key"))
 
 
 @query
 def prompt_subset(spark, sf):
-    rows = _kept_unique_docs(spark, sf)
-    key = sample_key(SEED, F.col("instruction"), F.col("input"))
-    return (first_n_by_key(rows, key, PROMPT_CAP, ("instruction", "input"))
-            .select("instruction", "input", "system", F.col("_skey").alias("sample_key")))
+    return _doc_prepared(spark, sf).prompts.select(
+        "instruction", "input", "system", F.col("_skey").alias("sample_key"))
 
 
 @query

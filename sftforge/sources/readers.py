@@ -37,6 +37,17 @@ PROMPT_SCHEMA = T.StructType([
 ])
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over all cores when it has fewer splits than cores.
+
+    A few large single-row-group files scan as a few tasks; per-row text work
+    (regex normalization, folding, generation) would then use a few cores.  A
+    big input already has more splits than cores and is returned unchanged.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
     return df.withColumn("_ord", F.struct(
         F.lit(split_ord).alias("split"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists",
-                order_by=None, partition_by=None, name: str = "rows") -> int:
+                order_by=None, partition_by=None, name: str = "rows", drop=()) -> int:
     """Write ``df`` and return the number of rows written.
 
     ``mode`` defaults to failing on an existing target; pass ``"overwrite"`` to
@@ -23,6 +23,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "json", mode: str = "errori
     out = df.observe(obs, F.count(F.lit(1)).alias("n"))
     if order_by:
         out = out.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
+    if drop:
+        out = out.drop(*drop)  # after the sort: the written order is kept
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)

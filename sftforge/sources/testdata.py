@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.functions.text import normalize_text
+from sftforge.operators.project import evaluate_once
+from sftforge.sources.readers import ensure_parallelism
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -20,8 +22,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 KEYWORD_MIN_CHARS = 7
 
 
+# Text tables whose per-row work (regex, folding, generation) is CPU-bound.
+TEXT_TABLES = ("documents", "conversations", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in TEXT_TABLES else df
 
 
 def first_line(text):
@@ -30,10 +37,10 @@ def first_line(text):
 
 def document_pairs(documents: DataFrame) -> DataFrame:
     """``(doc_id, instruction, output)``: normalized first line and normalized whole text."""
-    return documents.select(
+    return evaluate_once(documents.select(
         "doc_id",
         normalize_text(first_line(F.col("text"))).alias("instruction"),
-        normalize_text(F.col("text")).alias("output"))
+        normalize_text(F.col("text")).alias("output")))
 
 
 def flat_rows(documents: DataFrame) -> DataFrame:
