@@ -10,8 +10,8 @@ The cap is planned for inputs far larger than the cap:
    65,536 small rows to the driver.
 2. :func:`cap_edge` finds the prefix bucket holding the n-th key and the number
    of keys before it.
-3. :func:`first_n` keeps every row of the earlier buckets and ranks only the
-   rows of the edge bucket (about ``N / 65,536`` keys, since md5 is uniform).
+3. :func:`first_n` keeps every row of the earlier buckets and cuts the edge
+   bucket (about ``N / 65,536`` keys, since md5 is uniform) at its rank.
 
 Because the key is a function of the dedup key, the bucket filter is applied
 *before* the dedup shuffle (:func:`within_cap`), so a cap of n rows moves about
@@ -67,20 +67,26 @@ def within_cap(keyed: DataFrame, edge: str | None, key_name: str = KEY) -> DataF
 
 def first_n(deduped: DataFrame, n: int, hist: list[tuple[str, int]], tie_cols=(),
             key_name: str = KEY) -> DataFrame:
-    """The ``n`` rows with the smallest ``(key, *tie_cols)`` of a key-unique table."""
+    """The ``n`` rows with the smallest ``(key, *tie_cols)`` of a key-unique table.
+
+    One pass: rows past the edge bucket are dropped, the rest are ranked inside
+    their own prefix bucket (a window partitioned by prefix, so the ranking is
+    spread over up to 65,536 groups), and the edge bucket keeps its first
+    ``n - before`` rows.
+    """
     if n <= 0:
         return deduped.limit(0)
     edge, before = cap_edge(hist, n)
     if edge is None:
         return deduped
     k = F.col(key_name)
-    head = deduped.where(k < F.lit(edge))
-    # One bucket only (~N/65,536 keys), so a global ranking window is small.
-    order = Window.orderBy(k, *[F.col(c) for c in tie_cols])
-    edge_rows = (deduped.where(k.startswith(edge))
-                 .withColumn("_r", F.row_number().over(order))
-                 .where(F.col("_r") <= F.lit(n - before)).drop("_r"))
-    return head.unionByName(edge_rows)
+    prefix = F.substring(k, 1, HEX_PREFIX)
+    rank = F.row_number().over(Window.partitionBy(prefix).orderBy(
+        k, *[F.col(c) for c in tie_cols]))
+    return (within_cap(deduped, edge, key_name)
+            .withColumn("_r", F.when(prefix == F.lit(edge), rank))
+            .where(F.col("_r").isNull() | (F.col("_r") <= F.lit(n - before)))
+            .drop("_r"))
 
 
 def first_n_by_key(df: DataFrame, key: Column, n: int, tie_cols=(),

@@ -107,7 +107,9 @@ def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
     m = min(config.prompt_samples, n)
     hist = key_histogram(keyed) if n > 0 else []
     edge, _ = cap_edge(hist, n)
-    candidates = dedup_first(within_cap(keyed, edge), ("instruction", "input", KEY), order,
+    # The md5 key leads the grouping keys: the dedup's sort then mostly
+    # compares 8-byte prefixes of uniform hex instead of long shared text.
+    candidates = dedup_first(within_cap(keyed, edge), (KEY, "instruction", "input"), order,
                              drop_order=True)
     ties = ("instruction", "input")
     training = first_n(candidates, n, hist, ties).select(*RECORD_COLUMNS, KEY)
