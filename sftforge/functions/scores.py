@@ -77,6 +77,8 @@ def reference_similarity(answer: Column, reference: Column) -> Column:
     Asymmetric and with the default "autojunk" rule, exactly as
     ``SequenceMatcher(None, answer, reference).ratio()``.
     """
+    from sftforge.session import ship_package
+    ship_package()
     return _similarity_udf(answer, reference)
 
 
@@ -92,4 +94,8 @@ def round_score(x: Column, exact: bool = False) -> Column:
     ``exact=True`` gives Python's ``round`` (half-even on the binary value) via an
     Arrow UDF; otherwise Spark's native ``round``, which can differ in the last place.
     """
-    return _py_round_udf(x) if exact else F.round(x, SCORE_DIGITS)
+    if not exact:
+        return F.round(x, SCORE_DIGITS)
+    from sftforge.session import ship_package
+    ship_package()
+    return _py_round_udf(x)

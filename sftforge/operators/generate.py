@@ -88,6 +88,8 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
                 start = stop
             yield pdf.assign(**{output_col: responses})
 
+    from sftforge.session import ship_package
+    ship_package(df.sparkSession)
     return source.mapInPandas(run, schema)
 
 

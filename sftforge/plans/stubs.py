@@ -55,3 +55,18 @@ STUB_MODELS = (
     "lead::stub-lead::none",
     "tail::stub-tail::adapters/tail",
 )
+
+
+class RecordingFactory:
+    """Generator factory that appends each load to a file; answers reverse the prompt.
+
+    Used to prove generators are built once per task and model, not per row.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, options: dict):
+        with open(self.path, "a", encoding="utf-8") as f:
+            f.write(f"{options.get('model_name')}\n")
+        return lambda prompts: [_user(p)[::-1] for p in prompts]

@@ -32,6 +32,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``sftforge`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    Zips the package once per application and ships it with ``addPyFile``, so
+    executors need no pre-installed copy.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="sftforge-pyfiles-"), "sftforge")
+    archive = shutil.make_archive(out, "zip", os.path.dirname(pkg_dir), "sftforge")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -19,12 +19,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "json", mode: str = "errori
     replace it.  ``order_by`` sorts the output (a distributed range sort).  Null
     fields are written as JSON nulls rather than dropped.
     """
-    obs = Observation(name)
-    out = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    out = df
     if order_by:
         out = out.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
     if drop:
         out = out.drop(*drop)  # after the sort: the written order is kept
+    # Observed above the sort: the range partitioner's sampling job runs the
+    # plan below the sort and would otherwise be counted too.
+    obs = Observation(name)
+    out = out.observe(obs, F.count(F.lit(1)).alias("n"))
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)
