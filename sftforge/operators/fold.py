@@ -27,6 +27,10 @@ from sftforge.functions.quality import (
 from sftforge.functions.text import REPLACEMENT_CHAR, normalize_text, quote
 
 TURN_BLOCK = 1024
+# At most this many over-long conversations are dropped map-side (a broadcast
+# of as many ids); any heavier conversation left is then at most 1/HEAVY_LIMIT
+# of the rows, so none can dominate a task.
+HEAVY_LIMIT = 100_000
 
 
 def turn_parts(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -88,19 +92,34 @@ def fold_stats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
               .when(F.col("u_bad") | F.col("a_bad"), F.lit(GARBLED))
               .when((ilen < bounds.min_instruction) | (olen < bounds.min_output), F.lit(SHORT))
               .when((ilen > bounds.max_instruction) | (olen > bounds.max_output), F.lit(LONG)))
-    return stats.select(conv, ilen.alias("instruction_chars"),
-                        olen.alias("output_chars"), reason.alias("reject_reason"))
+    return stats.select(conv, (F.col("u_n") + F.col("a_n")).alias("parts"),
+                        ilen.alias("instruction_chars"), olen.alias("output_chars"),
+                        reason.alias("reject_reason"))
 
 
 def fold_turns_bounded(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                        role: str = "role", text: str = "text",
                        bounds: QualityBounds = DEFAULT_BOUNDS,
                        stats: DataFrame | None = None) -> DataFrame:
-    """``(conv, instruction, output)`` for conversations that pass P6-P8 only."""
+    """``(conv, instruction, output)`` for conversations that pass P6-P8 only.
+
+    Skew: a conversation with more non-empty parts than
+    ``max_instruction + max_output`` cannot pass the length bounds (each part
+    adds at least one character).  The heaviest such conversations -- at most
+    ``HEAVY_LIMIT`` ids, taken from the per-conversation stats -- are removed by
+    a broadcast anti join *before* the shuffle, so a hot conversation holding a
+    large share of all turns is dropped where it is read instead of being
+    streamed through one join task.
+    """
     stats = stats if stats is not None else fold_stats(turns, conv, turn, role, text, bounds)
     keep = stats.where(F.col("reject_reason").isNull()).select(conv)
+    max_parts = bounds.max_instruction + bounds.max_output
+    heavy = (stats.where(F.col("parts") > max_parts).orderBy(F.desc("parts"))
+             .limit(HEAVY_LIMIT).select(conv))
     parts = turn_parts(turns, conv, turn, role, text)
-    kept = parts.where(F.col("_side").isNotNull()).join(keep, conv, "left_semi")
+    useful = parts.where(F.col("_side").isNotNull() & (F.col("_part") != ""))
+    kept = (useful.join(F.broadcast(heavy), conv, "left_anti")
+            .join(keep, conv, "left_semi"))
     return kept.groupBy(conv).agg(
         _join_ordered("_part", "_turn", "_side = 'user' AND _part <> ''").alias("instruction"),
         _join_ordered("_part", "_turn", "_side = 'assistant' AND _part <> ''").alias("output"))

@@ -93,3 +93,15 @@ def test_length_bounds_and_garbled(spark):
     df = spark.createDataFrame([(i, o) for i, o, _ in cases], "i string, o string")
     got = [r[0] for r in df.select(reject_reason(F.col("i"), F.col("o"))).collect()]
     assert got == [w for _, _, w in cases]
+
+
+def test_heavy_conversation_is_dropped_before_the_join(spark):
+    from sftforge.functions.quality import QualityBounds
+    bounds = QualityBounds(min_instruction=1, max_instruction=10, min_output=1, max_output=10)
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", "w") for t in range(60)]  # 60 parts
+    rows += [(2, 0, "user", "hello"), (2, 1, "assistant", "world")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    stats = {r["conv_id"]: (r["parts"], r["reject_reason"]) for r in fold_stats(df, bounds=bounds).collect()}
+    assert stats == {1: (60, "long"), 2: (2, None)}
+    got = [tuple(r) for r in fold_turns_bounded(df, bounds=bounds).collect()]
+    assert got == [(2, "hello", "world")]
