@@ -101,6 +101,26 @@ FLAT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
           row_number() OVER (PARTITION BY instruction ORDER BY doc_id) AS rn
    FROM {PICKED} WHERE {reason('instruction', 'output')} IS NULL) WHERE rn = 1)"""
 
+PAIRS_CHAT = f"""(SELECT c1.conv_id, c1.turn, c1.role AS r1, {norm('c1.text')} AS t1,
+   c2.role AS r2, {norm('c2.text')} AS t2
+ FROM conversations c1 JOIN conversations c2
+   ON c2.conv_id = c1.conv_id AND c2.turn = c1.turn + 1)"""
+
+
+def _side(roles: tuple[str, ...]) -> str:
+    ins = ", ".join(f"'{r}'" for r in roles)
+    return (f"coalesce(concat_ws({NL}, CASE WHEN r1 IN ({ins}) AND t1 <> '' THEN t1 END, "
+            f"CASE WHEN r2 IN ({ins}) AND t2 <> '' THEN t2 END), '')")
+
+
+CHAT_FOLDED = f"""(SELECT conv_id, turn, {_side(('user',))} AS instruction,
+   {_side(('assistant',))} AS output FROM {PAIRS_CHAT})"""
+
+CHAT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
+   SELECT instruction, '' AS input, output, {SYSTEM} AS system,
+          row_number() OVER (PARTITION BY instruction ORDER BY conv_id, turn) AS rn
+   FROM {CHAT_FOLDED} WHERE {reason('instruction', 'output')} IS NULL) WHERE rn = 1)"""
+
 ITEMS = f"""(SELECT CAST(item_id AS VARCHAR) AS id, item_id AS item_seq,
    split_part(text, '.', 1) AS instruction,
    substr(text, length(split_part(text, '.', 1)) + 2) AS input,
@@ -188,6 +208,9 @@ ORACLE_SQL: dict[str, str] = {
         CAST(length({norm('text')}) AS INTEGER) AS n_chars FROM documents""",
     "pick_first": f"SELECT doc_id, instruction, output FROM {PICKED}",
     "messages_fold": f"SELECT conv_id, instruction, output FROM {FOLDED}",
+    "messages_array_fold": f"SELECT conv_id, turn, instruction, output FROM {CHAT_FOLDED}",
+    "prepare_chat_train": f"""SELECT instruction, input, output, system FROM {CHAT_UNIQUE}
+        ORDER BY {skey()}, instruction, input LIMIT 80000""",
     "quality_filter": f"SELECT doc_id, instruction, output FROM {RECORDS} WHERE reject_reason IS NULL",
     "reject_counts": f"""SELECT coalesce(reject_reason, 'kept') AS reject_reason, count(*) AS n
         FROM {RECORDS} GROUP BY 1""",

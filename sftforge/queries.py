@@ -33,7 +33,8 @@ from sftforge.sources.readers import (
     read_csv_rows, read_json_rows, read_table_rows, union_splits)
 from sftforge.sources.registry import load_registered
 from sftforge.sources.sinks import write_table
-from sftforge.sources.testdata import benchmark_items, document_pairs, flat_rows, table
+from sftforge.sources.testdata import (
+    benchmark_items, chat_rows, document_pairs, flat_rows, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +80,14 @@ def messages_fold(spark, sf):
     return fold_turns(table(spark, sf, "conversations"))
 
 
+@query
+def messages_array_fold(spark, sf):
+    from sftforge.functions.chat import fold_messages
+    rows = chat_rows(table(spark, sf, "conversations"))
+    user, assistant = fold_messages(rows)
+    return rows.select("conv_id", "turn", user.alias("instruction"), assistant.alias("output"))
+
+
 def _doc_records(spark, sf):
     pairs = document_pairs(table(spark, sf, "documents"))
     return pairs.withColumn("reject_reason",
@@ -175,6 +184,14 @@ def prepare_rejects(spark, sf):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+@query
+def prepare_chat_train(spark, sf):
+    rows = chat_rows(table(spark, sf, "conversations"))
+    ordered = rows.withColumn("_ord", F.struct("conv_id", "turn"))
+    return prepare(ordered, PrepareConfig(seed=SEED)).training.select(
+        "instruction", "input", "output", "system")
+
+
 @query
 def prepare_flat_train(spark, sf):
     raw = flat_rows(table(spark, sf, "documents"))
@@ -216,8 +233,8 @@ def csv_round_trip(spark, sf):
 
 @query
 def table_scan(spark, sf):
-    df = read_table_rows(spark, f"{sf.rstrip('/')}/region.parquet", "parquet")
-    return df.drop("_ord")
+    table(spark, sf, "region").createOrReplaceTempView("region_scan")
+    return read_table_rows(spark, "region_scan").drop("_ord")
 
 
 # ---- prompts and generation (J2, B1-B5, G1-G3) ------------------------------

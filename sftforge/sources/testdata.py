@@ -89,3 +89,33 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("system"),
         F.col("item_id").alias("item_seq"),
     )
+
+
+MESSAGE_SCHEMA = "struct<role:string,content:string,`from`:string,value:string>"
+
+
+def _message(role, text):
+    """A chat message in the mixed layouts of public chat sets: user turns use
+    ``from``/``value`` with an empty ``role``; others use ``role``/``content``."""
+    is_user = role == "user"
+    return F.struct(
+        F.when(is_user, F.lit("")).otherwise(role).alias("role"),
+        F.when(is_user, F.lit(None).cast("string")).otherwise(text).alias("content"),
+        F.when(is_user, F.lit("human")).alias("from"),
+        F.when(is_user, text).alias("value"))
+
+
+def chat_rows(conversations: DataFrame) -> DataFrame:
+    """Raw chat rows ``(conv_id, turn, messages)``: each turn with the next one.
+
+    An equi-join on ``(conv_id, turn + 1)``; both keys are hashed, so a long
+    conversation spreads over tasks.
+    """
+    a = conversations.select("conv_id", "turn", F.col("role").alias("r1"),
+                             F.col("text").alias("t1"))
+    b = conversations.select(F.col("conv_id").alias("c2"), F.col("turn").alias("turn2"),
+                             F.col("role").alias("r2"), F.col("text").alias("t2"))
+    pairs = a.join(b, (a.conv_id == b.c2) & (b.turn2 == a.turn + 1))
+    return pairs.select("conv_id", "turn", F.array(_message(F.col("r1"), F.col("t1")),
+                                                   _message(F.col("r2"), F.col("t2")))
+                        .alias("messages"))
