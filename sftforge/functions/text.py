@@ -97,7 +97,14 @@ def candidate_columns(df: DataFrame, names: tuple[str, ...] | list[str],
 
 
 def pick_first(df: DataFrame, names, name_map: dict[str, str] | None = None) -> Column:
-    """First non-empty normalized value among the candidate columns, else '' (P2)."""
+    """First non-empty normalized value among the candidate columns, else '' (P2).
+
+    Each candidate is normalized exactly once: ``nullif``/``when`` would run
+    the winner's regex twice (test and result), since Spark does not share
+    subexpressions across conditional branches.
+    """
     present = candidate_columns(df, names, name_map)
-    options = [F.nullif(normalize_text(F.col(quote(c))), F.lit("")) for c in present]
-    return F.coalesce(*options, F.lit("")) if options else F.lit("")
+    if not present:
+        return F.lit("")
+    values = F.array(*[normalize_text(F.col(quote(c))) for c in present])
+    return F.coalesce(F.get(F.filter(values, lambda v: v != ""), 0), F.lit(""))
