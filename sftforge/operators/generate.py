@@ -45,7 +45,8 @@ def _as_messages(value) -> list[dict]:
 def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | None = None,
              messages_col: str = "messages", output_col: str = "response",
              group_col: str | None = None,
-             group_options: dict | None = None) -> DataFrame:
+             group_options: dict | None = None,
+             partitions: int | None = None) -> DataFrame:
     """Add ``output_col`` with one generated response per row, same order.
 
     With ``group_col`` (e.g. the model name) rows are sorted by it inside each
@@ -53,12 +54,18 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     group value per task with ``options | {group_col: value}``, so only one
     generator (model) is resident at a time.  ``group_options`` maps a group
     value to extra options (e.g. the model's base model and adapter).
+
+    Generation dominates the cost, so the input is spread over at least
+    ``partitions`` tasks (default: the cluster's parallelism) -- a prompt
+    table read from one small file would otherwise generate in one task.
     """
     opts = dict(options or {})
     per_group = dict(group_options or {})
     batch_size = max(1, int(opts.get("batch_size", 1)))
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.StringType(), True)])
-    source = df.sortWithinPartitions(group_col) if group_col else df
+    from sftforge.sources.readers import ensure_parallelism
+    source = ensure_parallelism(df, partitions)
+    source = source.sortWithinPartitions(group_col) if group_col else source
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current_key, gen = object(), None

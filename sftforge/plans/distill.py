@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sftforge.functions.prompts import (
     distilled_columns, prompt_messages, system_content, user_content)
 from sftforge.operators.generate import GENERATE_OPTIONS, generate, pending
+from sftforge.sources.sinks import write_table
 
 KEY_COLUMNS = ("instruction", "input", "system")
 
@@ -37,26 +38,27 @@ def distill(prompts: DataFrame, make_generator, options: dict | None = None) ->
 
 def run_distill(spark: SparkSession, prompts: DataFrame, out_path: str, make_generator,
                 options: dict | None = None, chunks: int = 1, fmt: str = "parquet") -> int:
-    """Generate for every prompt not yet in ``out_path``; return rows written now."""
-    keyed = prompts.select(
-        F.coalesce(F.col("instruction"), F.lit("")).alias("instruction"),
-        F.coalesce(_opt(prompts, "input") if "input" in prompts.columns else F.lit(""),
-                   F.lit("")).alias("input"),
-        F.coalesce(_opt(prompts, "system") if "system" in prompts.columns else F.lit(""),
-                   F.lit("")).alias("system"))
+    """Generate for every prompt not yet in ``out_path``; return rows written now.
+
+    Prompts are split into ``chunks`` by a hash of their key; each chunk is one
+    job that appends its output, so a failure loses at most one chunk's work.
+    """
+    def text(name):
+        return F.coalesce(F.col(name), F.lit("")) if name in prompts.columns else F.lit("")
+    keyed = prompts.select(*[text(c).alias(c) for c in KEY_COLUMNS])
+    n_chunks = max(1, chunks)
     written = 0
-    for chunk in range(max(1, chunks)):
-        part = keyed.where(F.pmod(F.xxhash64(*KEY_COLUMNS), F.lit(max(1, chunks))) == chunk)
-        done = _existing(spark, out_path, fmt)
-        todo = pending(part, done, list(KEY_COLUMNS))
-        out = distill(todo, make_generator, options)
-        from sftforge.sources.sinks import write_table
-        written += write_table(out, out_path, fmt, "append", name=f"distill{chunk}")
+    for chunk in range(n_chunks):
+        part = keyed.where(F.pmod(F.xxhash64(*KEY_COLUMNS), F.lit(n_chunks)) == chunk)
+        todo = pending(part, _existing(spark, out_path, fmt), list(KEY_COLUMNS))
+        written += write_table(distill(todo, make_generator, options), out_path, fmt, "append",
+                               name=f"distill{chunk}")
     return written
 
 
 def _existing(spark: SparkSession, path: str, fmt: str):
+    """Keys already written to ``path``, or None before the first chunk lands."""
     try:
         return spark.read.format(fmt).load(path).select(*KEY_COLUMNS)
-    except Exception:  # nothing written yet
+    except Exception:  # noqa: BLE001 -- nothing written yet
         return None
