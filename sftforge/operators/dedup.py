@@ -15,12 +15,16 @@ from sftforge.functions.text import quote
 
 
 def dedup_first(df: DataFrame, keys=("instruction", "input"),
-                order: str | Column = "_ord", drop_order: bool = False) -> DataFrame:
+                order: str | Column = "_ord", drop_order: bool = False,
+                lead_hash: bool = True) -> DataFrame:
     """Keep, for every distinct ``keys`` tuple, the row with the smallest ``order``.
 
     ``order`` must be unique per row (a long, or a struct such as the
     ``(split, file, block, row)`` key the readers attach); the output keeps the
-    input's column order.
+    input's column order.  With ``lead_hash`` an ``xxhash64`` of the keys leads
+    the grouping keys: it changes no group (it is a function of the keys) but
+    lets the aggregate's sort settle almost every comparison on 8 bytes instead
+    of long, often shared, text prefixes.
     """
     keys = list(keys)
     order_col = F.col(quote(order)) if isinstance(order, str) else order
@@ -28,7 +32,10 @@ def dedup_first(df: DataFrame, keys=("instruction", "input"),
     if isinstance(order, str) and drop_order:
         rest = [c for c in rest if c != order]
     first = F.min_by(F.struct(*[F.col(quote(c)) for c in rest]), order_col).alias("_first")
-    grouped = df.groupBy(*[F.col(quote(k)) for k in keys]).agg(first)
+    group_cols = [F.col(quote(k)) for k in keys]
+    if lead_hash:
+        group_cols.insert(0, F.xxhash64(*[F.col(quote(k)) for k in keys]).alias("_kh"))
+    grouped = df.groupBy(*group_cols).agg(first)
     out_cols = [c for c in df.columns if c in keys or c in rest]
     return grouped.select(*[
         F.col(quote(c)) if c in keys else F.col("_first").getField(c).alias(c)

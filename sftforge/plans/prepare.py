@@ -110,7 +110,7 @@ def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
     # The md5 key leads the grouping keys: the dedup's sort then mostly
     # compares 8-byte prefixes of uniform hex instead of long shared text.
     candidates = dedup_first(within_cap(keyed, edge), (KEY, "instruction", "input"), order,
-                             drop_order=True)
+                             drop_order=True, lead_hash=False)
     ties = ("instruction", "input")
     training = first_n(candidates, n, hist, ties).select(*RECORD_COLUMNS, KEY)
     prompts = first_n(candidates, m, hist, ties).select(*PROMPT_COLUMNS, KEY)

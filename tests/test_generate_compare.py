@@ -22,6 +22,16 @@ def test_model_specs():
             parse_model_spec(bad)
 
 
+def test_model_spec_column(spark):
+    from sftforge.functions.models import model_spec_columns
+    df = spark.createDataFrame([(" a :: b :: - ",), ("x::y::lora",)], "spec string")
+    got = [tuple(r) for r in df.select(*model_spec_columns(F.col("spec"))).collect()]
+    assert got == [("a", "b", None), ("x", "y", "lora")]
+    bad = spark.createDataFrame([("a::b",)], "spec string")
+    with pytest.raises(Exception):
+        bad.select(*model_spec_columns(F.col("spec"))).collect()
+
+
 def test_duplicate_model_names_raise(spark):
     with pytest.raises(ValueError):
         models_frame(spark, ["a::b::-", "a::c::-"])
