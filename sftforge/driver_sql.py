@@ -101,10 +101,12 @@ FLAT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
           row_number() OVER (PARTITION BY instruction ORDER BY doc_id) AS rn
    FROM {PICKED} WHERE {reason('instruction', 'output')} IS NULL) WHERE rn = 1)"""
 
-PAIRS_CHAT = f"""(SELECT c1.conv_id, c1.turn, c1.role AS r1, {norm('c1.text')} AS t1,
-   c2.role AS r2, {norm('c2.text')} AS t2
- FROM conversations c1 JOIN conversations c2
-   ON c2.conv_id = c1.conv_id AND c2.turn = c1.turn + 1)"""
+PAIRS_CHAT = f"""(SELECT conv_id, pair, r1, {norm('t1')} AS t1,
+   CASE WHEN n > 1 THEN r2 END AS r2, CASE WHEN n > 1 THEN {norm('t2')} END AS t2 FROM (
+   SELECT conv_id, turn // 2 AS pair, count(*) AS n,
+          arg_min(role, turn) AS r1, arg_min(text, turn) AS t1,
+          arg_max(role, turn) AS r2, arg_max(text, turn) AS t2
+   FROM conversations GROUP BY conv_id, turn // 2))"""
 
 
 def _side(roles: tuple[str, ...]) -> str:
@@ -113,12 +115,12 @@ def _side(roles: tuple[str, ...]) -> str:
             f"CASE WHEN r2 IN ({ins}) AND t2 <> '' THEN t2 END), '')")
 
 
-CHAT_FOLDED = f"""(SELECT conv_id, turn, {_side(('user',))} AS instruction,
+CHAT_FOLDED = f"""(SELECT conv_id, pair, {_side(('user',))} AS instruction,
    {_side(('assistant',))} AS output FROM {PAIRS_CHAT})"""
 
 CHAT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
    SELECT instruction, '' AS input, output, {SYSTEM} AS system,
-          row_number() OVER (PARTITION BY instruction ORDER BY conv_id, turn) AS rn
+          row_number() OVER (PARTITION BY instruction ORDER BY conv_id, pair) AS rn
    FROM {CHAT_FOLDED} WHERE {reason('instruction', 'output')} IS NULL) WHERE rn = 1)"""
 
 ITEMS = f"""(SELECT CAST(item_id AS VARCHAR) AS id, item_id AS item_seq,
@@ -208,7 +210,7 @@ ORACLE_SQL: dict[str, str] = {
         CAST(length({norm('text')}) AS INTEGER) AS n_chars FROM documents""",
     "pick_first": f"SELECT doc_id, instruction, output FROM {PICKED}",
     "messages_fold": f"SELECT conv_id, instruction, output FROM {FOLDED}",
-    "messages_array_fold": f"SELECT conv_id, turn, instruction, output FROM {CHAT_FOLDED}",
+    "messages_array_fold": f"SELECT conv_id, pair, instruction, output FROM {CHAT_FOLDED}",
     "prepare_chat_train": f"""SELECT instruction, input, output, system FROM {CHAT_UNIQUE}
         ORDER BY {skey()}, instruction, input LIMIT 80000""",
     "quality_filter": f"SELECT doc_id, instruction, output FROM {RECORDS} WHERE reject_reason IS NULL",

@@ -85,7 +85,7 @@ def messages_array_fold(spark, sf):
     from sftforge.functions.chat import fold_messages
     rows = chat_rows(table(spark, sf, "conversations"))
     user, assistant = fold_messages(rows)
-    return rows.select("conv_id", "turn", user.alias("instruction"), assistant.alias("output"))
+    return rows.select("conv_id", "pair", user.alias("instruction"), assistant.alias("output"))
 
 
 def _doc_records(spark, sf):
@@ -187,7 +187,7 @@ def prepare_rejects(spark, sf):
 @query
 def prepare_chat_train(spark, sf):
     rows = chat_rows(table(spark, sf, "conversations"))
-    ordered = rows.withColumn("_ord", F.struct("conv_id", "turn"))
+    ordered = rows.withColumn("_ord", F.struct("conv_id", "pair"))
     return prepare(ordered, PrepareConfig(seed=SEED)).training.select(
         "instruction", "input", "output", "system")
 

@@ -106,16 +106,20 @@ def _message(role, text):
 
 
 def chat_rows(conversations: DataFrame) -> DataFrame:
-    """Raw chat rows ``(conv_id, turn, messages)``: each turn with the next one.
+    """Raw chat rows ``(conv_id, pair, messages)``: turns 2k and 2k+1 together.
 
-    An equi-join on ``(conv_id, turn + 1)``; both keys are hashed, so a long
-    conversation spreads over tasks.
+    One ``groupBy(conv_id, turn div 2)`` whose ``min_by``/``max_by`` pick the
+    pair's first and last message: partial aggregates with a bounded result per
+    group, so neither a long conversation nor repeated turn numbers can blow up
+    (no self-join, no pairs within a group).  A last turn without a partner
+    forms a one-message row.
     """
-    a = conversations.select("conv_id", "turn", F.col("role").alias("r1"),
-                             F.col("text").alias("t1"))
-    b = conversations.select(F.col("conv_id").alias("c2"), F.col("turn").alias("turn2"),
-                             F.col("role").alias("r2"), F.col("text").alias("t2"))
-    pairs = a.join(b, (a.conv_id == b.c2) & (b.turn2 == a.turn + 1))
-    return pairs.select("conv_id", "turn", F.array(_message(F.col("r1"), F.col("t1")),
-                                                   _message(F.col("r2"), F.col("t2")))
-                        .alias("messages"))
+    order = F.struct("turn", "text", "role")
+    grouped = conversations.groupBy("conv_id", F.floor(F.col("turn") / 2).alias("pair")).agg(
+        F.min_by(F.struct("role", "text"), order).alias("m1"),
+        F.max_by(F.struct("role", "text"), order).alias("m2"),
+        F.count(F.lit(1)).alias("n"))
+    first = _message(F.col("m1.role"), F.col("m1.text"))
+    second = _message(F.col("m2.role"), F.col("m2.text"))
+    return grouped.select("conv_id", "pair", F.when(F.col("n") == 1, F.array(first))
+                          .otherwise(F.array(first, second)).alias("messages"))
