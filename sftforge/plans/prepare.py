@@ -161,7 +161,9 @@ def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareCon
     """Write the training table sorted by the sample key, then the prompt table.
 
     Prompts are the first ``prompt_samples`` rows of the written training table
-    (at most ``max_samples`` rows), so the raw input is not read again.
+    (at most ``max_samples`` rows), so the raw input is not read again; they
+    are cut with the same distributed key-histogram cap, not a single-task
+    ``orderBy().limit()``.
     """
     spark = prep.training.sparkSession
     n_train = write_table(prep.training, f"{out_dir}/train", fmt, mode,
@@ -170,8 +172,9 @@ def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareCon
     train = spark.read.schema("instruction string, input string, output string, "
                               "system string").format(fmt).load(f"{out_dir}/train")
     m = min(config.prompt_samples, config.max_samples)
-    prompts = (train.withColumn(KEY, sample_key(config.seed, F.col("instruction"),
-                                                F.col("input")))
-               .orderBy(KEY, "instruction", "input").limit(m).select(*PROMPT_COLUMNS))
-    n_prompts = write_table(prompts, f"{out_dir}/prompts", fmt, mode, name="prompts")
+    keyed = train.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
+    prompts = first_n(keyed, m, key_histogram(keyed) if m > 0 else [], ("instruction", "input"))
+    n_prompts = write_table(prompts.select(*PROMPT_COLUMNS, KEY), f"{out_dir}/prompts", fmt,
+                            mode, order_by=[KEY, "instruction", "input"], name="prompts",
+                            drop=[KEY])
     return {"train": n_train, "prompts": n_prompts}

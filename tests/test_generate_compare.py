@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from sftforge.functions.models import models_frame, parse_model_spec
 from sftforge.operators.compare import (
     comparison, detail_report, long_report, model_summary, score_answers, summary_report)
-from sftforge.operators.generate import generate
 from sftforge.plans.distill import distill, run_distill
 from sftforge.plans.evaluate import answers, run_evaluate
 from sftforge.plans.stubs import STUB_MODELS, RecordingFactory, StubGenerator

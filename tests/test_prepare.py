@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sftforge.operators.dedup import dedup_first
-from sftforge.operators.sample import (
-    cap_edge, first_n, first_n_by_key, key_histogram, sample_key)
+from sftforge.operators.sample import cap_edge, first_n_by_key, key_histogram, sample_key
 from sftforge.plans.prepare import (
     PrepareConfig, prepare, prepare_turns, run_prepare, to_records, with_holdout)
 from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT
