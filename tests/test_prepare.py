@@ -113,3 +113,22 @@ def test_run_prepare_writes_sorted_tables(spark, tmp_dir):
     assert sorted(back.columns) == ["input", "instruction", "output", "system"]
     prompts = spark.read.json(f"{tmp_dir}/out/prompts").collect()
     assert {r["instruction"] for r in prompts} <= {r["instruction"] for r in back.collect()}
+
+
+def test_flat_columns_and_messages_together(spark):
+    msgs = [{"role": "user", "content": "user turn question?"},
+            {"role": "assistant", "content": "assistant turn answer, long enough"}]
+    rows = [
+        (0, None, "a flat answer that is long enough", msgs),   # no flat question: dropped
+        (1, "flat question here", None, msgs),                   # flat q + assistant turns
+        (2, None, None, msgs),                                   # both from messages
+        (3, None, None, None),                                   # null list: missing
+    ]
+    schema = ("_ord long, instruction string, output string, "
+              "messages array<struct<role:string,content:string>>")
+    got = {r["_ord"]: (r["instruction"], r["output"], r["reject_reason"])
+           for r in to_records(spark.createDataFrame(rows, schema)).collect()}
+    assert got[0] == ("", "a flat answer that is long enough", "missing")
+    assert got[1] == ("flat question here", "assistant turn answer, long enough", None)
+    assert got[2] == ("user turn question?", "assistant turn answer, long enough", None)
+    assert got[3][2] == "missing"
