@@ -44,7 +44,10 @@ def ship_package(spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.getActiveSession()
     if spark is None:
         return
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: ship with spark.addArtifacts instead
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return

@@ -22,6 +22,8 @@ CSV_NA_WORDS = (
     "nan", "null",
 )
 
+CORRUPT = "_corrupt_record"
+
 BENCHMARK_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("instruction", T.StringType()),
@@ -44,8 +46,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     (regex normalization, folding, generation) would then use a few cores.  A
     big input already has more splits than cores and is returned unchanged.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD API (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
@@ -91,11 +97,16 @@ def read_json_rows(spark: SparkSession, paths, split_ord: int = 0,
     ``multiLine`` is required for an array file and wrong for JSONL (it would
     read one row), so the format is sniffed unless ``json_lines`` is given.
     Array files are read one task per file: prefer JSONL/parquet for big inputs.
+    Malformed records are kept with their text in ``_corrupt_record`` (all
+    other fields null, so prepare rejects them as missing) rather than lost.
     """
     if json_lines is None:
         json_lines = sniff_json_lines(spark, paths)
-    reader = spark.read.option("multiLine", not json_lines).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("multiLine", not json_lines).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT))
     if schema is not None:
+        if CORRUPT not in schema.fieldNames():
+            schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
         reader = reader.schema(schema)
     return _with_order(reader.json(paths), split_ord)
 

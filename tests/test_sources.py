@@ -38,6 +38,23 @@ def test_json_array_and_jsonl(spark, tmp_dir):
     assert read_json_rows(spark, f"{tmp_dir}/b.jsonl").count() == 5
 
 
+def test_malformed_jsonl_line_is_kept_and_rejected(spark, tmp_dir):
+    from sftforge.plans.prepare import to_records
+    from sftforge.sources.readers import PROMPT_SCHEMA
+    with open(f"{tmp_dir}/bad.jsonl", "w") as f:
+        f.write('{"instruction": "fine question", "output": "a fine answer, long enough"}\n')
+        f.write('{"instruction": "broken\n')
+    df = read_json_rows(spark, f"{tmp_dir}/bad.jsonl")
+    # Spark refuses queries that reference only the corrupt-record column.
+    bad = df.where("_corrupt_record IS NOT NULL").select("instruction", "_corrupt_record")
+    assert len(bad.collect()) == 1
+    reasons = sorted(str(r[0]) for r in to_records(df).select("reject_reason").collect())
+    assert reasons == ["None", "missing"]
+    typed = read_json_rows(spark, f"{tmp_dir}/bad.jsonl", schema=PROMPT_SCHEMA)
+    bad = typed.where("_corrupt_record IS NOT NULL").select("instruction", "_corrupt_record")
+    assert len(bad.collect()) == 1
+
+
 def test_benchmark_must_be_a_list_and_ids_are_strings(spark, tmp_dir):
     with open(f"{tmp_dir}/bench.json", "w") as f:
         json.dump([{"id": 10, "instruction": "a", "keywords": ["k"]},
