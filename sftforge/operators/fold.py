@@ -27,10 +27,11 @@ from sftforge.functions.quality import (
 from sftforge.functions.text import REPLACEMENT_CHAR, normalize_text, quote
 
 TURN_BLOCK = 1024
-# At most this many over-long conversations are dropped map-side (a broadcast
-# of as many ids); any heavier conversation left is then at most 1/HEAVY_LIMIT
-# of the rows, so none can dominate a task.
-HEAVY_LIMIT = 100_000
+# A conversation holding more than 1/HEAVY_SHARE of all parts is "heavy".  There
+# can be at most HEAVY_SHARE of them (they cannot add up to more than all
+# parts), which bounds the broadcast that drops them; every other conversation
+# is at most 1/HEAVY_SHARE of the rows, so none can dominate a task.
+HEAVY_SHARE = 10_000
 
 
 def turn_parts(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -105,17 +106,18 @@ def fold_turns_bounded(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
 
     Skew: a conversation with more non-empty parts than
     ``max_instruction + max_output`` cannot pass the length bounds (each part
-    adds at least one character).  The heaviest such conversations -- at most
-    ``HEAVY_LIMIT`` ids, taken from the per-conversation stats -- are removed by
-    a broadcast anti join *before* the shuffle, so a hot conversation holding a
-    large share of all turns is dropped where it is read instead of being
-    streamed through one join task.
+    adds at least one character).  Those that also hold more than
+    ``1/HEAVY_SHARE`` of all parts -- at most ``HEAVY_SHARE`` ids, by counting --
+    are removed by a broadcast anti join *before* the shuffle, so a hot
+    conversation is dropped where it is read instead of being streamed through
+    one join task.
     """
     stats = stats if stats is not None else fold_stats(turns, conv, turn, role, text, bounds)
     keep = stats.where(F.col("reject_reason").isNull()).select(conv)
     max_parts = bounds.max_instruction + bounds.max_output
-    heavy = (stats.where(F.col("parts") > max_parts).orderBy(F.desc("parts"))
-             .limit(HEAVY_LIMIT).select(conv))
+    total = stats.agg(F.coalesce(F.sum("parts"), F.lit(0))).scalar()
+    heavy = stats.where((F.col("parts") > max_parts)
+                        & (F.col("parts") * F.lit(HEAVY_SHARE) > total)).select(conv)
     parts = turn_parts(turns, conv, turn, role, text)
     useful = parts.where(F.col("_side").isNotNull() & (F.col("_part") != ""))
     kept = (useful.join(F.broadcast(heavy), conv, "left_anti")
