@@ -55,16 +55,17 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     generator (model) is resident at a time.  ``group_options`` maps a group
     value to extra options (e.g. the model's base model and adapter).
 
-    Generation dominates the cost, so the input is spread over at least
-    ``partitions`` tasks (default: the cluster's parallelism) -- a prompt
-    table read from one small file would otherwise generate in one task.
+    Generation dominates the cost, so the input is first spread round-robin
+    over ``partitions`` tasks (default: the cluster's parallelism, i.e. one
+    task per slot) -- a prompt table read from one small file would otherwise
+    generate in one task.  Moving prompt rows is cheap next to generating.
     """
     opts = dict(options or {})
     per_group = dict(group_options or {})
     batch_size = max(1, int(opts.get("batch_size", 1)))
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.StringType(), True)])
-    from sftforge.sources.readers import ensure_parallelism
-    source = ensure_parallelism(df, partitions)
+    slots = partitions or df.sparkSession.sparkContext.defaultParallelism
+    source = df.repartition(slots)
     source = source.sortWithinPartitions(group_col) if group_col else source
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
