@@ -22,6 +22,7 @@ from sftforge.operators.compare import (
     comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_turns
+from sftforge.operators.generate import EVALUATE_OPTIONS
 from sftforge.operators.sample import holdout_split
 from sftforge.plans.distill import distill
 from sftforge.plans.evaluate import answers, items_by_model, prompts_for
@@ -44,7 +45,7 @@ SEED = 42
 SAMPLE_CAP = 500
 PROMPT_CAP = 200
 LICENSE_HINTS = ("MIT License", "Apache License", "General Public License")
-TEMPLATE = "qwen3_nothink"
+TEMPLATE = EVALUATE_OPTIONS["template"]
 MODEL_NAMES = tuple(parse_model_spec(s).name for s in STUB_MODELS)
 
 
