@@ -39,3 +39,25 @@ def test_every_query_builds(spark):
         assert df.columns
     assert "CartesianProduct" not in plan_text(QUERIES["bench_cross_models"](spark, SF))
     assert "NestedLoopJoin" not in plan_text(QUERIES["bench_cross_models"](spark, SF))
+
+
+def test_cap_plan_has_no_global_sort_or_single_task_limit(spark):
+    from pyspark.sql import functions as F
+    from sftforge.plans.prepare import select_training
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    recs = to_records(flat_rows(docs), PrepareConfig(), "doc_id")
+    prep = select_training(recs, PrepareConfig(max_samples=50, prompt_samples=10), "doc_id")
+    for df in (prep.training, prep.prompts):
+        plan = plan_text(df)
+        assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+        # the bucket filter sits below the dedup exchange: only candidates are shuffled
+        below = plan.split("Exchange hashpartitioning", 1)[1]
+        assert "StartsWith" in below
+
+
+def test_bounded_fold_drops_heavy_conversations_with_a_broadcast_anti_join(spark):
+    from sftforge.operators.fold import fold_turns_bounded
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    plan = plan_text(fold_turns_bounded(turns))
+    assert "LeftAnti" in plan and "BroadcastExchange" in plan
