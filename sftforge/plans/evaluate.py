@@ -66,14 +66,15 @@ def answers(items: DataFrame, specs, make_generator, options: dict | None = None
     opts = EVALUATE_OPTIONS | (options or {})
     work = prompts_for(items_by_model(items, parsed))
     out = generate(work, make_generator, opts, group_col="model_name", group_options=per_model)
+    no_keywords = F.array().cast("array<string>")
+
+    def present(name, empty):
+        return F.coalesce(F.col(name), empty) if name in out.columns else empty
     return out.select(
         "model_name", "model_ord", "item_seq", F.col("id").cast("string").alias("id"),
-        F.coalesce(F.col("instruction").cast("string"), F.lit("")).alias("instruction"),
-        F.coalesce(_opt(out, "reference") if "reference" in out.columns else F.lit(""),
-                   F.lit("")).alias("reference"),
-        F.coalesce(_opt(out, "keywords") if "keywords" in out.columns
-                   else F.array().cast("array<string>"),
-                   F.array().cast("array<string>")).alias("keywords"),
+        present("instruction", F.lit("")).cast("string").alias("instruction"),
+        present("reference", F.lit("")).cast("string").alias("reference"),
+        present("keywords", no_keywords).alias("keywords"),
         strip_text(F.col("response")).alias("answer"))
 
 
@@ -102,25 +103,43 @@ def evaluate_answers(spark: SparkSession, answer_rows: DataFrame, specs,
                       long_report(comp, names, exact_round=exact_round))
 
 
+def _committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path`` if a job committed it (``_SUCCESS``), else None."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()  # raises when absent
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 -- absent or not committed
+        return None
+
+
 def run_evaluate(spark: SparkSession, items: DataFrame, specs, out_dir: str, make_generator,
-                 options: dict | None = None, mode: str = "errorifexists") -> dict[str, int]:
-    """Generate once, persist, score once, persist, then derive and write reports."""
+                 options: dict | None = None, mode: str = "errorifexists",
+                 resume: bool = True) -> dict[str, int]:
+    """Generate once, persist, score once, persist, then derive and write reports.
+
+    With ``resume`` a rerun after a failure reuses committed answers and
+    scores instead of generating again; reports are rewritten.
+    """
     opts = EVALUATE_OPTIONS | (options or {})
-    n_answers = write_table(answers(items, specs, make_generator, opts),
-                            f"{out_dir}/answers", "parquet", mode, name="answers")
-    stored = spark.read.parquet(f"{out_dir}/answers")
-    n_scores = write_table(score_answers(stored), f"{out_dir}/scores", "parquet", mode,
-                           name="scores")
-    scores = spark.read.parquet(f"{out_dir}/scores")
+    stored = _committed(spark, f"{out_dir}/answers") if resume else None
+    if stored is None:
+        write_table(answers(items, specs, make_generator, opts), f"{out_dir}/answers",
+                    "parquet", mode, name="answers")
+        stored = spark.read.parquet(f"{out_dir}/answers")
+    scores = _committed(spark, f"{out_dir}/scores") if resume else None
+    if scores is None:
+        write_table(score_answers(stored), f"{out_dir}/scores", "parquet", mode, name="scores")
+        scores = spark.read.parquet(f"{out_dir}/scores")
     parsed = [s if not isinstance(s, str) else parse_model_spec(s) for s in specs]
     names = [m.name for m in parsed]
     summary = model_summary(scores, models_frame(spark, parsed), opts["template"])
     comp = comparison(scores, names)
-    counts = write_model_results(scores, summary, f"{out_dir}/models", mode)
-    write_table(summary_report(summary), f"{out_dir}/summary_report", "csv", mode,
+    report_mode = "overwrite" if resume else mode
+    counts = write_model_results(scores, summary, f"{out_dir}/models", report_mode)
+    write_table(summary_report(summary), f"{out_dir}/summary_report", "csv", report_mode,
                 order_by="model_ord", name="summary_report")
-    write_table(detail_report(comp, names), f"{out_dir}/comparison", "csv", mode,
+    write_table(detail_report(comp, names), f"{out_dir}/comparison", "csv", report_mode,
                 order_by="id", name="comparison")
-    write_table(long_report(comp, names), f"{out_dir}/long_report", "json", mode,
+    write_table(long_report(comp, names), f"{out_dir}/long_report", "json", report_mode,
                 order_by=["id", "model_ord"], name="long_report")
-    return {"answers": n_answers, "scores": n_scores, **counts}
+    return {"answers": stored.count(), "scores": scores.count(), **counts}

@@ -120,6 +120,12 @@ def test_run_evaluate_end_to_end(spark, tmp_dir):
     assert counts["answers"] == counts["scores"] == 120 and counts["summary"] == 3
     summary = spark.read.json(f"{tmp_dir}/eval/models/summary").collect()
     assert {r["model_name"] for r in summary} == {"echo", "lead", "tail"}
+    # A rerun reuses the committed answers: the generator is not loaded again.
+    log = f"{tmp_dir}/loads.txt"
+    again = run_evaluate(spark, items, STUB_MODELS, f"{tmp_dir}/eval", RecordingFactory(log))
+    assert again["answers"] == 120
+    import os
+    assert not os.path.exists(log)
     detail = (spark.read.option("header", True).option("multiLine", True)
               .option("escape", '"').csv(f"{tmp_dir}/eval/comparison"))
     assert detail.count() == 40 and "echo_reference_similarity" in detail.columns
