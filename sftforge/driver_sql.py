@@ -163,8 +163,8 @@ SUMMARY = f"""(SELECT m.model_ord, m.model_name, m.base_model, m.adapter,
    '{TEMPLATE}' AS template, coalesce(s.n, 0) AS num_examples,
    coalesce(s.kw, 0.0) AS avg_keyword_hit_rate, coalesce(s.rr, 0.0) AS risk_hint_rate
  FROM {MODELS} m LEFT JOIN (
-   SELECT model_name, count(*) AS n, avg(keyword_hit_rate) AS kw,
-          avg(CAST(has_risk_hint AS DOUBLE)) AS rr FROM {SCORES} GROUP BY model_name) s
+   SELECT model_name, count(*) AS n, round(avg(keyword_hit_rate), 12) AS kw,
+          round(avg(CAST(has_risk_hint AS DOUBLE)), 12) AS rr FROM {SCORES} GROUP BY model_name) s
  USING (model_name))"""
 
 MODEL_NAMES = ("echo", "lead", "tail")

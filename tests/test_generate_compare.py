@@ -129,3 +129,18 @@ def test_run_evaluate_end_to_end(spark, tmp_dir):
     detail = (spark.read.option("header", True).option("multiLine", True)
               .option("escape", '"').csv(f"{tmp_dir}/eval/comparison"))
     assert detail.count() == 40 and "echo_reference_similarity" in detail.columns
+
+
+def test_summary_does_not_depend_on_partitioning(spark):
+    rows = [("m", 0, i, str(i), "q", "r", [f"k{j}" for j in range(i % 7 + 1)],
+             " ".join(f"k{j}" for j in range(i % 3))) for i in range(300)]
+    df = spark.createDataFrame(rows, "model_name string, model_ord int, item_seq long, id string, "
+                               "instruction string, reference string, keywords array<string>, "
+                               "answer string")
+    models = models_frame(spark, ["m::b::-"])
+    seen = set()
+    for parts in (1, 4, 37):
+        scores = score_answers(df.repartition(parts), with_similarity=False)
+        r = model_summary(scores, models, "t").first()
+        seen.add((r["avg_keyword_hit_rate"], r["risk_hint_rate"]))
+    assert len(seen) == 1
