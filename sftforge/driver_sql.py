@@ -82,9 +82,9 @@ PARTS = f"""(SELECT conv_id, turn,
    {norm('text')} AS part FROM conversations)"""
 
 FOLDED = f"""(SELECT conv_id,
-   coalesce(string_agg(part, {NL} ORDER BY turn) FILTER (WHERE side = 'user' AND part <> ''), '')
+   coalesce(string_agg(part, {NL} ORDER BY turn, part) FILTER (WHERE side = 'user' AND part <> ''), '')
      AS instruction,
-   coalesce(string_agg(part, {NL} ORDER BY turn) FILTER (WHERE side = 'assistant' AND part <> ''), '')
+   coalesce(string_agg(part, {NL} ORDER BY turn, part) FILTER (WHERE side = 'assistant' AND part <> ''), '')
      AS output
  FROM {PARTS} GROUP BY conv_id)"""
 

@@ -1,7 +1,8 @@
 """Fold turn-per-row chat tables into (instruction, output) per conversation (P5).
 
 A conversation is a group of rows ``(conv_id, turn, role, text)``.  The fold is
-the newline join, in turn order, of the normalized non-empty texts of the user
+the newline join, in turn order (ties broken by text, so repeated turn numbers
+still fold deterministically), of the normalized non-empty texts of the user
 turns (instruction) and of the assistant turns (output).
 
 Two plans:
@@ -61,7 +62,7 @@ def fold_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     chunks = (parts
               .groupBy(F.col(conv), F.col("_side"),
                        F.floor(F.col("_turn") / F.lit(block)).alias("_blk"))
-              .agg(_join_ordered("_part", "_turn", "_part <> ''").alias("_chunk")))
+              .agg(_join_ordered("_part", "_turn, _part", "_part <> ''").alias("_chunk")))
     folded = chunks.groupBy(conv).agg(
         _join_ordered("_chunk", "_blk", "_side = 'user' AND _chunk IS NOT NULL")
         .alias("instruction"),
@@ -123,5 +124,7 @@ def fold_turns_bounded(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
     kept = (useful.join(F.broadcast(heavy), conv, "left_anti")
             .join(keep, conv, "left_semi"))
     return kept.groupBy(conv).agg(
-        _join_ordered("_part", "_turn", "_side = 'user' AND _part <> ''").alias("instruction"),
-        _join_ordered("_part", "_turn", "_side = 'assistant' AND _part <> ''").alias("output"))
+        _join_ordered("_part", "_turn, _part", "_side = 'user' AND _part <> ''")
+        .alias("instruction"),
+        _join_ordered("_part", "_turn, _part", "_side = 'assistant' AND _part <> ''")
+        .alias("output"))
