@@ -114,11 +114,18 @@ def fold_turns_bounded(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
     one join task.
     """
     stats = stats if stats is not None else fold_stats(turns, conv, turn, role, text, bounds)
-    keep = stats.where(F.col("reject_reason").isNull()).select(conv)
     max_parts = bounds.max_instruction + bounds.max_output
-    total = stats.agg(F.coalesce(F.sum("parts"), F.lit(0))).scalar()
-    heavy = stats.where((F.col("parts") > max_parts)
-                        & (F.col("parts") * F.lit(HEAVY_SHARE) > total)).select(conv)
+    # One projection feeds the keep set, the heavy set and the total, so all
+    # three read the same aggregate (one exchange, reused) instead of three.
+    fate = (F.when(F.col("reject_reason").isNull(), F.lit("keep"))
+            .when(F.col("parts") > max_parts, F.lit("over")).otherwise(F.lit("drop")))
+    # (Null ids never join; filtering them here gives every consumer the same plan.)
+    decided = stats.where(F.col(conv).isNotNull()).select(conv, fate.alias("_fate"), "parts")
+    keep = decided.where(F.col("_fate") == "keep").select(conv)
+    total = decided.agg(F.coalesce(F.sum(F.when(F.col("_fate").isNotNull(), F.col("parts"))),
+                                   F.lit(0))).scalar()
+    heavy = decided.where((F.col("_fate") == "over")
+                          & (F.col("parts") * F.lit(HEAVY_SHARE) > total)).select(conv)
     parts = turn_parts(turns, conv, turn, role, text)
     useful = parts.where(F.col("_side").isNotNull() & (F.col("_part") != ""))
     kept = (useful.join(F.broadcast(heavy), conv, "left_anti")

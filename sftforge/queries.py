@@ -21,7 +21,7 @@ from sftforge.functions.text import normalize_text
 from sftforge.operators.compare import (
     comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.dedup import dedup_first
-from sftforge.operators.fold import fold_turns
+from sftforge.operators.fold import fold_stats, fold_turns
 from sftforge.operators.generate import EVALUATE_OPTIONS
 from sftforge.operators.sample import holdout_split
 from sftforge.plans.distill import distill
@@ -180,8 +180,9 @@ def prepare_prompts(spark, sf):
 
 @query
 def prepare_rejects(spark, sf):
-    recs = _prepared_conversations(spark, sf).records
-    return (recs.groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reject_reason"))
+    # The rejects of the conversation prepare job are its per-conversation stats.
+    stats = fold_stats(table(spark, sf, "conversations"))
+    return (stats.groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reject_reason"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
