@@ -13,11 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftforge.functions.models import parse_model_spec
+from sftforge.functions.chat import fold_messages
+from sftforge.functions.models import models_frame, parse_model_spec
 from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT
 from sftforge.functions.quality import reject_reason
 from sftforge.functions.scores import has_risk_hint, answer_length, similarity_upper_bound
-from sftforge.functions.text import normalize_text
+from sftforge.functions.text import (
+    INSTRUCTION_CANDIDATES, OUTPUT_CANDIDATES, normalize_text)
+from sftforge.functions.text import pick_first as pick_candidates
 from sftforge.operators.compare import (
     comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.dedup import dedup_first
@@ -28,7 +31,6 @@ from sftforge.plans.distill import distill
 from sftforge.plans.evaluate import answers, items_by_model, prompts_for
 from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns, select_training
 from sftforge.plans.stubs import STUB_MODELS, StubGenerator
-from sftforge.functions.models import models_frame
 from sftforge.session import scratch_path
 from sftforge.sources.readers import (
     read_csv_rows, read_json_rows, read_table_rows, union_splits)
@@ -69,11 +71,10 @@ def normalize_text_docs(spark, sf):
 
 @query
 def pick_first(spark, sf):
-    from sftforge.functions.text import (
-        INSTRUCTION_CANDIDATES, OUTPUT_CANDIDATES, pick_first as pick)
     raw = flat_rows(table(spark, sf, "documents"))
-    return raw.select("doc_id", pick(raw, INSTRUCTION_CANDIDATES).alias("instruction"),
-                      pick(raw, OUTPUT_CANDIDATES).alias("output"))
+    return raw.select("doc_id",
+                      pick_candidates(raw, INSTRUCTION_CANDIDATES).alias("instruction"),
+                      pick_candidates(raw, OUTPUT_CANDIDATES).alias("output"))
 
 
 @query
@@ -83,7 +84,6 @@ def messages_fold(spark, sf):
 
 @query
 def messages_array_fold(spark, sf):
-    from sftforge.functions.chat import fold_messages
     rows = chat_rows(table(spark, sf, "conversations"))
     user, assistant = fold_messages(rows)
     return rows.select("conv_id", "pair", user.alias("instruction"), assistant.alias("output"))
