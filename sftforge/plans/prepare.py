@@ -157,16 +157,19 @@ def with_holdout(training: DataFrame, config: PrepareConfig = PrepareConfig()) -
 
 
 def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareConfig(),
-                fmt: str = "json", mode: str = "errorifexists") -> dict[str, int]:
+                fmt: str = "json", mode: str = "errorifexists",
+                holdout: bool = False) -> dict[str, int]:
     """Write the training table sorted by the sample key, then the prompt table.
 
     Prompts are the first ``prompt_samples`` rows of the written training table
     (at most ``max_samples`` rows), so the raw input is not read again; they
     are cut with the same distributed key-histogram cap, not a single-task
-    ``orderBy().limit()``.
+    ``orderBy().limit()``.  With ``holdout`` the training rows carry ``split``
+    ('train' / 'eval', about ``val_size`` eval rows, H1).
     """
     spark = prep.training.sparkSession
-    n_train = write_table(prep.training, f"{out_dir}/train", fmt, mode,
+    training = with_holdout(prep.training, config) if holdout else prep.training
+    n_train = write_table(training, f"{out_dir}/train", fmt, mode,
                           order_by=[KEY, "instruction", "input"], name="train",
                           drop=[KEY])
     train = spark.read.schema("instruction string, input string, output string, "

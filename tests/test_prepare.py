@@ -132,3 +132,15 @@ def test_flat_columns_and_messages_together(spark):
     assert got[1] == ("flat question here", "assistant turn answer, long enough", None)
     assert got[2] == ("user turn question?", "assistant turn answer, long enough", None)
     assert got[3][2] == "missing"
+
+
+def test_run_prepare_flat_rows_with_holdout(spark, tmp_dir):
+    from sftforge.sources.testdata import flat_rows
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    cfg = PrepareConfig(max_samples=40, prompt_samples=15, val_size=0.25)
+    counts = run_prepare(prepare(flat_rows(docs), cfg, order="doc_id"), f"{tmp_dir}/flat", cfg,
+                         fmt="parquet", holdout=True)
+    assert counts == {"train": 40, "prompts": 15}
+    back = spark.read.parquet(f"{tmp_dir}/flat/train")
+    assert set(r[0] for r in back.select("split").distinct().collect()) <= {"train", "eval"}
+    assert back.select("instruction").distinct().count() == 40
