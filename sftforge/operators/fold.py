@@ -7,10 +7,11 @@ turns (instruction) and of the assistant turns (output).
 
 Two plans:
 
-* :func:`fold_turns` keeps every conversation whole.  It joins in two levels --
-  first per ``(conversation, side, block of turns)``, then the block strings per
-  conversation -- so a conversation with a huge number of turns is split over
-  many tasks instead of being sorted and joined in one.
+* :func:`fold_turns` keeps every conversation whole.  Ordinary conversations
+  fold in one shuffle; heavy ones (found by a cheap count of the key column)
+  join in two levels -- first per ``(conversation, side, block of turns)``, then
+  the block strings per conversation -- so their turns are spread over many
+  tasks instead of being sorted and joined in one.
 * :func:`fold_turns_bounded` is what the prepare job uses.  The quality checks
   only need lengths, counts and a U+FFFD flag, which are plain partial
   aggregates.  Conversations that fail are rejected from those numbers alone;
@@ -52,22 +53,59 @@ def _join_ordered(value: str, order: str, cond: str) -> Column:
         f"listagg({value}, '{sep}') WITHIN GROUP (ORDER BY {order}) FILTER (WHERE {cond})")
 
 
-def fold_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
-               role: str = "role", text: str = "text",
-               block: int = TURN_BLOCK) -> DataFrame:
-    """``(conv, instruction, output)`` for every conversation, texts whole."""
-    parts = turn_parts(turns, conv, turn, role, text)
-    # Rows of other roles are kept (side null) so that a conversation without
-    # any user/assistant text still yields a row with empty strings.
+def heavy_keys(df: DataFrame, key: str, floor: int, share: int = HEAVY_SHARE) -> DataFrame:
+    """Keys with more than ``floor`` rows that also hold over ``1/share`` of all rows.
+
+    At most ``share`` keys can qualify, so the result is safe to broadcast.
+    Reads only the key column (plus a metadata-only row count).
+    """
+    counts = df.select(key).where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return counts.where((F.col("_n") > F.lit(floor))
+                        & (F.col("_n") * F.lit(share) > total)).select(key)
+
+
+def _fold_once(parts: DataFrame, conv: str) -> DataFrame:
+    return parts.groupBy(conv).agg(
+        _join_ordered("_part", "_turn, _part", "_side = 'user' AND _part <> ''")
+        .alias("instruction"),
+        _join_ordered("_part", "_turn, _part", "_side = 'assistant' AND _part <> ''")
+        .alias("output"))
+
+
+def _fold_in_blocks(parts: DataFrame, conv: str, block: int) -> DataFrame:
     chunks = (parts
               .groupBy(F.col(conv), F.col("_side"),
                        F.floor(F.col("_turn") / F.lit(block)).alias("_blk"))
               .agg(_join_ordered("_part", "_turn, _part", "_part <> ''").alias("_chunk")))
-    folded = chunks.groupBy(conv).agg(
+    return chunks.groupBy(conv).agg(
         _join_ordered("_chunk", "_blk", "_side = 'user' AND _chunk IS NOT NULL")
         .alias("instruction"),
         _join_ordered("_chunk", "_blk", "_side = 'assistant' AND _chunk IS NOT NULL")
         .alias("output"))
+
+
+def fold_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
+               role: str = "role", text: str = "text",
+               block: int = TURN_BLOCK) -> DataFrame:
+    """``(conv, instruction, output)`` for every conversation, texts whole.
+
+    Ordinary conversations fold in one shuffle keyed by conversation.  Heavy
+    ones (more than ``block`` turns and over ``1/HEAVY_SHARE`` of all rows; a
+    broadcast of at most ``HEAVY_SHARE`` ids) fold in two levels, first per
+    block of ``block`` turns, so their turns are spread over many tasks.
+    """
+    parts = turn_parts(turns, conv, turn, role, text)
+    # Rows of other roles are kept (side null) so that a conversation without
+    # any user/assistant text still yields a row with empty strings.
+    heavy = heavy_keys(turns.select(F.col(quote(conv)).alias(conv)), conv, block)
+    if heavy.count() == 0:  # at most HEAVY_SHARE rows; the usual case is none
+        folded = _fold_once(parts, conv)
+    else:
+        heavy = F.broadcast(heavy)
+        folded = _fold_once(parts.join(heavy, conv, "left_anti"), conv).unionByName(
+            _fold_in_blocks(parts.join(heavy, conv, "left_semi"), conv, block))
     return folded.select(conv, F.coalesce("instruction", F.lit("")).alias("instruction"),
                          F.coalesce("output", F.lit("")).alias("output"))
 
