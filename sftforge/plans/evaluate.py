@@ -1,9 +1,8 @@
 """Evaluate: benchmark x models -> answers -> scores -> summary, pivot, reports.
 
-Plan: benchmark scan -> one row per (item, model) via ``inline`` of the small
-model list (J2, no join) -> prompt messages (B1-B3) -> ``mapInPandas``
-generation, rows sorted by model inside each task so one model is resident at
-a time (G1, G2) -> answers persisted -> scores (E1-E6, E2 in an Arrow UDF)
+Plan: benchmark scan -> prompt messages (B1-B3) -> one branch per model of the
+small model list (J2, no join), each spread over its share of the slots ->
+``mapInPandas`` generation, one model per task (G1, G2) -> answers persisted -> scores (E1-E6, E2 in an Arrow UDF)
 persisted -> summary (A1-A5) and comparison (R1) from the same scores ->
 reports (R5-R7) -> write (K4).
 """
@@ -11,6 +10,7 @@ reports (R5-R7) -> write (K4).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,17 +55,30 @@ def prompts_for(items: DataFrame, default_system: str = DEFAULT_SYSTEM_PROMPT) -
         user_content(F.col("instruction"), _opt(items, "input"))))
 
 
-def answers(items: DataFrame, specs, make_generator, options: dict | None = None) -> DataFrame:
-    """One answer per (model, item): ``ANSWER_COLUMNS``."""
+def answers(items: DataFrame, specs, make_generator, options: dict | None = None,
+            slots: int | None = None) -> DataFrame:
+    """One answer per (model, item): ``ANSWER_COLUMNS``.
+
+    Each model is its own branch over ``slots / len(models)`` tasks, and the
+    branches are unioned into one job, so all models generate in parallel
+    while every task loads exactly one model (about ``slots`` loads in total,
+    not ``slots x models``).
+    """
     parsed = [s if not isinstance(s, str) else parse_model_spec(s) for s in specs]
     names = [m.name for m in parsed]
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate model names: {names}")
-    per_model = {m.name: {"model_name": m.name, "base_model": m.base_model,
-                          "adapter": m.adapter} for m in parsed}
     opts = EVALUATE_OPTIONS | (options or {})
-    work = prompts_for(items_by_model(items, parsed))
-    out = generate(work, make_generator, opts, group_col="model_name", group_options=per_model)
+    total = slots or items.sparkSession.sparkContext.defaultParallelism
+    per_model = max(1, total // max(1, len(parsed)))
+    prompts = prompts_for(items)
+    branches = []
+    for i, m in enumerate(parsed):
+        rows = prompts.select("*", F.lit(i).alias("model_ord"), F.lit(m.name).alias("model_name"))
+        model_opts = opts | {"model_name": m.name, "base_model": m.base_model,
+                             "adapter": m.adapter}
+        branches.append(generate(rows, make_generator, model_opts, partitions=per_model))
+    out = reduce(DataFrame.unionByName, branches)
     no_keywords = F.array().cast("array<string>")
 
     def present(name, empty):
