@@ -146,3 +146,15 @@ def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.schema(BENCHMARK_SCHEMA).option("multiLine", True)
           .option("mode", "FAILFAST").json(path))
     return df.withColumn("item_seq", F.monotonically_increasing_id())
+
+
+def read_raw_dataset(spark: SparkSession, dataset: str = "csv", data_file=None) -> DataFrame:
+    """Raw rows by dataset kind: ``"csv"`` / ``"json"`` read ``data_file`` (one path
+    or a list, each file one split in order); any other value is a table name."""
+    if dataset in ("csv", "json"):
+        files = [data_file] if isinstance(data_file, str) else list(data_file or [])
+        if not files:
+            raise ValueError(f"dataset={dataset!r} needs data_file")
+        read = read_csv_rows if dataset == "csv" else read_json_rows
+        return union_splits([read(spark, f, split_ord=i) for i, f in enumerate(files)])
+    return read_table_rows(spark, dataset)

@@ -89,3 +89,18 @@ def test_write_refuses_existing_target_by_default(spark, tmp_dir):
     with pytest.raises(Exception):
         write_table(df, f"{tmp_dir}/t", "parquet")
     assert write_table(df, f"{tmp_dir}/t", "parquet", "overwrite") == 1
+
+
+def test_read_raw_dataset_dispatch_and_split_order(spark, tmp_dir):
+    from sftforge.sources.readers import read_raw_dataset
+    for i in range(2):
+        with open(f"{tmp_dir}/p{i}.csv", "w") as f:
+            f.write("question,answer\n" + "".join(f"q{i}{j},a{i}{j}\n" for j in range(3)))
+    df = read_raw_dataset(spark, "csv", [f"{tmp_dir}/p1.csv", f"{tmp_dir}/p0.csv"])
+    assert [r["question"] for r in df.orderBy("_ord").collect()] == \
+        ["q10", "q11", "q12", "q00", "q01", "q02"]
+    spark.createDataFrame([("x", "y")], "question string, answer string") \
+        .createOrReplaceTempView("raw_named")
+    assert read_raw_dataset(spark, "raw_named").count() == 1
+    with pytest.raises(ValueError):
+        read_raw_dataset(spark, "json")
