@@ -116,8 +116,11 @@ def read_table_rows(spark: SparkSession, name_or_path: str, fmt: str | None = No
     """A named table, or a path in any Spark format (S3)."""
     if fmt is None:
         df = spark.table(name_or_path)
-        return df.withColumn("_ord", F.struct(F.lit(split_ord).alias("split"),
-                                              F.monotonically_increasing_id().alias("row")))
+        # Same key shape as file splits, so splits of both kinds can be unioned.
+        return df.withColumn("_ord", F.struct(
+            F.lit(split_ord).alias("split"), F.lit(name_or_path).alias("file"),
+            F.lit(0).cast("bigint").alias("block"),
+            F.monotonically_increasing_id().alias("row")))
     return _with_order(spark.read.format(fmt).load(name_or_path), split_ord)
 
 

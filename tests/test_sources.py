@@ -102,5 +102,8 @@ def test_read_raw_dataset_dispatch_and_split_order(spark, tmp_dir):
     spark.createDataFrame([("x", "y")], "question string, answer string") \
         .createOrReplaceTempView("raw_named")
     assert read_raw_dataset(spark, "raw_named").count() == 1
+    from sftforge.sources.readers import read_table_rows
+    both = union_splits([df, read_table_rows(spark, "raw_named", split_ord=2)])
+    assert both.count() == 7  # file and table splits share one order-key shape
     with pytest.raises(ValueError):
         read_raw_dataset(spark, "json")
