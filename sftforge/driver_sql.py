@@ -245,6 +245,10 @@ ORACLE_SQL: dict[str, str] = {
         array_to_string(keywords, ', ') AS keywords, system FROM {ITEMS}""",
     "registry_load": f"SELECT id, instruction, reference FROM {ITEMS}",
     "csv_round_trip": "SELECT page_id, url, html FROM pages",
+    "prompts_round_trip": f"""SELECT instruction, input, system FROM {CONV_UNIQUE}
+        ORDER BY {skey()}, instruction, input LIMIT 30000""",
+    "model_results_round_trip": f"""SELECT model_ord, model_name, base_model, adapter,
+        template, num_examples, avg_keyword_hit_rate, risk_hint_rate FROM {SUMMARY}""",
     "table_scan": "SELECT * FROM region",
     "bench_cross_models": f"""SELECT i.id, m.model_ord, m.model_name, m.base_model, m.adapter
         FROM {ITEMS} i, {MODELS} m""",

@@ -33,9 +33,9 @@ from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns, select
 from sftforge.plans.stubs import STUB_MODELS, StubGenerator
 from sftforge.session import scratch_path
 from sftforge.sources.readers import (
-    read_csv_rows, read_json_rows, read_table_rows, union_splits)
+    read_csv_rows, read_json_rows, read_prompts, read_table_rows, union_splits)
 from sftforge.sources.registry import load_registered
-from sftforge.sources.sinks import write_table
+from sftforge.sources.sinks import write_model_results, write_table
 from sftforge.sources.testdata import (
     benchmark_items, chat_rows, document_pairs, flat_rows, table)
 
@@ -224,6 +224,27 @@ def registry_load(spark, sf):
     return spark.table("bench_items").select("id", "instruction", "reference")
 
 
+@query
+def prompts_round_trip(spark, sf):
+    path = scratch_path(spark, "prompts")
+    prompts = _prepared_conversations(spark, sf).prompts.select("instruction", "input", "system")
+    write_table(prompts, path, "json", "overwrite")
+    return read_prompts(spark, path).select("instruction", "input", "system")
+
+
+@query
+def model_results_round_trip(spark, sf):
+    path = scratch_path(spark, "model-results")
+    scores = _scores(spark, sf)
+    summary = model_summary(scores, models_frame(spark, STUB_MODELS), TEMPLATE)
+    write_model_results(scores, summary, path, "overwrite")
+    back = spark.read.json(f"{path}/summary")
+    return back.select(F.col("model_ord").cast("int").alias("model_ord"), "model_name",
+                       "base_model", "adapter", "template",
+                       F.col("num_examples").cast("bigint").alias("num_examples"),
+                       "avg_keyword_hit_rate", "risk_hint_rate")
+
+
 @query
 def csv_round_trip(spark, sf):
     path = scratch_path(spark, "pages-csv")
