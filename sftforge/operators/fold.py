@@ -29,10 +29,10 @@ from sftforge.functions.quality import (
 from sftforge.functions.text import REPLACEMENT_CHAR, normalize_text, quote
 
 TURN_BLOCK = 1024
-# A conversation holding more than 1/HEAVY_SHARE of all parts is "heavy".  There
-# can be at most HEAVY_SHARE of them (they cannot add up to more than all
-# parts), which bounds the broadcast that drops them; every other conversation
-# is at most 1/HEAVY_SHARE of the rows, so none can dominate a task.
+# A conversation holding more than 1/HEAVY_SHARE of all rows (or parts) is
+# "heavy".  There can be at most HEAVY_SHARE of them (together they cannot
+# exceed the whole), which bounds every broadcast of heavy ids; any other
+# conversation is at most 1/HEAVY_SHARE of the data, so none dominates a task.
 HEAVY_SHARE = 10_000
 
 
@@ -160,6 +160,7 @@ def fold_turns_bounded(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
     # (Null ids never join; filtering them here gives every consumer the same plan.)
     decided = stats.where(F.col(conv).isNotNull()).select(conv, fate.alias("_fate"), "parts")
     keep = decided.where(F.col("_fate") == "keep").select(conv)
+    # `_fate` is never null; referencing it keeps the total on the shared projection.
     total = decided.agg(F.coalesce(F.sum(F.when(F.col("_fate").isNotNull(), F.col("parts"))),
                                    F.lit(0))).scalar()
     heavy = decided.where((F.col("_fate") == "over")
