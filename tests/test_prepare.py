@@ -144,3 +144,17 @@ def test_run_prepare_flat_rows_with_holdout(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/flat/train")
     assert set(r[0] for r in back.select("split").distinct().collect()) <= {"train", "eval"}
     assert back.select("instruction").distinct().count() == 40
+
+
+def test_cap_ranks_inside_a_crowded_edge_bucket(spark):
+    from sftforge.operators.sample import first_n
+    # many (unique) keys share a 4-hex prefix, so the edge bucket needs real ranking
+    keys = ([f"aaaa{i:028x}" for i in range(40)] + [f"aaab{i:028x}" for i in range(25)]
+            + [f"0000{i:028x}" for i in range(5)])
+    rows = [(k, f"q{j:03d}", "") for j, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "_skey string, instruction string, input string")
+    hist = key_histogram(df)
+    ordered = sorted(rows)
+    for n in (1, 5, 6, 7, 20, 44, 45, 46, 60, 69, 70, 71, 100):
+        got = sorted(tuple(r) for r in first_n(df, n, hist, ("instruction", "input")).collect())
+        assert got == ordered[:n], n
