@@ -102,7 +102,8 @@ def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
     Runs one small job now: the key histogram.  The returned frames filter to
     the cap's key buckets before the dedup exchange.
     """
-    keyed = kept.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
+    keyed = kept if KEY in kept.columns else kept.withColumn(
+        KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
     n = config.max_samples
     m = min(config.prompt_samples, n)
     hist = key_histogram(keyed) if n > 0 else []
@@ -135,7 +136,9 @@ def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
     surviving conversations are text-joined (see :mod:`sftforge.operators.fold`).
     Input order of conversations is ``order`` (default: the conversation id).
     With ``persist`` the folded rows are written once to the shared checkpoint
-    folder, so the key histogram and the cap read them instead of re-folding.
+    folder with their sample key, each file sorted by it: the key histogram then
+    reads one 32-byte column, and the cap's key filter reaches the parquet scan
+    (row groups past the edge are skipped by their min/max statistics).
     """
     stats = fold_stats(turns, conv, turn, role, text, config.bounds)
     folded = fold_turns_bounded(turns, conv, turn, role, text, config.bounds, stats)
@@ -143,8 +146,9 @@ def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
     kept = folded.select(
         F.col("instruction"), F.lit("").alias("input"), F.col("output"),
         F.lit(config.system).alias("system"), F.col(quote(order)).alias("_ord"))
+    kept = kept.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
     if persist:
-        kept = materialize(kept, "folded")
+        kept = materialize(kept.sortWithinPartitions(KEY), "folded")
     records = stats.select(F.col(conv), F.col("reject_reason"))
     return _select(records, kept, config, "_ord")
 
