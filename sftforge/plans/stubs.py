@@ -70,3 +70,21 @@ class RecordingFactory:
         with open(self.path, "a", encoding="utf-8") as f:
             f.write(f"{options.get('model_name')}\n")
         return lambda prompts: [_user(p)[::-1] for p in prompts]
+
+
+class FailingGenerator(StubGenerator):
+    """Like the echo stub, but raises on any prompt containing ``options["fail_on"]``.
+
+    Used to prove that a failed distill run resumes without repeating or
+    duplicating finished work.
+    """
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.marker = options.get("fail_on")
+
+    def __call__(self, prompts):
+        for p in prompts:
+            if self.marker and self.marker in _user(p):
+                raise RuntimeError(f"generator failed on a prompt containing {self.marker!r}")
+        return super().__call__(prompts)

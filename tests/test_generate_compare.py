@@ -8,7 +8,8 @@ from sftforge.operators.compare import (
     comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.plans.distill import distill, run_distill
 from sftforge.plans.evaluate import answers, run_evaluate
-from sftforge.plans.stubs import STUB_MODELS, RecordingFactory, StubGenerator
+from sftforge.plans.stubs import (
+    STUB_MODELS, FailingGenerator, RecordingFactory, StubGenerator)
 from sftforge.sources.testdata import benchmark_items
 from tests.conftest import SF
 
@@ -145,3 +146,20 @@ def test_summary_does_not_depend_on_partitioning(spark):
         r = model_summary(scores, models, "t").first()
         seen.add((r["avg_keyword_hit_rate"], r["risk_hint_rate"]))
     assert len(seen) == 1
+
+
+def test_run_distill_resumes_after_a_failed_chunk(spark, tmp_dir):
+    prompts = spark.createDataFrame([(f"prompt {i:02d}", "", "") for i in range(40)],
+                                    "instruction string, input string, system string")
+    path = f"{tmp_dir}/distilled"
+    # fail on a prompt of the last chunk, so earlier chunks commit first
+    chunk = F.pmod(F.xxhash64("instruction", "input", "system"), F.lit(4))
+    victim = prompts.where(chunk == 3).orderBy("instruction").first()["instruction"]
+    with pytest.raises(Exception):
+        run_distill(spark, prompts, path, FailingGenerator, {"fail_on": victim}, chunks=4)
+    done_before = spark.read.parquet(path).count()
+    assert 0 < done_before < 40  # earlier chunks kept, the failing one committed nothing
+    written = run_distill(spark, prompts, path, StubGenerator, chunks=4)
+    back = spark.read.parquet(path)
+    assert done_before + written == 40 == back.count()
+    assert back.select("instruction").distinct().count() == 40
