@@ -61,3 +61,22 @@ def test_bounded_fold_drops_heavy_conversations_with_a_broadcast_anti_join(spark
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
     plan = plan_text(fold_turns_bounded(turns))
     assert "LeftAnti" in plan and "BroadcastExchange" in plan
+
+
+def test_stream_dedup_keeps_first_copy_across_batches(spark, tmp_dir):
+    schema = "instruction string, output string"
+    first = [("same question here", "the first answer, long enough"),
+             ("other question here", "another answer, long enough")]
+    later = [("same question here", "a later answer, also long enough")]
+    spark.createDataFrame(first, schema).write.parquet(f"{tmp_dir}/in/b1")
+    src = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in/*")
+    q = start_clean_stream(src, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", dedup=True,
+                           available_now=True)
+    q.awaitTermination(120)
+    spark.createDataFrame(later, schema).write.parquet(f"{tmp_dir}/in/b2")
+    q = start_clean_stream(src, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", dedup=True,
+                           available_now=True)
+    q.awaitTermination(120)
+    got = {r["instruction"]: r["output"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert got == {"same question here": "the first answer, long enough",
+                   "other question here": "another answer, long enough"}
