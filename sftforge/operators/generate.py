@@ -61,6 +61,8 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     generate in one task.  Moving prompt rows is cheap next to generating.
     """
     opts = dict(options or {})
+    # Sampling only when the temperature is positive; greedy decoding otherwise.
+    opts.setdefault("do_sample", float(opts.get("temperature") or 0) > 0)
     per_group = dict(group_options or {})
     batch_size = max(1, int(opts.get("batch_size", 1)))
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.StringType(), True)])

@@ -88,3 +88,16 @@ class FailingGenerator(StubGenerator):
             if self.marker and self.marker in _user(p):
                 raise RuntimeError(f"generator failed on a prompt containing {self.marker!r}")
         return super().__call__(prompts)
+
+
+class OptionsRecorder:
+    """Generator factory that appends the options it is given (JSON lines) to a file."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, options: dict):
+        import json
+        with open(self.path, "a", encoding="utf-8") as f:
+            f.write(json.dumps(options, default=str) + "\n")
+        return StubGenerator(options)

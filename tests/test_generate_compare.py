@@ -50,6 +50,18 @@ def test_generator_loaded_once_per_task_and_model(spark, tmp_dir):
     assert len(loads) <= slots < len(rows)
 
 
+def test_generation_options_reach_the_factory(spark, tmp_dir):
+    import json
+    from sftforge.plans.stubs import OptionsRecorder
+    df = spark.createDataFrame([("q",)], "instruction string")
+    for temperature, sampled in ((0.0, False), (0.2, True)):
+        log = f"{tmp_dir}/opts{temperature}.jsonl"
+        distill(df, OptionsRecorder(log), {"temperature": temperature}).collect()
+        opts = [json.loads(line) for line in open(log)]
+        assert opts and all(o["do_sample"] is sampled for o in opts)
+        assert all(o["max_new_tokens"] == 768 and o["batch_size"] == 2 for o in opts)
+
+
 def test_wrong_number_of_answers_fails(spark):
     df = spark.createDataFrame([("q",)], "instruction string")
     bad = lambda options: (lambda prompts: [])
