@@ -63,13 +63,16 @@ def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
 
 
 def read_csv_rows(spark: SparkSession, paths, split_ord: int = 0,
-                  na_values=CSV_NA_WORDS) -> DataFrame:
+                  na_values=CSV_NA_WORDS, multi_line: bool = True) -> DataFrame:
     """CSV with a header; quoted newlines and doubled quotes; every column a string.
 
     ``na_values`` (default: pandas' NA words) become null, so a candidate such
-    as ``output = "N/A"`` falls through to the next one.
+    as ``output = "N/A"`` falls through to the next one.  ``multi_line`` is
+    needed for newlines inside quoted fields but makes each file one task; for
+    large inputs without them pass ``False`` (files then split by size), or
+    provide many files.
     """
-    df = (spark.read.option("header", True).option("multiLine", True)
+    df = (spark.read.option("header", True).option("multiLine", multi_line)
           .option("escape", '"').option("quote", '"').option("inferSchema", False)
           .option("mode", "PERMISSIVE").csv(paths))
     df = _with_order(df, split_ord)
