@@ -17,6 +17,11 @@ Because the key is a function of the dedup key, the bucket filter is applied
 *before* the dedup shuffle (:func:`within_cap`), so a cap of n rows moves about
 n rows through the exchange instead of the whole table.
 
+Limit: the edge bucket is ranked in one window task, a spillable sort of
+about N / 65,536 rows (some 300k rows at 2e10 keys).  A finer prefix would
+need a second histogram pass over the edge bucket; at today's sizes that pass
+would cost more than it saves.
+
 The histogram counts distinct md5 keys, which equal distinct dedup keys unless
 two of them collide in md5 (about 1e-19 at 10**10 keys); a collision would let
 one extra row through the cap, never drop one.
