@@ -17,10 +17,10 @@ Because the key is a function of the dedup key, the bucket filter is applied
 *before* the dedup shuffle (:func:`within_cap`), so a cap of n rows moves about
 n rows through the exchange instead of the whole table.
 
-Limit: the edge bucket is ranked in one window task, a spillable sort of
-about N / 65,536 rows (some 300k rows at 2e10 keys).  A finer prefix would
-need a second histogram pass over the edge bucket; at today's sizes that pass
-would cost more than it saves.
+Very large inputs: when the edge bucket holds more than ``REFINE_ABOVE`` keys
+(from about 1.3e10 keys on), :func:`cap_point` runs one more histogram over that
+bucket alone at 8 hex digits and moves the edge there, so the ranking window
+never holds more than a few rows per group.
 
 The histogram counts distinct md5 keys, which equal distinct dedup keys unless
 two of them collide in md5 (about 1e-19 at 10**10 keys); a collision would let
@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEX_PREFIX = 4
+FINE_PREFIX = 8
+REFINE_ABOVE = 200_000  # edge buckets larger than this get an 8-hex-digit histogram
 HOLDOUT_BUCKETS = 10_000
 KEY = "_skey"
 
@@ -42,10 +44,12 @@ def sample_key(seed: int, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *cols))
 
 
-def key_histogram(keyed: DataFrame, key_name: str = KEY) -> list[tuple[str, int]]:
-    """Sorted ``(prefix, distinct keys)`` pairs; at most 16**HEX_PREFIX of them."""
+def key_histogram(keyed: DataFrame, key_name: str = KEY,
+                  prefix_len: int = HEX_PREFIX) -> list[tuple[str, int]]:
+    """Sorted ``(prefix, distinct keys)`` pairs; at most 16**HEX_PREFIX of them
+    (an 8-digit histogram is only taken inside one 4-digit bucket)."""
     k = F.col(key_name)
-    rows = (keyed.select(k).groupBy(F.substring(k, 1, HEX_PREFIX).alias("p"))
+    rows = (keyed.select(k).groupBy(F.substring(k, 1, prefix_len).alias("p"))
             .agg(F.count_distinct(k).alias("n")).collect())
     return sorted((r["p"], int(r["n"])) for r in rows)
 
@@ -74,22 +78,38 @@ def within_cap(keyed: DataFrame, edge: str | None, key_name: str = KEY) -> DataF
     return keyed.where((k < F.lit(edge)) | k.startswith(edge))
 
 
-def first_n(deduped: DataFrame, n: int, hist: list[tuple[str, int]], tie_cols=(),
+def cap_point(keyed: DataFrame, hist: list[tuple[str, int]], n: int, key_name: str = KEY,
+              refine_above: int = REFINE_ABOVE) -> tuple[str | None, int]:
+    """(edge prefix, keys before it) for a cap of ``n`` keys.
+
+    A large edge bucket is refined by one histogram over that bucket alone
+    (at most 16**4 sub-buckets), and the edge moves to the 8-digit prefix.
+    """
+    edge, before = cap_edge(hist, n)
+    if edge is None or n <= 0:
+        return edge, before
+    if dict(hist)[edge] > refine_above and len(edge) < FINE_PREFIX:
+        bucket = keyed.where(F.col(key_name).startswith(edge))
+        sub_edge, sub_before = cap_edge(key_histogram(bucket, key_name, FINE_PREFIX), n - before)
+        return sub_edge, before + sub_before
+    return edge, before
+
+
+def first_n(deduped: DataFrame, n: int, edge: str | None, before: int, tie_cols=(),
             key_name: str = KEY) -> DataFrame:
     """The ``n`` rows with the smallest ``(key, *tie_cols)`` of a key-unique table.
 
-    One pass: rows past the edge bucket are dropped, the rest are ranked inside
-    their own prefix bucket (a window partitioned by prefix, so the ranking is
-    spread over up to 65,536 groups), and the edge bucket keeps its first
-    ``n - before`` rows.
+    ``edge``/``before`` come from :func:`cap_point`.  One pass: rows past the
+    edge bucket are dropped, the rest are ranked inside their own prefix bucket
+    (a window partitioned by prefix, so the ranking is spread over many
+    groups), and the edge bucket keeps its first ``n - before`` rows.
     """
     if n <= 0:
         return deduped.limit(0)
-    edge, before = cap_edge(hist, n)
     if edge is None:
         return deduped
     k = F.col(key_name)
-    prefix = F.substring(k, 1, HEX_PREFIX)
+    prefix = F.substring(k, 1, len(edge))
     rank = F.row_number().over(Window.partitionBy(prefix).orderBy(
         k, *[F.col(c) for c in tie_cols]))
     return (within_cap(deduped, edge, key_name)
@@ -104,7 +124,8 @@ def first_n_by_key(df: DataFrame, key: Column, n: int, tie_cols=(),
     keyed = df.withColumn(key_name, key)
     if n <= 0:
         return keyed.limit(0)
-    return first_n(keyed, n, key_histogram(keyed, key_name), tie_cols, key_name)
+    edge, before = cap_point(keyed, key_histogram(keyed, key_name), n, key_name)
+    return first_n(keyed, n, edge, before, tie_cols, key_name)
 
 
 def holdout_split(seed: int, *cols: Column, val_size: float = 0.02) -> Column:

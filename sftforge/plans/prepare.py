@@ -27,7 +27,7 @@ from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_stats, fold_turns_bounded
 from sftforge.operators.project import evaluate_once
 from sftforge.operators.sample import (
-    KEY, cap_edge, first_n, holdout_split, key_histogram, sample_key, within_cap)
+    KEY, cap_point, first_n, holdout_split, key_histogram, sample_key, within_cap)
 from sftforge.session import materialize
 from sftforge.sources.sinks import write_table
 
@@ -107,14 +107,15 @@ def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
     n = config.max_samples
     m = min(config.prompt_samples, n)
     hist = key_histogram(keyed) if n > 0 else []
-    edge, _ = cap_edge(hist, n)
+    edge_n, before_n = cap_point(keyed, hist, n)
+    edge_m, before_m = cap_point(keyed, hist, m)
     # The md5 key leads the grouping keys: the dedup's sort then mostly
     # compares 8-byte prefixes of uniform hex instead of long shared text.
-    candidates = dedup_first(within_cap(keyed, edge), (KEY, "instruction", "input"), order,
+    candidates = dedup_first(within_cap(keyed, edge_n), (KEY, "instruction", "input"), order,
                              drop_order=True, lead_hash=False)
     ties = ("instruction", "input")
-    training = first_n(candidates, n, hist, ties).select(*RECORD_COLUMNS, KEY)
-    prompts = first_n(candidates, m, hist, ties).select(*PROMPT_COLUMNS, KEY)
+    training = first_n(candidates, n, edge_n, before_n, ties).select(*RECORD_COLUMNS, KEY)
+    prompts = first_n(candidates, m, edge_m, before_m, ties).select(*PROMPT_COLUMNS, KEY)
     rejects = (records.where(F.col("reject_reason").isNotNull())
                .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")))
     return Prepared(records, candidates, training, prompts, rejects, hist)
@@ -180,7 +181,8 @@ def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareCon
                               "system string").format(fmt).load(f"{out_dir}/train")
     m = min(config.prompt_samples, config.max_samples)
     keyed = train.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
-    prompts = first_n(keyed, m, key_histogram(keyed) if m > 0 else [], ("instruction", "input"))
+    edge, before = cap_point(keyed, key_histogram(keyed) if m > 0 else [], m)
+    prompts = first_n(keyed, m, edge, before, ("instruction", "input"))
     n_prompts = write_table(prompts.select(*PROMPT_COLUMNS, KEY), f"{out_dir}/prompts", fmt,
                             mode, order_by=[KEY, "instruction", "input"], name="prompts",
                             drop=[KEY])

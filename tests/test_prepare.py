@@ -147,7 +147,7 @@ def test_run_prepare_flat_rows_with_holdout(spark, tmp_dir):
 
 
 def test_cap_ranks_inside_a_crowded_edge_bucket(spark):
-    from sftforge.operators.sample import first_n
+    from sftforge.operators.sample import cap_point, first_n
     # many (unique) keys share a 4-hex prefix, so the edge bucket needs real ranking
     keys = ([f"aaaa{i:028x}" for i in range(40)] + [f"aaab{i:028x}" for i in range(25)]
             + [f"0000{i:028x}" for i in range(5)])
@@ -155,6 +155,9 @@ def test_cap_ranks_inside_a_crowded_edge_bucket(spark):
     df = spark.createDataFrame(rows, "_skey string, instruction string, input string")
     hist = key_histogram(df)
     ordered = sorted(rows)
-    for n in (1, 5, 6, 7, 20, 44, 45, 46, 60, 69, 70, 71, 100):
-        got = sorted(tuple(r) for r in first_n(df, n, hist, ("instruction", "input")).collect())
-        assert got == ordered[:n], n
+    for refine_above in (200_000, 3):  # as is, and with the 8-digit refinement forced
+        for n in (1, 5, 6, 7, 20, 44, 45, 46, 60, 69, 70, 71, 100):
+            edge, before = cap_point(df, hist, n, refine_above=refine_above)
+            got = sorted(tuple(r) for r in
+                         first_n(df, n, edge, before, ("instruction", "input")).collect())
+            assert got == ordered[:n], (refine_above, n)
