@@ -122,9 +122,21 @@ def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
 
 
 def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
-            order: str = "_ord") -> Prepared:
-    """Prepare from raw flat / chat-array rows carrying an input-order column."""
-    return select_training(to_records(raw, config, order), config, order)
+            order: str = "_ord", persist: bool = False) -> Prepared:
+    """Prepare from raw flat / chat-array rows carrying an input-order column.
+
+    By default the cap reads the input twice (key histogram, then the capped
+    dedup), which is cheaper than writing it.  ``persist=True`` instead writes
+    the kept rows once under ``spark.checkpoint.dir`` with their sample key,
+    each file sorted by it -- worth it when the raw scan is expensive (many
+    small JSON files, remote storage).
+    """
+    records = to_records(raw, config, order)
+    if not persist:
+        return select_training(records, config, order)
+    kept = (records.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            .withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input"))))
+    return _select(records, materialize(kept.sortWithinPartitions(KEY), "kept"), config, order)
 
 
 def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),

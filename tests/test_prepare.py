@@ -161,3 +161,15 @@ def test_cap_ranks_inside_a_crowded_edge_bucket(spark):
             got = sorted(tuple(r) for r in
                          first_n(df, n, edge, before, ("instruction", "input")).collect())
             assert got == ordered[:n], (refine_above, n)
+
+
+def test_persisted_prepare_equals_two_pass_prepare(spark):
+    from sftforge.sources.testdata import flat_rows
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    cfg = PrepareConfig(max_samples=30, prompt_samples=9)
+    a = prepare(flat_rows(docs), cfg, order="doc_id")
+    b = prepare(flat_rows(docs), cfg, order="doc_id", persist=True)
+    assert sorted(tuple(r) for r in a.training.collect()) == \
+        sorted(tuple(r) for r in b.training.collect())
+    assert sorted(tuple(r) for r in a.prompts.collect()) == \
+        sorted(tuple(r) for r in b.prompts.collect())
