@@ -107,3 +107,15 @@ def test_read_raw_dataset_dispatch_and_split_order(spark, tmp_dir):
     assert both.count() == 7  # file and table splits share one order-key shape
     with pytest.raises(ValueError):
         read_raw_dataset(spark, "json")
+
+
+def test_ensure_parallelism_spreads_small_scans_only(spark, tmp_dir):
+    from sftforge.sources.readers import ensure_parallelism
+    one = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    spread = ensure_parallelism(one, 4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in spread.select("doc_id").collect()) == \
+        sorted(r[0] for r in one.select("doc_id").collect())
+    many = spark.range(100).repartition(6)
+    assert ensure_parallelism(many, 4) is many
