@@ -58,3 +58,23 @@ def test_fold_matches_python(spark, convs):
     u, a = fold_messages(df)
     got = {r[0]: (r[1], r[2]) for r in df.select("i", u, a).collect()}
     assert [got[i] for i in range(len(convs))] == [py_fold(c) for c in convs]
+
+
+row = st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.sampled_from(["", "x"]),
+                st.text(alphabet="pqr", max_size=3))
+
+
+@SETTINGS
+@given(st.lists(row, min_size=1, max_size=40), st.randoms(use_true_random=False))
+def test_dedup_first_matches_python(spark, rows, rnd):
+    from sftforge.operators.dedup import dedup_first
+    order = list(range(len(rows)))
+    rnd.shuffle(order)  # input order is the explicit order column, not row position
+    data = [(k, i, v, o) for (k, i, v), o in zip(rows, order)]
+    df = spark.createDataFrame(data, "instruction string, input string, output string, o long")
+    got = {(r[0], r[1]): r[2] for r in
+           dedup_first(df, ("instruction", "input"), "o", drop_order=True).collect()}
+    want = {}
+    for k, i, v, o in sorted(data, key=lambda t: t[3]):
+        want.setdefault((k, i), v)
+    assert got == want
