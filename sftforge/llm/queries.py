@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sftforge.llm import packing
+from sftforge.llm import packing, simhash
 
 QUERIES = {
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
+    "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
 }
 
 ORACLE_SQL: dict[str, str] = {}
