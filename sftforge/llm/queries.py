@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sftforge.llm import packing, simhash
+from sftforge.llm import packing, simhash, toxicity
 
 QUERIES = {
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
+    "op7_kneser_ney_toxicity": toxicity.op7_kneser_ney_toxicity,
     "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
 }
 
