@@ -73,6 +73,14 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str = "text",
             start = stop
 
 
+def code_points(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points (uint32) of all texts back to back, and the offsets of each (null: empty)."""
+    data, offsets = text_bytes(column)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    upto = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return points, upto[offsets]
+
+
 def words(data: np.ndarray, offsets: np.ndarray,
           breaks: np.ndarray = WORD_BREAK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end (exclusive) and row of every maximal run of non-break bytes; runs end with their row."""
@@ -123,9 +131,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class PrefixHash:
-    """64-bit hashes of any substrings of one byte array, each in constant time.
+    """64-bit hashes of any substrings of one array of bytes or code points, each in constant time.
 
-    A polynomial over random byte values modulo 2**64, mixed at the end.  Equal
+    A polynomial over random values modulo 2**64, mixed at the end.  Equal
     strings hash alike wherever they stand, in every task and run.
     """
 
@@ -133,8 +141,9 @@ class PrefixHash:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        values = self._VALUES[data] if data.dtype == np.uint8 else mix(data.astype(_U) + _U(0x51ED27))
         self.sums = np.zeros(n + 1, _U)
-        np.cumsum(self._VALUES[data] * _powers(_BASE, n), out=self.sums[1:])
+        np.cumsum(values * _powers(_BASE, n), out=self.sums[1:])
         self.inverse = _powers(_INVERSE, n + 1)
 
     def raw(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

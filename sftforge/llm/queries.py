@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sftforge.llm import decontaminate, packing, simhash, toxicity
+from sftforge.llm import decontaminate, linededup, packing, simhash, toxicity
 
 QUERIES = {
     "op3_spaced_seed_decontamination": decontaminate.op3_spaced_seed_decontamination,
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
     "op7_kneser_ney_toxicity": toxicity.op7_kneser_ney_toxicity,
     "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
+    "op9_segment_line_dedup": linededup.op9_segment_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftforge.llm.buckets import pairs_of
 from sftforge.llm.common import (documents, lowered, materialize, prepare, sliced,
                                  text_bytes, words)
 from sftforge.llm.graph import connected_components
@@ -205,97 +206,34 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[label[own]]
 
 
-def links_in(fp: np.ndarray, probe: np.ndarray, side: np.ndarray, cross: bool, max_bits: int):
-    """Verified links of one key: members with each other and with probes (``cross``: between two blocks)."""
-    at = np.flatnonzero(~probe)
-    if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    near = np.bitwise_count(fp[at][:, None] ^ fp[None, :]) <= max_bits
-    near &= fp[at][:, None] != fp[None, :]
-    if cross:
-        near &= side[at][:, None] != side[None, :]
-    i, j = np.nonzero(near)
-    a, b = fp[at[i]].view(np.int64), fp[j].view(np.int64)
-    return forest(a, b) if len(a) > 1 else (a, b)
-
-
 def links(distinct: DataFrame, parts: list[tuple[list[int], int]], max_bits: int = MAX_BITS,
           block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints connected by links of at most ``max_bits``."""
-    spark = distinct.sparkSession
     if not parts:
-        return spark.createDataFrame([], "a long, b long")
-    rows = []
+        return distinct.sparkSession.createDataFrame([], "a long, b long")
+    signs = None
     for k, (bits, t) in enumerate(parts):
         value = F.col("fp").bitwiseAND(F.lit(mask_of(bits)))
         flips = [mask_of(list(c)) for size in range(1, t + 1) for c in combinations(bits, size)]
-        rows.append(distinct.select("fp", F.lit(k).alias("part"), value.alias("key"), F.lit(False).alias("probe")))
+        rows = distinct.select(F.lit(k).alias("part"), value.alias("key"), F.col("fp").alias("value"), F.lit(False).alias("probe"))
         if flips:
-            rows.append(distinct.select(
-                "fp", F.lit(k).alias("part"),
+            rows = rows.unionByName(distinct.select(
+                F.lit(k).alias("part"),
                 F.explode(F.transform(F.array(*map(F.lit, flips)), lambda f: value.bitwiseXOR(f))).alias("key"),
-                F.lit(True).alias("probe")))
-    signs = rows[0]
-    for more in rows[1:]:
-        signs = signs.unionByName(more)
-    # Keys of many rows: blocks by hash, and a group for each pair of blocks.
-    hot = (signs.groupBy("part", "key").count().where(F.col("count") > block)
-           .select("part", "key", F.ceil(F.col("count") / F.lit(block)).cast("int").alias("blocks")))
-    dealt = signs.join(hot, ["part", "key"], "left").withColumn(
-        "own", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int"))
-    groups = dealt.select(
-        "part", "key", "fp", "probe", "own",
-        F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("other"))
-    groups = groups.select("part", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                           "fp", "probe", "own")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(t: pa.Table) -> pa.RecordBatch:
-            c = {k: t.column(k).to_numpy() for k in ("part", "key", "p", "q", "own")}
-            fp = t.column("fp").to_numpy().astype(np.int64).view(np.uint64)
-            probe = np.array(t.column("probe").to_numpy(), bool)
-            n = len(fp)
-            new = np.ones(n, bool)
-            new[1:] = False
-            for k in ("part", "key", "p", "q"):
-                new[1:] |= c[k][1:] != c[k][:-1]
-            first = np.flatnonzero(new)
-            a, b = [], []
-            for s, e in zip(first.tolist(), np.append(first[1:], n).tolist()):
-                if e - s > 1:
-                    x, y = links_in(fp[s:e], probe[s:e], c["own"][s:e], c["p"][s] != c["q"][s], max_bits)
-                    a.append(x)
-                    b.append(y)
-            cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-            return pa.RecordBatch.from_arrays([cat(a), cat(b)], names=["a", "b"])
-
-        for whole in whole_groups(batches, ("part", "key", "p", "q")):
-            yield found(whole)
-
-    dealt_out = groups.repartition("part", "key", "p", "q").sortWithinPartitions("part", "key", "p", "q")
-    return dealt_out.mapInArrow(run, "a long, b long")
-
-
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
-    """Join batches sorted by ``keys`` so that no group is cut between two tables."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = [batch.column(k)[-1] for k in keys]
-        same = np.ones(batch.num_rows, bool)
-        for k, v in zip(keys, last):
-            same &= batch.column(k).to_numpy(zero_copy_only=False) == v.as_py()
-        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        if cut:
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-            held = []
-        elif held and [held[-1].column(k)[-1] for k in keys] != last:
-            yield pa.Table.from_batches(held)
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held)
+                F.col("fp").alias("value"), F.lit(True).alias("probe")))
+        signs = signs.unionByName(rows) if signs else rows
+
+    def match(value, probe, side, cross):
+        """Members of a key within max_bits of each other or of the probes, as a spanning forest."""
+        at = np.flatnonzero(~probe)
+        differ = (value[at][:, None] ^ value[None, :]).view(np.uint64)
+        near = (np.bitwise_count(differ) <= max_bits) & (differ != 0)
+        if cross:
+            near &= side[at][:, None] != side[None, :]
+        i, j = np.nonzero(near)
+        return forest(value[at[i]], value[j]) if len(i) > 1 else (value[at[i]], value[j])
+
+    return pairs_of(signs, match, block)
 
 
 def near_duplicates(prints: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id") -> DataFrame:
