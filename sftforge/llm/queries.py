@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sftforge.llm import decontaminate, linededup, packing, simhash, toxicity
+from sftforge.llm import decontaminate, linededup, lmscore, packing, simhash, toxicity
 
 QUERIES = {
     "op3_spaced_seed_decontamination": decontaminate.op3_spaced_seed_decontamination,
+    "op4_backoff_automaton": lmscore.op4_backoff_automaton,
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
     "op7_kneser_ney_toxicity": toxicity.op7_kneser_ney_toxicity,
     "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
