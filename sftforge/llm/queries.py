@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sftforge.llm import decontaminate, linededup, lmscore, packing, simhash, toxicity
+from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, simhash, toxicity
 
 QUERIES = {
+    "op1_typed_chat_parts": chat.op1_typed_chat_parts,
     "op3_spaced_seed_decontamination": decontaminate.op3_spaced_seed_decontamination,
     "op4_backoff_automaton": lmscore.op4_backoff_automaton,
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
@@ -13,4 +14,6 @@ QUERIES = {
     "op9_segment_line_dedup": linededup.op9_segment_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_typed_chat_parts": chat.SQL,
+}
