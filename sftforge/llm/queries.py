@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, simhash, toxicity
+from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, simhash, topk, toxicity
 
 QUERIES = {
     "op1_typed_chat_parts": chat.op1_typed_chat_parts,
@@ -12,8 +12,10 @@ QUERIES = {
     "op7_kneser_ney_toxicity": toxicity.op7_kneser_ney_toxicity,
     "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
     "op9_segment_line_dedup": linededup.op9_segment_line_dedup,
+    "op10_impact_ordered_topk": topk.op10_impact_ordered_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_typed_chat_parts": chat.SQL,
+    "op10_impact_ordered_topk": topk.SQL,
 }
