@@ -13,22 +13,26 @@ from pyspark.sql import functions as F
 Match = Callable[[np.ndarray, np.ndarray, np.ndarray, bool], tuple[np.ndarray, np.ndarray]]
 
 
-def pairs_of(signs: DataFrame, match: Match, block: int) -> DataFrame:
-    """Pairs (a, b) that ``match`` finds within the groups of ``signs(part, key, value, probe)``.
+def dealt(rows: DataFrame, keys: list[str], own: list[str], block: int) -> DataFrame:
+    """``rows`` with block numbers ``p`` <= ``q`` and ``own``: groups of equal (keys, p, q) meet all pairs of a key.
 
-    A group of more than ``block`` rows is cut into blocks by the values' hashes,
-    and each pair of blocks is a group of its own: no task holds more than about
-    two blocks of a key.
+    A key of more than ``block`` rows is cut into blocks by the hash of the
+    columns ``own``, and each pair of blocks is a group, so no group is larger
+    than about two blocks.  Smaller keys are one group.
     """
-    hot = (signs.groupBy("part", "key").count().where(F.col("count") > block)
-           .select("part", "key", F.ceil(F.col("count") / F.lit(block)).cast("int").alias("blocks")))
+    hot = (rows.groupBy(*keys).count().where(F.col("count") > block)
+           .select(*keys, F.ceil(F.col("count") / F.lit(block)).cast("int").alias("blocks")))
     blocks = F.coalesce("blocks", F.lit(1))
-    dealt = (signs.join(hot, ["part", "key"], "left")
-             .withColumn("own", F.pmod(F.xxhash64("value"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    groups = dealt.select("part", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                          "value", "probe", "own")
+    cut = (rows.join(hot, keys, "left").withColumn("own", F.pmod(F.xxhash64(*own), blocks).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))))
+    return (cut.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
+            .drop("blocks", "other"))
+
+
+def pairs_of(signs: DataFrame, match: Match, block: int) -> DataFrame:
+    """Pairs (a, b) that ``match`` finds within the groups of ``signs(part, key, value, probe)``, dealt in blocks."""
     keys = ("part", "key", "p", "q")
+    groups = dealt(signs, ["part", "key"], ["value"], block).select(*keys, "value", "probe", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, keys):

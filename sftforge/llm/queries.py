@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, simhash, topk, toxicity
+from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, simhash, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_typed_chat_parts": chat.op1_typed_chat_parts,
+    "op2_suffix_array_dedup": suffixes.op2_suffix_array_dedup,
     "op3_spaced_seed_decontamination": decontaminate.op3_spaced_seed_decontamination,
     "op4_backoff_automaton": lmscore.op4_backoff_automaton,
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
