@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, simhash, suffixes, topk, toxicity
+from sftforge.llm import chat, decontaminate, linededup, lmscore, packing, secrets, simhash, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_typed_chat_parts": chat.op1_typed_chat_parts,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_spaced_seed_decontamination": decontaminate.op3_spaced_seed_decontamination,
     "op4_backoff_automaton": lmscore.op4_backoff_automaton,
     "op5_power_of_two_packing": packing.op5_power_of_two_packing,
+    "op6_crf_secrets": secrets.op6_crf_secrets,
     "op7_kneser_ney_toxicity": toxicity.op7_kneser_ney_toxicity,
     "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
     "op9_segment_line_dedup": linededup.op9_segment_line_dedup,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_typed_chat_parts": chat.SQL,
+    "op2_suffix_array_dedup": suffixes.SQL,
     "op10_impact_ordered_topk": topk.SQL,
 }
