@@ -229,8 +229,8 @@ def op10_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * CAST(x AS DOUBLE))) AS a FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS a FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.a, c.a) AS BIGINT) AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % {EVERY} = 0
