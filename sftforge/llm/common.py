@@ -19,7 +19,7 @@ from sftforge.session import materialize, ship_package
 __all__ = ["WORD_BREAK", "PrefixHash", "LOWER", "documents", "lowered", "materialize", "mix",
            "prepare", "sliced", "spread", "text_bytes", "words"]
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: Word separators of the contracts: blank and the ASCII controls tab to carriage return.
 WORD_BREAK = np.zeros(256, bool)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import group_bounds
-from sftforge.llm.common import (PrefixHash, documents, lowered, materialize, mix, prepare,
+from sftforge.llm.common import (SLICE_BYTES, PrefixHash, documents, lowered, materialize, mix, prepare,
                                  sliced, text_bytes, words)
 
 ORDER, MU = 2, 50.0
@@ -63,7 +63,7 @@ def rows_of(docs: DataFrame) -> DataFrame:
 def shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Number the slices of a partition by shards of about ``most`` text bytes; the same in every pass."""
     held, number = 0, 0
-    for batch in sliced(batches, limit=min(most, 4 << 20)):
+    for batch in sliced(batches, limit=min(most, SLICE_BYTES)):
         size = int(text_bytes(batch.column("text"))[1][-1])
         if held and held + size > most:
             held, number = 0, number + 1
