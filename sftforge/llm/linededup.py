@@ -1,19 +1,22 @@
 """Operator 9, line dedup by a segment-partition edit join.
 
-Lines (cut at line feeds) of at least ``SHORTEST`` code points are compared.  A
-line goes if the same line stands earlier (by document id, then line number), or
-a line within ``EDITS`` edits of it does.  Two lines within t edits share one of
-the t + 1 segments of the shorter, at a place that the edits before and after it
-bound.  So each distinct line is indexed under its t + 1 segments, and probes
-the indexes of its own and the up to t smaller lengths with the few substrings
-that the bounds leave.  Matches whose letter parities differ in over 2t bits
-can't be within t edits (an edit changes two letters' counts at most); the rest
-is verified by a banded bit-parallel edit distance.
+Lines (cut at line feeds) of at least ``SHORTEST`` code points are compared.
+Lines within ``EDITS`` edits are linked; of each class (equal and linked lines,
+links followed) the first line by document id, then line number, stays and the
+others go.  Two lines within t edits share one of the t + 1 segments of the
+shorter, at a place that the edits before and after it bound.  So each distinct
+line is indexed under its t + 1 segments, and probes the indexes of its own and
+the up to t smaller lengths with the few substrings that the bounds leave.
+Matches whose letter parities differ in over 2t bits can't be within t edits (an
+edit changes two letters' counts at most); the rest is verified by a banded
+bit-parallel edit distance.
 
 Signatures travel as packed arrays, one per task slice and bucket, with equal
 lines sent once a slice, so a very common line costs a row or so a slice.  A
-bucket beyond ``CROWDED`` signatures is handed on unjoined and its groups are
-dealt in blocks (``buckets.pairs_of``), so no task holds a hot segment whole.
+signature under which many lines meet many isn't written out as pairs: its lines
+are dealt in blocks, and each group's task compares only lines that it hasn't
+joined yet and hands on the links that join them.  A bucket beyond ``CROWDED``
+signatures goes that way whole, so no task holds a hot segment.
 
 Edge cases: null and empty texts have no line to compare and stay; shorter and
 blank lines always stay; equal ids are told apart by their place in the stored
@@ -30,13 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftforge.llm.buckets import group_bounds, pairs_of, whole_groups
+from sftforge.llm.buckets import dealt, group_bounds, whole_groups
 from sftforge.llm.common import PrefixHash, code_points, documents, materialize, mix, prepare, sliced, spread
+from sftforge.llm.graph import connected_components
 
 EDITS, SHORTEST = 2, 20
 BUCKET_BYTES = 8 << 20
+LINE_SLICE = 1 << 20
 CROWDED = 2_000_000
-BLOCK = 1024
+BLOCK = 256
+#: Mean of the numbers of lines on both sides (harmonic, halved) beyond which a signature's pairs aren't written out.
+DENSE = 12
+FILTER_BITS = 1 << 27
 _U = np.uint64
 _SKETCH = np.int64(0xFFFFFFFF)
 
@@ -155,11 +163,19 @@ def _alike(value: np.ndarray, other: np.ndarray, edits: int) -> np.ndarray:
 
 
 def join_bucket(sig: np.ndarray, line: np.ndarray, probe: np.ndarray, edits: int):
-    """Candidate pairs of one bucket: equal signatures, one side indexed, sketches near."""
+    """Candidate pairs of one bucket (equal signatures, one side indexed, sketches near), then what is too dense for pairs.
+
+    A signature under which many lines meet many is handed on as (signature, line).
+    """
     index = np.unique(np.stack([sig[~probe].view(np.int64), line[~probe]]), axis=1)
     asked = np.unique(np.stack([sig[probe].view(np.int64), line[probe]]), axis=1)
     low = np.searchsorted(index[0], asked[0], "left")
     count = np.searchsorted(index[0], asked[0], "right") - low
+    asks = np.searchsorted(asked[0], asked[0], "right") - np.searchsorted(asked[0], asked[0], "left")
+    dense = count * asks > DENSE * (count + asks)
+    who, k = spread(np.where(dense, count, 0))
+    crowd = np.unique(np.concatenate([asked[:, dense], index[:, low[who] + k]], axis=1), axis=1)
+    count = np.where(dense, 0, count)
     ends = np.cumsum(count)
     s = 0
     while s < len(count):  # a few million comparisons at a time
@@ -167,17 +183,17 @@ def join_bucket(sig: np.ndarray, line: np.ndarray, probe: np.ndarray, edits: int
         who, k = spread(count[s:e])
         x, y = asked[1][s:e][who], index[1][low[s:e][who] + k]
         ok = _alike(x, y, edits)
-        yield np.minimum(x[ok], y[ok]), np.maximum(x[ok], y[ok])
+        yield np.minimum(x[ok], y[ok]), np.maximum(x[ok], y[ok]), True
         s = e
+    yield crowd[0], crowd[1], False
 
 
-def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded: int = CROWDED,
-               block: int = BLOCK) -> DataFrame:
-    """Pairs of line ids (a < b) that may be within ``edits``, each once; ``rows(row, doc_id, text)``."""
+def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded: int = CROWDED) -> DataFrame:
+    """(a, b, pair): pairs of line ids (a < b) that may be within ``edits``, or lines b under dense signatures a."""
     entry = np.dtype([("sig", "<u4"), ("line", "<i8")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=LINE_SLICE):
             lines = Lines(batch.column("text"), shortest)
             at = lines.distinct()
             out = {"bucket": [], "probe": [], "n": [], "data": []}
@@ -198,87 +214,133 @@ def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded
                  pa.array(out["data"], pa.binary())], names=["bucket", "probe", "n", "data"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result(a, b, kind, probe=None):
-            n = len(a)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.array(np.full(n, kind, bool)),
-                 pa.array(np.zeros(n, bool) if probe is None else probe)], names=["a", "b", "pair", "probe"])
+        def result(a, b, pair):
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), pair, bool))],
+                                              names=["a", "b", "pair"])
 
-        def unpacked(parts):
+        def unpacked(bucket, parts):
             data = [np.frombuffer(d, entry) for d, _ in parts]
             all_ = np.concatenate(data)
             probe = np.repeat([p for _, p in parts], [len(d) for d in data])
-            return all_["sig"].astype(_U), all_["line"], probe
+            return all_["sig"].astype(_U) + (_U(bucket) << _U(32)), all_["line"], probe
+
+        def close(bucket, parts):
+            for a, b, pair in join_bucket(*unpacked(bucket, parts), edits):
+                yield result(a, b, pair)
 
         bucket, parts, held, crowd = None, [], 0, False
         for batch in batches:
             for i in range(batch.num_rows):
                 own = batch.column("bucket")[i].as_py()
                 if own != bucket:
-                    if parts and not crowd:
-                        for a, b in join_bucket(*unpacked(parts), edits):
-                            yield result(a, b, True)
+                    if parts:
+                        yield from close(bucket, parts)
                     bucket, parts, held, crowd = own, [], 0, False
                 parts.append((batch.column("data")[i].as_buffer(), batch.column("probe")[i].as_py()))
                 held += batch.column("n")[i].as_py()
-                if held > crowded:
-                    crowd = True
-                if crowd:  # hand the signatures on
-                    sig, line, probe = unpacked(parts)
-                    yield result((sig + (_U(bucket) << _U(32))).view(np.int64), line, False, probe)
+                crowd = crowd or held > crowded
+                if crowd:  # hand all signatures on
+                    sig, line, _ = unpacked(bucket, parts)
+                    yield result(sig.view(np.int64), line, False)
                     parts = []
-        if parts and not crowd:
-            for a, b in join_bucket(*unpacked(parts), edits):
-                yield result(a, b, True)
-
-    # Every bucket holds alike many signatures but for hot ones, so few buckets a task are enough.
-    joined = materialize(
-        rows.mapInArrow(pack, "bucket int, probe boolean, n long, data binary")
-        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(join, "a long, b long, pair boolean, probe boolean"), "line-candidates")
-    pairs = joined.where("pair").select("a", "b")
-
-    def match(value, probe, side, cross):
-        at = np.flatnonzero(~probe)
-        near = _alike(value[at][:, None], value[None, :], edits)
-        if cross:
-            near &= side[at][:, None] != side[None, :]
-        i, j = np.nonzero(near & probe[None, :])
-        x, y = value[at[i]], value[j]
-        return np.minimum(x, y), np.maximum(x, y)
-
-    crowd = joined.where("NOT pair").selectExpr("0 AS part", "a AS key", "b AS value", "probe").distinct()
-    if not crowd.isEmpty():
-        pairs = pairs.unionByName(pairs_of(crowd, match, block))
-    return pairs.distinct()
-
-
-def line_links(rows: DataFrame, edits: int, shortest: int, buckets: int, **sizes) -> DataFrame:
-    """(a, b, edits): all pairs of distinct lines within ``edits``, a < b, each once."""
-    pairs = materialize(candidates(rows, edits, shortest, buckets, **sizes), "line-pairs")
+        if parts:
+            yield from close(bucket, parts)
+
+    return (rows.mapInArrow(pack, "bucket int, probe boolean, n long, data binary")
+            .repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(join, "a long, b long, pair boolean").distinct())
+
+
+def wanted_pages(ids: DataFrame) -> dict[int, np.ndarray]:
+    """A bitmap of ``FILTER_BITS`` bits, by pages, with the bit of each id set: a filter of bounded size.
+
+    It lets all wanted ids pass, and few others unless ids are more than the bits.
+    """
+    bits = ids.select(F.expr(f"id & {FILTER_BITS - 1}").alias("bit")).withColumn("page", F.expr("bit >> 16").cast("int"))
+
+    def page(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ("page",)):
+            pages, bit = t.column("page").to_numpy(), t.column("bit").to_numpy()
+            first, last = group_bounds([pages])
+            out = []
+            for s, e in zip(first, last):
+                one = np.zeros(1 << 16, np.uint8)
+                one[bit[s:e] & 0xFFFF] = 1
+                out.append(np.packbits(one).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(pages[first], pa.int32()), pa.array(out, pa.binary())], names=["page", "bits"])
+
+    pages = bits.repartition("page").sortWithinPartitions("page").mapInArrow(page, "page int, bits binary").collect()
+    return {r["page"]: np.frombuffer(r["bits"], np.uint8) for r in pages}
+
+
+def passes(pages: dict[int, np.ndarray], ids: np.ndarray) -> np.ndarray:
+    bit = ids & (FILTER_BITS - 1)
+    out = np.zeros(len(ids), bool)
+    for p, rows in ((p, np.flatnonzero(bit >> 16 == p)) for p in np.unique(bit >> 16).tolist() if p in pages):
+        low = bit[rows] & 0xFFFF
+        out[rows] = pages[p][low >> 3] >> (7 - (low & 7)) & 1
+    return out
+
+
+def family_links(ids: np.ndarray, texts: list[str], side: np.ndarray, cross: bool, edits: int):
+    """Verified links that connect exactly the lines connected by links of one group; lines already joined aren't compared."""
+    n = len(ids)
+    family = np.arange(n)
+    a, b = [], []
+    for x in range(1, n):
+        near = np.flatnonzero(_alike(ids[:x], ids[x], edits) & ((side[:x] != side[x]) | (not cross)))
+        while len(near):
+            y = int(near[0])
+            if edit_distance(texts[x], texts[y], edits) <= edits:
+                a.append(ids[x])
+                b.append(ids[y])
+                family[family == family[y]] = family[x]
+            near = near[1:]
+            near = near[family[near] != family[x]]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def line_links(rows: DataFrame, edits: int, shortest: int, buckets: int, block: int = BLOCK, **sizes) -> DataFrame:
+    """(a, b): verified links of distinct lines that connect exactly those connected by links within ``edits``."""
+    spark = rows.sparkSession
+    found = materialize(candidates(rows, edits, shortest, buckets, **sizes), "line-candidates")
+    pairs, crowd = found.where("pair"), found.where("NOT pair").selectExpr("a AS key", "b AS id")
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowd.select("id")).distinct(), "line-wanted")
+    pages = spark.sparkContext.broadcast(wanted_pages(wanted))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=LINE_SLICE):
             lines = Lines(batch.column("text"), shortest)
             at = lines.distinct()
+            at = at[passes(pages.value, lines.id[at])]
             yield pa.RecordBatch.from_arrays([pa.array(lines.id[at]), pa.array([lines.text(i) for i in at], pa.string())],
                                              names=["id", "line"])
 
-    wanted = pairs.selectExpr("a AS id").unionByName(pairs.selectExpr("b AS id")).distinct()
-    text = (rows.mapInArrow(texts, "id long, line string").join(wanted, "id", "left_semi")
-            .groupBy("id").agg(F.first("line").alias("line")))
-    text = materialize(text, "line-texts")
+    text = materialize(rows.mapInArrow(texts, "id long, line string").join(wanted, "id", "left_semi")
+                       .groupBy("id").agg(F.first("line").alias("line")), "line-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = np.array([edit_distance(x, y, edits) for x, y in
-                          zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())], np.int32)
-            ok = pa.array(d <= edits)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok),
-                                              pa.array(d).filter(ok)], names=["a", "b", "edits"])
+            ok = pa.array([edit_distance(x, y, edits) <= edits for x, y in
+                           zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
+
+    single = (pairs.select("a", "b").join(text.selectExpr("id AS a", "line AS x"), "a")
+              .join(text.selectExpr("id AS b", "line AS y"), "b")
+              .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
+
+    def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ("key", "p", "q")):
+            c = {k: t.column(k).to_numpy() for k in ("key", "p", "q", "own", "id")}
+            line = t.column("line").to_pylist()
+            first, last = group_bounds([c[k] for k in ("key", "p", "q")])
+            for s, e in zip(first.tolist(), last.tolist()):
+                a, b = family_links(c["id"][s:e], line[s:e], c["own"][s:e], bool(c["p"][s] != c["q"][s]), edits)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return (pairs.join(text.selectExpr("id AS a", "line AS x"), "a").join(text.selectExpr("id AS b", "line AS y"), "b")
-            .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, edits int"))
+    groups = dealt(crowd, ["key"], ["id"], block).join(text, "id").select("key", "p", "q", "own", "id", "line")
+    dense = (groups.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "id").mapInArrow(family, "a long, b long"))
+    return single.unionByName(dense)
 
 
 # ---------------------------------------------------------------- documents
@@ -290,11 +352,11 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, buckets: int | None = None,
                 **sizes) -> DataFrame:
-    """row, doc_id, n_lines, n_removed, n_links, removed, kept_in of each row of a stored table.
+    """row, doc_id, n_lines, n_removed, removed, kept_in of each row of a stored table.
 
     ``removed``: numbers of the lines that go, ascending; ``kept_in``: for each,
-    the id of the document with the earlier line; ``n_links``: links of the
-    document's lines to other distinct lines.  ``row``: the row's place.
+    its class id, the id of the document whose line stays for it.  ``row``: the
+    row's place.
     """
     prepare(docs.sparkSession)
     if shortest <= edits:
@@ -305,7 +367,7 @@ def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, b
         buckets = max(64, int(size) // BUCKET_BYTES)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=LINE_SLICE):
             lines = Lines(batch.column("text"), shortest)
             take = lambda c, i: batch.column(c).take(pa.array(i))
             yield pa.RecordBatch.from_arrays(
@@ -317,24 +379,18 @@ def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, b
 
     at = materialize(rows.mapInArrow(places, "id long, row long, doc_id long, line int"), "line-places")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
-    first = (at.where("id IS NOT NULL").groupBy("id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")))
-    links = line_links(rows, edits, shortest, buckets, **sizes)
-    both = materialize(links.select("a", "b").unionByName(links.selectExpr("b AS a", "a AS b")), "line-links")
-    near = (both.join(first.selectExpr("id AS b", "first AS other"), "b")
-            .groupBy("a").agg(F.min("other").alias("nearest"), F.count(F.lit(1)).alias("links"))
-            .withColumnRenamed("a", "id"))
-    known = first.join(near, "id", "left").where("n > 1 OR links > 0")
-    earlier = F.col("nearest") < F.col("first")
-    own = (F.col("first.row") == F.col("row")) & (F.col("first.line") == F.col("line"))
-    goes = F.col("first").isNotNull() & (~own | F.coalesce(earlier, F.lit(False)))
-    source = F.when(F.coalesce(earlier, F.lit(False)), F.col("nearest.doc_id")).otherwise(F.col("first.doc_id"))
+    lines = at.where("id IS NOT NULL").groupBy("id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    roots = connected_components(line_links(rows, edits, shortest, buckets, **sizes)).selectExpr("node AS id", "root")
+    linked = materialize(lines.join(roots, "id"), "line-classes")
+    classes = linked.select("id", "root").join(linked.groupBy("root").agg(F.min("first").alias("keep")), "root").select("id", "keep")
+    known = lines.join(classes, "id", "left").where("n > 1 OR keep IS NOT NULL").select("id", F.coalesce("keep", "first").alias("keep"))
+    goes = F.col("keep").isNotNull() & ~((F.col("keep.row") == F.col("row")) & (F.col("keep.line") == F.col("line")))
     per = (at.join(known, "id", "left")
            .groupBy("row").agg(
                F.min("doc_id").alias("doc_id"),
                F.max(F.when(F.col("id").isNull(), F.col("line"))).alias("n_lines"),
-               F.sum(F.coalesce("links", F.lit(0))).alias("n_links"),
-               F.sort_array(F.collect_list(F.when(goes, F.struct("line", source.alias("doc"))))).alias("gone")))
-    return per.select("row", "doc_id", "n_lines", F.size("gone").alias("n_removed"), "n_links",
+               F.sort_array(F.collect_list(F.when(goes, F.struct("line", F.col("keep.doc_id").alias("doc"))))).alias("gone")))
+    return per.select("row", "doc_id", "n_lines", F.size("gone").alias("n_removed"),
                       F.col("gone.line").alias("removed"), F.col("gone.doc").alias("kept_in"))
 
 
