@@ -384,12 +384,14 @@ def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, b
     linked = materialize(lines.join(roots, "id"), "line-classes")
     classes = linked.select("id", "root").join(linked.groupBy("root").agg(F.min("first").alias("keep")), "root").select("id", "keep")
     known = lines.join(classes, "id", "left").where("n > 1 OR keep IS NOT NULL").select("id", F.coalesce("keep", "first").alias("keep"))
-    goes = F.col("keep").isNotNull() & ~((F.col("keep.row") == F.col("row")) & (F.col("keep.line") == F.col("line")))
-    per = (at.join(known, "id", "left")
-           .groupBy("row").agg(
-               F.min("doc_id").alias("doc_id"),
-               F.max(F.when(F.col("id").isNull(), F.col("line"))).alias("n_lines"),
-               F.sort_array(F.collect_list(F.when(goes, F.struct("line", F.col("keep.doc_id").alias("doc"))))).alias("gone")))
+    goes = ~((F.col("keep.row") == F.col("row")) & (F.col("keep.line") == F.col("line")))
+    # Lines that no other equals or resembles need no join; a document's own row has no line id and takes no part in it.
+    gone = (at.where("id IS NOT NULL").join(known, "id").where(goes)
+            .select("row", F.struct("line", F.col("keep.doc_id").alias("doc")).alias("gone")))
+    per = (at.where("id IS NULL").selectExpr("row", "doc_id", "line AS n_lines", "CAST(NULL AS STRUCT<line: INT, doc: BIGINT>) AS gone")
+           .unionByName(gone.selectExpr("row", "CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS INT) AS n_lines", "gone"))
+           .groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.max("n_lines").alias("n_lines"),
+                               F.sort_array(F.collect_list("gone")).alias("gone")))
     return per.select("row", "doc_id", "n_lines", F.size("gone").alias("n_removed"),
                       F.col("gone.line").alias("removed"), F.col("gone.doc").alias("kept_in"))
 
