@@ -6,14 +6,14 @@ operator's semantics in plain SQL over the driver's views.
 
 from __future__ import annotations
 
-from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT
+from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT, INPUT_SEPARATOR
 from sftforge.functions.scores import RISK_HINT_TOKENS
 from sftforge.functions.text import WHITESPACE_CLASS_RE2 as WS
 from sftforge.queries import (
     LICENSE_HINTS, PROMPT_CAP, SAMPLE_CAP, SEED, TEMPLATE)
 
 SYSTEM = "'" + DEFAULT_SYSTEM_PROMPT.replace("'", "''") + "'"
-SEP = "(chr(10) || chr(10) || '补充信息：' || chr(10))"
+SEP = "'" + INPUT_SEPARATOR.replace("'", "''") + "'"
 HINT = "' " + RISK_HINT_TOKENS[1] + "'"
 NL = "chr(10)"
 
@@ -37,12 +37,13 @@ def skey(i: str = "instruction", inp: str = "input") -> str:
     return f"md5('{SEED}|' || {i} || '|' || {inp})"
 
 
-def pyround(x: str) -> str:
-    return f"CAST(printf('%.4f', {x}) AS DOUBLE)"
+def round4(x: str) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(18,12)), 4) AS DOUBLE)"
 
 
-PAIRS = f"""(SELECT doc_id, {norm(f"split_part(text, {NL}, 1)")} AS instruction,
-       {norm('text')} AS output FROM documents)"""
+RAW = "CASE WHEN lang = 'de' THEN replace(text, 'ß', chr(65533)) ELSE text END"
+
+PAIRS = f"""(SELECT doc_id, {norm(RAW)} AS instruction, {norm(RAW)} AS output FROM documents)"""
 
 RECORDS = f"""(SELECT doc_id, instruction, output, {reason('instruction', 'output')} AS reject_reason
    FROM {PAIRS})"""
@@ -53,12 +54,12 @@ KEPT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
    FROM {RECORDS} WHERE reject_reason IS NULL) WHERE rn = 1)"""
 
 FLAT = f"""(SELECT doc_id,
-   coalesce(CASE WHEN lang = 'en' THEN split_part(text, {NL}, 1) END,
+   coalesce(CASE WHEN lang = 'en' THEN text END,
             CASE WHEN lang = 'fr' THEN '' END) AS instruction,
-   CASE WHEN lang = 'fr' THEN split_part(text, {NL}, 1) END AS question,
-   CASE WHEN lang = 'de' THEN split_part(text, {NL}, 1) END AS query,
+   CASE WHEN lang = 'fr' THEN text END AS question,
+   CASE WHEN lang = 'de' THEN text END AS query,
    CASE WHEN lang NOT IN ('en', 'fr', 'de') OR lang IS NULL
-        THEN split_part(text, {NL}, 1) END AS prompt,
+        THEN text END AS prompt,
    source AS title,
    coalesce(CASE WHEN lang = 'en' THEN text END,
             CASE WHEN lang = 'de' THEN ' ' || chr(9) || ' ' END) AS output,
@@ -101,54 +102,63 @@ FLAT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
           row_number() OVER (PARTITION BY instruction ORDER BY doc_id) AS rn
    FROM {PICKED} WHERE {reason('instruction', 'output')} IS NULL) WHERE rn = 1)"""
 
-PAIRS_CHAT = f"""(SELECT conv_id, pair, r1, {norm('t1')} AS t1,
-   CASE WHEN n > 1 THEN r2 END AS r2, CASE WHEN n > 1 THEN {norm('t2')} END AS t2 FROM (
-   SELECT conv_id, turn // 2 AS pair, count(*) AS n,
-          arg_min(role, turn) AS r1, arg_min(text, turn) AS t1,
-          arg_max(role, turn) AS r2, arg_max(text, turn) AS t2
-   FROM conversations GROUP BY conv_id, turn // 2))"""
-
-
-def _side(roles: tuple[str, ...]) -> str:
-    ins = ", ".join(f"'{r}'" for r in roles)
-    return (f"coalesce(concat_ws({NL}, CASE WHEN r1 IN ({ins}) AND t1 <> '' THEN t1 END, "
-            f"CASE WHEN r2 IN ({ins}) AND t2 <> '' THEN t2 END), '')")
-
-
-CHAT_FOLDED = f"""(SELECT conv_id, pair, {_side(('user',))} AS instruction,
-   {_side(('assistant',))} AS output FROM {PAIRS_CHAT})"""
+CHAT_FOLDED = f"""(SELECT conv_id, turn // 2 AS pair,
+   coalesce(string_agg(part, {NL} ORDER BY turn, text, role) FILTER (WHERE side = 'user' AND part <> ''), '') AS instruction,
+   coalesce(string_agg(part, {NL} ORDER BY turn, text, role) FILTER (WHERE side = 'assistant' AND part <> ''), '') AS output
+ FROM (SELECT *, CASE WHEN role = 'user' THEN 'user' WHEN role IN ('assistant', 'gpt') THEN 'assistant' END AS side,
+              {norm('text')} AS part FROM conversations)
+ GROUP BY conv_id, turn // 2)"""
 
 CHAT_UNIQUE = f"""(SELECT instruction, input, output, system FROM (
    SELECT instruction, '' AS input, output, {SYSTEM} AS system,
           row_number() OVER (PARTITION BY instruction ORDER BY conv_id, pair) AS rn
    FROM {CHAT_FOLDED} WHERE {reason('instruction', 'output')} IS NULL) WHERE rn = 1)"""
 
-ITEMS = f"""(SELECT CAST(item_id AS VARCHAR) AS id, item_id AS item_seq,
+def items(source: str, key: str, system: str) -> str:
+    return f"""(SELECT CAST({key} AS VARCHAR) AS id, {key} AS item_seq,
    split_part(text, '.', 1) AS instruction,
    substr(text, length(split_part(text, '.', 1)) + 2) AS input,
-   text AS reference,
-   list_filter(string_split(text, ' '), lambda w: length(w) >= 7) AS keywords,
-   CAST(NULL AS VARCHAR) AS system
- FROM benchmark)"""
+   text AS reference, string_split(split_part(text, '.', 1), ' ') AS keywords, {system} AS system
+ FROM {source})"""
+
+
+ITEMS = items("benchmark", "item_id", "CAST(NULL AS VARCHAR)")
+DOC_ITEMS = items("documents", "doc_id", "CASE WHEN doc_id % 3 = 0 THEN 'Answer in ' || lang END")
 
 USER = (f"CASE WHEN coalesce(input, '') <> '' THEN instruction || {SEP} || input "
         f"ELSE instruction END")
 
 MODELS = """(SELECT * FROM (VALUES
-   (0, 'echo', 'stub-echo', CAST(NULL AS VARCHAR)),
-   (1, 'lead', 'stub-lead', CAST(NULL AS VARCHAR)),
-   (2, 'tail', 'stub-tail', 'adapters/tail'))
+   (0, 'echo', 'base-a', CAST(NULL AS VARCHAR)),
+   (1, 'lead', 'base-b', CAST(NULL AS VARCHAR)),
+   (2, 'rest', 'base-b', 'adapters/rest'))
  AS m(model_ord, model_name, base_model, adapter))"""
 
-LEAD = f"{strip(f'split_part(u, {SEP}, 1) || CASE WHEN length(u) % 2 = 0 THEN {HINT} ELSE {chr(39)}{chr(39)} END')}"
+LEAD = f"{strip(f'instruction || CASE WHEN length(u) % 2 = 0 THEN {HINT} ELSE {chr(39)}{chr(39)} END')}"
 
-ANSWERS = f"""(WITH it AS (SELECT *, {USER} AS u FROM {ITEMS})
+ANSWERS = f"""(WITH it AS (SELECT *, {USER} AS u FROM {DOC_ITEMS})
  SELECT 'echo' AS model_name, 0 AS model_ord, item_seq, id, instruction, reference, keywords,
         {strip(f"'  ' || u || ' ' || {NL}")} AS answer FROM it
  UNION ALL
- SELECT 'lead', 1, item_seq, id, instruction, reference, keywords, {LEAD} FROM it
+ SELECT 'lead', 1, item_seq, id, instruction, reference, keywords, {LEAD} FROM it WHERE item_seq % 5 <> 3
+ UNION ALL
+ SELECT 'rest', 2, item_seq, id, instruction, reference, keywords, {strip('input')} FROM it
  UNION ALL
- SELECT 'tail', 2, item_seq, id, instruction, reference, keywords, {strip('substr(u, 41)')} FROM it)"""
+ SELECT 'rest', 2, item_seq + 1000000000000, id, instruction, reference, keywords, {strip('reference')} FROM it
+ WHERE item_seq % 7 = 0)"""
+
+
+def grams(chars: str) -> str:
+    return (f"CASE WHEN len({chars}) = 1 THEN {chars} ELSE list_distinct(list_transform(range(1, len({chars})), "
+            f"lambda i: {chars}[i] || {chars}[i + 1])) END")
+
+
+def chars(x: str) -> str:
+    return f"CASE WHEN {x} = '' THEN CAST([] AS VARCHAR[]) ELSE string_split({x}, '') END"
+
+
+SIMILARITY = ("CASE WHEN len(ga) + len(gb) = 0 THEN 1.0 "
+              "ELSE 2.0 * len(list_intersect(ga, gb)) / (len(ga) + len(gb)) END")
 
 KW_RATE = ("CASE WHEN len(keywords) = 0 THEN 0.0 ELSE "
            "CAST(len(list_filter(keywords, lambda k: k <> '' AND contains(answer, k))) AS DOUBLE)"
@@ -156,18 +166,22 @@ KW_RATE = ("CASE WHEN len(keywords) = 0 THEN 0.0 ELSE "
 
 HINTS = " OR ".join(f"contains(answer, '{t}')" for t in RISK_HINT_TOKENS)
 
-SCORES = f"""(SELECT *, {KW_RATE} AS keyword_hit_rate, ({HINTS}) AS has_risk_hint,
-   CAST(length(answer) AS INTEGER) AS answer_length FROM {ANSWERS})"""
+SCORES = f"""(SELECT * EXCLUDE (ga, gb, ca, cb), {KW_RATE} AS keyword_hit_rate, {SIMILARITY} AS reference_similarity,
+   ({HINTS}) AS has_risk_hint, CAST(length(answer) AS INTEGER) AS answer_length
+ FROM (SELECT *, {grams('ca')} AS ga, {grams('cb')} AS gb
+       FROM (SELECT *, {chars('answer')} AS ca, {chars('reference')} AS cb FROM {ANSWERS})))"""
 
 SUMMARY = f"""(SELECT m.model_ord, m.model_name, m.base_model, m.adapter,
    '{TEMPLATE}' AS template, coalesce(s.n, 0) AS num_examples,
-   coalesce(s.kw, 0.0) AS avg_keyword_hit_rate, coalesce(s.rr, 0.0) AS risk_hint_rate
+   coalesce(s.kw, 0.0) AS avg_keyword_hit_rate, coalesce(s.sim, 0.0) AS avg_reference_similarity,
+   coalesce(s.rr, 0.0) AS risk_hint_rate
  FROM {MODELS} m LEFT JOIN (
    SELECT model_name, count(*) AS n, round(avg(keyword_hit_rate), 12) AS kw,
+          round(avg(reference_similarity), 12) AS sim,
           round(avg(CAST(has_risk_hint AS DOUBLE)), 12) AS rr FROM {SCORES} GROUP BY model_name) s
  USING (model_name))"""
 
-MODEL_NAMES = ("echo", "lead", "tail")
+MODEL_NAMES = ("echo", "lead", "rest")
 
 
 def _cells(metrics) -> str:
@@ -182,14 +196,15 @@ COMPARISON = f"""(SELECT id,
    first(instruction ORDER BY model_ord, item_seq) AS instruction,
    first(reference ORDER BY model_ord, item_seq) AS reference,
    first(keywords ORDER BY model_ord, item_seq) AS keywords,
-   {_cells(('answer', 'keyword_hit_rate', 'has_risk_hint'))}
+   {_cells(('answer', 'keyword_hit_rate', 'reference_similarity', 'has_risk_hint'))}
  FROM {SCORES} GROUP BY id)"""
 
 
 def _detail_cols() -> str:
     out = []
     for m in MODEL_NAMES:
-        out += [f"{pyround(f'{m}_keyword_hit_rate')} AS {m}_keyword_hit_rate",
+        out += [f"{round4(f'{m}_keyword_hit_rate')} AS {m}_keyword_hit_rate",
+                f"{round4(f'{m}_reference_similarity')} AS {m}_reference_similarity",
                 f"{m}_has_risk_hint", f"{m}_answer"]
     return ", ".join(out)
 
@@ -200,19 +215,24 @@ def _long_rows() -> str:
         parts.append(
             f"SELECT id, instruction, reference, array_to_string(keywords, ', ') AS keywords, "
             f"{i} AS model_ord, '{m}' AS model_name, "
-            f"{pyround(f'{m}_keyword_hit_rate')} AS keyword_hit_rate, "
+            f"{round4(f'{m}_keyword_hit_rate')} AS keyword_hit_rate, "
+            f"{round4(f'{m}_reference_similarity')} AS reference_similarity, "
             f"{m}_has_risk_hint AS has_risk_hint, {m}_answer AS answer FROM {COMPARISON}")
     return "\nUNION ALL\n".join(parts)
 
 
+def split(instruction: str) -> str:
+    return (f"CASE WHEN CAST('0x' || substr(md5('{SEED}|holdout|' || {instruction} || '|'), 1, 8) AS BIGINT) "
+            f"% 10000 < 200 THEN 'eval' ELSE 'train' END")
+
+
 ORACLE_SQL: dict[str, str] = {
     "normalize_text_docs": f"""SELECT doc_id, {norm('text')} AS text,
         CAST(length({norm('text')}) AS INTEGER) AS n_chars FROM documents""",
     "pick_first": f"SELECT doc_id, instruction, output FROM {PICKED}",
     "messages_fold": f"SELECT conv_id, instruction, output FROM {FOLDED}",
     "messages_array_fold": f"SELECT conv_id, pair, instruction, output FROM {CHAT_FOLDED}",
-    "prepare_chat_train": f"""SELECT instruction, input, output, system FROM {CHAT_UNIQUE}
-        ORDER BY {skey()}, instruction, input LIMIT 80000""",
+    "prepare_chat_train": f"""SELECT instruction, input, output, system FROM {CHAT_UNIQUE}""",
     "quality_filter": f"SELECT doc_id, instruction, output FROM {RECORDS} WHERE reject_reason IS NULL",
     "reject_counts": f"""SELECT coalesce(reject_reason, 'kept') AS reject_reason, count(*) AS n
         FROM {RECORDS} GROUP BY 1""",
@@ -226,57 +246,70 @@ ORACLE_SQL: dict[str, str] = {
         FROM {KEPT_UNIQUE} ORDER BY sample_key, instruction, input LIMIT {SAMPLE_CAP}""",
     "prompt_subset": f"""SELECT instruction, input, system, {skey()} AS sample_key
         FROM {KEPT_UNIQUE} ORDER BY sample_key, instruction, input LIMIT {PROMPT_CAP}""",
-    "holdout_split_docs": f"""SELECT doc_id, CASE WHEN
-        CAST('0x' || substr(md5('{SEED}|holdout|' || instruction || '|'), 1, 8) AS BIGINT)
-        % 10000 < 200 THEN 'eval' ELSE 'train' END AS split FROM {PAIRS}""",
+    "holdout_split_docs": f"SELECT doc_id, {split('instruction')} AS split FROM {PAIRS}",
     "union_splits_docs_pages": """SELECT 0 AS split_ord, doc_id AS row_id, text, lang, source
         FROM documents
         UNION ALL BY NAME
         SELECT 1 AS split_ord, page_id AS row_id, url, html FROM pages""",
-    "prepare_train": f"""SELECT instruction, input, output, system FROM {CONV_UNIQUE}
-        ORDER BY {skey()}, instruction, input LIMIT 80000""",
-    "prepare_prompts": f"""SELECT instruction, input, system FROM {CONV_UNIQUE}
-        ORDER BY {skey()}, instruction, input LIMIT 30000""",
+    "prepare_train": f"""SELECT instruction, input, output, system FROM {CONV_UNIQUE}""",
+    "prepare_prompts": f"SELECT instruction, input, system FROM {CONV_UNIQUE}",
+    "run_prepare_written": f"""SELECT instruction, input, output, system, {split('instruction')} AS split
+        FROM {CONV_UNIQUE}""",
+    "run_prepare_counts": f"""SELECT 'train' AS name, count(*) AS n FROM {CONV_UNIQUE}
+        UNION ALL SELECT 'prompts', least(count(*), {PROMPT_CAP}) FROM {CONV_UNIQUE}""",
     "prepare_rejects": f"""SELECT coalesce(reject_reason, 'kept') AS reject_reason, count(*) AS n
         FROM {CONV_RECORDS} GROUP BY 1""",
-    "prepare_flat_train": f"""SELECT instruction, input, output, system FROM {FLAT_UNIQUE}
-        ORDER BY {skey()}, instruction, input LIMIT 80000""",
+    "prepare_flat_train": f"""SELECT instruction, input, output, system FROM {FLAT_UNIQUE}""",
     "json_round_trip": f"""SELECT id, instruction, input, reference,
         array_to_string(keywords, ', ') AS keywords, system FROM {ITEMS}""",
     "registry_load": f"SELECT id, instruction, reference FROM {ITEMS}",
     "csv_round_trip": "SELECT page_id, url, html FROM pages",
-    "prompts_round_trip": f"""SELECT instruction, input, system FROM {CONV_UNIQUE}
-        ORDER BY {skey()}, instruction, input LIMIT 30000""",
+    "prompts_round_trip": f"SELECT instruction, input, system FROM {CONV_UNIQUE}",
     "model_results_round_trip": f"""SELECT model_ord, model_name, base_model, adapter,
-        template, num_examples, avg_keyword_hit_rate, risk_hint_rate FROM {SUMMARY}""",
-    "table_scan": "SELECT * FROM region",
+        template, num_examples, avg_keyword_hit_rate, avg_reference_similarity, risk_hint_rate FROM {SUMMARY}""",
+    "table_scan": "SELECT l_orderkey, l_linenumber, l_orderkey AS ord_key, l_quantity FROM lineitem",
+    "benchmark_scan": f"""SELECT id, instruction, input, reference, array_to_string(keywords, ', ') AS keywords, system,
+        row_number() OVER (ORDER BY item_seq) - 1 AS item_seq FROM {ITEMS}""",
+    "model_specs": """SELECT s_suppkey, trim(s_name) AS model_name, 'base-' || s_nationkey AS base_model,
+        CASE WHEN s_suppkey % 3 = 2 THEN 'adapters/' || s_suppkey END AS adapter FROM supplier""",
+    "similarity": f"SELECT id, model_name, item_seq, reference_similarity FROM {SCORES}",
+    "model_result_rows": f"""SELECT model_name, id, item_seq, answer, keyword_hit_rate, reference_similarity,
+        has_risk_hint, answer_length FROM {SCORES}""",
+    "evaluate_full": f"""SELECT model_ord, model_name, num_examples,
+        {round4('avg_keyword_hit_rate')} AS avg_keyword_hit_rate,
+        {round4('avg_reference_similarity')} AS avg_reference_similarity,
+        {round4('risk_hint_rate')} AS risk_hint_rate FROM {SUMMARY}""",
+    "detail_report_text": "SELECT id, instruction, reference, coalesce(array_to_string(keywords, ', '), '') AS keywords, "
+        + ", ".join(f"coalesce(CAST({m}_{x} AS VARCHAR), '') AS {m}_{x}" for m in MODEL_NAMES
+                    for x in ("has_risk_hint", "answer")) + f" FROM {COMPARISON}",
     "bench_cross_models": f"""SELECT i.id, m.model_ord, m.model_name, m.base_model, m.adapter
-        FROM {ITEMS} i, {MODELS} m""",
+        FROM {DOC_ITEMS} i, {MODELS} m""",
     "build_prompt": f"""SELECT id, 'system' AS role0, coalesce(system, {SYSTEM}) AS system_content,
-        'user' AS role1, {USER} AS user_content FROM {ITEMS}""",
-    "batch_generate": f"""WITH it AS (SELECT *, {USER} AS u FROM {ITEMS})
-        SELECT instruction, coalesce(input, '') AS input, {LEAD} AS output,
-               coalesce(system, '') AS system FROM it""",
-    "keyword_hit_rate": f"SELECT id, model_name, keyword_hit_rate FROM {SCORES}",
+        'user' AS role1, {USER} AS user_content FROM {DOC_ITEMS}""",
+    **{name: f"""SELECT instruction, coalesce(input, '') AS input,
+        {strip(f"' ' || chr(12288) || reference || {NL} || ' '")} AS output, coalesce(system, '') AS system FROM {DOC_ITEMS}"""
+       for name in ("batch_generate", "distilled_round_trip")},
+    "keyword_hit_rate": f"SELECT id, model_name, item_seq, keyword_hit_rate FROM {SCORES}",
     "risk_flag": "SELECT doc_id, (" + " OR ".join(
         f"contains(coalesce(text, ''), '{t}')" for t in LICENSE_HINTS)
         + ") AS has_risk_hint, CAST(length(coalesce(text, '')) AS INTEGER) AS answer_length "
           "FROM documents",
-    "similarity_bound": f"""SELECT id, model_name,
+    "similarity_bound": f"""SELECT id, model_name, item_seq,
         CASE WHEN length(answer) + length(reference) = 0 THEN 1.0
              ELSE 2.0 * least(length(answer), length(reference))
                   / CAST(length(answer) + length(reference) AS DOUBLE) END AS similarity_bound
         FROM {ANSWERS}""",
-    "score_rows": f"""SELECT model_name, id, instruction, reference,
-        array_to_string(keywords, ', ') AS keywords, answer, keyword_hit_rate, has_risk_hint,
+    "score_rows": f"""SELECT model_name, id, item_seq, instruction, reference,
+        array_to_string(keywords, ', ') AS keywords, answer, keyword_hit_rate, reference_similarity, has_risk_hint,
         answer_length FROM {SCORES}""",
     "model_summary_stub": f"SELECT * FROM {SUMMARY}",
     "comparison_pivot": f"""SELECT * REPLACE (array_to_string(keywords, ', ') AS keywords),
-        'echo,lead,tail' AS model_order FROM {COMPARISON}""",
+        'echo,lead,rest' AS model_order FROM {COMPARISON}""",
     "detail_report_stub": f"""SELECT id, instruction, reference,
         array_to_string(keywords, ', ') AS keywords, {_detail_cols()} FROM {COMPARISON}""",
     "long_report_stub": _long_rows(),
     "summary_report_stub": f"""SELECT model_ord, model_name, num_examples,
-        {pyround('avg_keyword_hit_rate')} AS avg_keyword_hit_rate,
-        {pyround('risk_hint_rate')} AS risk_hint_rate FROM {SUMMARY}""",
+        {round4('avg_keyword_hit_rate')} AS avg_keyword_hit_rate,
+        {round4('avg_reference_similarity')} AS avg_reference_similarity,
+        {round4('risk_hint_rate')} AS risk_hint_rate FROM {SUMMARY}""",
 }

@@ -40,8 +40,3 @@ def reject_reason(instruction: Column, output: Column,
         .when((li < bounds.min_instruction) | (lo < bounds.min_output), F.lit(SHORT))
         .when((li > bounds.max_instruction) | (lo > bounds.max_output), F.lit(LONG))
     )
-
-
-def is_kept(instruction: Column, output: Column,
-            bounds: QualityBounds = DEFAULT_BOUNDS) -> Column:
-    return reject_reason(instruction, output, bounds).isNull()

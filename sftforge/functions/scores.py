@@ -1,18 +1,9 @@
-"""Answer scores E1-E5.
-
-E1, E3, E4 and the E2 length bound are native expressions.  E2 itself
-(Ratcliff-Obershelp ``difflib.SequenceMatcher.ratio``) and Python-exact
-rounding have no Spark equivalent and run as Arrow-batched pandas UDFs.
-"""
+"""Answer scores E1-E5, all native expressions."""
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Hint phrases that mark an answer as carrying a risk caveat.
 RISK_HINT_TOKENS = (
@@ -56,46 +47,49 @@ def answer_length(answer: Column) -> Column:
 
 
 def similarity_upper_bound(answer: Column, reference: Column) -> Column:
-    """``2*min(la,lb)/(la+lb)``; never below the true ratio, 1.0 when both are empty."""
+    """``2*min(la,lb)/(la+lb)``, 1.0 when both are empty: what lengths alone allow of a matching-blocks ratio."""
     la = F.length(F.coalesce(answer, F.lit(""))).cast("double")
     lb = F.length(F.coalesce(reference, F.lit(""))).cast("double")
     return F.when(la + lb == 0, F.lit(1.0)).otherwise(2.0 * F.least(la, lb) / (la + lb))
 
 
-def _ratio(a, b) -> float:
-    return difflib.SequenceMatcher(None, a or "", b or "").ratio()
-
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-@F.pandas_udf(T.DoubleType())
-def _similarity_udf(answer: pd.Series, reference: pd.Series) -> pd.Series:
-    return pd.Series([_ratio(a, b) for a, b in zip(answer, reference)], dtype="float64")
 
+def _grams(text: Column) -> Column:
+    """Distinct pairs of neighbouring characters, as numbers; a single character stands for itself.
 
-def reference_similarity(answer: Column, reference: Column) -> Column:
-    """Character-level Ratcliff-Obershelp ratio of answer vs reference.
-
-    Asymmetric and with the default "autojunk" rule, exactly as
-    ``SequenceMatcher(None, answer, reference).ratio()``.
+    Numbers rather than strings: Spark's set functions hash those.
     """
-    from sftforge.session import ship_package
-    ship_package()
-    return _similarity_udf(answer, reference)
+    codes = F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), "", -1), lambda c: c != ""),
+                        lambda c: F.ascii(c).cast("long"))
 
+    def pairs(c: Column) -> Column:
+        n = F.greatest(F.size(c) - 1, F.lit(0))
+        both = F.zip_with(F.slice(c, 1, n), F.slice(c, 2, n), lambda x, y: F.shiftleft(x, 21) + y)
+        return F.when(F.size(c) == 1, c).otherwise(F.array_distinct(both))
 
-@F.pandas_udf(T.DoubleType())
-def _py_round_udf(x: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(v) else round(float(v), SCORE_DIGITS) for v in x],
-                     dtype="float64")
+    return _let(codes, pairs)
 
 
-def round_score(x: Column, exact: bool = False) -> Column:
-    """Round to 4 places for display (E5).
+def reference_similarity(answer: Column, reference: Column) -> Column:
+    """Dice coefficient of the character pairs of answer and reference.
 
-    ``exact=True`` gives Python's ``round`` (half-even on the binary value) via an
-    Arrow UDF; otherwise Spark's native ``round``, which can differ in the last place.
+    Twice the common distinct pairs over all distinct pairs of both; 1.0 if both
+    are empty.  A documented divergence: the reference's matching-blocks ratio is
+    a sequential algorithm, quadratic in the texts' length; this one is linear,
+    symmetric and native.
     """
-    if not exact:
-        return F.round(x, SCORE_DIGITS)
-    from sftforge.session import ship_package
-    ship_package()
-    return _py_round_udf(x)
+    def dice(p: Column) -> Column:
+        total = F.size(p["a"]) + F.size(p["b"])
+        common = F.size(F.array_intersect(p["a"], p["b"]))
+        return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * common / F.greatest(total, F.lit(1)))
+
+    return _let(F.struct(_grams(answer).alias("a"), _grams(reference).alias("b")), dice)
+
+
+def round_score(x: Column) -> Column:
+    """Round to 4 places for display (E5): half up on the value's first 12 decimals."""
+    return F.round(x.cast("decimal(18,12)"), SCORE_DIGITS).cast("double")

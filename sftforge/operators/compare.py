@@ -27,19 +27,13 @@ RATE_COLUMNS = ("keyword_hit_rate", "reference_similarity")
 SUMMARY_DIGITS = 12
 
 
-def score_answers(answers: DataFrame, tokens=RISK_HINT_TOKENS,
-                  with_similarity: bool = True) -> DataFrame:
-    """Add E1-E4 to each answer row (E6).  Scores are kept unrounded.
-
-    ``with_similarity=False`` leaves out E2, the only Python-evaluated score.
-    """
+def score_answers(answers: DataFrame, tokens=RISK_HINT_TOKENS) -> DataFrame:
+    """Add E1-E4 to each answer row (E6).  Scores are kept unrounded."""
     ans, kws = F.col("answer"), F.col("keywords")
-    cols = [keyword_hit_rate(ans, kws).alias("keyword_hit_rate")]
-    if with_similarity:
-        cols.append(reference_similarity(ans, F.col("reference")).alias("reference_similarity"))
-    cols += [has_risk_hint(ans, tokens).alias("has_risk_hint"),
-             answer_length(ans).alias("answer_length")]
-    return answers.select("*", *cols)
+    return answers.select(
+        "*", keyword_hit_rate(ans, kws).alias("keyword_hit_rate"),
+        reference_similarity(ans, F.col("reference")).alias("reference_similarity"),
+        has_risk_hint(ans, tokens).alias("has_risk_hint"), answer_length(ans).alias("answer_length"))
 
 
 def model_summary(scores: DataFrame, models: DataFrame, template: str) -> DataFrame:
@@ -50,18 +44,15 @@ def model_summary(scores: DataFrame, models: DataFrame, template: str) -> DataFr
     Averages are rounded to ``SUMMARY_DIGITS`` places so that they do not
     depend on partitioning.
     """
-    has_sim = "reference_similarity" in scores.columns
     def mean(c):
         return F.round(F.avg(c), SUMMARY_DIGITS)
-    aggs = [F.count(F.lit(1)).alias("num_examples"),
-            mean(F.col("keyword_hit_rate")).alias("avg_keyword_hit_rate")]
-    if has_sim:
-        aggs.append(mean(F.col("reference_similarity")).alias("avg_reference_similarity"))
-    aggs.append(mean(F.col("has_risk_hint").cast("double")).alias("risk_hint_rate"))
-    per_model = scores.groupBy("model_name").agg(*aggs)
-    joined = models.join(F.broadcast(per_model), "model_name", "left")
-    rates = ["avg_keyword_hit_rate"] + (["avg_reference_similarity"] if has_sim else []) \
-        + ["risk_hint_rate"]
+    per_model = scores.groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("num_examples"),
+        mean(F.col("keyword_hit_rate")).alias("avg_keyword_hit_rate"),
+        mean(F.col("reference_similarity")).alias("avg_reference_similarity"),
+        mean(F.col("has_risk_hint").cast("double")).alias("risk_hint_rate"))
+    joined = models.join(per_model, "model_name", "left")
+    rates = ("avg_keyword_hit_rate", "avg_reference_similarity", "risk_hint_rate")
     return joined.select(
         "model_ord", "model_name", "base_model", "adapter", F.lit(template).alias("template"),
         F.coalesce("num_examples", F.lit(0).cast("long")).alias("num_examples"),
@@ -71,9 +62,9 @@ def model_summary(scores: DataFrame, models: DataFrame, template: str) -> DataFr
 def comparison(scores: DataFrame, model_names, metrics=PIVOT_METRICS) -> DataFrame:
     """One row per ``str(id)`` with ``<model>_<metric>`` cells.
 
-    A single ``groupBy(id)`` with conditional ``max_by`` per model and metric
-    (what ``pivot`` compiles to, with the names spelled out): every aggregate
-    has a partial phase, so duplicates of an id collapse before the shuffle.
+    A single ``groupBy(id)`` with one conditional ``max_by`` of all metrics per
+    model: every aggregate has a partial phase, so duplicates of an id collapse
+    before the shuffle.
     Item metadata comes from the first model (then first row) holding the id;
     a duplicate id inside one model keeps its last answer.  Ids missing for a
     model give null cells.  ``model_order`` lists the models.
@@ -83,29 +74,32 @@ def comparison(scores: DataFrame, model_names, metrics=PIVOT_METRICS) -> DataFra
     meta = F.min_by(F.struct("instruction", "reference", "keywords"),
                     F.struct("model_ord", "item_seq")).alias("_meta")
     cells = []
-    for name in names:
-        mine = F.col("model_name") == F.lit(name)
-        last = F.when(mine, F.col("item_seq"))
-        for m in metrics:
-            cells.append(F.max_by(F.when(mine, F.col(m)), last).alias(f"{name}_{m}"))
+    for i, name in enumerate(names):
+        last = F.when(F.col("model_name") == F.lit(name), F.col("item_seq"))
+        cells.append(F.max_by(F.struct(*metrics), last).alias(f"_cell{i}"))
     grouped = scores.groupBy(F.col("id").cast("string").alias("id")).agg(meta, *cells)
     return grouped.select(
         "id", "_meta.instruction", "_meta.reference", "_meta.keywords",
         F.array(*[F.lit(n) for n in names]).alias("model_order"),
-        *[F.col(quote(f"{n}_{m}")) for n in names for m in metrics])
+        *[F.col(f"_cell{i}").getField(m).alias(f"{n}_{m}") for i, n in enumerate(names) for m in metrics])
 
 
-def _cell(name: str, metric: str, exact: bool) -> Column:
+def _cell(name: str, metric: str) -> Column:
     c = F.col(quote(f"{name}_{metric}"))
-    return round_score(c, exact) if metric in RATE_COLUMNS else c
+    return round_score(c) if metric in RATE_COLUMNS else c
+
+
+def blank_missing(report: DataFrame) -> DataFrame:
+    """The report as display text: every cell a string, missing ones '' (R4)."""
+    return report.select(*[F.coalesce(F.col(quote(c)).cast("string"), F.lit("")).alias(c)
+                           for c in report.columns])
 
 
-def detail_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS,
-                  exact_round: bool = True) -> DataFrame:
+def detail_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS) -> DataFrame:
     """id, instruction, reference, joined keywords, then per model the four cells.
 
-    Rates are rounded to 4 places (Python rounding when ``exact_round``).
-    Missing cells stay null; writers render them as '' (R4).
+    Rates are rounded to 4 places.  Missing cells stay null here; ``blank_missing``
+    renders them as '' (R4).
     """
     present = [m for m in metrics if f"{model_names[0]}_{m}" in comp.columns] \
         if model_names else []
@@ -113,11 +107,10 @@ def detail_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS,
         "id", "instruction", "reference",
         F.array_join(F.coalesce("keywords", F.array().cast("array<string>")), ", ")
         .alias("keywords"),
-        *[_cell(n, m, exact_round).alias(f"{n}_{m}") for n in model_names for m in present])
+        *[_cell(n, m).alias(f"{n}_{m}") for n in model_names for m in present])
 
 
-def long_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS,
-                exact_round: bool = True) -> DataFrame:
+def long_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS) -> DataFrame:
     """Per item, per model listing, missing pairs included.
 
     Unpivots the comparison rows with ``inline`` -- a narrow step, no join.
@@ -125,7 +118,7 @@ def long_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS,
     present = [m for m in metrics if model_names and f"{model_names[0]}_{m}" in comp.columns]
     per_model = [
         F.struct(F.lit(i).alias("model_ord"), F.lit(n).alias("model_name"),
-                 *[_cell(n, m, exact_round).alias(m) for m in present])
+                 *[_cell(n, m).alias(m) for m in present])
         for i, n in enumerate(model_names)
     ]
     return comp.select("id", "instruction", "reference",
@@ -134,9 +127,9 @@ def long_report(comp: DataFrame, model_names, metrics=DETAIL_METRICS,
                        F.inline(F.array(*per_model)))
 
 
-def summary_report(summary: DataFrame, exact_round: bool = True) -> DataFrame:
+def summary_report(summary: DataFrame) -> DataFrame:
     """model_name, num_examples and the rates to 4 places, in model order."""
     rates = [c for c in ("avg_keyword_hit_rate", "avg_reference_similarity", "risk_hint_rate")
              if c in summary.columns]
     return summary.select("model_ord", "model_name", "num_examples",
-                          *[round_score(F.col(r), exact_round).alias(r) for r in rates])
+                          *[round_score(F.col(r)).alias(r) for r in rates])

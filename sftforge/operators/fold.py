@@ -7,11 +7,9 @@ turns (instruction) and of the assistant turns (output).
 
 Two plans:
 
-* :func:`fold_turns` keeps every conversation whole.  Ordinary conversations
-  fold in one shuffle; heavy ones (found by a cheap count of the key column)
-  join in two levels -- first per ``(conversation, side, block of turns)``, then
-  the block strings per conversation -- so their turns are spread over many
-  tasks instead of being sorted and joined in one.
+* :func:`fold_turns` keeps every conversation whole and joins in two levels --
+  first per ``(conversation, side, block of turns)``, then the block strings per
+  conversation -- so the turns of a long one are spread over many tasks.
 * :func:`fold_turns_bounded` is what the prepare job uses.  The quality checks
   only need lengths, counts and a U+FFFD flag, which are plain partial
   aggregates.  Conversations that fail are rejected from those numbers alone;
@@ -29,11 +27,9 @@ from sftforge.functions.quality import (
 from sftforge.functions.text import REPLACEMENT_CHAR, normalize_text, quote
 
 TURN_BLOCK = 1024
-# A conversation holding more than 1/HEAVY_SHARE of all rows (or parts) is
-# "heavy".  There can be at most HEAVY_SHARE of them (together they cannot
-# exceed the whole), which bounds every broadcast of heavy ids; any other
-# conversation is at most 1/HEAVY_SHARE of the data, so none dominates a task.
-HEAVY_SHARE = 10_000
+# Non-empty parts from which a conversation counts as heavy.  A trillion parts
+# hold at most a million such ids, a few megabytes to broadcast.
+HEAVY_PARTS = 1_000_000
 
 
 def turn_parts(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -53,27 +49,6 @@ def _join_ordered(value: str, order: str, cond: str) -> Column:
         f"listagg({value}, '{sep}') WITHIN GROUP (ORDER BY {order}) FILTER (WHERE {cond})")
 
 
-def heavy_keys(df: DataFrame, key: str, floor: int, share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys with more than ``floor`` rows that also hold over ``1/share`` of all rows.
-
-    At most ``share`` keys can qualify, so the result is safe to broadcast.
-    Reads only the key column (plus a metadata-only row count).
-    """
-    counts = df.select(key).where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    return counts.where((F.col("_n") > F.lit(floor))
-                        & (F.col("_n") * F.lit(share) > total)).select(key)
-
-
-def _fold_once(parts: DataFrame, conv: str) -> DataFrame:
-    return parts.groupBy(conv).agg(
-        _join_ordered("_part", "_turn, _part", "_side = 'user' AND _part <> ''")
-        .alias("instruction"),
-        _join_ordered("_part", "_turn, _part", "_side = 'assistant' AND _part <> ''")
-        .alias("output"))
-
-
 def _fold_in_blocks(parts: DataFrame, conv: str, block: int) -> DataFrame:
     chunks = (parts
               .groupBy(F.col(conv), F.col("_side"),
@@ -91,21 +66,13 @@ def fold_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                block: int = TURN_BLOCK) -> DataFrame:
     """``(conv, instruction, output)`` for every conversation, texts whole.
 
-    Ordinary conversations fold in one shuffle keyed by conversation.  Heavy
-    ones (more than ``block`` turns and over ``1/HEAVY_SHARE`` of all rows; a
-    broadcast of at most ``HEAVY_SHARE`` ids) fold in two levels, first per
-    block of ``block`` turns, so their turns are spread over many tasks.
+    Always in two levels: first per side and block of ``block`` turn numbers,
+    whose strings then join per conversation, so the turns of a long conversation
+    spread over many tasks.  Rows without an id are one conversation.
     """
-    parts = turn_parts(turns, conv, turn, role, text)
     # Rows of other roles are kept (side null) so that a conversation without
     # any user/assistant text still yields a row with empty strings.
-    heavy = heavy_keys(turns.select(F.col(quote(conv)).alias(conv)), conv, block)
-    if heavy.count() == 0:  # at most HEAVY_SHARE rows; the usual case is none
-        folded = _fold_once(parts, conv)
-    else:
-        heavy = F.broadcast(heavy)
-        folded = _fold_once(parts.join(heavy, conv, "left_anti"), conv).unionByName(
-            _fold_in_blocks(parts.join(heavy, conv, "left_semi"), conv, block))
+    folded = _fold_in_blocks(turn_parts(turns, conv, turn, role, text), conv, block)
     return folded.select(conv, F.coalesce("instruction", F.lit("")).alias("instruction"),
                          F.coalesce("output", F.lit("")).alias("output"))
 
@@ -145,30 +112,19 @@ def fold_turns_bounded(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
 
     Skew: a conversation with more non-empty parts than
     ``max_instruction + max_output`` cannot pass the length bounds (each part
-    adds at least one character).  Those that also hold more than
-    ``1/HEAVY_SHARE`` of all parts -- at most ``HEAVY_SHARE`` ids, by counting --
-    are removed by a broadcast anti join *before* the shuffle, so a hot
-    conversation is dropped where it is read instead of being streamed through
-    one join task.
+    adds at least one character).  Those of over ``HEAVY_PARTS`` parts are
+    removed by a broadcast anti join *before* the shuffle, so a hot conversation
+    is dropped where it is read; any other is at most that many rows of one task.
+    Rows without an id are one conversation and are joined null-safely.
     """
     stats = stats if stats is not None else fold_stats(turns, conv, turn, role, text, bounds)
     max_parts = bounds.max_instruction + bounds.max_output
-    # One projection feeds the keep set, the heavy set and the total, so all
-    # three read the same aggregate (one exchange, reused) instead of three.
-    fate = (F.when(F.col("reject_reason").isNull(), F.lit("keep"))
-            .when(F.col("parts") > max_parts, F.lit("over")).otherwise(F.lit("drop")))
-    # (Null ids never join; filtering them here gives every consumer the same plan.)
-    decided = stats.where(F.col(conv).isNotNull()).select(conv, fate.alias("_fate"), "parts")
-    keep = decided.where(F.col("_fate") == "keep").select(conv)
-    # `_fate` is never null; referencing it keeps the total on the shared projection.
-    total = decided.agg(F.coalesce(F.sum(F.when(F.col("_fate").isNotNull(), F.col("parts"))),
-                                   F.lit(0))).scalar()
-    heavy = decided.where((F.col("_fate") == "over")
-                          & (F.col("parts") * F.lit(HEAVY_SHARE) > total)).select(conv)
+    keep = stats.where(F.col("reject_reason").isNull()).select(F.col(conv).alias("_keep"))
+    heavy = stats.where(F.col("parts") > F.lit(max(max_parts, HEAVY_PARTS))).select(F.col(conv).alias("_heavy"))
     parts = turn_parts(turns, conv, turn, role, text)
     useful = parts.where(F.col("_side").isNotNull() & (F.col("_part") != ""))
-    kept = (useful.join(F.broadcast(heavy), conv, "left_anti")
-            .join(keep, conv, "left_semi"))
+    kept = (useful.join(F.broadcast(heavy), F.col(conv).eqNullSafe(F.col("_heavy")), "left_anti")
+            .join(keep, F.col(conv).eqNullSafe(F.col("_keep")), "left_semi"))
     return kept.groupBy(conv).agg(
         _join_ordered("_part", "_turn, _part", "_side = 'user' AND _part <> ''")
         .alias("instruction"),

@@ -55,10 +55,9 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     generator (model) is resident at a time.  ``group_options`` maps a group
     value to extra options (e.g. the model's base model and adapter).
 
-    Generation dominates the cost, so the input is first spread round-robin
-    over ``partitions`` tasks (default: the cluster's parallelism, i.e. one
-    task per slot) -- a prompt table read from one small file would otherwise
-    generate in one task.  Moving prompt rows is cheap next to generating.
+    The input keeps its partitions, so the number of tasks follows the data;
+    ``partitions`` deals the rows out anew, for a prompt table that is read from
+    too few files.
     """
     opts = dict(options or {})
     # Sampling only when the temperature is positive; greedy decoding otherwise.
@@ -66,8 +65,7 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     per_group = dict(group_options or {})
     batch_size = max(1, int(opts.get("batch_size", 1)))
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.StringType(), True)])
-    slots = partitions or df.sparkSession.sparkContext.defaultParallelism
-    source = df.repartition(slots)
+    source = df.repartition(partitions) if partitions else df
     source = source.sortWithinPartitions(group_col) if group_col else source
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,9 +108,4 @@ def pending(df: DataFrame, done: DataFrame | None, keys) -> DataFrame:
     return df.join(done.select(*keys), list(keys), "left_anti")
 
 
-def with_messages(df: DataFrame, system, user, name: str = "messages") -> DataFrame:
-    from sftforge.functions.prompts import prompt_messages
-    return df.withColumn(name, prompt_messages(system, user))
-
-
-__all__ = ["generate", "pending", "with_messages", "GENERATE_OPTIONS", "EVALUATE_OPTIONS"]
+__all__ = ["generate", "pending", "GENERATE_OPTIONS", "EVALUATE_OPTIONS"]

@@ -3,38 +3,24 @@
 The order is ``md5(seed | instruction | input)``: identical in Spark, DuckDB and
 Python, and independent of partitioning (``orderBy(rand(seed))`` is not).
 
-The cap is planned for inputs far larger than the cap:
-
-1. :func:`key_histogram` counts distinct keys per 4-hex-digit prefix -- a
-   shuffle of 32-byte keys (map-side distinct first), returning at most
-   65,536 small rows to the driver.
-2. :func:`cap_edge` finds the prefix bucket holding the n-th key and the number
-   of keys before it.
-3. :func:`first_n` keeps every row of the earlier buckets and cuts the edge
-   bucket (about ``N / 65,536`` keys, since md5 is uniform) at its rank.
-
-Because the key is a function of the dedup key, the bucket filter is applied
-*before* the dedup shuffle (:func:`within_cap`), so a cap of n rows moves about
-n rows through the exchange instead of the whole table.
-
-Very large inputs: when the edge bucket holds more than ``REFINE_ABOVE`` keys
-(from about 1.3e10 keys on), :func:`cap_point` runs one more histogram over that
-bucket alone at 8 hex digits and moves the edge there, so the ranking window
-never holds more than a few rows per group.
-
-The histogram counts distinct md5 keys, which equal distinct dedup keys unless
-two of them collide in md5 (about 1e-19 at 10**10 keys); a collision would let
-one extra row through the cap, never drop one.
+A cap of n is a threshold on the key: :func:`cap_threshold` finds the n-th
+smallest distinct key by counting distinct keys per next four hex digits and
+descending into the bucket that holds it (at most 65,536 counts a step, over the
+key column alone), and every row below the threshold stays.  No ranking, no
+window, no single-task limit, and the filter applies *before* the dedup shuffle,
+as every copy of a key has the same key.
+
+Distinct md5 keys equal distinct dedup keys unless two of them collide in md5
+(about 1e-19 at 10**10 keys); a collision would let one extra row through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEX_PREFIX = 4
-FINE_PREFIX = 8
-REFINE_ABOVE = 200_000  # edge buckets larger than this get an 8-hex-digit histogram
+STEP_DIGITS = 4
+KEY_DIGITS = 32
 HOLDOUT_BUCKETS = 10_000
 KEY = "_skey"
 
@@ -44,88 +30,40 @@ def sample_key(seed: int, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *cols))
 
 
-def key_histogram(keyed: DataFrame, key_name: str = KEY,
-                  prefix_len: int = HEX_PREFIX) -> list[tuple[str, int]]:
-    """Sorted ``(prefix, distinct keys)`` pairs; at most 16**HEX_PREFIX of them
-    (an 8-digit histogram is only taken inside one 4-digit bucket)."""
+def key_counts(keyed: DataFrame, prefix: str = "", key_name: str = KEY) -> list[tuple[str, int]]:
+    """Sorted (prefix and four more digits, distinct keys) of the keys that begin with ``prefix``."""
     k = F.col(key_name)
-    rows = (keyed.select(k).groupBy(F.substring(k, 1, prefix_len).alias("p"))
-            .agg(F.count_distinct(k).alias("n")).collect())
-    return sorted((r["p"], int(r["n"])) for r in rows)
+    rows = (keyed.where(k.startswith(prefix)) if prefix else keyed).select(k)
+    counts = rows.groupBy(F.substring(k, 1, len(prefix) + STEP_DIGITS).alias("p")).agg(F.count_distinct(k).alias("n"))
+    return sorted((r["p"], int(r["n"])) for r in counts.collect())
 
 
-def cap_edge(hist: list[tuple[str, int]], n: int) -> tuple[str | None, int]:
-    """(prefix of the bucket holding the n-th key, keys before that bucket).
-
-    The prefix is None when there are at most ``n`` keys (no cap needed).
-    """
-    before = 0
-    for prefix, count in hist:
-        if before + count >= n:
-            return prefix, before
-        before += count
-    return None, before
-
-
-def within_cap(keyed: DataFrame, edge: str | None, key_name: str = KEY) -> DataFrame:
-    """Rows whose key falls in a bucket up to and including ``edge``.
-
-    Safe to apply before deduplication: every copy of a key has the same key.
-    """
-    if edge is None:
-        return keyed
-    k = F.col(key_name)
-    return keyed.where((k < F.lit(edge)) | k.startswith(edge))
-
-
-def cap_point(keyed: DataFrame, hist: list[tuple[str, int]], n: int, key_name: str = KEY,
-              refine_above: int = REFINE_ABOVE) -> tuple[str | None, int]:
-    """(edge prefix, keys before it) for a cap of ``n`` keys.
-
-    A large edge bucket is refined by one histogram over that bucket alone
-    (at most 16**4 sub-buckets), and the edge moves to the 8-digit prefix.
-    """
-    edge, before = cap_edge(hist, n)
-    if edge is None or n <= 0:
-        return edge, before
-    if dict(hist)[edge] > refine_above and len(edge) < FINE_PREFIX:
-        bucket = keyed.where(F.col(key_name).startswith(edge))
-        sub_edge, sub_before = cap_edge(key_histogram(bucket, key_name, FINE_PREFIX), n - before)
-        return sub_edge, before + sub_before
-    return edge, before
-
-
-def first_n(deduped: DataFrame, n: int, edge: str | None, before: int, tie_cols=(),
-            key_name: str = KEY) -> DataFrame:
-    """The ``n`` rows with the smallest ``(key, *tie_cols)`` of a key-unique table.
-
-    ``edge``/``before`` come from :func:`cap_point`.  One pass: rows past the
-    edge bucket are dropped, the rest are ranked inside their own prefix bucket
-    (a window partitioned by prefix, so the ranking is spread over many
-    groups), and the edge bucket keeps its first ``n - before`` rows.
-    """
+def cap_threshold(keyed: DataFrame, n: int, key_name: str = KEY) -> str | None:
+    """A string above exactly the ``n`` smallest distinct keys; None if there are no more than ``n``."""
     if n <= 0:
-        return deduped.limit(0)
-    if edge is None:
-        return deduped
-    k = F.col(key_name)
-    prefix = F.substring(k, 1, len(edge))
-    rank = F.row_number().over(Window.partitionBy(prefix).orderBy(
-        k, *[F.col(c) for c in tie_cols]))
-    return (within_cap(deduped, edge, key_name)
-            .withColumn("_r", F.when(prefix == F.lit(edge), rank))
-            .where(F.col("_r").isNull() | (F.col("_r") <= F.lit(n - before)))
-            .drop("_r"))
-
-
-def first_n_by_key(df: DataFrame, key: Column, n: int, tie_cols=(),
-                   key_name: str = KEY) -> DataFrame:
-    """Cap a key-unique table at ``n`` rows by ``key`` (runs the histogram job now)."""
+        return ""
+    prefix, before = "", 0
+    while True:
+        for bucket, count in key_counts(keyed, prefix, key_name):
+            if before + count >= n:
+                break
+            before += count
+        else:
+            return None
+        if before + count == n or len(bucket) == KEY_DIGITS:
+            return bucket + "g"  # above every hex digit
+        prefix = bucket
+
+
+def below(keyed: DataFrame, threshold: str | None, key_name: str = KEY) -> DataFrame:
+    """Rows whose key lies below the threshold of :func:`cap_threshold`."""
+    return keyed if threshold is None else keyed.where(F.col(key_name) < F.lit(threshold))
+
+
+def first_n_by_key(df: DataFrame, key: Column, n: int, key_name: str = KEY) -> DataFrame:
+    """The rows of the ``n`` smallest keys (runs the counting jobs now)."""
     keyed = df.withColumn(key_name, key)
-    if n <= 0:
-        return keyed.limit(0)
-    edge, before = cap_point(keyed, key_histogram(keyed, key_name), n, key_name)
-    return first_n(keyed, n, edge, before, tie_cols, key_name)
+    return below(keyed, cap_threshold(keyed, n, key_name), key_name)
 
 
 def holdout_split(seed: int, *cols: Column, val_size: float = 0.02) -> Column:

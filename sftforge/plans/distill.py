@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sftforge.functions.prompts import (
     distilled_columns, prompt_messages, system_content, user_content)
 from sftforge.operators.generate import GENERATE_OPTIONS, generate, pending
+from sftforge.session import path_exists
 from sftforge.sources.sinks import write_table
 
 KEY_COLUMNS = ("instruction", "input", "system")
@@ -37,11 +38,13 @@ def distill(prompts: DataFrame, make_generator, options: dict | None = None) ->
 
 
 def run_distill(spark: SparkSession, prompts: DataFrame, out_path: str, make_generator,
-                options: dict | None = None, chunks: int = 1, fmt: str = "parquet") -> int:
+                options: dict | None = None, chunks: int = 8, fmt: str = "parquet") -> int:
     """Generate for every prompt not yet in ``out_path``; return rows written now.
 
     Prompts are split into ``chunks`` by a hash of their key; each chunk is one
     job that appends its output, so a failure loses at most one chunk's work.
+    What is written already is read once a chunk as key columns of that chunk; an
+    output that can't be read as ``fmt`` raises.
     """
     def text(name):
         return F.coalesce(F.col(name), F.lit("")) if name in prompts.columns else F.lit("")
@@ -50,7 +53,10 @@ def run_distill(spark: SparkSession, prompts: DataFrame, out_path: str, make_gen
     written = 0
     for chunk in range(n_chunks):
         part = keyed.where(F.pmod(F.xxhash64(*KEY_COLUMNS), F.lit(n_chunks)) == chunk)
-        todo = pending(part, _existing(spark, out_path, fmt), list(KEY_COLUMNS))
+        done = _existing(spark, out_path, fmt)
+        if done is not None:
+            done = done.where(F.pmod(F.xxhash64(*KEY_COLUMNS), F.lit(n_chunks)) == chunk)
+        todo = pending(part, done, list(KEY_COLUMNS))
         written += write_table(distill(todo, make_generator, options), out_path, fmt, "append",
                                name=f"distill{chunk}")
     return written
@@ -58,7 +64,6 @@ def run_distill(spark: SparkSession, prompts: DataFrame, out_path: str, make_gen
 
 def _existing(spark: SparkSession, path: str, fmt: str):
     """Keys already written to ``path``, or None before the first chunk lands."""
-    try:
-        return spark.read.format(fmt).load(path).select(*KEY_COLUMNS)
-    except Exception:  # noqa: BLE001 -- nothing written yet
+    if not path_exists(spark, path):
         return None
+    return spark.read.format(fmt).load(path).select(*KEY_COLUMNS)

@@ -1,29 +1,28 @@
 """Evaluate: benchmark x models -> answers -> scores -> summary, pivot, reports.
 
 Plan: benchmark scan -> prompt messages (B1-B3) -> one branch per model of the
-small model list (J2, no join), each spread over its share of the slots ->
-``mapInPandas`` generation, one model per task (G1, G2) -> answers persisted -> scores (E1-E6, E2 in an Arrow UDF)
-persisted -> summary (A1-A5) and comparison (R1) from the same scores ->
-reports (R5-R7) -> write (K4).
+small model list (J2, no join) -> ``mapInPandas`` generation, one model per task
+(G1, G2) -> answers stored -> native scores (E1-E6) stored -> summary (A1-A5) and
+comparison (R1) from the same scores -> reports (R5-R7) -> write (K4).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftforge.functions.models import models_frame, parse_model_spec
+from sftforge.functions.models import model_rows, models_frame
 from sftforge.functions.prompts import (
     DEFAULT_SYSTEM_PROMPT, prompt_messages, system_content, user_content)
-from sftforge.functions.scores import RISK_HINT_TOKENS
 from sftforge.functions.text import strip_text
 from sftforge.operators.compare import (
-    comparison, detail_report, long_report, model_summary, score_answers, summary_report)
+    blank_missing, comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.generate import EVALUATE_OPTIONS, generate
-from sftforge.sources.sinks import write_model_results, write_table
+from sftforge.session import path_exists
+from sftforge.sources.sinks import write_table
 
 ANSWER_COLUMNS = ("model_name", "model_ord", "item_seq", "id", "instruction",
                   "reference", "keywords", "answer")
@@ -33,19 +32,18 @@ def _opt(df: DataFrame, name: str):
     return F.col(name) if name in df.columns else None
 
 
-def items_by_model(items: DataFrame, specs) -> DataFrame:
+def items_by_model(items: DataFrame, models) -> DataFrame:
     """Every benchmark item once per model (J2), as a per-row ``inline``.
 
-    The model list is the caller's (a handful of specs), so it is a literal
-    array: no cross join and no shuffle.
+    ``models``: rows of :func:`model_rows`.  The list is the caller's (a handful),
+    so it is a literal array: no cross join and no shuffle.
     """
-    parsed = [s if not isinstance(s, str) else parse_model_spec(s) for s in specs]
-    models = F.array(*[
-        F.struct(F.lit(i).alias("model_ord"), F.lit(m.name).alias("model_name"),
-                 F.lit(m.base_model).alias("base_model"),
-                 F.lit(m.adapter).cast("string").alias("adapter"))
-        for i, m in enumerate(parsed)])
-    return items.select("*", F.inline(models))
+    listed = F.array(*[
+        F.struct(F.lit(m["model_ord"]).alias("model_ord"), F.lit(m["model_name"]).alias("model_name"),
+                 F.lit(m["base_model"]).alias("base_model"),
+                 F.lit(m["adapter"]).cast("string").alias("adapter"))
+        for m in models])
+    return items.select("*", F.inline(listed))
 
 
 def prompts_for(items: DataFrame, default_system: str = DEFAULT_SYSTEM_PROMPT) -> DataFrame:
@@ -55,30 +53,24 @@ def prompts_for(items: DataFrame, default_system: str = DEFAULT_SYSTEM_PROMPT) -
         user_content(F.col("instruction"), _opt(items, "input"))))
 
 
-def answers(items: DataFrame, specs, make_generator, options: dict | None = None,
-            slots: int | None = None) -> DataFrame:
+def answers(items: DataFrame, specs, make_generator, options: dict | None = None) -> DataFrame:
     """One answer per (model, item): ``ANSWER_COLUMNS``.
 
-    Each model is its own branch over ``slots / len(models)`` tasks, and the
-    branches are unioned into one job, so all models generate in parallel
-    while every task loads exactly one model (about ``slots`` loads in total,
-    not ``slots x models``).
+    Each model is its own branch over the items' partitions, and the branches are
+    unioned into one job: all models generate in parallel, every task loads
+    exactly one model, and the number of tasks follows the benchmark's size.
     """
-    parsed = [s if not isinstance(s, str) else parse_model_spec(s) for s in specs]
-    names = [m.name for m in parsed]
-    if len(set(names)) != len(names):
-        raise ValueError(f"duplicate model names: {names}")
     opts = EVALUATE_OPTIONS | (options or {})
-    total = slots or items.sparkSession.sparkContext.defaultParallelism
-    per_model = max(1, total // max(1, len(parsed)))
     prompts = prompts_for(items)
     branches = []
-    for i, m in enumerate(parsed):
-        rows = prompts.select("*", F.lit(i).alias("model_ord"), F.lit(m.name).alias("model_name"))
-        model_opts = opts | {"model_name": m.name, "base_model": m.base_model,
-                             "adapter": m.adapter}
-        branches.append(generate(rows, make_generator, model_opts, partitions=per_model))
-    out = reduce(DataFrame.unionByName, branches)
+    for m in model_rows(items.sparkSession, specs):
+        rows = prompts.select("*", F.lit(m["model_ord"]).alias("model_ord"), F.lit(m["model_name"]).alias("model_name"))
+        branches.append(generate(rows, make_generator, opts | {k: m[k] for k in ("model_name", "base_model", "adapter")}))
+    return answer_rows(reduce(DataFrame.unionByName, branches), "response")
+
+
+def answer_rows(out: DataFrame, response: str) -> DataFrame:
+    """``ANSWER_COLUMNS`` of rows that hold a model's ``response`` beside the item's columns."""
     no_keywords = F.array().cast("array<string>")
 
     def present(name, empty):
@@ -88,71 +80,57 @@ def answers(items: DataFrame, specs, make_generator, options: dict | None = None
         present("instruction", F.lit("")).cast("string").alias("instruction"),
         present("reference", F.lit("")).cast("string").alias("reference"),
         present("keywords", no_keywords).alias("keywords"),
-        strip_text(F.col("response")).alias("answer"))
-
-
-@dataclass
-class Evaluation:
-    scores: DataFrame
-    summary: DataFrame
-    comparison: DataFrame
-    summary_report: DataFrame
-    detail_report: DataFrame
-    long_report: DataFrame
-
-
-def evaluate_answers(spark: SparkSession, answer_rows: DataFrame, specs,
-                     template: str = EVALUATE_OPTIONS["template"],
-                     tokens=RISK_HINT_TOKENS, with_similarity: bool = True,
-                     exact_round: bool = True) -> Evaluation:
-    """Scores and every derived table from an answers table (no generation)."""
-    parsed = [s if not isinstance(s, str) else parse_model_spec(s) for s in specs]
-    names = [m.name for m in parsed]
-    scores = score_answers(answer_rows, tokens, with_similarity)
-    summary = model_summary(scores, models_frame(spark, parsed), template)
-    comp = comparison(scores, names)
-    return Evaluation(scores, summary, comp, summary_report(summary, exact_round),
-                      detail_report(comp, names, exact_round=exact_round),
-                      long_report(comp, names, exact_round=exact_round))
+        strip_text(F.col(response)).alias("answer"))
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """Whether a job committed the folder (``_SUCCESS``); an unreadable store raises."""
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def _committed(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path`` if a job committed it (``_SUCCESS``), else None."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()  # raises when absent
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- absent or not committed
-        return None
+def _fingerprint(items: DataFrame, models, opts: dict) -> str:
+    """What the answers depend on: the items' rows, the models in order, the options."""
+    row = F.xxhash64(*[F.to_json(F.struct(c)) for c in sorted(items.columns)])
+    total = items.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("h")).first()
+    return json.dumps({"items": total["n"], "hash": str(total["h"]), "models": [m.asDict() for m in models], "options": opts},
+                      sort_keys=True, ensure_ascii=True, default=str)
 
 
 def run_evaluate(spark: SparkSession, items: DataFrame, specs, out_dir: str, make_generator,
                  options: dict | None = None, mode: str = "errorifexists",
-                 resume: bool = True) -> dict[str, int]:
+                 resume: bool = False) -> dict[str, int]:
     """Generate once, persist, score once, persist, then derive and write reports.
 
-    With ``resume`` a rerun after a failure reuses committed answers and
-    scores instead of generating again; reports are rewritten.
+    ``mode`` holds for every table.  With ``resume`` a rerun takes up what the run
+    before committed and writes the rest; it raises unless items, models and
+    options are those that ``out_dir`` was begun with.
     """
     opts = EVALUATE_OPTIONS | (options or {})
-    stored = _committed(spark, f"{out_dir}/answers") if resume else None
-    if stored is None:
-        write_table(answers(items, specs, make_generator, opts), f"{out_dir}/answers",
-                    "parquet", mode, name="answers")
-        stored = spark.read.parquet(f"{out_dir}/answers")
-    scores = _committed(spark, f"{out_dir}/scores") if resume else None
-    if scores is None:
-        write_table(score_answers(stored), f"{out_dir}/scores", "parquet", mode, name="scores")
-        scores = spark.read.parquet(f"{out_dir}/scores")
-    parsed = [s if not isinstance(s, str) else parse_model_spec(s) for s in specs]
-    names = [m.name for m in parsed]
-    summary = model_summary(scores, models_frame(spark, parsed), opts["template"])
+    models = model_rows(spark, specs)
+    names = [m["model_name"] for m in models]
+    stamp = spark.createDataFrame([(_fingerprint(items, models, opts),)], "value string")
+    if resume and _committed(spark, f"{out_dir}/manifest"):
+        if spark.read.text(f"{out_dir}/manifest").first() != stamp.first():
+            raise ValueError(f"{out_dir} holds a run over other items, models or options")
+    else:
+        stamp.coalesce(1).write.mode(mode).text(f"{out_dir}/manifest")
+
+    def store(name: str, make, fmt: str, **how) -> int:
+        path = f"{out_dir}/{name}"
+        if resume and _committed(spark, path):
+            return spark.read.format(fmt).load(path).count()
+        # What an interrupted run of the same manifest left uncommitted is replaced.
+        return write_table(make(), path, fmt, "overwrite" if resume else mode, name=name.replace("/", "_"), **how)
+
+    counts = {"answers": store("answers", lambda: answers(items, specs, make_generator, opts), "parquet")}
+    stored = spark.read.parquet(f"{out_dir}/answers")
+    counts["scores"] = store("scores", lambda: score_answers(stored), "parquet")
+    scores = spark.read.parquet(f"{out_dir}/scores")
+    summary = model_summary(scores, models_frame(spark, specs), opts["template"])
     comp = comparison(scores, names)
-    report_mode = "overwrite" if resume else mode
-    counts = write_model_results(scores, summary, f"{out_dir}/models", report_mode)
-    write_table(summary_report(summary), f"{out_dir}/summary_report", "csv", report_mode,
-                order_by="model_ord", name="summary_report")
-    write_table(detail_report(comp, names), f"{out_dir}/comparison", "csv", report_mode,
-                order_by="id", name="comparison")
-    write_table(long_report(comp, names), f"{out_dir}/long_report", "json", report_mode,
-                order_by=["id", "model_ord"], name="long_report")
-    return {"answers": stored.count(), "scores": scores.count(), **counts}
+    counts["results"] = store("models/results", lambda: scores, "json", partition_by="model_name")
+    counts["summary"] = store("models/summary", lambda: summary, "json", partition_by="model_name")
+    store("summary_report", lambda: blank_missing(summary_report(summary)), "csv", order_by="model_ord")
+    store("comparison", lambda: blank_missing(detail_report(comp, names)), "csv", order_by="id")
+    store("long_report", lambda: long_report(comp, names), "json", order_by=["id", "model_ord"])
+    return counts

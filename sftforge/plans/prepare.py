@@ -1,14 +1,14 @@
 """Prepare: raw rows -> training table + prompt table.
 
-Plan: scan -> project (P1-P5, P9) -> filter (P6-P8) -> md5 order key ->
-[job 1] distinct keys per key prefix (a shuffle of 32-byte keys only) ->
-[job 2] keep rows in the cap's key buckets -> exchange on the key (P10, partial
-aggregate first) -> rank the edge bucket (P11, P13) -> write.
+Plan: scan -> project (P1-P5, P9) -> filter (P6-P8) -> exchange on the dedup key
+(P10, partial aggregate first) -> write.  All rows are kept unless the caller
+sets a cap; then the kept rows are written once with their md5 order key, the
+cap's threshold is counted from the key column alone (P11, P13), and the rows
+below it are read back and deduplicated, so the full-width shuffle carries about
+``max_samples`` rows.
 
 Filtering runs before dedup, so a rejected first copy does not hide a valid
-later one.  The cap's bucket filter also runs before dedup (every copy of a
-key shares its md5), so the full-width shuffle carries about ``max_samples``
-rows, not the input.  Nothing in this plan is evaluated in Python.
+later one.  Nothing in this plan is evaluated in Python.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_stats, fold_turns_bounded
 from sftforge.operators.project import evaluate_once
 from sftforge.operators.sample import (
-    KEY, cap_point, first_n, holdout_split, key_histogram, sample_key, within_cap)
+    KEY, below, cap_threshold, holdout_split, sample_key)
 from sftforge.session import materialize
 from sftforge.sources.sinks import write_table
 
@@ -39,8 +39,8 @@ PROMPT_COLUMNS = ("instruction", "input", "system")
 class PrepareConfig:
     # Defaults of the prepare step.
     system: str = DEFAULT_SYSTEM_PROMPT
-    max_samples: int = 80_000
-    prompt_samples: int = 30_000
+    max_samples: int | None = None      # None: all rows
+    prompt_samples: int | None = None   # None: as many as training rows
     seed: int = 42
     bounds: QualityBounds = field(default_factory=lambda: DEFAULT_BOUNDS)
     keep_input: bool = False
@@ -50,11 +50,9 @@ class PrepareConfig:
 @dataclass
 class Prepared:
     records: DataFrame      # per raw row / conversation: reject_reason (null = kept)
-    candidates: DataFrame   # deduplicated kept rows in the cap's key buckets
-    training: DataFrame     # capped, carries the order key `_skey`
-    prompts: DataFrame      # first prompt_samples of the same order
+    training: DataFrame     # deduplicated kept rows (capped if asked for), with the order key `_skey`
+    prompts: DataFrame      # the first prompt_samples of the same order
     rejects: DataFrame      # reject_reason, n
-    histogram: list         # distinct keys per key prefix (driver-side, <= 65,536)
 
 
 def _instruction_and_input(df: DataFrame, names: dict, keep_input: bool) -> tuple[Column, Column]:
@@ -95,48 +93,45 @@ def select_training(records: DataFrame, config: PrepareConfig, order: str) -> Pr
     return _select(records, kept, config, order)
 
 
-def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
-            order: str) -> Prepared:
-    """Dedup (P10) and cap (P11, P13) ``kept`` rows.
+def _caps(config: PrepareConfig) -> tuple[int | None, int | None]:
+    """Caps of the training and the prompt table, the second no more than the first."""
+    n, m = config.max_samples, config.prompt_samples
+    return n, (n if m is None else m if n is None else min(m, n))
 
-    Runs one small job now: the key histogram.  The returned frames filter to
-    the cap's key buckets before the dedup exchange.
-    """
+
+def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
+            order: str, stored: bool = False) -> Prepared:
+    """Dedup (P10) and, if asked for, cap (P11, P13) ``kept`` rows; ``stored``: they are files already."""
     keyed = kept if KEY in kept.columns else kept.withColumn(
         KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
-    n = config.max_samples
-    m = min(config.prompt_samples, n)
-    hist = key_histogram(keyed) if n > 0 else []
-    edge_n, before_n = cap_point(keyed, hist, n)
-    edge_m, before_m = cap_point(keyed, hist, m)
+    n, m = _caps(config)
+    if not stored and (n is not None or m is not None):
+        keyed = materialize(keyed, "kept")
+    rows = keyed if n is None else below(keyed, cap_threshold(keyed, n))
     # The md5 key leads the grouping keys: the dedup's sort then mostly
     # compares 8-byte prefixes of uniform hex instead of long shared text.
-    candidates = dedup_first(within_cap(keyed, edge_n), (KEY, "instruction", "input"), order,
-                             drop_order=True, lead_hash=False)
-    ties = ("instruction", "input")
-    training = first_n(candidates, n, edge_n, before_n, ties).select(*RECORD_COLUMNS, KEY)
-    prompts = first_n(candidates, m, edge_m, before_m, ties).select(*PROMPT_COLUMNS, KEY)
+    unique = dedup_first(rows, (KEY, "instruction", "input"), order,
+                         drop_order=True, lead_hash=False)
+    asked = unique if m is None or m == n else below(unique, cap_threshold(keyed, m))
     rejects = (records.where(F.col("reject_reason").isNotNull())
                .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")))
-    return Prepared(records, candidates, training, prompts, rejects, hist)
+    return Prepared(records, unique.select(*RECORD_COLUMNS, KEY), asked.select(*PROMPT_COLUMNS, KEY), rejects)
 
 
 def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
             order: str = "_ord", persist: bool = False) -> Prepared:
     """Prepare from raw flat / chat-array rows carrying an input-order column.
 
-    By default the cap reads the input twice (key histogram, then the capped
-    dedup), which is cheaper than writing it.  ``persist=True`` instead writes
-    the kept rows once under ``spark.checkpoint.dir`` with their sample key,
-    each file sorted by it -- worth it when the raw scan is expensive (many
-    small JSON files, remote storage).
+    ``persist=True`` writes the kept rows once under ``spark.checkpoint.dir``, each
+    file sorted by the sample key -- worth it when the raw scan is expensive (many
+    small JSON files, remote storage).  With a cap they are always written once.
     """
     records = to_records(raw, config, order)
     if not persist:
         return select_training(records, config, order)
     kept = (records.where(F.col("reject_reason").isNull()).drop("reject_reason")
             .withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input"))))
-    return _select(records, materialize(kept.sortWithinPartitions(KEY), "kept"), config, order)
+    return _select(records, materialize(kept.sortWithinPartitions(KEY), "kept"), config, order, True)
 
 
 def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
@@ -149,9 +144,9 @@ def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
     surviving conversations are text-joined (see :mod:`sftforge.operators.fold`).
     Input order of conversations is ``order`` (default: the conversation id).
     With ``persist`` the folded rows are written once to the shared checkpoint
-    folder with their sample key, each file sorted by it: the key histogram then
+    folder with their sample key, each file sorted by it: counting for a cap then
     reads one 32-byte column, and the cap's key filter reaches the parquet scan
-    (row groups past the edge are skipped by their min/max statistics).
+    (row groups past the threshold are skipped by their min/max statistics).
     """
     stats = fold_stats(turns, conv, turn, role, text, config.bounds)
     folded = fold_turns_bounded(turns, conv, turn, role, text, config.bounds, stats)
@@ -163,7 +158,7 @@ def prepare_turns(turns: DataFrame, config: PrepareConfig = PrepareConfig(),
     if persist:
         kept = materialize(kept.sortWithinPartitions(KEY), "folded")
     records = stats.select(F.col(conv), F.col("reject_reason"))
-    return _select(records, kept, config, "_ord")
+    return _select(records, kept, config, "_ord", persist)
 
 
 def with_holdout(training: DataFrame, config: PrepareConfig = PrepareConfig()) -> DataFrame:
@@ -178,11 +173,9 @@ def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareCon
                 holdout: bool = False) -> dict[str, int]:
     """Write the training table sorted by the sample key, then the prompt table.
 
-    Prompts are the first ``prompt_samples`` rows of the written training table
-    (at most ``max_samples`` rows), so the raw input is not read again; they
-    are cut with the same distributed key-histogram cap, not a single-task
-    ``orderBy().limit()``.  With ``holdout`` the training rows carry ``split``
-    ('train' / 'eval', about ``val_size`` eval rows, H1).
+    Prompts are the rows of the written training table up to the prompt cap, so
+    the raw input is not read again.  With ``holdout`` the training rows carry
+    ``split`` ('train' / 'eval', about ``val_size`` eval rows, H1).
     """
     spark = prep.training.sparkSession
     training = with_holdout(prep.training, config) if holdout else prep.training
@@ -191,10 +184,10 @@ def run_prepare(prep: Prepared, out_dir: str, config: PrepareConfig = PrepareCon
                           drop=[KEY])
     train = spark.read.schema("instruction string, input string, output string, "
                               "system string").format(fmt).load(f"{out_dir}/train")
-    m = min(config.prompt_samples, config.max_samples)
-    keyed = train.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
-    edge, before = cap_point(keyed, key_histogram(keyed) if m > 0 else [], m)
-    prompts = first_n(keyed, m, edge, before, ("instruction", "input"))
+    n, m = _caps(config)
+    prompts = train.withColumn(KEY, sample_key(config.seed, F.col("instruction"), F.col("input")))
+    if m is not None and m != n:
+        prompts = below(prompts, cap_threshold(prompts, m))
     n_prompts = write_table(prompts.select(*PROMPT_COLUMNS, KEY), f"{out_dir}/prompts", fmt,
                             mode, order_by=[KEY, "instruction", "input"], name="prompts",
                             drop=[KEY])

@@ -14,30 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.functions.chat import fold_messages
-from sftforge.functions.models import models_frame, parse_model_spec
-from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT
+from sftforge.functions.models import model_rows, model_spec_columns, models_frame
+from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT, distilled_columns
 from sftforge.functions.quality import reject_reason
 from sftforge.functions.scores import has_risk_hint, answer_length, similarity_upper_bound
 from sftforge.functions.text import (
     INSTRUCTION_CANDIDATES, OUTPUT_CANDIDATES, normalize_text)
 from sftforge.functions.text import pick_first as pick_candidates
 from sftforge.operators.compare import (
-    comparison, detail_report, long_report, model_summary, score_answers, summary_report)
+    blank_missing, comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_stats, fold_turns
 from sftforge.operators.generate import EVALUATE_OPTIONS
 from sftforge.operators.sample import holdout_split
-from sftforge.plans.distill import distill
-from sftforge.plans.evaluate import answers, items_by_model, prompts_for
-from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns, select_training
-from sftforge.plans.stubs import STUB_MODELS, StubGenerator
+from sftforge.plans.evaluate import items_by_model, prompts_for
+from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns, run_prepare, select_training
 from sftforge.session import scratch_path
 from sftforge.sources.readers import (
-    read_csv_rows, read_json_rows, read_prompts, read_table_rows, union_splits)
+    read_benchmark, read_csv_rows, read_json_rows, read_prompts, read_table_rows, union_splits)
 from sftforge.sources.registry import load_registered
 from sftforge.sources.sinks import write_model_results, write_table
 from sftforge.sources.testdata import (
-    benchmark_items, chat_rows, document_pairs, flat_rows, table)
+    MODEL_SPECS, benchmark_items, chat_rows, derived_answers, document_items, document_pairs, flat_rows, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,7 +46,7 @@ SAMPLE_CAP = 500
 PROMPT_CAP = 200
 LICENSE_HINTS = ("MIT License", "Apache License", "General Public License")
 TEMPLATE = EVALUATE_OPTIONS["template"]
-MODEL_NAMES = tuple(parse_model_spec(s).name for s in STUB_MODELS)
+MODEL_NAMES = ("echo", "lead", "rest")
 
 
 def query(fn: Query) -> Query:
@@ -147,7 +145,7 @@ def prompt_subset(spark, sf):
 
 @query
 def holdout_split_docs(spark, sf):
-    pairs = document_pairs(table(spark, sf, "documents"))
+    pairs = document_pairs(table(spark, sf, "documents"), ("instruction",))
     return pairs.select("doc_id", holdout_split(SEED, F.col("instruction"), F.lit(""))
                         .alias("split"))
 
@@ -178,6 +176,26 @@ def prepare_prompts(spark, sf):
     return _prepared_conversations(spark, sf).prompts.select("instruction", "input", "system")
 
 
+def _run_prepare(spark, sf):
+    path, config = scratch_path(spark, "prepare"), PrepareConfig(seed=SEED, prompt_samples=PROMPT_CAP)
+    counts = run_prepare(prepare_turns(table(spark, sf, "conversations"), config), path, config, holdout=True)
+    return path, counts
+
+
+@query
+def run_prepare_written(spark, sf):
+    """The job's written training table with its holdout split."""
+    path, _ = _run_prepare(spark, sf)
+    return spark.read.json(f"{path}/train").select("instruction", "input", "output", "system", "split")
+
+
+@query
+def run_prepare_counts(spark, sf):
+    """The counts that the writes of the job report."""
+    _, counts = _run_prepare(spark, sf)
+    return spark.createDataFrame(sorted(counts.items()), "name string, n long")
+
+
 @query
 def prepare_rejects(spark, sf):
     # The rejects of the conversation prepare job are its per-conversation stats.
@@ -232,17 +250,27 @@ def prompts_round_trip(spark, sf):
     return read_prompts(spark, path).select("instruction", "input", "system")
 
 
-@query
-def model_results_round_trip(spark, sf):
+def _model_results(spark, sf):
     path = scratch_path(spark, "model-results")
     scores = _scores(spark, sf)
-    summary = model_summary(scores, models_frame(spark, STUB_MODELS), TEMPLATE)
-    write_model_results(scores, summary, path, "overwrite")
-    back = spark.read.json(f"{path}/summary")
+    write_model_results(scores, model_summary(scores, models_frame(spark, MODEL_SPECS), TEMPLATE), path, "overwrite")
+    return path
+
+
+@query
+def model_results_round_trip(spark, sf):
+    back = spark.read.json(f"{_model_results(spark, sf)}/summary")
     return back.select(F.col("model_ord").cast("int").alias("model_ord"), "model_name",
                        "base_model", "adapter", "template",
                        F.col("num_examples").cast("bigint").alias("num_examples"),
-                       "avg_keyword_hit_rate", "risk_hint_rate")
+                       "avg_keyword_hit_rate", "avg_reference_similarity", "risk_hint_rate")
+
+
+@query
+def model_result_rows(spark, sf):
+    back = spark.read.json(f"{_model_results(spark, sf)}/results")
+    return back.select("model_name", "id", "item_seq", "answer", "keyword_hit_rate", "reference_similarity",
+                       "has_risk_hint", F.col("answer_length").cast("int").alias("answer_length"))
 
 
 @query
@@ -250,52 +278,90 @@ def csv_round_trip(spark, sf):
     path = scratch_path(spark, "pages-csv")
     pages = table(spark, sf, "pages")
     write_table(pages, path, "csv", "overwrite")
-    back = read_csv_rows(spark, path)
+    back = read_csv_rows(spark, path, multi_line=True)  # pages hold line breaks
     return back.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
 
 
 @query
 def table_scan(spark, sf):
-    table(spark, sf, "region").createOrReplaceTempView("region_scan")
-    return read_table_rows(spark, "region_scan").drop("_ord")
+    table(spark, sf, "lineitem").createOrReplaceTempView("lineitem_scan")
+    return read_table_rows(spark, "lineitem_scan", order_by=["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", F.col("_ord.key.l_orderkey").alias("ord_key"), "l_quantity")
+
+
+@query
+def benchmark_scan(spark, sf):
+    """A benchmark file of one JSON list, its items in file order."""
+    path = scratch_path(spark, "benchmark-list")
+    items = _items(spark, sf).orderBy("item_seq").drop("item_seq")
+    listed = items.agg(F.to_json(F.array_sort(F.collect_list(F.struct(F.col("id").cast("long").alias("n"), "*")))).alias("value"))
+    listed.coalesce(1).write.text(path)
+    return read_benchmark(spark, path).select("id", "instruction", "input", "reference", _kw().alias("keywords"), "system", "item_seq")
+
+
+@query
+def model_specs(spark, sf):
+    """Specs of a whole table parsed by the column expression."""
+    s = table(spark, sf, "supplier")
+    adapter = F.when(F.col("s_suppkey") % 3 == 0, F.lit(" - ")).when(F.col("s_suppkey") % 3 == 1, F.lit("none")) \
+        .otherwise(F.concat(F.lit("adapters/"), F.col("s_suppkey").cast("string")))
+    spec = F.concat(F.lit(" "), F.col("s_name"), F.lit(" :: base-"), F.col("s_nationkey").cast("string"), F.lit("::"), adapter)
+    return s.select("s_suppkey", *model_spec_columns(spec))
 
 
 # ---- prompts and generation (J2, B1-B5, G1-G3) ------------------------------
 
+def _doc_items(spark, sf):
+    return document_items(table(spark, sf, "documents"))
+
+
 @query
 def bench_cross_models(spark, sf):
-    return items_by_model(_items(spark, sf), STUB_MODELS).select(
+    return items_by_model(_doc_items(spark, sf), model_rows(spark, MODEL_SPECS)).select(
         "id", "model_ord", "model_name", "base_model", "adapter")
 
 
 @query
 def build_prompt(spark, sf):
-    p = prompts_for(_items(spark, sf))
+    p = prompts_for(_doc_items(spark, sf))
     return p.select("id", F.col("messages")[0]["role"].alias("role0"),
                     F.col("messages")[0]["content"].alias("system_content"),
                     F.col("messages")[1]["role"].alias("role1"),
                     F.col("messages")[1]["content"].alias("user_content"))
 
 
+def _distilled(spark, sf):
+    """Distilled records of all items, the padded reference standing for a response."""
+    items = _doc_items(spark, sf)
+    response = F.concat(F.lit(" \u3000"), F.col("reference"), F.lit("\n "))
+    return items.select(*distilled_columns(F.col("instruction"), F.col("input"), response, F.col("system")))
+
+
 @query
 def batch_generate(spark, sf):
-    prompts = _items(spark, sf).select("instruction", "input", "system")
-    return distill(prompts, StubGenerator, {"base_model": "stub-lead"})
+    return _distilled(spark, sf)
+
+
+@query
+def distilled_round_trip(spark, sf):
+    path = scratch_path(spark, "distilled")
+    write_table(_distilled(spark, sf), path, "json", "append")
+    return spark.read.json(path).select("instruction", "input", "output", "system")
 
 
 # ---- scores and reports (E1-E6, A1-A5, R1-R7) -------------------------------
 
 def _answers(spark, sf):
-    return answers(_items(spark, sf), STUB_MODELS, StubGenerator)
+    return derived_answers(_doc_items(spark, sf), model_rows(spark, MODEL_SPECS))
 
 
 def _scores(spark, sf):
-    return score_answers(_answers(spark, sf), with_similarity=False)
+    return score_answers(_answers(spark, sf))
 
 
 @query
 def keyword_hit_rate(spark, sf):
-    return _scores(spark, sf).select("id", "model_name", "keyword_hit_rate")
+    return _scores(spark, sf).select("id", "model_name", "item_seq", "keyword_hit_rate")
 
 
 @query
@@ -307,14 +373,13 @@ def risk_flag(spark, sf):
 
 @query
 def similarity(spark, sf):
-    a = _answers(spark, sf)
-    return score_answers(a).select("id", "model_name", "reference_similarity")
+    return _scores(spark, sf).select("id", "model_name", "item_seq", "reference_similarity")
 
 
 @query
 def similarity_bound(spark, sf):
     a = _answers(spark, sf)
-    return a.select("id", "model_name",
+    return a.select("id", "model_name", "item_seq",
                     similarity_upper_bound(F.col("answer"), F.col("reference"))
                     .alias("similarity_bound"))
 
@@ -322,14 +387,17 @@ def similarity_bound(spark, sf):
 @query
 def score_rows(spark, sf):
     s = _scores(spark, sf)
-    return s.select("model_name", "id", "instruction", "reference", _kw().alias("keywords"),
-                    "answer", "keyword_hit_rate", "has_risk_hint", "answer_length")
+    return s.select("model_name", "id", "item_seq", "instruction", "reference", _kw().alias("keywords"),
+                    "answer", "keyword_hit_rate", "reference_similarity", "has_risk_hint", "answer_length")
+
+
+def _summary(spark, sf):
+    return model_summary(_scores(spark, sf), models_frame(spark, MODEL_SPECS), TEMPLATE)
 
 
 @query
 def model_summary_stub(spark, sf):
-    s = model_summary(_scores(spark, sf), models_frame(spark, STUB_MODELS), TEMPLATE)
-    return s
+    return _summary(spark, sf)
 
 
 def _comparison(spark, sf):
@@ -348,6 +416,12 @@ def detail_report_stub(spark, sf):
     return detail_report(_comparison(spark, sf), list(MODEL_NAMES))
 
 
+@query
+def detail_report_text(spark, sf):
+    """The report's texts and flags as display text, '' where a model has no answer."""
+    return blank_missing(detail_report(_comparison(spark, sf), list(MODEL_NAMES), ("has_risk_hint", "answer")))
+
+
 @query
 def long_report_stub(spark, sf):
     return long_report(_comparison(spark, sf), list(MODEL_NAMES))
@@ -355,12 +429,12 @@ def long_report_stub(spark, sf):
 
 @query
 def summary_report_stub(spark, sf):
-    s = model_summary(_scores(spark, sf), models_frame(spark, STUB_MODELS), TEMPLATE)
-    return summary_report(s)
+    return summary_report(_summary(spark, sf))
 
 
 @query
 def evaluate_full(spark, sf):
-    scores = score_answers(_answers(spark, sf))
-    s = model_summary(scores, models_frame(spark, STUB_MODELS), TEMPLATE)
-    return summary_report(s)
+    """Scores stored, then summary and report from the stored rows."""
+    path = scratch_path(spark, "scores")
+    write_table(_scores(spark, sf), path, "parquet", "overwrite")
+    return summary_report(model_summary(spark.read.parquet(path), models_frame(spark, MODEL_SPECS), TEMPLATE))

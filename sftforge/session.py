@@ -9,23 +9,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Suggested settings for a large cluster (pass to SparkSession.builder.config).
-SCALE_CONF = {
-    # Runtime re-planning: coalesce small shuffle partitions, split skewed joins.
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    # An upper bound for 100 TB inputs; AQE coalesces it down per stage.
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    # Arrow batches for the Python steps (similarity, generation): rows carry
-    # long texts, so keep batches small enough for a worker's memory.
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-}
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "sftforge") -> SparkSession:
     """A local session tuned for tests and the bench (UI off, AQE on)."""
@@ -43,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "10g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -97,6 +80,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system; other failures rise."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

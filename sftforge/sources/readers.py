@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from sftforge.functions.text import quote
 
@@ -39,21 +40,6 @@ PROMPT_SCHEMA = T.StructType([
 ])
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over all cores when it has fewer splits than cores.
-
-    A few large single-row-group files scan as a few tasks; per-row text work
-    (regex normalization, folding, generation) would then use a few cores.  A
-    big input already has more splits than cores and is returned unchanged.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD API (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
     return df.withColumn("_ord", F.struct(
         F.lit(split_ord).alias("split"),
@@ -62,20 +48,45 @@ def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
         F.monotonically_increasing_id().alias("row")))
 
 
+def first_lines(spark: SparkSession, paths) -> dict[str, str]:
+    """The first non-blank line of every file of ``paths`` (one job, one row a file).
+
+    Lines of a file's first split only; a file's own order decides.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value")
+    first = (lines.where(F.trim("value") != "").groupBy("file")
+             .agg(F.min_by("value", F.struct("block", "row")).alias("value")))
+    return {r["file"]: r["value"] for r in first.collect()}
+
+
+def _by_first_line(spark: SparkSession, paths, kind, read) -> DataFrame:
+    """Read files alike in ``kind(first line)`` together, and union the groups by column name."""
+    groups: dict = {}
+    for file, line in sorted(first_lines(spark, paths).items()):
+        groups.setdefault(kind(line), []).append(file)
+    if not groups:
+        return read(paths, None)
+    return union_splits([read(files, k) for k, files in groups.items()])
+
+
 def read_csv_rows(spark: SparkSession, paths, split_ord: int = 0,
-                  na_values=CSV_NA_WORDS, multi_line: bool = True) -> DataFrame:
-    """CSV with a header; quoted newlines and doubled quotes; every column a string.
+                  na_values=CSV_NA_WORDS, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; doubled quotes; every column a string.
 
+    Columns go by name: files whose headers differ are read apart and unioned.
     ``na_values`` (default: pandas' NA words) become null, so a candidate such
     as ``output = "N/A"`` falls through to the next one.  ``multi_line`` is
-    needed for newlines inside quoted fields but makes each file one task; for
-    large inputs without them pass ``False`` (files then split by size), or
-    provide many files.
+    needed for newlines inside quoted fields and makes each file one task.
     """
-    df = (spark.read.option("header", True).option("multiLine", multi_line)
-          .option("escape", '"').option("quote", '"').option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(paths))
-    df = _with_order(df, split_ord)
+    def read(files, _) -> DataFrame:
+        df = (spark.read.option("header", True).option("multiLine", multi_line)
+              .option("escape", '"').option("quote", '"').option("inferSchema", False)
+              .option("mode", "PERMISSIVE").csv(files))
+        return _with_order(df, split_ord)
+
+    df = _by_first_line(spark, paths, lambda line: line.strip().lstrip("\ufeff"), read)
     if na_values:
         words = list(na_values)
         df = df.select(*[
@@ -85,46 +96,46 @@ def read_csv_rows(spark: SparkSession, paths, split_ord: int = 0,
     return df
 
 
-def sniff_json_lines(spark: SparkSession, paths) -> bool:
-    """True for JSONL, False for a JSON array file, from the first non-blank byte."""
-    first = (spark.read.text(paths).where(F.trim(F.col("value")) != "")
-             .select(F.substring(F.ltrim(F.col("value")), 1, 1).alias("c")).take(1))
-    return not (first and first[0]["c"] == "[")
-
-
 def read_json_rows(spark: SparkSession, paths, split_ord: int = 0,
                    schema: T.StructType | None = None,
                    json_lines: bool | None = None) -> DataFrame:
-    """JSON array file or JSONL of raw rows.
+    """JSON array files, JSONL files or a mixture of raw rows.
 
     ``multiLine`` is required for an array file and wrong for JSONL (it would
-    read one row), so the format is sniffed unless ``json_lines`` is given.
+    read one row), so unless ``json_lines`` is given each file's format is taken
+    from its first sign and the files of each format are read together.
     Array files are read one task per file: prefer JSONL/parquet for big inputs.
     Malformed records are kept with their text in ``_corrupt_record`` (all
     other fields null, so prepare rejects them as missing) rather than lost.
     """
-    if json_lines is None:
-        json_lines = sniff_json_lines(spark, paths)
-    reader = (spark.read.option("multiLine", not json_lines).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
-    if schema is not None:
-        if CORRUPT not in schema.fieldNames():
-            schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        reader = reader.schema(schema)
-    return _with_order(reader.json(paths), split_ord)
+    if schema is not None and CORRUPT not in schema.fieldNames():
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+
+    def read(files, array) -> DataFrame:
+        reader = (spark.read.option("multiLine", bool(array)).option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", CORRUPT))
+        return _with_order((reader.schema(schema) if schema else reader).json(files), split_ord)
+
+    if json_lines is not None:
+        return read(paths, not json_lines)
+    return _by_first_line(spark, paths, lambda line: line.lstrip().startswith("["), read)
 
 
 def read_table_rows(spark: SparkSession, name_or_path: str, fmt: str | None = None,
-                    split_ord: int = 0) -> DataFrame:
-    """A named table, or a path in any Spark format (S3)."""
-    if fmt is None:
-        df = spark.table(name_or_path)
-        # Same key shape as file splits, so splits of both kinds can be unioned.
-        return df.withColumn("_ord", F.struct(
-            F.lit(split_ord).alias("split"), F.lit(name_or_path).alias("file"),
-            F.lit(0).cast("bigint").alias("block"),
-            F.monotonically_increasing_id().alias("row")))
-    return _with_order(spark.read.format(fmt).load(name_or_path), split_ord)
+                    split_ord: int = 0, order_by=None) -> DataFrame:
+    """A named table, or a path in any Spark format (S3).
+
+    Rows are in the order of the columns ``order_by`` (unique together), which a
+    table without files of its own must be given; else in file order.
+    """
+    df = spark.table(name_or_path) if fmt is None else spark.read.format(fmt).load(name_or_path)
+    if order_by:
+        keys = [order_by] if isinstance(order_by, str) else list(order_by)
+        return df.withColumn("_ord", F.struct(F.lit(split_ord).alias("split"), F.struct(*keys).alias("key")))
+    try:
+        return _with_order(df, split_ord)
+    except AnalysisException as no_files:
+        raise ValueError(f"rows of {name_or_path!r} have no input order; name their order in order_by") from no_files
 
 
 def union_splits(splits) -> DataFrame:
@@ -147,20 +158,21 @@ def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
 
     Ids are kept as strings.  ``item_seq`` is the position order within the file.
     """
-    if sniff_json_lines(spark, path):
+    if not all(line.lstrip().startswith("[") for line in first_lines(spark, path).values()):
         raise ValueError("benchmark file must contain a JSON list")
     df = (spark.read.schema(BENCHMARK_SCHEMA).option("multiLine", True)
           .option("mode", "FAILFAST").json(path))
     return df.withColumn("item_seq", F.monotonically_increasing_id())
 
 
-def read_raw_dataset(spark: SparkSession, dataset: str = "csv", data_file=None) -> DataFrame:
+def read_raw_dataset(spark: SparkSession, dataset: str = "csv", data_file=None, order_by=None) -> DataFrame:
     """Raw rows by dataset kind: ``"csv"`` / ``"json"`` read ``data_file`` (one path
-    or a list, each file one split in order); any other value is a table name."""
+    or a list, each file one split in order); any other value is a table name, whose
+    rows are in the order of ``order_by``."""
     if dataset in ("csv", "json"):
         files = [data_file] if isinstance(data_file, str) else list(data_file or [])
         if not files:
             raise ValueError(f"dataset={dataset!r} needs data_file")
         read = read_csv_rows if dataset == "csv" else read_json_rows
         return union_splits([read(spark, f, split_ord=i) for i, f in enumerate(files)])
-    return read_table_rows(spark, dataset)
+    return read_table_rows(spark, dataset, order_by=order_by)

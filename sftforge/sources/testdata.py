@@ -11,36 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftforge.functions.text import normalize_text
+from sftforge.functions.prompts import user_content
+from sftforge.functions.scores import RISK_HINT_TOKENS
+from sftforge.functions.text import REPLACEMENT_CHAR, normalize_text
 from sftforge.operators.project import evaluate_once
-from sftforge.sources.readers import ensure_parallelism
+from sftforge.plans.evaluate import answer_rows, items_by_model
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-KEYWORD_MIN_CHARS = 7
-
-
-# Text tables whose per-row work (regex, folding, generation) is CPU-bound.
-TEXT_TABLES = ("documents", "conversations", "pages")
+# The models whose answers the driver checks derive.
+MODEL_SPECS = ("echo::base-a::-", " lead :: base-b :: none", "rest::base-b::adapters/rest")
+LATER_COPY = 1_000_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def first_line(text):
-    return F.substring_index(text, "\n", 1)
+def raw_text(documents: DataFrame):
+    """The text, with a letter of the German ones as U+FFFD, as from a wrong decoding."""
+    return F.when(F.col("lang") == "de", F.replace(F.col("text"), F.lit("ß"), F.lit(REPLACEMENT_CHAR))).otherwise(F.col("text"))
 
 
-def document_pairs(documents: DataFrame) -> DataFrame:
-    """``(doc_id, instruction, output)``: normalized first line and normalized whole text."""
-    return evaluate_once(documents.select(
-        "doc_id",
-        normalize_text(first_line(F.col("text"))).alias("instruction"),
-        normalize_text(F.col("text")).alias("output")))
+def document_pairs(documents: DataFrame, columns=("instruction", "output")) -> DataFrame:
+    """``(doc_id, instruction, output)``: each the whole normalized text."""
+    return evaluate_once(documents.select("doc_id", normalize_text(raw_text(documents)).alias("_text"))).select(
+        "doc_id", *[F.col("_text").alias(c) for c in columns])
 
 
 def flat_rows(documents: DataFrame) -> DataFrame:
@@ -50,7 +48,7 @@ def flat_rows(documents: DataFrame) -> DataFrame:
     de: query/response with a whitespace-only output; other: prompt/chosen.
     ``title`` (the source) is the last-resort instruction candidate.
     """
-    lang, line, text = F.col("lang"), first_line(F.col("text")), F.col("text")
+    lang, line, text = F.col("lang"), F.col("text"), F.col("text")
 
     def on(cond, value):
         return F.when(cond, value)
@@ -74,23 +72,50 @@ def flat_rows(documents: DataFrame) -> DataFrame:
      .drop("instruction_blank", "output_blank")
 
 
-def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """Benchmark items: first sentence as instruction, the rest as input, the
-    whole text as reference, its words of 7+ characters as keywords."""
-    text = F.col("text")
-    first = F.substring_index(text, ".", 1)
-    return benchmark.select(
-        F.col("item_id").cast("string").alias("id"),
+def _items(source: DataFrame, key: str, system) -> DataFrame:
+    """Items of a text: its first sentence is the instruction (whose words are the
+    keywords), the rest the input, the whole the reference."""
+    first = F.substring_index(F.col("text"), ".", 1)
+    return source.select(
+        F.col(key).cast("string").alias("id"),
         first.alias("instruction"),
         F.expr("substring(text, length(substring_index(text, '.', 1)) + 2)").alias("input"),
-        text.alias("reference"),
-        F.filter(F.split(text, " ", -1), lambda w: F.length(w) >= KEYWORD_MIN_CHARS)
-        .alias("keywords"),
-        F.lit(None).cast("string").alias("system"),
-        F.col("item_id").alias("item_seq"),
+        F.col("text").alias("reference"),
+        F.split(first, " ", -1).alias("keywords"),
+        system.alias("system"),
+        F.col(key).cast("long").alias("item_seq"),
     )
 
 
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    return _items(benchmark, "item_id", F.lit(None).cast("string"))
+
+
+def document_items(documents: DataFrame) -> DataFrame:
+    """Items of all documents; every third has a system prompt of its own."""
+    return _items(documents, "doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Answer in "), F.col("lang"))))
+
+
+def derived_answers(items: DataFrame, models) -> DataFrame:
+    """Answers of three models as expressions over the items, in the jobs' answer columns.
+
+    echo: the user content between blanks; lead: the instruction, with a hint where
+    the content has an even length; rest: the input.  ``lead`` has no answer for
+    every fifth item, ``rest`` a second, later one (the reference) for every seventh.
+    """
+    user = user_content(F.col("instruction"), F.col("input"))
+    twice = (F.col("model_name") == "rest") & (F.col("item_seq") % 7 == 0)
+    rows = items_by_model(items, models).where(~((F.col("model_name") == "lead") & (F.col("item_seq") % 5 == 3)))
+    rows = rows.withColumn("_copy", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    hint = F.when(F.length(user) % 2 == 0, F.lit(" " + RISK_HINT_TOKENS[1])).otherwise(F.lit(""))
+    response = (F.when(F.col("_copy") == 1, F.col("reference"))
+                .when(F.col("model_name") == "echo", F.concat(F.lit("  "), user, F.lit(" \n")))
+                .when(F.col("model_name") == "lead", F.concat("instruction", hint))
+                .otherwise(F.col("input")))
+    return answer_rows(rows.withColumn("response", response)
+                       .withColumn("item_seq", F.col("item_seq") + F.col("_copy") * F.lit(LATER_COPY)), "response")
+
+
 MESSAGE_SCHEMA = "struct<role:string,content:string,`from`:string,value:string>"
 
 
@@ -106,20 +131,8 @@ def _message(role, text):
 
 
 def chat_rows(conversations: DataFrame) -> DataFrame:
-    """Raw chat rows ``(conv_id, pair, messages)``: turns 2k and 2k+1 together.
-
-    One ``groupBy(conv_id, turn div 2)`` whose ``min_by``/``max_by`` pick the
-    pair's first and last message: partial aggregates with a bounded result per
-    group, so neither a long conversation nor repeated turn numbers can blow up
-    (no self-join, no pairs within a group).  A last turn without a partner
-    forms a one-message row.
-    """
-    order = F.struct("turn", "text", "role")
+    """Raw chat rows ``(conv_id, pair, messages)``: all rows of turns 2k and 2k+1 together, in turn order."""
+    turn = F.struct("turn", F.col("text").alias("t"), F.col("role").alias("r"))
     grouped = conversations.groupBy("conv_id", F.floor(F.col("turn") / 2).alias("pair")).agg(
-        F.min_by(F.struct("role", "text"), order).alias("m1"),
-        F.max_by(F.struct("role", "text"), order).alias("m2"),
-        F.count(F.lit(1)).alias("n"))
-    first = _message(F.col("m1.role"), F.col("m1.text"))
-    second = _message(F.col("m2.role"), F.col("m2.text"))
-    return grouped.select("conv_id", "pair", F.when(F.col("n") == 1, F.array(first))
-                          .otherwise(F.array(first, second)).alias("messages"))
+        F.array_sort(F.collect_list(turn)).alias("turns"))
+    return grouped.select("conv_id", "pair", F.transform("turns", lambda x: _message(x["r"], x["t"])).alias("messages"))

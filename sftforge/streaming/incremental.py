@@ -3,9 +3,7 @@
 The per-row part of prepare (P1-P9 and the reject reason) is made of
 stateless column expressions, so it runs unchanged on a streaming DataFrame.
 First-wins dedup, the seeded cap and the pivot need the whole table and stay
-batch jobs; ``dedup=True`` adds Structured Streaming's ``dropDuplicates`` on the
-key, which keeps the first copy seen in arrival order (state grows with the
-number of distinct keys).
+batch jobs.
 """
 
 from __future__ import annotations
@@ -17,21 +15,19 @@ from pyspark.sql.streaming import StreamingQuery
 from sftforge.plans.prepare import PrepareConfig, to_records
 
 
-def clean_stream(raw: DataFrame, config: PrepareConfig = PrepareConfig(),
-                 dedup: bool = False) -> DataFrame:
+def clean_stream(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> DataFrame:
     """Kept training records of a (streaming or batch) raw-row DataFrame."""
     src = raw if "_ord" in raw.columns else raw.withColumn("_ord", F.lit(0))
-    recs = (to_records(src, config, "_ord")
+    return (to_records(src, config, "_ord")
             .where(F.col("reject_reason").isNull())
             .select("instruction", "input", "output", "system"))
-    return recs.dropDuplicates(["instruction", "input"]) if dedup else recs
 
 
 def start_clean_stream(raw: DataFrame, path: str, checkpoint: str,
-                       config: PrepareConfig = PrepareConfig(), dedup: bool = False,
+                       config: PrepareConfig = PrepareConfig(),
                        available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
     """Start writing cleaned records to ``path`` (exactly-once via ``checkpoint``)."""
-    writer = (clean_stream(raw, config, dedup).writeStream.format(fmt)
+    writer = (clean_stream(raw, config).writeStream.format(fmt)
               .option("path", path).option("checkpointLocation", checkpoint)
               .outputMode("append"))
     if available_now:

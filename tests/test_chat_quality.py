@@ -105,3 +105,11 @@ def test_heavy_conversation_is_dropped_before_the_join(spark):
     assert stats == {1: (60, "long"), 2: (2, None)}
     got = [tuple(r) for r in fold_turns_bounded(df, bounds=bounds).collect()]
     assert got == [(2, "hello", "world")]
+
+
+def test_rows_without_an_id_are_one_conversation(spark):
+    rows = [(None, 0, "user", "a question"), (None, 1, "assistant", "an answer that is long enough"),
+            (2, 0, "user", "b question"), (2, 1, "assistant", "an answer that is long enough")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert {r[0] for r in fold_turns_bounded(df).collect()} == {None, 2} == {r[0] for r in fold_turns(df).collect()}
+    assert {r["conv_id"] for r in fold_stats(df).where("reject_reason IS NULL").collect()} == {None, 2}

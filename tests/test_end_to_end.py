@@ -3,7 +3,7 @@
 from sftforge.plans.distill import run_distill
 from sftforge.plans.evaluate import run_evaluate
 from sftforge.plans.prepare import PrepareConfig, prepare_turns, run_prepare
-from sftforge.plans.stubs import STUB_MODELS, StubGenerator
+from tests.stubs import STUB_MODELS, StubGenerator
 from sftforge.sources.readers import read_prompts
 from sftforge.sources.testdata import benchmark_items
 from tests.conftest import SF

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sftforge.operators.dedup import dedup_first
-from sftforge.operators.sample import cap_edge, first_n_by_key, key_histogram, sample_key
+from sftforge.operators.sample import below, cap_threshold, first_n_by_key, key_counts, sample_key
 from sftforge.plans.prepare import (
     PrepareConfig, prepare, prepare_turns, run_prepare, to_records, with_holdout)
 from sftforge.functions.prompts import DEFAULT_SYSTEM_PROMPT
@@ -63,18 +63,23 @@ def test_cap_equals_brute_force(spark, n):
     df = spark.createDataFrame(pairs, "instruction string, input string")
     key = sample_key(42, F.col("instruction"), F.col("input"))
     got = sorted((r["_skey"], r["instruction"], r["input"]) for r in
-                 first_n_by_key(df, key, n, ("instruction", "input")).collect())
+                 first_n_by_key(df, key, n).collect())
     assert got == py_sample(pairs, 42, n)
 
 
-def test_cap_edge_and_hist_prefix_width(spark):
-    hist = [("0000", 3), ("0001", 2), ("ffff", 5)]
-    assert cap_edge(hist, 1) == ("0000", 0)
-    assert cap_edge(hist, 4) == ("0001", 3)
-    assert cap_edge(hist, 10) == ("ffff", 5)
-    assert cap_edge(hist, 11) == (None, 10)
-    df = spark.createDataFrame([("abcdef",), ("abcd00",), ("abce",)], "_skey string")
-    assert key_histogram(df) == [("abcd", 2), ("abce", 1)]
+def test_key_counts_by_prefix(spark):
+    df = spark.createDataFrame([("abcdef01",), ("abcdef01",), ("abcd00ff",), ("abce0000",)], "_skey string")
+    assert key_counts(df) == [("abcd", 2), ("abce", 1)]
+    assert key_counts(df, "abcd") == [("abcd00ff", 1), ("abcdef01", 1)]
+
+
+def test_all_rows_are_kept_unless_a_cap_is_set(spark):
+    raw = spark.range(100_000).selectExpr("id AS _ord", "concat('question number ', id) AS question",
+                                          "concat('an answer that is long enough ', id) AS answer")
+    got = prepare(raw)
+    assert got.training.count() == 100_000 and got.prompts.count() == 100_000
+    capped = prepare(raw, PrepareConfig(prompt_samples=7))
+    assert capped.training.count() == 100_000 and capped.prompts.count() == 7
 
 
 def test_prompts_are_a_prefix_of_training_and_partition_invariant(spark):
@@ -146,21 +151,14 @@ def test_run_prepare_flat_rows_with_holdout(spark, tmp_dir):
     assert back.select("instruction").distinct().count() == 40
 
 
-def test_cap_ranks_inside_a_crowded_edge_bucket(spark):
-    from sftforge.operators.sample import cap_point, first_n
-    # many (unique) keys share a 4-hex prefix, so the edge bucket needs real ranking
+def test_cap_descends_into_a_crowded_bucket(spark):
+    # many (unique) keys share a prefix, so the threshold lies some steps down
     keys = ([f"aaaa{i:028x}" for i in range(40)] + [f"aaab{i:028x}" for i in range(25)]
             + [f"0000{i:028x}" for i in range(5)])
-    rows = [(k, f"q{j:03d}", "") for j, k in enumerate(keys)]
-    df = spark.createDataFrame(rows, "_skey string, instruction string, input string")
-    hist = key_histogram(df)
-    ordered = sorted(rows)
-    for refine_above in (200_000, 3):  # as is, and with the 8-digit refinement forced
-        for n in (1, 5, 6, 7, 20, 44, 45, 46, 60, 69, 70, 71, 100):
-            edge, before = cap_point(df, hist, n, refine_above=refine_above)
-            got = sorted(tuple(r) for r in
-                         first_n(df, n, edge, before, ("instruction", "input")).collect())
-            assert got == ordered[:n], (refine_above, n)
+    df = spark.createDataFrame([(k,) for k in keys * 2], "_skey string")
+    for n in (0, 1, 5, 6, 44, 45, 46, 70, 71):
+        got = sorted({r[0] for r in below(df, cap_threshold(df, n)).collect()})
+        assert got == sorted(keys)[:n]
 
 
 def test_persisted_prepare_equals_two_pass_prepare(spark):

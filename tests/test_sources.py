@@ -18,7 +18,7 @@ def test_csv_quotes_newlines_and_na_words(spark, tmp_dir):
         f.write('"He said ""hi""\nand left",N/A,"an answer that is long enough"\n')
         f.write('plain question here,"multi\nline output, long enough",\n')
         f.write('"",,\n')
-    df = read_csv_rows(spark, path)
+    df = read_csv_rows(spark, path, multi_line=True)
     rows = df.orderBy("_ord").collect()
     assert len(rows) == 3
     assert rows[0]["question"] == 'He said "hi"\nand left' and rows[0]["output"] is None
@@ -101,21 +101,42 @@ def test_read_raw_dataset_dispatch_and_split_order(spark, tmp_dir):
         ["q10", "q11", "q12", "q00", "q01", "q02"]
     spark.createDataFrame([("x", "y")], "question string, answer string") \
         .createOrReplaceTempView("raw_named")
-    assert read_raw_dataset(spark, "raw_named").count() == 1
-    from sftforge.sources.readers import read_table_rows
-    both = union_splits([df, read_table_rows(spark, "raw_named", split_ord=2)])
-    assert both.count() == 7  # file and table splits share one order-key shape
+    assert read_raw_dataset(spark, "raw_named", order_by="question").count() == 1
     with pytest.raises(ValueError):
         read_raw_dataset(spark, "json")
 
 
-def test_ensure_parallelism_spreads_small_scans_only(spark, tmp_dir):
-    from sftforge.sources.readers import ensure_parallelism
-    one = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    spread = ensure_parallelism(one, 4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r[0] for r in spread.select("doc_id").collect()) == \
-        sorted(r[0] for r in one.select("doc_id").collect())
-    many = spark.range(100).repartition(6)
-    assert ensure_parallelism(many, 4) is many
+def test_csv_files_go_by_column_name(spark, tmp_dir):
+    for name, header, row in (("x1", "question,answer", "q1,a1"), ("x2", "answer,question", "a2,q2")):
+        with open(f"{tmp_dir}/{name}.csv", "w") as f:
+            f.write(f"{header}\n{row}\n")
+    for paths in ([f"{tmp_dir}/x1.csv", f"{tmp_dir}/x2.csv"], f"{tmp_dir}/*.csv"):
+        rows = read_csv_rows(spark, paths).select("question", "answer").collect()
+        assert sorted(tuple(r) for r in rows) == [("q1", "a1"), ("q2", "a2")]
+
+
+def test_json_format_is_found_for_each_file(spark, tmp_dir):
+    import os
+    os.mkdir(f"{tmp_dir}/mixed")
+    with open(f"{tmp_dir}/mixed/a.json", "w") as f:
+        json.dump([{"instruction": f"q{i}"} for i in range(300)], f, indent=1)
+    with open(f"{tmp_dir}/mixed/b.jsonl", "w") as f:
+        f.write("\n".join(json.dumps({"instruction": f"r{i}"}) for i in range(5)))
+    for paths in (f"{tmp_dir}/mixed", [f"{tmp_dir}/mixed/b.jsonl", f"{tmp_dir}/mixed/a.json"]):
+        assert read_json_rows(spark, paths).select("instruction").distinct().count() == 305
+
+
+def test_tables_need_an_order(spark):
+    from sftforge.sources.readers import read_table_rows
+    spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string").createOrReplaceTempView("no_files")
+    with pytest.raises(ValueError):
+        read_table_rows(spark, "no_files")
+    got = read_table_rows(spark, "no_files", order_by="k").orderBy("_ord").collect()
+    assert [r["v"] for r in got] == ["a", "b"]
+
+
+def test_chat_rows_keep_every_turn(spark):
+    from sftforge.sources.testdata import chat_rows
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "b"), (1, 1, "assistant", "c"), (1, 1, "assistant", "d")],
+                                  "conv_id long, turn long, role string, text string")
+    assert [len(r["messages"]) for r in chat_rows(turns).collect()] == [4]
