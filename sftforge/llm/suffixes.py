@@ -3,7 +3,7 @@
 Texts are UTF-8 bytes.  Every byte that a string of ``LENGTH`` bytes covers goes
 if that string also starts anywhere else in the corpus, the same text included.
 
-Per shard (a few megabytes of texts): a suffix array by Larsson-Sadakane
+Per shard (a megabyte of texts): a suffix array by Larsson-Sadakane
 refinement (groups that are tied so far are sorted by the rank of what follows
 them, the depth doubling each round), then Kasai's common prefixes of its
 neighbours; strings in a run of common prefixes of at least LENGTH repeat.
@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import dealt, group_bounds, whole_groups
-from sftforge.llm.common import PrefixHash, SLICE_BYTES, documents, materialize, mix, prepare, sliced, text_bytes
+from sftforge.llm.common import PrefixHash, documents, materialize, mix, prepare, sliced, spread, text_bytes
+from sftforge.llm.linededup import passes, wanted_pages
 
 LENGTH, GRAM = 200, 32
+SHARD_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
 BLOCK = 2048
 _U = np.uint64
@@ -138,26 +140,29 @@ def common_prefixes(word: np.ndarray, sa: np.ndarray, place: np.ndarray, most: i
 def repeated(data: np.ndarray, whole: np.ndarray, length: int) -> np.ndarray:
     """Whether the string of ``length`` bytes at each position, ``whole`` within its text, starts at another such one."""
     n = len(data)
-    if whole.sum() < 2:
-        return np.zeros(n, bool)
+    out = np.zeros(n, bool)
+    at = np.flatnonzero(whole)
+    if len(at) < 2:
+        return out
     word = eight_bytes(data, length + 16)
     sa, place = suffix_array(word, n)
     run = np.cumsum(common_prefixes(word, sa, place, length) < length) - 1
     count = np.bincount(run, weights=whole[sa], minlength=int(run[-1]) + 1)
-    out = np.zeros(n, bool)
     out[sa] = count[run] >= 2
     return out & whole
 
 
 # ---------------------------------------------------------------- keys and segments
 
-def least_hashes(hashes: PrefixHash, n: int, length: int, gram: int) -> np.ndarray:
-    """For each position with ``length`` bytes ahead, the least hash of the grams in them (block-wise running minima)."""
-    grams = n - gram + 1
-    width = length - gram + 1
+def gram_hashes(hashes: PrefixHash, n: int, gram: int) -> np.ndarray:
+    return mix((hashes.sums[gram:] - hashes.sums[:max(n - gram + 1, 0)]) * hashes.inverse[:max(n - gram + 1, 0)])
+
+
+def least_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` successive hashes (running minima block by block)."""
+    grams = len(h)
     if grams < width:
         return np.zeros(0, _U)
-    h = mix((hashes.sums[gram:] - hashes.sums[:grams]) * hashes.inverse[:grams])
     blocks = -(-grams // width)
     padded = np.full(blocks * width, np.iinfo(_U).max, _U)
     padded[:grams] = h
@@ -182,7 +187,8 @@ class Shard:
         """Runs of strings of one key: start, number of strings, key, digest; ``pairs``: the distinct (key, digest)."""
         n = len(self.data)
         hashes = PrefixHash(self.data)
-        key = least_hashes(hashes, n, self.length, gram)
+        self.grams, self.width = gram_hashes(hashes, n, gram), self.length - gram + 1
+        key = least_hashes(self.grams, self.width)
         at = np.flatnonzero(self.whole)
         k = key[at] if len(at) else np.zeros(0, _U)
         new = np.ones(len(at), bool)
@@ -199,8 +205,38 @@ class Shard:
         self.pairs = np.stack([a[fresh], b[fresh]])
         self.pair = np.empty(len(order), np.int64)  # of each segment
         self.pair[order] = np.cumsum(fresh) - 1
-        self.sample = np.empty(self.pairs.shape[1], np.int64)
-        self.sample[self.pair] = np.arange(len(order))  # a segment of each pair
+
+    def repeats(self) -> np.ndarray:
+        """Strings that repeat within the shard, from a suffix array over those that can.
+
+        Equal strings have one key, so they lie in segments whose key another
+        segment has too, or in one whose least gram stands in it twice.
+        """
+        out = np.zeros(len(self.data), bool)
+        if not len(self.start):
+            return out
+        _, number, times = np.unique(self.key, return_inverse=True, return_counts=True)
+        able = times[number] > 1
+        rest = np.flatnonzero(~able)
+        for s in range(0, len(rest), 4096):
+            part = rest[s:s + 4096]
+            size = self.count[part] + self.width - 1
+            which, k = spread(size)
+            same = self.grams[self.start[part][which] + k] == self.key[part][which]
+            able[part] = np.bincount(which, same, minlength=len(part)) > 1
+        able = np.flatnonzero(able)
+        if not len(able):
+            return out
+        # The bytes of these segments, overlaps of neighbours once.
+        cover = np.zeros(len(self.data) + 1, np.int64)
+        np.add.at(cover, self.start[able], 1)
+        np.add.at(cover, self.start[able] + self.count[able] + self.length - 1, -1)
+        at = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+        string = np.zeros(len(self.data) + 1, np.int64)
+        np.add.at(string, self.start[able], 1)
+        np.add.at(string, self.start[able] + self.count[able], -1)
+        out[at] = repeated(self.data[at], np.cumsum(string[:-1])[at] > 0, self.length)
+        return out
 
     def spans(self, marked: np.ndarray) -> pa.RecordBatch:
         """Rows (row, spans): runs of marked string starts as flat [first, end) pairs, places within the text."""
@@ -245,7 +281,7 @@ def shards(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterato
 
 # ---------------------------------------------------------------- Spark jobs
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SLICE_BYTES,
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
                    buckets: int | None = None, block: int = BLOCK) -> DataFrame:
     """(row, spans): starts of all repeated strings, as lists of flat [first, end) pairs; several rows a text."""
     if not 8 <= gram <= length:
@@ -261,17 +297,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Spans that repeat within a shard, and the shard's sorted list of segments by bucket."""
         for number, shard in shards(batches, length, shard_bytes):
-            own = shard.spans(repeated(shard.data, shard.whole, length))
+            shard.segments(gram)
+            own = shard.spans(shard.repeats())
             n = own.num_rows
             yield pa.RecordBatch.from_arrays([*own.columns, null(n, pa.int64()), null(n, pa.int32()), null(n, pa.binary())], names=_LOCAL)
-            shard.segments(gram)
             bucket = ((shard.pairs[0] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
-            first, last = group_bounds([bucket]) if len(bucket) else ((), ())
+            first, last = group_bounds([bucket]) if len(bucket) else (np.zeros(0, int), ())
             data = [shard.pairs[:, s:e].tobytes() for s, e in zip(first, last)]
-            n = len(data)
+            # Bucket -1: where the shard's segments lie, to meet the answers.
+            table = np.zeros(len(shard.start), _SEGMENT)
+            if len(table):
+                table["row"], table["start"] = shard.rows[shard.text[shard.start]], shard.place(shard.start)
+                table["count"], table["pair"], table["key"] = shard.count, shard.pair, shard.key
+            n = len(data) + 1
             yield pa.RecordBatch.from_arrays(
                 [null(n, pa.int64()), null(n, pa.list_(pa.int64())), pa.array([number] * n, pa.int64()),
-                 pa.array(bucket[first] if n else [], pa.int32()), pa.array(data, pa.binary())], names=_LOCAL)
+                 pa.array([*bucket[first].tolist(), -1], pa.int32()), pa.array([*data, table.tobytes()], pa.binary())], names=_LOCAL)
 
     found = materialize(rows.mapInArrow(local, "row long, spans array<long>, shard long, bucket int, data binary"), "suffix-local")
 
@@ -317,70 +358,76 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
         if parts:
             yield close(now, parts)
 
-    codes = (found.where("shard IS NOT NULL").select("shard", "bucket", "data")
+    codes = (found.where("bucket >= 0").select("shard", "bucket", "data")
              .repartition(buckets, "bucket").sortWithinPartitions("bucket", "shard")
              .mapInArrow(merge, "shard long, bucket int, data binary"))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each shard's texts, to meet its codes: again cut into the same shards."""
-        for number, shard in shards(batches, length, shard_bytes):
-            n = len(shard.rows)
-            text = [shard.data[s:e].tobytes() for s, e in zip(shard.offsets[:-1].tolist(), shard.offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number] * n, pa.int64()), pa.array(shard.rows), pa.array(np.asarray(shard.begins, np.int64)),
-                 pa.array(np.arange(n)), pa.array(text, pa.binary())], names=["shard", "row", "begin", "place", "text"])
-
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Spans of segments that other shards have, and the segments to be compared byte by byte."""
-        def close(texts, codes_):
-            cat = lambda c: np.concatenate([b.column(c).to_numpy() for b in texts])
-            blob = [t for b in texts for t in b.column("text").to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(t) for t in blob])])
-            shard = Shard(cat("row"), cat("begin"), np.frombuffer(b"".join(blob), np.uint8), offsets, length)
-            shard.segments(gram)
+        """Spans of segments that other shards have, and the places of those to be compared byte by byte."""
+        def close(table, codes_):
             code = np.frombuffer(b"".join(codes_), np.uint8)
-            if len(code) != shard.pairs.shape[1]:
-                raise RuntimeError("a shard's texts differ between two reads of the input")
-            full = np.flatnonzero(code[shard.pair] & 1)
-            marked = np.zeros(len(shard.data) + 1, np.int64)
-            np.add.at(marked, shard.start[full], 1)
-            np.add.at(marked, shard.start[full] + shard.count[full], -1)
-            own = shard.spans(np.cumsum(marked[:-1]) > 0)
-            n = own.num_rows
-            yield pa.RecordBatch.from_arrays([*own.columns, null(n, pa.int64()), null(n, pa.int64()), null(n, pa.binary())], names=_APPLIED)
-            # Every segment of a sent pair's key that stands once in this shard travels; copies are known to repeat.
-            send = shard.sample[np.flatnonzero(code & 2)]
+            full = table[(code[table["pair"]] & 1) > 0]
+            first, last = group_bounds([full["row"]]) if len(full) else (np.zeros(0, int), np.zeros(0, int))
+            flat = np.stack([full["start"], full["start"] + full["count"]], axis=1).ravel()
+            n = len(first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full["row"][first], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.append(2 * first, len(flat)), pa.int32()), pa.array(flat, pa.int64())),
+                 *[null(n, pa.int64())] * 3], names=_APPLIED)
+            _, one = np.unique(table["pair"], return_index=True)  # a segment of each pair, by its number
+            send = table[one[(code & 2) > 0]]
             n = len(send)
-            raw = shard.data.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard.rows[shard.text[shard.start[send]]], pa.int64()), null(n, pa.list_(pa.int64())),
-                 pa.array(shard.key[send].view(np.int64)), pa.array(shard.place(shard.start[send]), pa.int64()),
-                 pa.array([raw[s:s + c + length - 1] for s, c in zip(shard.start[send].tolist(), shard.count[send].tolist())], pa.binary())],
-                names=_APPLIED)
+                [pa.array(send["row"], pa.int64()), null(n, pa.list_(pa.int64())), pa.array(send["key"].view(np.int64)),
+                 pa.array(send["start"], pa.int64()), pa.array(send["count"] + (length - 1), pa.int64())], names=_APPLIED)
 
-        now, texts, codes_ = None, [], []
+        now, table, codes_ = None, None, []
         for batch in batches:
-            first, last = group_bounds([batch.column("shard").to_numpy()]) if batch.num_rows else ((), ())
-            for s, e in zip(first, last):
-                own = batch.column("shard")[int(s)].as_py()
-                if own != now and texts:
-                    yield from close(texts, codes_)
-                if own != now:
-                    now, texts, codes_ = own, [], []
-                run = batch.slice(int(s), int(e - s))
-                codes_ += run.filter(run.column("code").is_valid()).column("code").to_pylist()
-                if run.column("code").null_count:
-                    texts.append(run.filter(run.column("code").is_null()))
-        if texts:
-            yield from close(texts, codes_)
-
-    texts = rows.mapInArrow(deal, "shard long, row long, begin long, place long, text binary").selectExpr(
-        "shard", "CAST(NULL AS INT) AS bucket", "CAST(NULL AS BINARY) AS code", "row", "begin", "place", "text")
-    both = texts.unionByName(codes.selectExpr("shard", "bucket", "data AS code", "CAST(NULL AS LONG) AS row", "CAST(NULL AS LONG) AS begin",
-                                              "CAST(NULL AS LONG) AS place", "CAST(NULL AS BINARY) AS text"))
+            for i in range(batch.num_rows):
+                if batch.column("bucket")[i].as_py() < 0:
+                    if table is not None and len(table):
+                        yield from close(table, codes_)
+                    now = batch.column("shard")[i].as_py()
+                    table, codes_ = np.frombuffer(batch.column("data")[i].as_py(), _SEGMENT), []
+                elif batch.column("shard")[i].as_py() != now:
+                    raise RuntimeError("answers without their shard")
+                else:
+                    codes_.append(batch.column("data")[i].as_py())
+        if table is not None and len(table):
+            yield from close(table, codes_)
+
     applied = materialize(
-        both.repartition("shard").sortWithinPartitions("shard", F.col("bucket").asc_nulls_last(), "place")
-        .mapInArrow(apply, "row long, spans array<long>, key long, start long, data binary"), "suffix-applied")
+        found.where("bucket = -1").select("shard", "bucket", "data").unionByName(codes)
+        .repartition("shard").sortWithinPartitions("shard", "bucket")
+        .mapInArrow(apply, "row long, spans array<long>, key long, start long, size long"), "suffix-applied")
+
+    # The bytes of the segments to be compared, from those documents alone (a bounded filter keeps most others back).
+    asked = (applied.where("key IS NOT NULL").groupBy("row")
+             .agg(F.collect_list(F.struct("key", "start", "size")).alias("asked")))
+    pages = docs.sparkSession.sparkContext.broadcast(wanted_pages(asked.select(F.xxhash64("row").alias("id"))))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(iter([batch])):
+                yield part.filter(pa.array(passes(pages.value, part.column("hash").to_numpy()))).select(["row", "text"])
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            out = {"key": [], "row": [], "start": [], "data": []}
+            for row, text, places in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "asked"))):
+                raw = text.encode()
+                for place in places:
+                    out["key"].append(place["key"])
+                    out["row"].append(row)
+                    out["start"].append(place["start"])
+                    out["data"].append(raw[place["start"]:place["start"] + place["size"]])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(out[c], pa.int64()) for c in ("key", "row", "start")), pa.array(out["data"], pa.binary())], names=list(out))
+
+    segments = materialize(
+        rows.select("row", "text", F.xxhash64("row").alias("hash")).mapInArrow(some, "row long, text string")
+        .join(asked, "row").select("row", "text", "asked")
+        .mapInArrow(fetch, "key long, row long, start long, data binary"), "suffix-segments")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One suffix array over the segments of whole keys, a shard's worth at a time."""
@@ -410,7 +457,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
         if held:
             yield close(held)
 
-    parts = dealt(applied.where("key IS NOT NULL").select("key", "row", "start", "data"), ["key"], ["row", "start"], block)
+    parts = dealt(segments, ["key"], ["row", "start"], block)
     met = (parts.select("key", "p", "q", "row", "start", "data").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
            .mapInArrow(compare, "row long, spans array<long>"))
     return (found.where("row IS NOT NULL").select("row", "spans").unionByName(applied.where("spans IS NOT NULL").select("row", "spans"))
@@ -418,7 +465,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
 
 
 _LOCAL = ["row", "spans", "shard", "bucket", "data"]
-_APPLIED = ["row", "spans", "key", "start", "data"]
+_APPLIED = ["row", "spans", "key", "start", "size"]
+_SEGMENT = np.dtype([("row", "<i8"), ("start", "<i8"), ("count", "<i4"), ("pair", "<i4"), ("key", "<u8")])
 
 
 def search_pairs(union: np.ndarray, own: np.ndarray, low: np.ndarray) -> np.ndarray:
