@@ -213,6 +213,28 @@ def learn(features: np.ndarray, label: np.ndarray, real: np.ndarray, rounds: int
 
 # ---------------------------------------------------------------- Spark jobs
 
+def hash_bound(rows: DataFrame, n: int) -> int:
+    """A value of ``hash`` (long) up to which the n smallest lie and few others, by exact counts of ever finer ranges.
+
+    All rows lie up to it if they are no more than n.  Each range counted holds a
+    row, so the first n of them reach the n-th hash: a step sends the driver n rows.
+    """
+    low, high, before = -(1 << 63), (1 << 63) - 1, 0
+    for shift in (48, 32, 16, 0):
+        counts = (rows.where(F.col("hash").between(low, high)).groupBy(F.shiftright("hash", shift).alias("range"))
+                  .agg(F.count(F.lit(1)).alias("n")).orderBy("range").limit(n).collect())
+        for r in counts:
+            if before + r["n"] >= n:
+                break
+            before += r["n"]
+        else:
+            return high
+        low, high = r["range"] << shift, (r["range"] + 1 << shift) - 1
+        if before + r["n"] <= 2 * n:
+            break
+    return high
+
+
 def train(docs: DataFrame, windows: int = WINDOWS, stretch: int = STRETCH) -> Field | None:
     """The field from stretches of words of ``docs``; None where the base finds nothing."""
     prepare(docs.sparkSession)
@@ -257,11 +279,9 @@ def train(docs: DataFrame, windows: int = WINDOWS, stretch: int = STRETCH) -> Fi
     found = materialize(rows.mapInArrow(cut, "some boolean, hash long, label array<int>, features array<int>"), "secret-stretches")
     got = []
     for v in (True, False):
-        # An approximate bound on the hash first, so that tasks send the driver little more than is taken.
+        # The bound first, so that tasks send the driver little more than is taken.
         rows = found.where(F.col("some") == v)
-        n = rows.count()
-        bound = rows.agg(F.percentile_approx("hash", min(1.0, 1.5 * windows / max(n, 1)), 10_000)).first()[0]
-        got += rows.where(F.col("hash") <= F.lit(bound)).orderBy("hash", "features").limit(windows).collect() if n else []
+        got += rows.where(F.col("hash") <= F.lit(hash_bound(rows, windows))).orderBy("hash", "features").limit(windows).collect()
     if not any(r["some"] for r in got):
         return None
     features = np.zeros((len(FAMILIES), len(got), stretch), np.int64)

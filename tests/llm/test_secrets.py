@@ -98,3 +98,21 @@ def test_words_and_lines(text):
     raw = [x for t in (text, "a b\nc", text) for line in (t or "").split("\n")
            for x in [re.findall(rb"(?:[A-Za-z0-9+/_.-]|[\x80-\xff])+", line.encode())] if x]
     assert [len(x) for x in raw] == w.line_size.tolist()
+
+
+@pytest.mark.parametrize("n", [1, 2, 1500, 24_000_000])
+def test_bound_keeps_the_smallest_hashes(spark, n):
+    rows = spark.range(n).selectExpr("xxhash64(id) AS hash")
+    bound = S.hash_bound(rows, 1500)
+    kept = rows.where(f"hash <= {bound}").count()
+    assert min(n, 1500) <= kept <= 3000
+    # Many equal hashes, and the ends of the range of a long.
+    ends = spark.range(9000).selectExpr("IF(id < 5000, 7, IF(id < 7000, -9223372036854775807 - 1, 9223372036854775807)) AS hash")
+    for k in (1, 2000, 2001, 7000, 7001, 9000, 9001):
+        assert ends.where(f"hash <= {S.hash_bound(ends, k)}").count() == (2000 if k <= 2000 else 7000 if k <= 7000 else 9000)
+
+
+def test_a_single_finding_trains(spark):
+    for i in range(6):  # a bound in doubles lay below about half of single hashes
+        docs = spark.createDataFrame([(i, "password=abcdefg1234")], "doc_id long, text string")
+        assert S.train(docs) is not None
