@@ -46,16 +46,16 @@ BLOCK = 256
 DENSE = 12
 FILTER_BITS = 1 << 27
 _U = np.uint64
-_SKETCH = np.int64(0xFFFFFFFF)
 
 
 # ---------------------------------------------------------------- lines, segments, distance
 
 class Lines:
-    """The lines of a slice of texts: place, length and id.
+    """The lines of a slice of texts: place, length, id and sketch.
 
-    The id's low half is the line's sketch (parity of how often each of 32 groups
-    of letters occurs), its high half a hash; equal lines have equal ids.
+    The id is a 64-bit hash, and lines of equal ids count as equal: 1e8 distinct
+    lines hold a clash with odds of about 3e-4.  The sketch is the parity of how
+    often each of 32 groups of letters occurs.
     """
 
     def __init__(self, column: pa.Array, shortest: int):
@@ -76,10 +76,10 @@ class Lines:
             bit = _U(1) << (mix(self.points.astype(_U)) & _U(31))
             upto = np.zeros(n + 1, _U)
             np.bitwise_xor.accumulate(bit, out=upto[1:])
-            sketch = upto[self.end] ^ upto[self.start]
-            self.id = ((self.hash.of(self.start, self.end) & ~_U(0xFFFFFFFF)) | sketch).view(np.int64)
+            self.sketch = (upto[self.end] ^ upto[self.start]).astype(np.uint32)
+            self.id = self.hash.of(self.start, self.end).view(np.int64)
         else:
-            self.id = np.zeros(0, np.int64)
+            self.id, self.sketch = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def distinct(self) -> np.ndarray:
         return np.unique(self.id, return_index=True)[1]
@@ -157,18 +157,25 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 # ---------------------------------------------------------------- candidates
 
-def _alike(value: np.ndarray, other: np.ndarray, edits: int) -> np.ndarray:
-    near = np.bitwise_count(((value ^ other) & _SKETCH).view(_U)) <= 2 * edits
-    return near & (value != other)
+def _alike(sketch: np.ndarray, other: np.ndarray, edits: int) -> np.ndarray:
+    return np.bitwise_count(sketch ^ other) <= 2 * edits
 
 
-def join_bucket(sig: np.ndarray, line: np.ndarray, probe: np.ndarray, edits: int):
+def _once(sig: np.ndarray, line: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each (signature, line) once, ascending, and the lines' sketches."""
+    by = np.lexsort((line, sig))
+    by = by[group_bounds([sig[by], line[by]])[0]]
+    return np.stack([sig[by], line[by]]), sketch[by]
+
+
+def join_bucket(sig: np.ndarray, line: np.ndarray, sketch: np.ndarray, probe: np.ndarray, edits: int):
     """Candidate pairs of one bucket (equal signatures, one side indexed, sketches near), then what is too dense for pairs.
 
     A signature under which many lines meet many is handed on as (signature, line).
     """
-    index = np.unique(np.stack([sig[~probe].view(np.int64), line[~probe]]), axis=1)
-    asked = np.unique(np.stack([sig[probe].view(np.int64), line[probe]]), axis=1)
+    sig = sig.view(np.int64)
+    index, index_sketch = _once(sig[~probe], line[~probe], sketch[~probe])
+    asked, asked_sketch = _once(sig[probe], line[probe], sketch[probe])
     low = np.searchsorted(index[0], asked[0], "left")
     count = np.searchsorted(index[0], asked[0], "right") - low
     asks = np.searchsorted(asked[0], asked[0], "right") - np.searchsorted(asked[0], asked[0], "left")
@@ -181,8 +188,9 @@ def join_bucket(sig: np.ndarray, line: np.ndarray, probe: np.ndarray, edits: int
     while s < len(count):  # a few million comparisons at a time
         e = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + 4_000_000, "right")))
         who, k = spread(count[s:e])
-        x, y = asked[1][s:e][who], index[1][low[s:e][who] + k]
-        ok = _alike(x, y, edits)
+        at = low[s:e][who] + k
+        x, y = asked[1][s:e][who], index[1][at]
+        ok = _alike(asked_sketch[s:e][who], index_sketch[at], edits) & (x != y)
         yield np.minimum(x[ok], y[ok]), np.maximum(x[ok], y[ok]), True
         s = e
     yield crowd[0], crowd[1], False
@@ -190,7 +198,7 @@ def join_bucket(sig: np.ndarray, line: np.ndarray, probe: np.ndarray, edits: int
 
 def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded: int = CROWDED) -> DataFrame:
     """(a, b, pair): pairs of line ids (a < b) that may be within ``edits``, or lines b under dense signatures a."""
-    entry = np.dtype([("sig", "<u4"), ("line", "<i8")])
+    entry = np.dtype([("sig", "<u4"), ("line", "<i8"), ("sketch", "<u4")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, limit=LINE_SLICE):
@@ -202,7 +210,7 @@ def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded
                 bucket = (sig >> _U(32)).astype(np.int64) % buckets
                 by = np.argsort(bucket, kind="stable")
                 packed = np.empty(len(sig), entry)
-                packed["sig"], packed["line"] = sig[by].astype(np.uint32), lines.id[who[by]]
+                packed["sig"], packed["line"], packed["sketch"] = sig[by].astype(np.uint32), lines.id[who[by]], lines.sketch[who[by]]
                 first, last = group_bounds([bucket[by]]) if len(by) else ((), ())
                 for s, e in zip(first, last):
                     out["bucket"].append(int(bucket[by[s]]))
@@ -222,7 +230,7 @@ def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded
             data = [np.frombuffer(d, entry) for d, _ in parts]
             all_ = np.concatenate(data)
             probe = np.repeat([p for _, p in parts], [len(d) for d in data])
-            return all_["sig"].astype(_U) + (_U(bucket) << _U(32)), all_["line"], probe
+            return all_["sig"].astype(_U) + (_U(bucket) << _U(32)), all_["line"], all_["sketch"], probe
 
         def close(bucket, parts):
             for a, b, pair in join_bucket(*unpacked(bucket, parts), edits):
@@ -240,7 +248,7 @@ def candidates(rows: DataFrame, edits: int, shortest: int, buckets: int, crowded
                 held += batch.column("n")[i].as_py()
                 crowd = crowd or held > crowded
                 if crowd:  # hand all signatures on
-                    sig, line, _ = unpacked(bucket, parts)
+                    sig, line, _, _ = unpacked(bucket, parts)
                     yield result(sig.view(np.int64), line, False)
                     parts = []
         if parts:
@@ -282,13 +290,13 @@ def passes(pages: dict[int, np.ndarray], ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def family_links(ids: np.ndarray, texts: list[str], side: np.ndarray, cross: bool, edits: int):
+def family_links(ids: np.ndarray, sketches: np.ndarray, texts: list[str], side: np.ndarray, cross: bool, edits: int):
     """Verified links that connect exactly the lines connected by links of one group; lines already joined aren't compared."""
     n = len(ids)
     family = np.arange(n)
     a, b = [], []
     for x in range(1, n):
-        near = np.flatnonzero(_alike(ids[:x], ids[x], edits) & ((side[:x] != side[x]) | (not cross)))
+        near = np.flatnonzero(_alike(sketches[:x], sketches[x], edits) & (ids[:x] != ids[x]) & ((side[:x] != side[x]) | (not cross)))
         while len(near):
             y = int(near[0])
             if edit_distance(texts[x], texts[y], edits) <= edits:
@@ -313,11 +321,12 @@ def line_links(rows: DataFrame, edits: int, shortest: int, buckets: int, block:
             lines = Lines(batch.column("text"), shortest)
             at = lines.distinct()
             at = at[passes(pages.value, lines.id[at])]
-            yield pa.RecordBatch.from_arrays([pa.array(lines.id[at]), pa.array([lines.text(i) for i in at], pa.string())],
-                                             names=["id", "line"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lines.id[at]), pa.array(lines.sketch[at].view(np.int32)), pa.array([lines.text(i) for i in at], pa.string())],
+                names=["id", "sketch", "line"])
 
-    text = materialize(rows.mapInArrow(texts, "id long, line string").join(wanted, "id", "left_semi")
-                       .groupBy("id").agg(F.first("line").alias("line")), "line-texts")
+    text = materialize(rows.mapInArrow(texts, "id long, sketch int, line string").join(wanted, "id", "left_semi")
+                       .groupBy("id").agg(F.first("sketch").alias("sketch"), F.first("line").alias("line")), "line-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,14 +340,14 @@ def line_links(rows: DataFrame, edits: int, shortest: int, buckets: int, block:
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ("key", "p", "q")):
-            c = {k: t.column(k).to_numpy() for k in ("key", "p", "q", "own", "id")}
+            c = {k: t.column(k).to_numpy() for k in ("key", "p", "q", "own", "id", "sketch")}
             line = t.column("line").to_pylist()
             first, last = group_bounds([c[k] for k in ("key", "p", "q")])
             for s, e in zip(first.tolist(), last.tolist()):
-                a, b = family_links(c["id"][s:e], line[s:e], c["own"][s:e], bool(c["p"][s] != c["q"][s]), edits)
+                a, b = family_links(c["id"][s:e], c["sketch"][s:e].view(np.uint32), line[s:e], c["own"][s:e], bool(c["p"][s] != c["q"][s]), edits)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    groups = dealt(crowd, ["key"], ["id"], block).join(text, "id").select("key", "p", "q", "own", "id", "line")
+    groups = dealt(crowd, ["key"], ["id"], block).join(text, "id").select("key", "p", "q", "own", "id", "sketch", "line")
     dense = (groups.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "id").mapInArrow(family, "a long, b long"))
     return single.unionByName(dense)
 
@@ -362,7 +371,7 @@ def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, b
     if shortest <= edits:
         raise ValueError("lines must be longer than the number of edits")
     rows = _rows(docs)
-    if buckets is None:  # about 0.7 bytes of signatures a byte of text
+    if buckets is None:  # about 0.9 bytes of signatures a byte of text
         size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
         buckets = max(64, int(size) // BUCKET_BYTES)
 

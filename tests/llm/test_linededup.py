@@ -126,3 +126,21 @@ def test_drop_lines_and_empty(spark, tmp_dir):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in rows_of(out)}
     assert got == {1: (f"{x}\nshort\nshort", 36), 2: ("new line of some length", 23), 3: ("\nend", 4), 4: (None, None), 5: ("", 0)}
     assert rows_of(L.line_report(docs.where("doc_id > 9"))) == []
+
+
+def test_ids_of_templated_lines_differ_in_all_bits():
+    lines = L.Lines(pa.array([f"account number {7919 * i:010d} was closed today" for i in range(120_000)]), 20)
+    for shift in (0, 32):  # 120,000 values of 32 bits hold about 1.7 clashes
+        assert len(np.unique(lines.id.view(np.uint64) >> np.uint64(shift) & np.uint64(0xFFFFFFFF))) > 119_980
+    assert len(np.unique(lines.id)) == 120_000
+
+
+def test_lines_of_equal_sketch_and_half_an_id_stay(spark, tmp_dir):
+    # Same letters in another order: the same sketch, so only the hash tells the lines apart.
+    words = ["alpha", "bravo", "delta", "gamma", "kappa", "omega", "sigma", "theta"]
+    rng = random.Random(5)
+    texts = sorted({" ".join(rng.sample(words, 8)) for _ in range(2000)})
+    lines = L.Lines(pa.array(texts), 20)
+    assert len(np.unique(lines.sketch)) == 1 and len(np.unique(lines.id)) == len(texts)
+    docs = stored(spark, list(enumerate(texts)), "doc_id long, text string", tmp_dir)
+    assert all(r["n_removed"] == 0 for r in rows_of(L.line_report(docs, buckets=3)))
