@@ -29,7 +29,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.keep_clean(docs, documents(spark, sf_dir, "benchmark"))
+    return decontaminate.keep_clean(docs, documents(spark, sf_dir, "benchmark"), scaled=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,8 +6,11 @@ most ``SUBSTITUTIONS`` words is a leak.  Fixed masks each ignore the window's
 positions of two residues modulo 4, so whichever two positions are substituted,
 some mask ignores both and the masked hashes of the two windows are equal: no
 leak is missed.  Hits are verified word by word over the whole window, and
-verified windows are joined into overlaps.  Items of fewer words (but at least
-``LEAST``) must stand in the text whole and unchanged; shorter items are no
+verified windows are joined into overlaps.  Items of fewer words must stand in
+the text whole.  By default they must be unchanged and hold ``LEAST`` words at
+least.  With ``scaled``, as in the query and the pipeline, those of
+``ONE_FROM`` words or more may differ in one word (two masks, each without every
+other position), and ``SCALED_LEAST`` words are enough; shorter items are no
 evidence and are never matched.
 
 The documents are read once and never shuffled, however hot a passage is.  The
@@ -35,6 +38,7 @@ from sftforge.llm.common import (PrefixHash, documents, lowered, mix, prepare, s
                                  text_bytes, words)
 
 SPAN, SUBSTITUTIONS, LEAST = 13, 2, 5
+ONE_FROM, SCALED_LEAST = 7, 3
 RESIDUES = 4
 BLOCK_BYTES = 4 << 20
 
@@ -73,14 +77,19 @@ def window_starts(row: np.ndarray, span: int) -> np.ndarray:
 class Index:
     """Masked hashes of a block of the benchmark."""
 
-    def __init__(self, ids: list, texts: list):
+    def __init__(self, ids: list, texts: list, scaled: bool = False):
         self.ids = ids
         self.words, self.row, n = tokens(pa.array(texts, pa.string()))
         size = np.bincount(self.row, minlength=n)
-        #: (span, kept positions, salt, sorted hashes, window starts, filter)
+        #: (span, substitutions, kept positions, salt, sorted hashes, window starts, filter)
         self.masks = []
-        short = sorted({int(s) for s in size if LEAST <= s < SPAN})
-        for salt, (span, keep) in enumerate([(SPAN, m) for m in MASKS] + [(s, list(range(s))) for s in short]):
+        kinds = [(SPAN, SUBSTITUTIONS, m) for m in MASKS]
+        for s in sorted({int(s) for s in size if (SCALED_LEAST if scaled else LEAST) <= s < SPAN}):
+            if scaled and s >= ONE_FROM:
+                kinds += [(s, 1, list(range(odd, s, 2))) for odd in (0, 1)]
+            else:
+                kinds.append((s, 0, list(range(s))))
+        for salt, (span, most, keep) in enumerate(kinds):
             at = window_starts(self.row, span)
             if span < SPAN:
                 at = at[size[self.row[at]] == span]
@@ -88,13 +97,13 @@ class Index:
             by = np.argsort(h, kind="stable")
             seen = np.zeros(1 << 20, bool)
             seen[h >> np.uint64(44)] = True
-            self.masks.append((span, keep, salt, h[by], at[by], seen))
+            self.masks.append((span, most, keep, salt, h[by], at[by], seen))
 
     def overlaps(self, w: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Verified windows: start in ``w``, span, item."""
         found = []
         starts = {span: window_starts(row, span) for span in {m[0] for m in self.masks}}
-        for span, keep, salt, hashes, places, seen in self.masks:
+        for span, most, keep, salt, hashes, places, seen in self.masks:
             at = starts[span]
             h = masked(w, at, keep, salt)
             maybe = seen[h >> np.uint64(44)]
@@ -104,7 +113,7 @@ class Index:
             hit, k = spread(count)
             mine, theirs = at[hit], places[low[hit] + k]
             same = (w[mine[:, None] + np.arange(span)] == self.words[theirs[:, None] + np.arange(span)]).sum(axis=1)
-            good = same >= (span - SUBSTITUTIONS if span == SPAN else span)
+            good = same >= span - most
             found.append(np.stack([mine[good], np.full(good.sum(), span), self.row[theirs[good]]]))
         return tuple(np.unique(np.concatenate(found, axis=1), axis=1)) if found else (np.zeros(0, np.int64),) * 3
 
@@ -127,7 +136,7 @@ class Index:
         return out
 
 
-def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
+def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, scaled: bool = False) -> list:
     """Broadcast indexes of the benchmark, a block each; the driver holds one block at a time."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
@@ -136,11 +145,11 @@ def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
     out = []
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        out.append(spark.sparkContext.broadcast(Index([r["item_id"] for r in rows], [r["text"] for r in rows])))
+        out.append(spark.sparkContext.broadcast(Index([r["item_id"] for r in rows], [r["text"] for r in rows], scaled)))
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, scaled: bool = False) -> DataFrame:
     """doc_id, contaminated, item_ids (ascending, each once), leaked_words, n_words of each row."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -158,7 +167,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
 
         return rows.mapInArrow(run, "doc_id long, text string, items array<long>, spans array<long>")
 
-    for index in indexes(benchmark, block_bytes):
+    for index in indexes(benchmark, block_bytes, scaled):
         rows = search(index)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +190,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
     return rows.mapInArrow(close, "doc_id long, contaminated boolean, item_ids array<long>, leaked_words long, n_words long")
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, scaled: bool = False) -> DataFrame:
     """The rows, all columns, without any leak."""
     prepare(docs.sparkSession)
 
@@ -193,10 +202,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
         return rows.mapInArrow(run, docs.schema)
 
     out = docs
-    for index in indexes(benchmark, block_bytes):
+    for index in indexes(benchmark, block_bytes, scaled):
         out = drop(out, index)
     return out
 
 
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), scaled=True)

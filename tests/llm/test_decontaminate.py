@@ -91,3 +91,30 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert as_rows(D.find_leaks(docs, none)) == [(1, False, [], 0, 6)]
     assert rows_of(D.find_leaks(docs.where("doc_id > 1"), none)) == []
+
+
+def test_query_and_stage_find_short_items(spark, tmp_dir):
+    import corpus_pipeline
+    vocab = [f"v{i}" for i in range(40)]
+    items, docs, want = [], [], {}
+    for n in range(2, 13):
+        item = vocab[n:2 * n]
+        items.append((n, " ".join(item)))
+        for changes in range(3):
+            w = list(item)
+            for p in random.Random(n).sample(range(n), min(changes, n)):
+                w[p] = "zz"
+            key = 10 * n + changes
+            docs.append((key, " ".join(["before", "it", *w, "after"])))
+            want[key] = n if changes == 0 and n >= 3 or changes == 1 and n >= 7 else None
+        for p in range(n) if n >= 7 else ():  # whichever word is changed
+            key = 1000 * n + p
+            docs.append((key, " ".join(item[:p] + ["zz"] + item[p + 1:])))
+            want[key] = n
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    got = {r["doc_id"]: r["item_ids"] for r in rows_of(D.op3_spaced_seed_decontamination(spark, tmp_dir))}
+    for key, n in want.items():
+        assert (n in got[key]) if n else key // 10 not in got[key], key
+    kept = corpus_pipeline.unleaked(spark, spark.read.parquet(f"{tmp_dir}/documents.parquet"), tmp_dir)
+    assert {r["doc_id"] for r in rows_of(kept)} == {k for k, found in got.items() if not found}
