@@ -159,11 +159,15 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
 
 def plan(distinct: DataFrame, max_bits: int = MAX_BITS) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each partition that is probed."""
+    if not 0 <= max_bits <= 64:
+        raise ValueError("max_bits must be from 0 to 64")
     n, both = bit_counts(distinct)
     if n < 2:
         return []
     p = np.diag(both) / n
-    options = [correlated_parts(n, both, m) for m in PART_COUNTS]
+    # Thresholds go up to 2, so a partition takes 3 of the max_bits + 1 that have to be dealt out.
+    counts = sorted({*PART_COUNTS, max(*PART_COUNTS, -(-(max_bits + 1) // 3))})
+    options = [correlated_parts(n, both, m) for m in counts]
     flat = [(m, i, bits) for m, parts in enumerate(options) for i, bits in enumerate(parts)]
     keyed = distinct.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(mask_of(bits))).alias("v"))

@@ -94,3 +94,25 @@ def test_links_lose_none_with_hot_keys(spark, block, parts):
 def test_allocate_is_least_cost():
     cost, t = S.allocate([[0, 5, 9], [0, 1, 2], [0, 4, 40]], 3)
     assert (cost, t) == (6, [-1, 1, 0])
+
+
+@pytest.mark.parametrize("bits", [15])
+def test_many_bits_match_brute_force(spark, bits):
+    rng = np.random.default_rng(bits)
+    items = []
+    for i in range(30):
+        fp = int(rng.integers(0, 1 << 64, dtype=np.uint64))
+        for differ in (0, bits - 1, bits, bits + 1):  # from the first of the four
+            near = fp
+            for b in rng.permutation(64)[:differ].tolist():
+                near ^= 1 << b
+            items.append((len(items), near))
+    signed = [(i, fp - (1 << 64) if fp >> 63 else fp) for i, fp in items]
+    got = sorted((r["doc_id"], r["component_id"]) for r in rows_of(S.near_duplicates(spark.createDataFrame(signed, "doc_id long, fp long"), bits)))
+    assert got == [(i, c) for (i, _), c in zip(items, brute_components(items, bits))]
+
+
+def test_bits_out_of_range(spark):
+    for bits in (-1, 65):
+        with pytest.raises(ValueError):
+            S.plan(spark.createDataFrame([(1,), (2,)], "fp long"), bits)
