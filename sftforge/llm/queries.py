@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from sftforge.llm import chat, decontaminate, hardneg, linededup, lmscore, packing, secrets, simhash, suffixes, topk, toxicity
+from sftforge.llm import (
+    chat, convrepair, decontaminate, hardneg, linededup, lmscore, packing, secrets, simhash, suffixes, topk, toxicity)
 
 QUERIES = {
     "op1_typed_chat_parts": chat.op1_typed_chat_parts,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_simhash_pigeonhole": simhash.op8_simhash_pigeonhole,
     "op9_segment_line_dedup": linededup.op9_segment_line_dedup,
     "op10_impact_ordered_topk": topk.op10_impact_ordered_topk,
+    "op11_repair_grammar_conversations": convrepair.op11_repair_grammar_conversations,
     "op13_threshold_hard_negatives": hardneg.op13_threshold_hard_negatives,
 }
 
@@ -22,5 +24,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_typed_chat_parts": chat.SQL,
     "op2_suffix_array_dedup": suffixes.SQL,
     "op10_impact_ordered_topk": topk.SQL,
+    "op11_repair_grammar_conversations": convrepair.SQL,
     "op13_threshold_hard_negatives": hardneg.SQL,
 }
