@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sftforge.llm import (
-    chat, convrepair, decontaminate, hardneg, linededup, lmscore, packing, secrets, simhash, suffixes, topk, toxicity)
+    chat, convrepair, decontaminate, hardneg, htmltext, linededup, lmscore, packing, secrets, simhash, suffixes, topk, toxicity)
 
 QUERIES = {
     "op1_typed_chat_parts": chat.op1_typed_chat_parts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_segment_line_dedup": linededup.op9_segment_line_dedup,
     "op10_impact_ordered_topk": topk.op10_impact_ordered_topk,
     "op11_repair_grammar_conversations": convrepair.op11_repair_grammar_conversations,
+    "op12_tree_model_extraction": htmltext.op12_tree_model_extraction,
     "op13_threshold_hard_negatives": hardneg.op13_threshold_hard_negatives,
 }
 
