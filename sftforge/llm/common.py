@@ -12,11 +12,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from sftforge.session import materialize, ship_package
 
-__all__ = ["WORD_BREAK", "PrefixHash", "LOWER", "documents", "lowered", "materialize", "mix",
+__all__ = ["WORD_BREAK", "PrefixHash", "LOWER", "digests", "documents", "lowered", "materialize", "mix",
            "prepare", "sliced", "spread", "text_bytes", "words"]
 
 SLICE_BYTES = 2 << 20
@@ -130,17 +131,31 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH3 (64 bits) of the bytes of each substring."""
+    size, digest = data.itemsize, xxhash.xxh3_64_intdigest
+    view = memoryview(np.ascontiguousarray(data).view(np.uint8))
+    return np.fromiter((digest(view[s:e]) for s, e in zip((starts * size).tolist(), (ends * size).tolist())), _U, len(starts))
+
+
 class PrefixHash:
     """64-bit hashes of any substrings of one array of bytes or code points, each in constant time.
 
     A polynomial over random values modulo 2**64, mixed at the end.  Equal
-    strings hash alike wherever they stand, in every task and run.
+    strings hash alike wherever they stand, in every task and run.  Modulo a power
+    of two a polynomial sends some unequal strings to one value whatever its base,
+    the more the longer they are (the Thue-Morse word and its complement, say), so
+    ``of`` takes XXH3 of the bytes themselves from ``LONG`` units on.  ``raw`` is
+    the bare polynomial: for short windows, and for candidates that are verified.
     """
 
+    LONG = 48
+
     _VALUES = mix(np.arange(256, dtype=_U) * _U(0xD6E8FEB86659FD93) + _U(0x1234567))
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        self.data = data
         values = self._VALUES[data] if data.dtype == np.uint8 else mix(data.astype(_U) + _U(0x51ED27))
         self.sums = np.zeros(n + 1, _U)
         np.cumsum(values * _powers(_BASE, n), out=self.sums[1:])
@@ -150,7 +165,11 @@ class PrefixHash:
         return (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix(self.raw(starts, ends) + (ends - starts).astype(_U) * _U(0xA0761D6478BD642F))
+        out = mix(self.raw(starts, ends) + (ends - starts).astype(_U) * _U(0xA0761D6478BD642F))
+        long = np.flatnonzero(ends - starts >= self.LONG)
+        if len(long):
+            out[long] = digests(self.data, starts[long], ends[long])
+        return out
 
 
 def lowered(data: np.ndarray) -> np.ndarray:

@@ -27,6 +27,7 @@ ignored by ``line_report`` and kept by ``drop_lines``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import dealt, group_bounds, whole_groups
-from sftforge.llm.common import PrefixHash, code_points, documents, materialize, mix, prepare, sliced, spread
+from sftforge.llm.common import PrefixHash, code_points, digests, documents, materialize, mix, prepare, sliced, spread
 from sftforge.llm.graph import connected_components
 
 EDITS, SHORTEST = 2, 20
 BUCKET_BYTES = 8 << 20
 LINE_SLICE = 1 << 20
+COMMON = 10_000
 CROWDED = 2_000_000
 BLOCK = 256
 #: Mean of the numbers of lines on both sides (harmonic, halved) beyond which a signature's pairs aren't written out.
@@ -53,9 +55,10 @@ _U = np.uint64
 class Lines:
     """The lines of a slice of texts: place, length, id and sketch.
 
-    The id is a 64-bit hash, and lines of equal ids count as equal: 1e8 distinct
-    lines hold a clash with odds of about 3e-4.  The sketch is the parity of how
-    often each of 32 groups of letters occurs.
+    The id is XXH3 of the line's code points, 64 bits, and lines of equal ids count
+    as equal: if it spreads lines like a random function, 1e8 distinct lines hold a
+    clash with odds of about 3e-4.  The sketch is the parity of how often each of
+    32 groups of letters occurs.
     """
 
     def __init__(self, column: pa.Array, shortest: int):
@@ -71,16 +74,20 @@ class Lines:
         number = spread(self.count)[1]
         keep = ends - starts >= shortest
         self.start, self.end, self.row, self.number = starts[keep], ends[keep], row[keep], number[keep]
-        self.hash = PrefixHash(self.points) if n else None
         if len(self.start):
             bit = _U(1) << (mix(self.points.astype(_U)) & _U(31))
             upto = np.zeros(n + 1, _U)
             np.bitwise_xor.accumulate(bit, out=upto[1:])
             self.sketch = (upto[self.end] ^ upto[self.start]).astype(np.uint32)
-            self.id = self.hash.of(self.start, self.end).view(np.int64)
+            self.id = digests(self.points, self.start, self.end).view(np.int64)
         else:
             self.id, self.sketch = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
+    @cached_property
+    def hash(self) -> PrefixHash:
+        """For the substrings of segments, whose candidates are verified."""
+        return PrefixHash(self.points)
+
     def distinct(self) -> np.ndarray:
         return np.unique(self.id, return_index=True)[1]
 
@@ -392,10 +399,16 @@ def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, b
     roots = connected_components(line_links(rows, edits, shortest, buckets, **sizes)).selectExpr("node AS id", "root")
     linked = materialize(lines.join(roots, "id"), "line-classes")
     classes = linked.select("id", "root").join(linked.groupBy("root").agg(F.min("first").alias("keep")), "root").select("id", "keep")
-    known = lines.join(classes, "id", "left").where("n > 1 OR keep IS NOT NULL").select("id", F.coalesce("keep", "first").alias("keep"))
+    known = materialize(lines.join(classes, "id", "left").where("n > 1 OR keep IS NOT NULL")
+                        .select("id", "n", F.coalesce("keep", "first").alias("keep")), "line-known")
+    # A line with over a COMMON-th of all occurrences isn't met in one task: by counting there are at most COMMON of those.
+    often = F.col("n") > at.count() / COMMON
+    hot, rare = F.broadcast(known.where(often)), known.where(~often)
+    stands = at.where("id IS NOT NULL")
+    met = stands.join(hot, "id").unionByName(stands.join(hot.select("id"), "id", "left_anti").join(rare, "id"))
     goes = ~((F.col("keep.row") == F.col("row")) & (F.col("keep.line") == F.col("line")))
     # Lines that no other equals or resembles need no join; a document's own row has no line id and takes no part in it.
-    gone = (at.where("id IS NOT NULL").join(known, "id").where(goes)
+    gone = (met.where(goes)
             .select("row", F.struct("line", F.col("keep.doc_id").alias("doc")).alias("gone")))
     per = (at.where("id IS NULL").selectExpr("row", "doc_id", "line AS n_lines", "CAST(NULL AS STRUCT<line: INT, doc: BIGINT>) AS gone")
            .unionByName(gone.selectExpr("row", "CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS INT) AS n_lines", "gone"))

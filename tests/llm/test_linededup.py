@@ -144,3 +144,13 @@ def test_lines_of_equal_sketch_and_half_an_id_stay(spark, tmp_dir):
     assert len(np.unique(lines.sketch)) == 1 and len(np.unique(lines.id)) == len(texts)
     docs = stored(spark, list(enumerate(texts)), "doc_id long, text string", tmp_dir)
     assert all(r["n_removed"] == 0 for r in rows_of(L.line_report(docs, buckets=3)))
+
+
+def test_unequal_lines_that_a_polynomial_confuses(spark, tmp_dir):
+    """The Thue-Morse word and its complement agree under any polynomial modulo a power of two."""
+    for n in (1024, 4096):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        other = word.translate(str.maketrans("ab", "ba"))
+        docs = [(1, word), (2, other), (3, word)]
+        frame = stored(spark, docs, "doc_id long, text string", tmp_dir)
+        assert as_rows(L.line_report(frame)) == [(1, 1, [], []), (2, 1, [], []), (3, 1, [0], [1])]

@@ -73,3 +73,12 @@ def test_pieces(n):
     got = P.pieces(n)
     assert sum(got) == n and got == sorted(got, reverse=True)
     assert len(set(p for p in got if p < 1024)) == len([p for p in got if p < 1024])
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_unequal_words_that_a_polynomial_confuses(spark, tmp_dir, n):
+    """The Thue-Morse word and its complement agree under any polynomial modulo a power of two."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    texts = [word, word.translate(str.maketrans("ab", "ba"))]
+    frame = stored(spark, list(enumerate(texts)), "doc_id long, text string", tmp_dir).coalesce(1)
+    check_pieces(rows_of(P.pack(frame, PATH)), dict(enumerate(brute(texts))))

@@ -88,3 +88,15 @@ def test_query_matches_brute_force(spark):
 
 def test_empty_table(spark, tmp_dir):
     assert rows_of(S.drop_repeated(stored(spark, [], "doc_id long, text string", tmp_dir))) == []
+
+
+def test_unequal_segments_that_a_polynomial_confuses(spark, tmp_dir):
+    """The Thue-Morse word and its complement agree under any polynomial modulo a power of two; their strings all differ in place."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    texts = [word, word.translate(str.maketrans("ab", "ba"))]
+    docs = [(i, "x" * i + t + "y" * i) for i, t in enumerate(texts)]
+    for length in (200, 600):
+        out = [tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in rows_of(
+            S.drop_repeated(stored(spark, docs, "doc_id long, text string", tmp_dir), length, shard_bytes=2048).selectExpr(
+                "doc_id", "n_bytes", "n_bytes - octet_length(kept) AS n_removed", "CAST(size(spans) / 2 AS long) AS n_spans", "sha2(kept, 256) AS kept_sha256"))]
+        assert sorted(out, key=str) == brute(docs, length)
