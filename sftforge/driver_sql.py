@@ -38,7 +38,8 @@ def skey(i: str = "instruction", inp: str = "input") -> str:
 
 
 def round4(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,12)), 4) AS DOUBLE)"
+    """By the exact decimal value of the double, as C's printf prints it."""
+    return f"CAST(printf('%.4f', {x}) AS DOUBLE)"
 
 
 RAW = "CASE WHEN lang = 'de' THEN replace(text, 'ß', chr(65533)) ELSE text END"
@@ -123,6 +124,8 @@ def items(source: str, key: str, system: str) -> str:
 
 
 ITEMS = items("benchmark", "item_id", "CAST(NULL AS VARCHAR)")
+PART_TEXT = "p_name || '. ' || p_brand || ', type ' || lower(p_type) || ', size ' || p_size"
+PART_ITEMS = items(f"(SELECT p_partkey, {PART_TEXT} AS text FROM part)", "p_partkey", "CAST(NULL AS VARCHAR)")
 DOC_ITEMS = items("documents", "doc_id", "CASE WHEN doc_id % 3 = 0 THEN 'Answer in ' || lang END")
 
 USER = (f"CASE WHEN coalesce(input, '') <> '' THEN instruction || {SEP} || input "
@@ -136,7 +139,8 @@ MODELS = """(SELECT * FROM (VALUES
 
 LEAD = f"{strip(f'instruction || CASE WHEN length(u) % 2 = 0 THEN {HINT} ELSE {chr(39)}{chr(39)} END')}"
 
-ANSWERS = f"""(WITH it AS (SELECT *, {USER} AS u FROM {DOC_ITEMS})
+def answers(source: str) -> str:
+    return f"""(WITH it AS (SELECT *, {USER} AS u FROM {source})
  SELECT 'echo' AS model_name, 0 AS model_ord, item_seq, id, instruction, reference, keywords,
         {strip(f"'  ' || u || ' ' || {NL}")} AS answer FROM it
  UNION ALL
@@ -148,17 +152,26 @@ ANSWERS = f"""(WITH it AS (SELECT *, {USER} AS u FROM {DOC_ITEMS})
  WHERE item_seq % 7 = 0)"""
 
 
-def grams(chars: str) -> str:
-    return (f"CASE WHEN len({chars}) = 1 THEN {chars} ELSE list_distinct(list_transform(range(1, len({chars})), "
-            f"lambda i: {chars}[i] || {chars}[i + 1])) END")
+ANSWERS, PART_ANSWERS = answers(DOC_ITEMS), answers(PART_ITEMS)
 
+# The longest common substring of a and b, first in a, then first in b.  For texts of under 200
+# characters, as these are, in which no character is kept from starting a block.
+LONGEST = """list_sort(list_filter(flatten(list_transform(range(1, length(a) + 1), lambda i:
+   list_transform(range(1, length(a) - i + 2), lambda k: CASE WHEN contains(b, substr(a, i, k)) THEN {'k': -k, 'i': i} END))),
+   lambda x: x IS NOT NULL))[1]"""
 
-def chars(x: str) -> str:
-    return f"CASE WHEN {x} = '' THEN CAST([] AS VARCHAR[]) ELSE string_split({x}, '') END"
-
-
-SIMILARITY = ("CASE WHEN len(ga) + len(gb) = 0 THEN 1.0 "
-              "ELSE 2.0 * len(list_intersect(ga, gb)) / (len(ga) + len(gb)) END")
+RATIOS = f"""(WITH RECURSIVE blocks AS (
+   SELECT answer, reference, a, b, {LONGEST} AS best FROM (SELECT DISTINCT answer, reference, answer AS a, reference AS b FROM {PART_ANSWERS})
+   UNION ALL
+   SELECT answer, reference, a, b, {LONGEST} AS best FROM (
+     SELECT answer, reference, part.a AS a, part.b AS b FROM (
+       SELECT answer, reference, unnest([{{'a': substr(a, 1, best.i - 1), 'b': substr(b, 1, j - 1)}},
+                                         {{'a': substr(a, best.i - best.k), 'b': substr(b, j - best.k)}}]) AS part
+       FROM (SELECT *, instr(b, substr(a, best.i, -best.k)) AS j FROM blocks WHERE best IS NOT NULL)))
+   WHERE a <> '' AND b <> '')
+ SELECT answer, reference, CASE WHEN length(answer) + length(reference) = 0 THEN 1.0
+        ELSE 2.0 * coalesce(sum(-best.k), 0) / (length(answer) + length(reference)) END AS reference_similarity
+ FROM blocks GROUP BY answer, reference)"""
 
 KW_RATE = ("CASE WHEN len(keywords) = 0 THEN 0.0 ELSE "
            "CAST(len(list_filter(keywords, lambda k: k <> '' AND contains(answer, k))) AS DOUBLE)"
@@ -166,10 +179,9 @@ KW_RATE = ("CASE WHEN len(keywords) = 0 THEN 0.0 ELSE "
 
 HINTS = " OR ".join(f"contains(answer, '{t}')" for t in RISK_HINT_TOKENS)
 
-SCORES = f"""(SELECT * EXCLUDE (ga, gb, ca, cb), {KW_RATE} AS keyword_hit_rate, {SIMILARITY} AS reference_similarity,
-   ({HINTS}) AS has_risk_hint, CAST(length(answer) AS INTEGER) AS answer_length
- FROM (SELECT *, {grams('ca')} AS ga, {grams('cb')} AS gb
-       FROM (SELECT *, {chars('answer')} AS ca, {chars('reference')} AS cb FROM {ANSWERS})))"""
+RATED = f"""{KW_RATE} AS keyword_hit_rate, ({HINTS}) AS has_risk_hint, CAST(length(answer) AS INTEGER) AS answer_length"""
+DOC_SCORES = f"(SELECT *, {RATED} FROM {ANSWERS})"
+SCORES = f"(SELECT *, {RATED} FROM {PART_ANSWERS} JOIN {RATIOS} AS ratios USING (answer, reference))"
 
 SUMMARY = f"""(SELECT m.model_ord, m.model_name, m.base_model, m.adapter,
    '{TEMPLATE}' AS template, coalesce(s.n, 0) AS num_examples,
@@ -192,12 +204,17 @@ def _cells(metrics) -> str:
     return ",\n   ".join(out)
 
 
-COMPARISON = f"""(SELECT id,
+def compared(scores: str, metrics) -> str:
+    return f"""(SELECT id,
    first(instruction ORDER BY model_ord, item_seq) AS instruction,
    first(reference ORDER BY model_ord, item_seq) AS reference,
    first(keywords ORDER BY model_ord, item_seq) AS keywords,
-   {_cells(('answer', 'keyword_hit_rate', 'reference_similarity', 'has_risk_hint'))}
- FROM {SCORES} GROUP BY id)"""
+   {_cells(metrics)}
+ FROM {scores} GROUP BY id)"""
+
+
+COMPARISON = compared(SCORES, ('answer', 'keyword_hit_rate', 'reference_similarity', 'has_risk_hint'))
+DOC_COMPARISON = compared(DOC_SCORES, ('answer', 'has_risk_hint'))
 
 
 def _detail_cols() -> str:
@@ -281,7 +298,7 @@ ORACLE_SQL: dict[str, str] = {
         {round4('risk_hint_rate')} AS risk_hint_rate FROM {SUMMARY}""",
     "detail_report_text": "SELECT id, instruction, reference, coalesce(array_to_string(keywords, ', '), '') AS keywords, "
         + ", ".join(f"coalesce(CAST({m}_{x} AS VARCHAR), '') AS {m}_{x}" for m in MODEL_NAMES
-                    for x in ("has_risk_hint", "answer")) + f" FROM {COMPARISON}",
+                    for x in ("has_risk_hint", "answer")) + f" FROM {DOC_COMPARISON}",
     "bench_cross_models": f"""SELECT i.id, m.model_ord, m.model_name, m.base_model, m.adapter
         FROM {DOC_ITEMS} i, {MODELS} m""",
     "build_prompt": f"""SELECT id, 'system' AS role0, coalesce(system, {SYSTEM}) AS system_content,
@@ -289,7 +306,7 @@ ORACLE_SQL: dict[str, str] = {
     **{name: f"""SELECT instruction, coalesce(input, '') AS input,
         {strip(f"' ' || chr(12288) || reference || {NL} || ' '")} AS output, coalesce(system, '') AS system FROM {DOC_ITEMS}"""
        for name in ("batch_generate", "distilled_round_trip")},
-    "keyword_hit_rate": f"SELECT id, model_name, item_seq, keyword_hit_rate FROM {SCORES}",
+    "keyword_hit_rate": f"SELECT id, model_name, item_seq, keyword_hit_rate FROM {DOC_SCORES}",
     "risk_flag": "SELECT doc_id, (" + " OR ".join(
         f"contains(coalesce(text, ''), '{t}')" for t in LICENSE_HINTS)
         + ") AS has_risk_hint, CAST(length(coalesce(text, '')) AS INTEGER) AS answer_length "

@@ -8,7 +8,8 @@ from sftforge.functions.prompts import (
 from sftforge.functions.quality import DEFAULT_BOUNDS, QualityBounds, reject_reason
 from sftforge.functions.scores import (
     RISK_HINT_TOKENS, answer_length, has_risk_hint, keyword_hit_rate,
-    reference_similarity, round_score, similarity_upper_bound)
+    round_score, similarity_upper_bound)
+from sftforge.functions.similarity import reference_similarity
 from sftforge.functions.text import (
     INSTRUCTION_CANDIDATES, OUTPUT_CANDIDATES, exact_names, normalize_text,
     pick_first, strip_text)

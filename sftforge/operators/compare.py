@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftforge.functions.scores import (
-    RISK_HINT_TOKENS, answer_length, has_risk_hint, keyword_hit_rate,
-    reference_similarity, round_score)
+    RISK_HINT_TOKENS, answer_length, has_risk_hint, keyword_hit_rate, round_score)
+from sftforge.functions.similarity import reference_similarity
 from sftforge.functions.text import quote
 
 # Per-model cells of a comparison row, and their order in the

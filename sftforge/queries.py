@@ -35,7 +35,7 @@ from sftforge.sources.readers import (
 from sftforge.sources.registry import load_registered
 from sftforge.sources.sinks import write_model_results, write_table
 from sftforge.sources.testdata import (
-    MODEL_SPECS, benchmark_items, chat_rows, derived_answers, document_items, document_pairs, flat_rows, table)
+    MODEL_SPECS, benchmark_items, chat_rows, derived_answers, document_items, document_pairs, flat_rows, part_items, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,13 +355,18 @@ def _answers(spark, sf):
     return derived_answers(_doc_items(spark, sf), model_rows(spark, MODEL_SPECS))
 
 
-def _scores(spark, sf):
+def _doc_scores(spark, sf):
     return score_answers(_answers(spark, sf))
 
 
+def _scores(spark, sf):
+    """Scores of three models' answers to the parts' items, whose texts are short enough for SQL to match block by block."""
+    return score_answers(derived_answers(part_items(table(spark, sf, "part")), model_rows(spark, MODEL_SPECS)))
+
+
 @query
 def keyword_hit_rate(spark, sf):
-    return _scores(spark, sf).select("id", "model_name", "item_seq", "keyword_hit_rate")
+    return _doc_scores(spark, sf).select("id", "model_name", "item_seq", "keyword_hit_rate")
 
 
 @query
@@ -376,6 +381,12 @@ def similarity(spark, sf):
     return _scores(spark, sf).select("id", "model_name", "item_seq", "reference_similarity")
 
 
+@query
+def similarity_documents(spark, sf):
+    """The ratio of whole documents' answers, by the rules for long texts too (no SQL: matching them there takes hours)."""
+    return _doc_scores(spark, sf).select("id", "model_name", "item_seq", "reference_similarity")
+
+
 @query
 def similarity_bound(spark, sf):
     a = _answers(spark, sf)
@@ -419,7 +430,8 @@ def detail_report_stub(spark, sf):
 @query
 def detail_report_text(spark, sf):
     """The report's texts and flags as display text, '' where a model has no answer."""
-    return blank_missing(detail_report(_comparison(spark, sf), list(MODEL_NAMES), ("has_risk_hint", "answer")))
+    metrics = ("has_risk_hint", "answer")
+    return blank_missing(detail_report(comparison(_doc_scores(spark, sf), MODEL_NAMES, metrics), list(MODEL_NAMES), metrics))
 
 
 @query

@@ -96,6 +96,12 @@ def document_items(documents: DataFrame) -> DataFrame:
     return _items(documents, "doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Answer in "), F.col("lang"))))
 
 
+def part_items(part: DataFrame) -> DataFrame:
+    """Items of all parts, their columns as a short text."""
+    text = F.concat("p_name", F.lit(". "), "p_brand", F.lit(", type "), F.lower("p_type"), F.lit(", size "), F.col("p_size").cast("string"))
+    return _items(part.select("p_partkey", text.alias("text")), "p_partkey", F.lit(None).cast("string"))
+
+
 def derived_answers(items: DataFrame, models) -> DataFrame:
     """Answers of three models as expressions over the items, in the jobs' answer columns.
 
