@@ -8,6 +8,12 @@ through the ``noop`` sink, so the whole plan executes without shipping rows to
 the driver.  Time includes the query's own setup jobs (key histogram, scratch
 writes).  A warm-up pass runs first so JVM and Python-worker start-up are not
 charged to a query.
+
+Every time goes to standard error at once.  A query that runs over
+BENCH_QUERY_LIMIT seconds (default 120) is cancelled and listed under ``stopped``;
+after BENCH_LIMIT seconds (default 1500) no further repeat or query is begun, and
+what wasn't reached is listed under ``skipped``; the JSON line is printed in any
+case, also when the process is asked to end.
 """
 
 from __future__ import annotations
@@ -15,7 +21,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import signal
 import sys
+import threading
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,28 +45,55 @@ def main() -> None:
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").repartition(cpus)
     bench.select(normalize_text(F.col("text")).alias("t")).write.format("noop").mode("overwrite").save()
 
+    limit, query_limit = float(os.environ.get("BENCH_LIMIT", "1500")), float(os.environ.get("BENCH_QUERY_LIMIT", "120"))
+    begun = time.perf_counter()
+    names = [n for n in QUERIES if not wanted or n in wanted]
     times: dict[str, float] = {}
-    for name, fn in QUERIES.items():
-        if wanted and name not in wanted:
-            continue
-        runs = []
+    stopped: list[str] = []
+    m = re.search(r"sf([0-9.]+)$", sf_dir)
+
+    def report() -> None:
+        print(json.dumps({
+            "metric": "total_query_seconds",
+            "value": round(sum(times.values()), 3),
+            "unit": "sec",
+            "queries": times,
+            "sf": float(m.group(1)) if m else sf_dir,
+            "cpus": cpus,
+            "repeats": repeats,
+            "stat": "min",
+            "stopped": stopped,
+            "skipped": [n for n in names if n not in times and n not in stopped],
+        }), flush=True)
+
+    def ended(*_) -> None:
+        report()
+        os._exit(1)
+
+    signal.signal(signal.SIGTERM, ended)
+    for name in names:
         for _ in range(repeats):
+            if time.perf_counter() - begun > limit or name in stopped:
+                break
+            spark.sparkContext.setJobGroup(name, name, interruptOnCancel=True)
+            watch = threading.Timer(query_limit, spark.sparkContext.cancelJobGroup, [name])
+            watch.start()
             t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(min(runs), 3)
-
-    m = re.search(r"sf([0-9.]+)$", sf_dir)
-    print(json.dumps({
-        "metric": "total_query_seconds",
-        "value": round(sum(times.values()), 3),
-        "unit": "sec",
-        "queries": times,
-        "sf": float(m.group(1)) if m else sf_dir,
-        "cpus": cpus,
-        "repeats": repeats,
-        "stat": "min",
-    }))
+            try:
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            except Exception as failed:  # noqa: BLE001 -- one query's end isn't the bench's
+                if time.perf_counter() - t0 < query_limit:
+                    raise
+                stopped.append(name)
+                times.pop(name, None)
+                print(f"{name}: stopped after {query_limit} s ({type(failed).__name__})", file=sys.stderr, flush=True)
+                break
+            finally:
+                watch.cancel()
+            took = round(time.perf_counter() - t0, 3)
+            times[name] = min(took, times.get(name, took))
+            print(f"{name}: {took} s", file=sys.stderr, flush=True)
+    report()
     spark.stop()
 
 
