@@ -303,9 +303,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM {DOC_ITEMS} i, {MODELS} m""",
     "build_prompt": f"""SELECT id, 'system' AS role0, coalesce(system, {SYSTEM}) AS system_content,
         'user' AS role1, {USER} AS user_content FROM {DOC_ITEMS}""",
-    **{name: f"""SELECT instruction, coalesce(input, '') AS input,
-        {strip(f"' ' || chr(12288) || reference || {NL} || ' '")} AS output, coalesce(system, '') AS system FROM {DOC_ITEMS}"""
-       for name in ("batch_generate", "distilled_round_trip")},
+    "batch_generate": f"""SELECT instruction, coalesce(input, '') AS input,
+        {strip(f"'teacher|' || coalesce(system, '') || '|' || {USER}")} AS output, coalesce(system, '') AS system FROM {DOC_ITEMS}""",
+    "model_answers_generated": f"""SELECT model_name, model_ord - 1 AS model_ord, item_seq, id,
+        {strip(f"model_name || '|' || {SYSTEM} || '|' || {USER}")} AS answer FROM {PART_ITEMS}, {MODELS} WHERE model_ord > 0""",
+    "distilled_round_trip": f"""SELECT instruction, coalesce(input, '') AS input,
+        {strip(f"' ' || chr(12288) || reference || {NL} || ' '")} AS output, coalesce(system, '') AS system FROM {DOC_ITEMS}""",
     "keyword_hit_rate": f"SELECT id, model_name, item_seq, keyword_hit_rate FROM {DOC_SCORES}",
     "risk_flag": "SELECT doc_id, (" + " OR ".join(
         f"contains(coalesce(text, ''), '{t}')" for t in LICENSE_HINTS)

@@ -17,8 +17,11 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sftforge.operators.journal import Journal
+
 GeneratorFactory = Callable[[dict], Callable[[list], list]]
 
 # Generation defaults (generate step / evaluate step).
@@ -46,7 +49,7 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
              messages_col: str = "messages", output_col: str = "response",
              group_col: str | None = None,
              group_options: dict | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, journal: str | None = None, profile=None) -> DataFrame:
     """Add ``output_col`` with one generated response per row, same order.
 
     With ``group_col`` (e.g. the model name) rows are sorted by it inside each
@@ -56,8 +59,15 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     value to extra options (e.g. the model's base model and adapter).
 
     The input keeps its partitions, so the number of tasks follows the data;
-    ``partitions`` deals the rows out anew, for a prompt table that is read from
-    too few files.
+    ``partitions`` deals the rows out anew by the prompts' hash, for a prompt table
+    that is read from too few files.
+
+    With ``journal`` (a folder that all tasks see) each batch's answers are kept
+    there as soon as they are there, and a retried task or a later run generates
+    only batches that aren't (:mod:`journal`); a task that finds all of its batches
+    builds no generator.  Rows are sorted by their prompt's hash, so a partition's
+    batches are the same in every attempt.  ``profile``: a Spark ``ResourceProfile``
+    for the stage, say one GPU a task.
     """
     opts = dict(options or {})
     # Sampling only when the temperature is positive; greedy decoding otherwise.
@@ -65,11 +75,13 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     per_group = dict(group_options or {})
     batch_size = max(1, int(opts.get("batch_size", 1)))
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.StringType(), True)])
-    source = df.repartition(partitions) if partitions else df
-    source = source.sortWithinPartitions(group_col) if group_col else source
+    source = df.repartition(partitions, F.xxhash64(messages_col)) if partitions else df
+    order = ([group_col] if group_col else []) + ([F.xxhash64(messages_col)] if journal else [])
+    source = source.sortWithinPartitions(*order) if order else source
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current_key, gen = object(), None
+        done = Journal(journal) if journal else None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -79,16 +91,21 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
             start = 0
             while start < len(pdf):
                 key = keys[start]
-                if gen is None or key != current_key:
+                if key != current_key:
                     gen = None  # release the previous generator before loading the next
-                    extra = {group_col: key, **per_group.get(key, {})} if group_col else {}
-                    gen = make_generator(opts | extra)
                     current_key = key
+                extra = {group_col: key, **per_group.get(key, {})} if group_col else {}
                 stop = start
                 while stop < len(pdf) and stop - start < batch_size and keys[stop] == key:
                     stop += 1
                 chunk = prompts[start:stop]
-                out = list(gen(chunk))
+                name = done.key(opts | extra, chunk) if done else None
+                out = done.get(name) if done else None
+                if out is None:
+                    gen = gen or make_generator(opts | extra)
+                    out = list(gen(chunk))
+                    if done and len(out) == len(chunk):
+                        done.put(name, out)
                 if len(out) != len(chunk):
                     raise ValueError(
                         f"generator returned {len(out)} responses for {len(chunk)} prompts")
@@ -98,7 +115,7 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
 
     from sftforge.session import ship_package
     ship_package(df.sparkSession)
-    return source.mapInPandas(run, schema)
+    return source.mapInPandas(run, schema, profile=profile)
 
 
 def pending(df: DataFrame, done: DataFrame | None, keys) -> DataFrame:

@@ -1,8 +1,8 @@
 """Evaluate: benchmark x models -> answers -> scores -> summary, pivot, reports.
 
-Plan: benchmark scan -> prompt messages (B1-B3) -> one branch per model of the
-small model list (J2, no join) -> ``mapInPandas`` generation, one model per task
-(G1, G2) -> answers stored -> native scores (E1-E6) stored -> summary (A1-A5) and
+Plan: benchmark scan -> prompt messages (B1-B3) -> one job per model of the small
+model list (J2, no join) -> ``mapInPandas`` generation, one model at a time in the
+whole cluster (G1, G2) -> answers stored by model -> native scores (E1-E6) stored -> summary (A1-A5) and
 comparison (R1) from the same scores -> reports (R5-R7) -> write (K4).
 """
 
@@ -21,7 +21,7 @@ from sftforge.functions.text import strip_text
 from sftforge.operators.compare import (
     blank_missing, comparison, detail_report, long_report, model_summary, score_answers, summary_report)
 from sftforge.operators.generate import EVALUATE_OPTIONS, generate
-from sftforge.session import path_exists
+from sftforge.session import path_exists, remove_path
 from sftforge.sources.sinks import write_table
 
 ANSWER_COLUMNS = ("model_name", "model_ord", "item_seq", "id", "instruction",
@@ -60,13 +60,14 @@ def answers(items: DataFrame, specs, make_generator, options: dict | None = None
     unioned into one job: all models generate in parallel, every task loads
     exactly one model, and the number of tasks follows the benchmark's size.
     """
-    opts = EVALUATE_OPTIONS | (options or {})
-    prompts = prompts_for(items)
-    branches = []
-    for m in model_rows(items.sparkSession, specs):
-        rows = prompts.select("*", F.lit(m["model_ord"]).alias("model_ord"), F.lit(m["model_name"]).alias("model_name"))
-        branches.append(generate(rows, make_generator, opts | {k: m[k] for k in ("model_name", "base_model", "adapter")}))
-    return answer_rows(reduce(DataFrame.unionByName, branches), "response")
+    return reduce(DataFrame.unionByName, [model_answers(items, m, make_generator, options) for m in model_rows(items.sparkSession, specs)])
+
+
+def model_answers(items: DataFrame, model, make_generator, options: dict | None = None, **how) -> DataFrame:
+    """One model's answers (a row of :func:`model_rows`); ``how``: as in :func:`generate`."""
+    rows = prompts_for(items).select("*", F.lit(model["model_ord"]).alias("model_ord"), F.lit(model["model_name"]).alias("model_name"))
+    opts = EVALUATE_OPTIONS | (options or {}) | {k: model[k] for k in ("model_name", "base_model", "adapter")}
+    return answer_rows(generate(rows, make_generator, opts, **how), "response")
 
 
 def answer_rows(out: DataFrame, response: str) -> DataFrame:
@@ -98,9 +99,14 @@ def _fingerprint(items: DataFrame, models, opts: dict) -> str:
 
 def run_evaluate(spark: SparkSession, items: DataFrame, specs, out_dir: str, make_generator,
                  options: dict | None = None, mode: str = "errorifexists",
-                 resume: bool = False) -> dict[str, int]:
+                 resume: bool = False, journal: str | None = None, profile=None) -> dict[str, int]:
     """Generate once, persist, score once, persist, then derive and write reports.
 
+    Each model's answers are a job and a folder of their own, one after another, so
+    no two models are ever loaded at a time, and a rerun with ``resume`` begins with
+    the first model whose answers aren't committed.  ``journal`` and ``profile`` go
+    to :func:`generate`.
+
     ``mode`` holds for every table.  With ``resume`` a rerun takes up what the run
     before committed and writes the rest; it raises unless items, models and
     options are those that ``out_dir`` was begun with.
@@ -120,10 +126,15 @@ def run_evaluate(spark: SparkSession, items: DataFrame, specs, out_dir: str, mak
         if resume and _committed(spark, path):
             return spark.read.format(fmt).load(path).count()
         # What an interrupted run of the same manifest left uncommitted is replaced.
-        return write_table(make(), path, fmt, "overwrite" if resume else mode, name=name.replace("/", "_"), **how)
-
-    counts = {"answers": store("answers", lambda: answers(items, specs, make_generator, opts), "parquet")}
-    stored = spark.read.parquet(f"{out_dir}/answers")
+        return write_table(make(), path, fmt, "overwrite" if resume else mode, name=name.replace("/", "_").replace("=", "_"), **how)
+
+    if mode == "overwrite" and not resume:
+        remove_path(spark, f"{out_dir}/answers")  # a former run's may be of more models
+    folders = [f"answers/model_ord={m['model_ord']}" for m in models]
+    counts = {"answers": sum(
+        store(folder, lambda m=m: model_answers(items, m, make_generator, opts, journal=journal, profile=profile).drop("model_ord"), "parquet")
+        for folder, m in zip(folders, models))}
+    stored = spark.read.option("basePath", f"{out_dir}/answers").parquet(*[f"{out_dir}/{f}" for f in folders])
     counts["scores"] = store("scores", lambda: score_answers(stored), "parquet")
     scores = spark.read.parquet(f"{out_dir}/scores")
     summary = model_summary(scores, models_frame(spark, specs), opts["template"])

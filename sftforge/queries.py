@@ -27,7 +27,8 @@ from sftforge.operators.dedup import dedup_first
 from sftforge.operators.fold import fold_stats, fold_turns
 from sftforge.operators.generate import EVALUATE_OPTIONS
 from sftforge.operators.sample import holdout_split
-from sftforge.plans.evaluate import items_by_model, prompts_for
+from sftforge.plans.distill import distill
+from sftforge.plans.evaluate import answers, items_by_model, prompts_for
 from sftforge.plans.prepare import PrepareConfig, prepare, prepare_turns, run_prepare, select_training
 from sftforge.session import scratch_path
 from sftforge.sources.readers import (
@@ -35,7 +36,8 @@ from sftforge.sources.readers import (
 from sftforge.sources.registry import load_registered
 from sftforge.sources.sinks import write_model_results, write_table
 from sftforge.sources.testdata import (
-    MODEL_SPECS, benchmark_items, chat_rows, derived_answers, document_items, document_pairs, flat_rows, part_items, table)
+    MODEL_SPECS, benchmark_items, chat_rows, derived_answers, document_items, document_pairs, flat_rows, part_items, prompt_writer,
+    table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -339,7 +341,16 @@ def _distilled(spark, sf):
 
 @query
 def batch_generate(spark, sf):
-    return _distilled(spark, sf)
+    """Every document's prompt through the generation operator: batches, a journal, answers paired by place."""
+    prompts = _doc_items(spark, sf).select("instruction", "input", "system")
+    return distill(prompts, prompt_writer, {"batch_size": 64}, journal=scratch_path(spark, "journal"))
+
+
+@query
+def model_answers_generated(spark, sf):
+    """The evaluation's answers of two models to every part's item, by name, base model and adapter."""
+    items = part_items(table(spark, sf, "part"))
+    return answers(items, MODEL_SPECS[1:], prompt_writer, {"batch_size": 64}).select("model_name", "model_ord", "item_seq", "id", "answer")
 
 
 @query

@@ -122,6 +122,17 @@ def derived_answers(items: DataFrame, models) -> DataFrame:
                        .withColumn("item_seq", F.col("item_seq") + F.col("_copy") * F.lit(LATER_COPY)), "response")
 
 
+def prompt_writer(options: dict):
+    """A generator whose answers SQL can restate: the model's name, then system and user content between blanks."""
+    name = options.get("model_name") or "teacher"
+
+    def answer(messages: list[dict]) -> str:
+        system, user = (m["content"] for m in messages)
+        return f" \u3000{name}|{system}|{user}\n "
+
+    return lambda prompts: [answer(p) for p in prompts]
+
+
 MESSAGE_SCHEMA = "struct<role:string,content:string,`from`:string,value:string>"
 
 

@@ -7,6 +7,9 @@ SQL can restate, so generated tables can be checked against an oracle.
 
 from __future__ import annotations
 
+import os
+import time
+
 from sftforge.functions.prompts import INPUT_SEPARATOR
 from sftforge.functions.scores import RISK_HINT_TOKENS
 
@@ -101,3 +104,29 @@ class OptionsRecorder:
         with open(self.path, "a", encoding="utf-8") as f:
             f.write(json.dumps(options, default=str) + "\n")
         return StubGenerator(options)
+
+
+class Counted:
+    """Notes each load and each generated batch as a file; kills its process once, at a marked prompt."""
+
+    def __init__(self, folder, kill_at=None):
+        self.folder, self.kill_at = folder, kill_at
+
+    def _note(self, kind, name=""):
+        with open(f"{self.folder}/{kind}-{os.getpid()}-{time.time_ns()}", "w", encoding="utf-8") as f:
+            f.write(name)
+
+    def __call__(self, options):
+        self._note("load", options.get("model_name") or "")
+
+        def run(prompts):
+            said = [p[-1]["content"] for p in prompts]
+            dead = f"{self.folder}/dead"
+            if self.kill_at in said and not os.path.exists(dead):
+                open(dead, "w", encoding="utf-8").close()
+                os._exit(9)
+            time.sleep(0.02)
+            self._note("batch", "|".join(said))
+            return [s[::-1] for s in said]
+
+        return run

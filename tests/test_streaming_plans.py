@@ -54,8 +54,8 @@ def test_cap_plan_has_no_window_sort_or_single_task_limit(spark):
         assert "LessThan(_skey" in plan  # the threshold reaches the scan
 
 
-def test_no_registered_query_runs_python(spark):
-    for name in ("score_rows", "comparison_pivot", "summary_report_stub", "batch_generate", "model_specs"):
+def test_only_similarity_and_generation_run_python(spark):
+    for name in ("keyword_hit_rate", "detail_report_text", "similarity_bound", "risk_flag", "distilled_round_trip", "model_specs", "prepare_train"):
         plan = plan_text(QUERIES[name](spark, SF))
         assert "Python" not in plan and "ArrowEval" not in plan and "Pandas" not in plan
 
