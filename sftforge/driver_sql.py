@@ -286,7 +286,7 @@ ORACLE_SQL: dict[str, str] = {
         template, num_examples, avg_keyword_hit_rate, avg_reference_similarity, risk_hint_rate FROM {SUMMARY}""",
     "table_scan": "SELECT l_orderkey, l_linenumber, l_orderkey AS ord_key, l_quantity FROM lineitem",
     "benchmark_scan": f"""SELECT id, instruction, input, reference, array_to_string(keywords, ', ') AS keywords, system,
-        row_number() OVER (ORDER BY item_seq) - 1 AS item_seq FROM {ITEMS}""",
+        row_number() OVER (ORDER BY item_seq) - 1 AS item_seq FROM {DOC_ITEMS}""",
     "model_specs": """SELECT s_suppkey, trim(s_name) AS model_name, 'base-' || s_nationkey AS base_model,
         CASE WHEN s_suppkey % 3 = 2 THEN 'adapters/' || s_suppkey END AS adapter FROM supplier""",
     "similarity": f"SELECT id, model_name, item_seq, reference_similarity FROM {SCORES}",

@@ -293,11 +293,16 @@ def table_scan(spark, sf):
 
 @query
 def benchmark_scan(spark, sf):
-    """A benchmark file of one JSON list, its items in file order."""
+    """The items as a folder of JSON lists by range of id, read back in file order."""
     path = scratch_path(spark, "benchmark-list")
-    items = _items(spark, sf).orderBy("item_seq").drop("item_seq")
-    listed = items.agg(F.to_json(F.array_sort(F.collect_list(F.struct(F.col("id").cast("long").alias("n"), "*")))).alias("value"))
-    listed.coalesce(1).write.text(path)
+    items = _doc_items(spark, sf)
+    count = items.count()
+    # A list holds about a thousand items, so neither a row nor a task grows with the table.
+    ranges = items.repartitionByRange(max(1, -(-count // 1000)), "item_seq").withColumn("part", F.spark_partition_id())
+    listed = ranges.groupBy("part").agg(F.to_json(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("item_seq").alias("n"), F.struct(*[c for c in items.columns if c != "item_seq"]).alias("item")))),
+        lambda x: x["item"])).alias("value"))
+    listed.withColumn("part", F.format_string("%010d", "part")).write.partitionBy("part").text(path)
     return read_benchmark(spark, path).select("id", "instruction", "input", "reference", _kw().alias("keywords"), "system", "item_seq")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -48,29 +48,71 @@ def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
         F.monotonically_increasing_id().alias("row")))
 
 
-def first_lines(spark: SparkSession, paths) -> dict[str, str]:
-    """The first non-blank line of every file of ``paths`` (one job, one row a file).
+HEAD_BYTES = 1 << 16
 
-    Lines of a file's first split only; a file's own order decides.
+
+def _head(spark: SparkSession, file: str, need_line: bool) -> str:
+    """The start of a file, decompressed by its codec: up to its first line's end, or a first sign."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    raw = path.getFileSystem(conf).open(path)
+    stream = codec.createInputStream(raw) if codec is not None else raw
+    try:
+        data = b""
+        while True:
+            more = bytes(stream.readNBytes(HEAD_BYTES))
+            data += more
+            said = data.decode("utf-8", "replace").lstrip("\ufeff \t\r\n")
+            if not more or (said and not (need_line and "\n" not in said)):
+                return said.split("\n", 1)[0]
+    finally:
+        stream.close()
+
+
+def first_lines(spark: SparkSession, paths, whole: bool = True) -> dict[str, str]:
+    """The start of the first line that isn't blank of every file of ``paths``; files without one are left out.
+
+    A few kilobytes of each file are read, by a few threads of the driver: with
+    ``whole`` up to the line's end (a header), else whatever the first block holds.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"), "value")
-    first = (lines.where(F.trim("value") != "").groupBy("file")
-             .agg(F.min_by("value", F.struct("block", "row")).alias("value")))
-    return {r["file"]: r["value"] for r in first.collect()}
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm = spark.sparkContext._jvm
+    files = sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in set(spark.read.text(paths).inputFiles()))
+    with ThreadPoolExecutor(16) as pool:
+        heads = pool.map(lambda f: _head(spark, f, whole), files)
+        return {f: h for f, h in zip(files, heads) if h}
 
 
-def _by_first_line(spark: SparkSession, paths, kind, read) -> DataFrame:
+def _by_first_line(spark: SparkSession, paths, kind, read, whole: bool = True) -> DataFrame:
     """Read files alike in ``kind(first line)`` together, and union the groups by column name."""
     groups: dict = {}
-    for file, line in sorted(first_lines(spark, paths).items()):
+    for file, line in sorted(first_lines(spark, paths, whole).items()):
         groups.setdefault(kind(line), []).append(file)
     if not groups:
         return read(paths, None)
+    if len(groups) == 1:  # as given: a folder's files needn't be named one by one
+        return read(paths, next(iter(groups)))
     return union_splits([read(files, k) for k, files in groups.items()])
 
 
+def with_positions(df: DataFrame, name: str) -> DataFrame:
+    """Adds each row's place, 0 to n - 1, by (file, block, row): a running sum of the splits' counts, and the place in the split.
+
+    ``df`` must come right from a file scan.  The counts are one row a split.
+    """
+    scan = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_id"))
+    ordered = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (scan.groupBy(F.col("_file").alias("file"), F.col("_block").alias("block"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first"))
+              .select("file", "block", "first", F.coalesce(F.sum("n").over(ordered), F.lit(0)).alias("before")))
+    return (scan.join(splits, (F.col("_file") == F.col("file")) & (F.col("_block") == F.col("block")))
+            .withColumn(name, F.col("before") + F.col("_id") - F.col("first"))
+            .select(*df.columns, name))
+
+
 def read_csv_rows(spark: SparkSession, paths, split_ord: int = 0,
                   na_values=CSV_NA_WORDS, multi_line: bool = False) -> DataFrame:
     """CSV with a header; doubled quotes; every column a string.
@@ -118,7 +160,7 @@ def read_json_rows(spark: SparkSession, paths, split_ord: int = 0,
 
     if json_lines is not None:
         return read(paths, not json_lines)
-    return _by_first_line(spark, paths, lambda line: line.lstrip().startswith("["), read)
+    return _by_first_line(spark, paths, lambda line: line.startswith("["), read, whole=False)
 
 
 def read_table_rows(spark: SparkSession, name_or_path: str, fmt: str | None = None,
@@ -154,15 +196,16 @@ def read_prompts(spark: SparkSession, paths, json_lines: bool | None = None) ->
 
 
 def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
-    """A benchmark file, which must be one JSON list of items.
+    """A benchmark file, or a folder of them, each one JSON list of items.
 
-    Ids are kept as strings.  ``item_seq`` is the position order within the file.
+    Ids are kept as strings.  ``item_seq`` is the item's place, 0 to n - 1, files in
+    order of their names.
     """
-    if not all(line.lstrip().startswith("[") for line in first_lines(spark, path).values()):
+    if not all(line.startswith("[") for line in first_lines(spark, path, whole=False).values()):
         raise ValueError("benchmark file must contain a JSON list")
     df = (spark.read.schema(BENCHMARK_SCHEMA).option("multiLine", True)
           .option("mode", "FAILFAST").json(path))
-    return df.withColumn("item_seq", F.monotonically_increasing_id())
+    return with_positions(df, "item_seq")
 
 
 def read_raw_dataset(spark: SparkSession, dataset: str = "csv", data_file=None, order_by=None) -> DataFrame:
@@ -174,5 +217,36 @@ def read_raw_dataset(spark: SparkSession, dataset: str = "csv", data_file=None,
         if not files:
             raise ValueError(f"dataset={dataset!r} needs data_file")
         read = read_csv_rows if dataset == "csv" else read_json_rows
-        return union_splits([read(spark, f, split_ord=i) for i, f in enumerate(files)])
+        owner = files_of(spark, files)
+        if len(files) == 1 or owner is None:
+            return union_splits([read(spark, f, split_ord=i) for i, f in enumerate(files)])
+        # One scan for all files of a kind; a file's place in the list is joined by its name.
+        places = spark.createDataFrame(list(owner.items()), "file string, split int")
+        rows = read(spark, files)
+        named = rows.withColumn("_file", F.regexp_replace("_ord.file", "^file:/+", "file:/"))
+        ord_ = F.struct("split", F.col("_ord.file").alias("file"), F.col("_ord.block").alias("block"), F.col("_ord.row").alias("row"))
+        return named.join(places.withColumnRenamed("file", "_file"), "_file").withColumn("_ord", ord_).select(*rows.columns)
     return read_table_rows(spark, dataset, order_by=order_by)
+
+
+def files_of(spark: SparkSession, paths: list[str]) -> dict[str, int] | None:
+    """Each file below ``paths`` (files, folders, patterns) and the place of the path that names it; None if two do."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out: dict[str, int] = {}
+    for i, p in enumerate(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            if status.isDirectory():
+                below = fs.listFiles(status.getPath(), True)
+                found = []
+                while below.hasNext():
+                    found.append(below.next().getPath())
+            else:
+                found = [status.getPath()]
+            for f in found:
+                name = f.toUri().toString()
+                name = "file:/" + name[len("file:"):].lstrip("/") if name.startswith("file:") else name
+                if out.setdefault(name, i) != i:
+                    return None
+    return out
