@@ -108,11 +108,12 @@ def _select(records: DataFrame, kept: DataFrame, config: PrepareConfig,
     if not stored and (n is not None or m is not None):
         keyed = materialize(keyed, "kept")
     rows = keyed if n is None else below(keyed, cap_threshold(keyed, n))
-    # The md5 key leads the grouping keys: the dedup's sort then mostly
-    # compares 8-byte prefixes of uniform hex instead of long shared text.
-    unique = dedup_first(rows, (KEY, "instruction", "input"), order,
-                         drop_order=True, lead_hash=False)
-    asked = unique if m is None or m == n else below(unique, cap_threshold(keyed, m))
+    def first(some: DataFrame) -> DataFrame:
+        return dedup_first(some, ("instruction", "input"), order, drop_order=True)
+
+    # The sample key is a function of the dedup's: rows beyond a cap go before the shuffle.
+    unique = first(rows)
+    asked = unique if m is None or m == n else first(below(rows, cap_threshold(keyed, m)))
     rejects = (records.where(F.col("reject_reason").isNotNull())
                .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")))
     return Prepared(records, unique.select(*RECORD_COLUMNS, KEY), asked.select(*PROMPT_COLUMNS, KEY), rejects)

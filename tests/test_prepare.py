@@ -171,3 +171,20 @@ def test_persisted_prepare_equals_two_pass_prepare(spark):
         sorted(tuple(r) for r in b.training.collect())
     assert sorted(tuple(r) for r in a.prompts.collect()) == \
         sorted(tuple(r) for r in b.prompts.collect())
+
+
+def test_dedup_sorts_and_shuffles_by_digest_only(spark, tmp_dir):
+    import re
+
+    from tests.test_streaming_plans import plan_text
+
+    rows = [(1, "a", "b:c"), (2, "a", "b:c"), (3, "a1:b", "c"), (4, None, "x"), (5, None, "x"), (6, "", "x"), (7, "-", "x"),
+            (8, "1:a", ""), (9, "1", "a"), (10, "é", "x"), (11, "é", "x")]
+    df = spark.createDataFrame(rows, "n long, instruction string, input string")
+    got = sorted(r["n"] for r in dedup_first(df, ("instruction", "input"), "n").collect())
+    assert got == [1, 3, 4, 6, 7, 8, 9, 10]
+    df.write.parquet(f"{tmp_dir}/rows")
+    plan = plan_text(dedup_first(spark.read.parquet(f"{tmp_dir}/rows"), ("instruction", "input"), "n"))
+    for line in plan.splitlines():
+        if re.search(r"\b(Sort|Exchange)\b", line):
+            assert "instruction" not in line and "input" not in line
