@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from sftforge.functions.text import quote
+from sftforge.session import materialize
+from sftforge.sources.jsonlist import read_list_parts
 
 # The words pandas' CSV reader turns into missing values by default.
 CSV_NA_WORDS = (
@@ -49,6 +51,17 @@ def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
 
 
 HEAD_BYTES = 1 << 16
+LARGE_LIST = 64 << 20
+
+
+def _largest(spark: SparkSession, paths) -> int:
+    """Bytes of the largest file that ``paths`` name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = 0
+    for file in spark.read.text(paths).inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        out = max(out, path.getFileSystem(conf).getFileStatus(path).getLen())
+    return out
 
 
 def _head(spark: SparkSession, file: str, need_line: bool) -> str:
@@ -140,13 +153,14 @@ def read_csv_rows(spark: SparkSession, paths, split_ord: int = 0,
 
 def read_json_rows(spark: SparkSession, paths, split_ord: int = 0,
                    schema: T.StructType | None = None,
-                   json_lines: bool | None = None) -> DataFrame:
+                   json_lines: bool | None = None, large: int = LARGE_LIST) -> DataFrame:
     """JSON array files, JSONL files or a mixture of raw rows.
 
     ``multiLine`` is required for an array file and wrong for JSONL (it would
     read one row), so unless ``json_lines`` is given each file's format is taken
     from its first sign and the files of each format are read together.
-    Array files are read one task per file: prefer JSONL/parquet for big inputs.
+    Array files of ``large`` bytes or more are read in many tasks, by byte range
+    (:mod:`jsonlist`), smaller ones a task each.
     Malformed records are kept with their text in ``_corrupt_record`` (all
     other fields null, so prepare rejects them as missing) rather than lost.
     """
@@ -154,6 +168,9 @@ def read_json_rows(spark: SparkSession, paths, split_ord: int = 0,
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
     def read(files, array) -> DataFrame:
+        if array and _largest(spark, files) >= large:
+            rows = read_list_parts(spark, files, schema, CORRUPT)
+            return rows.withColumn("_ord", F.struct(F.lit(split_ord).alias("split"), "_at.file", "_at.block", "_at.row")).drop("_at")
         reader = (spark.read.option("multiLine", bool(array)).option("mode", "PERMISSIVE")
                   .option("columnNameOfCorruptRecord", CORRUPT))
         return _with_order((reader.schema(schema) if schema else reader).json(files), split_ord)
@@ -195,7 +212,7 @@ def read_prompts(spark: SparkSession, paths, json_lines: bool | None = None) ->
     return read_json_rows(spark, paths, schema=PROMPT_SCHEMA, json_lines=json_lines)
 
 
-def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
+def read_benchmark(spark: SparkSession, path: str, large: int = LARGE_LIST) -> DataFrame:
     """A benchmark file, or a folder of them, each one JSON list of items.
 
     Ids are kept as strings.  ``item_seq`` is the item's place, 0 to n - 1, files in
@@ -203,6 +220,16 @@ def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
     """
     if not all(line.startswith("[") for line in first_lines(spark, path, whole=False).values()):
         raise ValueError("benchmark file must contain a JSON list")
+    if _largest(spark, path) >= large:
+        rows = materialize(read_list_parts(spark, [path], BENCHMARK_SCHEMA, CORRUPT, "FAILFAST"), "benchmark")
+        # The counts a block, then the place in the block.
+        blocks = (rows.groupBy("_at.file", "_at.block").agg(F.count(F.lit(1)).alias("n"))
+                  .select(F.struct("file", "block").alias("_of"), F.coalesce(F.sum("n").over(
+                      Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))
+        # Rows of a block are numbered from 0, or from 1 if it begins inside an object.
+        first = rows.groupBy(F.struct("_at.file", "_at.block").alias("_in")).agg(F.min("_at.row").alias("first"))
+        at = rows.withColumn("_of", F.struct("_at.file", "_at.block")).join(blocks, "_of").join(first.withColumnRenamed("_in", "_of"), "_of")
+        return at.withColumn("item_seq", F.col("before") + F.col("_at.row") - F.col("first")).drop("_at", "_of", "before", "first")
     df = (spark.read.schema(BENCHMARK_SCHEMA).option("multiLine", True)
           .option("mode", "FAILFAST").json(path))
     return with_positions(df, "item_seq")
