@@ -7,6 +7,7 @@ bounded by the slice (or by one text, if that alone is longer).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sftforge.session import materialize, ship_package
 
 __all__ = ["WORD_BREAK", "PrefixHash", "LOWER", "digests", "documents", "lowered", "materialize", "mix",
-           "prepare", "sliced", "spread", "text_bytes", "words"]
+           "prepare", "release", "sliced", "spread", "text_bytes", "words"]
 
 SLICE_BYTES = 2 << 20
 
@@ -172,6 +173,14 @@ class PrefixHash:
         return out
 
 
+def release() -> None:
+    """Hand freed memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     return LOWER[data]
 

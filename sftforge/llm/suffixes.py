@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import dealt, group_bounds, whole_groups
-from sftforge.llm.common import PrefixHash, documents, materialize, mix, prepare, sliced, spread, text_bytes
+from sftforge.llm.common import PrefixHash, documents, materialize, mix, prepare, release, sliced, spread, text_bytes
 from sftforge.llm.linededup import passes, wanted_pages
 
 LENGTH, GRAM = 200, 32
@@ -299,6 +299,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
         for number, shard in shards(batches, length, shard_bytes):
             shard.segments(gram)
             own = shard.spans(shard.repeats())
+            shard.grams = None
             n = own.num_rows
             yield pa.RecordBatch.from_arrays([*own.columns, null(n, pa.int64()), null(n, pa.int32()), null(n, pa.binary())], names=_LOCAL)
             bucket = ((shard.pairs[0] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
@@ -313,6 +314,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             yield pa.RecordBatch.from_arrays(
                 [null(n, pa.int64()), null(n, pa.list_(pa.int64())), pa.array([number] * n, pa.int64()),
                  pa.array([*bucket[first].tolist(), -1], pa.int32()), pa.array([*data, table.tobytes()], pa.binary())], names=_LOCAL)
+            del shard, own, data, table  # not held while the next shard is made
+            release()
 
     found = materialize(rows.mapInArrow(local, "row long, spans array<long>, shard long, bucket int, data binary"), "suffix-local")
 
