@@ -26,4 +26,5 @@ def test_entry_and_oracles_cover_queries(spark):
     assert set(E.oracle_sql()) <= set(QUERIES)
     from sftforge.driver_sql import ORACLE_SQL
     from sftforge.queries import QUERIES as OWN
-    assert set(OWN) == set(ORACLE_SQL)
+    # Whole documents' block matching is held to brute force instead (test_scores).
+    assert set(OWN) - set(ORACLE_SQL) == {"similarity_documents"} and set(ORACLE_SQL) <= set(OWN)
