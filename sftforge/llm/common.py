@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sftforge.session import materialize, ship_package
 
-__all__ = ["WORD_BREAK", "PrefixHash", "LOWER", "digests", "documents", "lowered", "materialize", "mix",
+__all__ = ["WORD_BREAK", "PrefixHash", "LOWER", "digests", "documents", "fresh", "lowered", "materialize", "mix",
            "prepare", "release", "sliced", "spread", "text_bytes", "words"]
 
 SLICE_BYTES = 2 << 20
@@ -173,6 +173,14 @@ class PrefixHash:
         return out
 
 
+def fresh(taken, name: str) -> str:
+    """``name``, lengthened until it is none of the columns ``taken`` (whatever their letters' case)."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def release() -> None:
     """Hand freed memory back to the system, where the C library can."""
     try:

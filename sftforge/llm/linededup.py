@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import dealt, group_bounds, whole_groups
-from sftforge.llm.common import PrefixHash, code_points, digests, documents, materialize, mix, prepare, sliced, spread
+from sftforge.llm.common import PrefixHash, code_points, digests, documents, fresh, materialize, mix, prepare, sliced, spread
 from sftforge.llm.graph import connected_components
 
 EDITS, SHORTEST = 2, 20
@@ -420,14 +420,15 @@ def line_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, b
 
 def drop_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """All rows and columns of a stored table, texts without the lines that go; ``n_chars``, if there, is made anew."""
-    report = line_report(docs, edits, shortest).where("n_removed > 0").selectExpr("row AS __row", "removed AS __removed")
-    joined = docs.withColumn("__row", F.monotonically_increasing_id()).join(report, "__row", "left")
+    row, removed = fresh(docs.columns, "__row"), fresh(docs.columns, "__removed")
+    report = line_report(docs, edits, shortest).where("n_removed > 0").select(F.col("row").alias(row), F.col("removed").alias(removed))
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(report, row, "left")
     lines = F.split("text", "\n", -1)
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__removed", i)), "\n")
-    out = joined.withColumn("text", F.when(F.col("__removed").isNull(), F.col("text")).otherwise(left))
+    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(removed, i)), "\n")
+    out = joined.withColumn("text", F.when(F.col(removed).isNull(), F.col("text")).otherwise(left))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("__removed").isNull(), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col(removed).isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(kind)))
     return out.select(*docs.columns)
 

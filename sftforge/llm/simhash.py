@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import pairs_of
-from sftforge.llm.common import (documents, lowered, materialize, prepare, sliced,
+from sftforge.llm.common import (documents, fresh, lowered, materialize, prepare, sliced,
                                  text_bytes, words)
 from sftforge.llm.graph import connected_components
 
@@ -78,12 +78,13 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...]
                  text_col: str = "text") -> DataFrame:
     """The ``keep`` columns and ``fp`` (the 64 bits as a long) of each row."""
     prepare(docs.sparkSession)
-    frame = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    schema = frame.drop("__text").withColumn("fp", F.lit(0).cast("long")).schema
+    words_of = fresh(keep, "__text")
+    frame = docs.select(*keep, F.col(text_col).cast("string").alias(words_of))
+    schema = frame.drop(words_of).withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "__text"):
-            fp = fingerprints_of(*text_bytes(batch.column("__text")), shingle)
+        for batch in sliced(batches, words_of):
+            fp = fingerprints_of(*text_bytes(batch.column(words_of)), shingle)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in keep] + [pa.array(fp.view(np.int64))], names=[*keep, "fp"])
 
@@ -262,8 +263,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     Rows of equal ids are told apart by their place in the input, which must be
     stored data (files), so that every read gives the same places.
     """
-    docs = docs.withColumn("__row", F.monotonically_increasing_id())
-    prints = materialize(fingerprints(docs, shingle, ("doc_id", "__row")), "simhash")
+    row = fresh(docs.columns, "__row")
+    docs = docs.withColumn(row, F.monotonically_increasing_id())
+    prints = materialize(fingerprints(docs, shingle, ("doc_id", row)), "simhash")
     first = near_duplicates(prints, max_bits).groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("keep"))
-    return docs.join(first.select("keep.__row"), "__row", "left_semi").drop("__row")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))).alias("keep"))
+    return docs.join(first.select(F.col("keep.row").alias(row)), row, "left_semi").drop(row)
