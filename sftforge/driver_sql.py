@@ -248,6 +248,11 @@ ORACLE_SQL: dict[str, str] = {
         CAST(length({norm('text')}) AS INTEGER) AS n_chars FROM documents""",
     "pick_first": f"SELECT doc_id, instruction, output FROM {PICKED}",
     "messages_fold": f"SELECT conv_id, instruction, output FROM {FOLDED}",
+    "messages_fold_one_turn": f"""SELECT conv_id, length(instruction) AS instruction_chars, md5(instruction) AS instruction_md5,
+        length(output) AS output_chars, md5(output) AS output_md5 FROM (SELECT conv_id % 2 AS conv_id,
+        coalesce(string_agg(part, {NL} ORDER BY part) FILTER (WHERE side = 'user' AND part <> ''), '') AS instruction,
+        coalesce(string_agg(part, {NL} ORDER BY part) FILTER (WHERE side = 'assistant' AND part <> ''), '') AS output
+        FROM {PARTS} GROUP BY 1)""",
     "messages_array_fold": f"SELECT conv_id, pair, instruction, output FROM {CHAT_FOLDED}",
     "prepare_chat_train": f"""SELECT instruction, input, output, system FROM {CHAT_UNIQUE}""",
     "quality_filter": f"SELECT doc_id, instruction, output FROM {RECORDS} WHERE reject_reason IS NULL",
@@ -274,6 +279,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM {CONV_UNIQUE}""",
     "run_prepare_counts": f"""SELECT 'train' AS name, count(*) AS n FROM {CONV_UNIQUE}
         UNION ALL SELECT 'prompts', least(count(*), {PROMPT_CAP}) FROM {CONV_UNIQUE}""",
+    "prepare_published": f"""WITH t AS (SELECT *, {skey()} AS k FROM {CONV_UNIQUE}),
+        p AS (SELECT * FROM t ORDER BY k, instruction, input LIMIT {PROMPT_CAP})
+        SELECT 'train' AS name, (SELECT count(*) FROM t) AS n, instruction, system FROM t
+        UNION ALL SELECT 'prompts', (SELECT count(*) FROM p), instruction, system FROM p""",
     "prepare_rejects": f"""SELECT coalesce(reject_reason, 'kept') AS reject_reason, count(*) AS n
         FROM {CONV_RECORDS} GROUP BY 1""",
     "prepare_flat_train": f"""SELECT instruction, input, output, system FROM {FLAT_UNIQUE}""",
@@ -281,6 +290,7 @@ ORACLE_SQL: dict[str, str] = {
         array_to_string(keywords, ', ') AS keywords, system FROM {ITEMS}""",
     "registry_load": f"SELECT id, instruction, reference FROM {ITEMS}",
     "csv_round_trip": "SELECT page_id, url, html FROM pages",
+    "csv_by_range": "SELECT doc_id, text, lang FROM documents",
     "prompts_round_trip": f"SELECT instruction, input, system FROM {CONV_UNIQUE}",
     "model_results_round_trip": f"""SELECT model_ord, model_name, base_model, adapter,
         template, num_examples, avg_keyword_hit_rate, avg_reference_similarity, risk_hint_rate FROM {SUMMARY}""",

@@ -34,7 +34,7 @@ from sftforge.session import scratch_path
 from sftforge.sources.readers import (
     read_benchmark, read_csv_rows, read_json_rows, read_prompts, read_table_rows, union_splits)
 from sftforge.sources.registry import load_registered
-from sftforge.sources.sinks import write_model_results, write_table
+from sftforge.sources.sinks import publish, published, published_counts, write_model_results, write_table
 from sftforge.sources.testdata import (
     MODEL_SPECS, benchmark_items, chat_rows, derived_answers, document_items, document_pairs, flat_rows, part_items, prompt_writer,
     table)
@@ -82,6 +82,16 @@ def messages_fold(spark, sf):
     return fold_turns(table(spark, sf, "conversations"))
 
 
+@query
+def messages_fold_one_turn(spark, sf):
+    """Turns without numbers of two conversations (ids even and odd): large blocks, joined by ranges of their texts."""
+    turns = table(spark, sf, "conversations").select(
+        (F.col("conv_id") % 2).alias("conv_id"), F.lit(None).cast("int").alias("turn"), "role", "text")
+    return fold_turns(turns, rows=500, size=1 << 20).select(
+        "conv_id", *[c for side in ("instruction", "output")
+                     for c in (F.length(side).cast("long").alias(f"{side}_chars"), F.md5(side).alias(f"{side}_md5"))])
+
+
 @query
 def messages_array_fold(spark, sf):
     rows = chat_rows(table(spark, sf, "conversations"))
@@ -198,6 +208,19 @@ def run_prepare_counts(spark, sf):
     return spark.createDataFrame(sorted(counts.items()), "name string, n long")
 
 
+@query
+def prepare_published(spark, sf):
+    """The job published twice into one place, the second time with a cap: what a reader finds is the second's tables whole."""
+    out, turns = scratch_path(spark, "published"), table(spark, sf, "conversations")
+    for cap in (None, PROMPT_CAP):
+        config = PrepareConfig(seed=SEED, prompt_samples=cap)
+        publish(spark, out, lambda folder, c=config: run_prepare(prepare_turns(turns, c), folder, c), keep=1)
+    here, counts = published(spark, out), published_counts(spark, out)
+    tables = [spark.read.json(f"{here}/{name}").select(
+        F.lit(name).alias("name"), F.lit(counts[name]).cast("long").alias("n"), "instruction", "system") for name in ("train", "prompts")]
+    return union_splits(tables)
+
+
 @query
 def prepare_rejects(spark, sf):
     # The rejects of the conversation prepare job are its per-conversation stats.
@@ -284,6 +307,15 @@ def csv_round_trip(spark, sf):
     return back.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
 
 
+@query
+def csv_by_range(spark, sf):
+    """Whole documents as CSV, line breaks in quotes, read back by byte range."""
+    path = scratch_path(spark, "documents-csv")
+    write_table(table(spark, sf, "documents").select("doc_id", "text", "lang"), path, "csv", "overwrite")
+    back = read_csv_rows(spark, path, na_values=(), multi_line=True, large=0)
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+
+
 @query
 def table_scan(spark, sf):
     table(spark, sf, "lineitem").createOrReplaceTempView("lineitem_scan")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,6 +95,24 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside cut the same files into the same ranges, also if executors come or go between them.
+
+    Spark takes the ranges' size from the number of cores there are; the number at
+    the beginning holds for all of them.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    old = spark.conf.get(key, None)
+    if old is None:
+        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

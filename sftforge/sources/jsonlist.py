@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sftforge.session import materialize, scratch_path, ship_package
+from sftforge.session import materialize, same_splits, scratch_path, ship_package
 
 _ESCAPE = re.compile(rb"\\.", re.S)
 _OPEN, _CLOSE = re.compile(rb"[{\[]"), re.compile(rb"[}\]]")
@@ -117,14 +117,15 @@ def objects(spark: SparkSession, files: list[str]) -> DataFrame:
     ship_package(spark)
     fragments = spark.read.option("lineSep", "}").text(files).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
-    ranges = materialize(fragments.mapInArrow(_effects, "file string, block long, odd boolean, outside long, inside long"), "list-ranges")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    in_string = (F.coalesce(F.sum(F.col("odd").cast("int")).over(before), F.lit(0)) % 2 == 1).alias("in_string")
-    starts = (ranges.select("*", in_string).withColumn("change", F.when(F.col("in_string"), F.col("inside")).otherwise(F.col("outside")))
-              .select("file", "block", "in_string", F.coalesce(F.sum("change").over(before), F.lit(0)).alias("depth")))
-    # One row a byte range; the broadcast keeps the fragments in order.
-    found = materialize(fragments.join(F.broadcast(starts), ["file", "block"])
-                        .mapInArrow(_objects, "file string, block long, row long, value binary, piece int"), "list-objects")
+    with same_splits(spark):
+        ranges = materialize(fragments.mapInArrow(_effects, "file string, block long, odd boolean, outside long, inside long"), "list-ranges")
+        before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        in_string = (F.coalesce(F.sum(F.col("odd").cast("int")).over(before), F.lit(0)) % 2 == 1).alias("in_string")
+        starts = (ranges.select("*", in_string).withColumn("change", F.when(F.col("in_string"), F.col("inside")).otherwise(F.col("outside")))
+                  .select("file", "block", "in_string", F.coalesce(F.sum("change").over(before), F.lit(0)).alias("depth")))
+        # One row a byte range; the broadcast keeps the fragments in order.
+        found = materialize(fragments.join(F.broadcast(starts), ["file", "block"])
+                            .mapInArrow(_objects, "file string, block long, row long, value binary, piece int"), "list-objects")
     order = Window.partitionBy("file").orderBy("block", "row")
     parts = found.where("piece > 0").withColumn("begun", F.last(F.when(F.col("piece") == 1, F.struct("block", "row")), ignorenulls=True).over(order))
     joined = (parts.groupBy("file", "begun").agg(F.array_sort(F.collect_list(F.struct("block", "row", F.hex("value").alias("hex")))).alias("p"))

@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 
 from sftforge.functions.text import quote
 from sftforge.session import materialize
+from sftforge.sources.csvparts import read_csv_parts
 from sftforge.sources.jsonlist import read_list_parts
 
 # The words pandas' CSV reader turns into missing values by default.
@@ -52,6 +53,7 @@ def _with_order(df: DataFrame, split_ord: int) -> DataFrame:
 
 HEAD_BYTES = 1 << 16
 LARGE_LIST = 64 << 20
+LARGE_CSV = 64 << 20
 
 
 def _largest(spark: SparkSession, paths) -> int:
@@ -127,18 +129,21 @@ def with_positions(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_csv_rows(spark: SparkSession, paths, split_ord: int = 0,
-                  na_values=CSV_NA_WORDS, multi_line: bool = False) -> DataFrame:
+                  na_values=CSV_NA_WORDS, multi_line: bool = False, large: int = LARGE_CSV) -> DataFrame:
     """CSV with a header; doubled quotes; every column a string.
 
     Columns go by name: files whose headers differ are read apart and unioned.
     ``na_values`` (default: pandas' NA words) become null, so a candidate such
     as ``output = "N/A"`` falls through to the next one.  ``multi_line`` is
-    needed for newlines inside quoted fields and makes each file one task.
+    needed for newlines inside quoted fields; files of ``large`` bytes or more are
+    then read in many tasks, by byte range (:mod:`csvparts`), smaller ones a task each.
     """
     def read(files, _) -> DataFrame:
-        df = (spark.read.option("header", True).option("multiLine", multi_line)
-              .option("escape", '"').option("quote", '"').option("inferSchema", False)
-              .option("mode", "PERMISSIVE").csv(files))
+        options = {"multiLine": str(multi_line).lower(), "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
+        df = spark.read.options(header=True, inferSchema=False, **options).csv(files)
+        if multi_line and _largest(spark, files) >= large:
+            rows = read_csv_parts(spark, files, df.schema, options)
+            return rows.withColumn("_ord", F.struct(F.lit(split_ord).alias("split"), "_at.file", "_at.block", "_at.row")).drop("_at")
         return _with_order(df, split_ord)
 
     df = _by_first_line(spark, paths, lambda line: line.strip().lstrip("\ufeff"), read)

@@ -113,3 +113,29 @@ def test_rows_without_an_id_are_one_conversation(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert {r[0] for r in fold_turns_bounded(df).collect()} == {None, 2} == {r[0] for r in fold_turns(df).collect()}
     assert {r["conv_id"] for r in fold_stats(df).where("reject_reason IS NULL").collect()} == {None, 2}
+
+
+def test_large_blocks_fold_as_others(spark):
+    conv = spark.read.parquet(f"{SF}/conversations.parquet")
+    rows = [tuple(r) for r in conv.collect()]
+    rows = [(c % 3 if c % 3 else None, None if c % 2 else t // 4, r, x) for c, t, r, x in rows] + [(9, 0, "user", " ")] * 40 + [(8, 0, "system", "s")] * 40
+    df = spark.createDataFrame(rows, conv.schema)
+    want = {r[0]: tuple(r)[1:] for r in fold_turns(df).collect()}
+    for limits in ({"rows": 10}, {"size": 100}, {"rows": 10, "block": 2}):
+        assert {r[0]: tuple(r)[1:] for r in fold_turns(df, **limits).collect()} == want
+    assert want[9] == want[8] == ("", "")
+
+
+def test_one_hot_turn_is_spread_over_tasks(spark):
+    """90 % of the rows are one conversation's, all of one turn number."""
+    from sftforge.operators.fold import _block, sorted_pieces, turn_parts
+
+    hot = spark.range(90_000).selectExpr("1L AS conv_id", "0L AS turn", "'user' AS role", "concat('text ', md5(string(id % 60000))) AS text")
+    rest = spark.range(10_000).selectExpr("10 + id AS conv_id", "0L AS turn", "'assistant' AS role", "string(id) AS text")
+    turns = hot.unionByName(rest)
+    parts = turn_parts(turns.where("conv_id = 1")).withColumn("_blk", _block(1024))
+    sizes = sorted(r["count"] for r in sorted_pieces(parts, "conv_id", 8).groupBy("_piece").count().collect())
+    assert len(sizes) == 8 and sum(sizes) == 60_000 and sizes[-1] <= 2 * sizes[4]
+    got = {r[0]: tuple(r)[1:] for r in fold_turns(turns, rows=1000).collect()}
+    texts = sorted(r[0] for r in hot.select("text").collect())
+    assert len(got) == 10_001 and got[1] == ("\n".join(texts), "") and got[11] == ("", "1")
