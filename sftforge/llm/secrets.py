@@ -11,7 +11,11 @@ are decoded by Viterbi, all lines of a slice in step.
 The weights are learned from the base's own findings: likelihood by forward and
 backward sums on at most ``WINDOWS`` stretches of ``STRETCH`` words that hold a
 finding and as many that hold none, those of the smallest hashes of document,
-line and stretch.  Without findings the field adds nothing.
+line and stretch.  Beside them it learns from about ``VARIED`` copies of stretches
+with a finding, in which the word before the secret, what stands between and the
+secret's own shape are drawn anew (:func:`varied`), so that it doesn't repeat the
+patterns but finds what is made like a secret where they don't look.  Without
+findings the field adds nothing.
 
 Edge cases: null and empty texts have no spans; null ids pass through; repeated
 rows are each scanned; long texts and lines are scanned whole; an empty table
@@ -36,7 +40,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "crf")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
-WINDOWS, STRETCH = 1500, 32
+WINDOWS, STRETCH, VARIED = 1500, 32, 2000
 WORD_ROOM = 1 << 12
 OUT, BEGIN, INSIDE = 0, 1, 2
 _NEVER = -1e9
@@ -91,9 +95,7 @@ class Words:
         length = np.searchsorted([3, 6, 12, 20, 32], size, "right")
         share = np.searchsorted([0.0001, 0.3, 0.7], counts["digit"] / np.maximum(size, 1), "right")
         case = np.where(counts["upper"] == 0, 0, np.where((counts["upper"] == 1) & upper[self.start], 1, 2)) if n else size
-        shape = length
-        for value, room in ((share, 4), (case, 3), (counts["sign"] > 0, 2), (counts["wide"] > 0, 2), (counts["hex"] == size, 2)):
-            shape = shape * room + value
+        shape = shape_of(length, share, case, counts["sign"] > 0, counts["wide"] > 0, counts["hex"] == size)
         # Between a word and the one before it in its text: nothing, blanks, quotes, assignment, line end, other signs.
         blank, feed = sums((data == 32) | (data == 9)), sums(data == 10)
         quote, equal = sums((data == 34) | (data == 39)), sums((data == 61) | (data == 58))
@@ -165,8 +167,8 @@ class Field:
         return label
 
 
-def learn(features: np.ndarray, label: np.ndarray, real: np.ndarray, rounds: int = 60, rate: float = 0.15,
-          ridge: float = 1e-3) -> Field:
+def learn(features: np.ndarray, label: np.ndarray, real: np.ndarray, rounds: int = 50, rate: float = 0.5,
+          ridge: float = 2e-4) -> Field:
     """Maximum likelihood by adaptive gradient steps.  features: family x window x word; real: words that are there.
 
     Windows begin at word 0; words that aren't there come last and are outside.
@@ -211,6 +213,51 @@ def learn(features: np.ndarray, label: np.ndarray, real: np.ndarray, rounds: int
     return Field(weights, steps)
 
 
+def shape_of(length, share, case, sign, wide, hexadecimal):
+    """The number of a shape: classes of length and of digits' share, letter case, and three marks."""
+    shape = length
+    for value, room in ((share, 4), (case, 3), (sign, 2), (wide, 2), (hexadecimal, 2)):
+        shape = shape * room + value
+    return shape
+
+
+def varied(features: np.ndarray, label: np.ndarray, real: np.ndarray, most: int = VARIED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows, and copies of those that hold a secret, ``most`` in all, its looks and its surroundings drawn anew (always alike).
+
+    Drawn are, for a secret's words: a shape of letters and digits, or of both cases
+    with signs, or hexadecimal, of 12 characters or more after a sign of assignment
+    and 20 or more elsewhere; what stands before the secret (a blank, a quote, an
+    assignment); and the words before and after it, any at all.  As many windows
+    without a secret are copied, in which some ordinary word stands after a quote or
+    an assignment, behind any word.  Words that begin a line stay without a word before.
+    """
+    rng = np.random.default_rng(20)
+    have = (label > 0).any(axis=1)
+    some, none = np.flatnonzero(have), np.flatnonzero(~have)
+    out = [(features, label, real)]
+    any_word = lambda n: rng.integers(1, WORD_ROOM, n)
+    for _ in range(most // max(1, len(some))):
+        f, y, r = features[:, some].copy(), label[some], real[some]
+        w, k = np.nonzero(y == BEGIN)
+        f[1, w, k] = np.where(k > 0, rng.choice([1, 2, 3], len(w)), f[1, w, k])
+        f[2, w, k] = np.where(k > 0, any_word(len(w)), 0)
+        assigned = np.zeros(y.shape, bool)
+        assigned[w, k] = f[1, w, k] == 3
+        w, k = np.nonzero(y > 0)
+        f[3, w, k] = np.where(f[3, w, k] > 0, any_word(len(w)), 0)
+        kind = rng.integers(0, 4, len(w))  # lower case and digits, both cases, both with signs, hexadecimal
+        least = np.where(assigned[w, k], 3, 4)
+        f[0, w, k] = shape_of(least + rng.integers(0, 6 - least), rng.integers(1, np.where(kind == 3, 4, 3)), np.isin(kind, (1, 2)) * 2, kind == 2, 0, kind == 3)
+        out.append((f, y, r))
+        if len(none):
+            w = rng.choice(none, len(some))
+            f, k = features[:, w].copy(), rng.integers(0, real[w].sum(axis=1))
+            at = np.flatnonzero(k > 0)
+            f[1, at, k[at]], f[2, at, k[at]] = rng.choice([2, 3], len(at)), any_word(len(at))
+            out.append((f, label[w], real[w]))
+    return tuple(np.concatenate(parts, axis=int(i == 0)) for i, parts in enumerate(zip(*out)))
+
+
 # ---------------------------------------------------------------- Spark jobs
 
 def hash_bound(rows: DataFrame, n: int) -> int:
@@ -290,7 +337,7 @@ def train(docs: DataFrame, windows: int = WINDOWS, stretch: int = STRETCH) -> Fi
         n = len(r["label"])
         label[i, :n], real[i, :n] = r["label"], True
         features[:, i, :n] = np.array(r["features"]).reshape(len(FAMILIES), n)
-    return learn(features, label, real)
+    return learn(*varied(features, label, real))
 
 
 def scan(docs: DataFrame, field: Field | None) -> DataFrame:

@@ -116,3 +116,44 @@ def test_a_single_finding_trains(spark):
     for i in range(6):  # a bound in doubles lay below about half of single hashes
         docs = spark.createDataFrame([(i, "password=abcdefg1234")], "doc_id long, text string")
         assert S.train(docs) is not None
+
+
+def test_planted_secrets_that_the_patterns_miss(spark):
+    """Recall of whole secrets and false spans, secrets of four makes planted into whole documents of a table."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = S.train(docs)
+    texts = [r["text"] or "" for r in docs.orderBy("doc_id").limit(300).select("text").collect()]
+    rng = np.random.default_rng(5)
+    hexa = "0123456789abcdef"
+    mixed = hexa + "ghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    draw = lambda signs, n: "".join(rng.choice(list(signs), n))
+    for lead, signs, n, least in (("pwd=", mixed, 14, 0.85), ("Authorization: Bearer ", mixed, 36, 0.95),
+                                  ("AccountKey: ", mixed + "+/", 44, 0.95), ('credential "', hexa, 20, 0.95)):
+        rows, want, wrong = [], [], 0
+        for t in texts:
+            w = t.split(" ")
+            k = int(rng.integers(0, len(w)))
+            head, secret = " ".join([*w[:k], lead]), draw(signs, n)
+            rows.append(" ".join([head + secret, *w[k:]]))
+            want.append((len(head), len(head) + n))
+        found = S.tagged(field, pa.array(rows))
+        for r, a, z in found:
+            known = [want[r], *((s, e) for s, _, e, _ in S.base_spans(rows[r]))]
+            wrong += all(z <= s or e <= a for s, e in known)
+        hit = {r for r, a, z in found if a <= want[r][0] and want[r][1] <= z}
+        assert len(hit) >= least * len(rows) and wrong <= 3, (lead, len(hit), wrong)
+
+
+def test_varied_windows():
+    rng = np.random.default_rng(2)
+    label, real = np.zeros((4, 6), np.int64), np.ones((4, 6), bool)
+    label[0, :2], label[1, 3] = (S.BEGIN, S.INSIDE), S.BEGIN
+    real[2, 4:] = False
+    features = np.stack([rng.integers(0, n, label.shape) for n in S.FAMILIES])
+    f, y, r = S.varied(features, label, real, 10)
+    assert f.shape[1:] == y.shape == r.shape == (4 + 5 * 4, 6)
+    assert (f[:, :4] == features).all() and (y[:4] == label).all()
+    assert all((x < n).all() and (x >= 0).all() for x, n in zip(f, S.FAMILIES))
+    # Nothing is drawn where there is no finding, and the same is drawn each time.
+    assert len(S.varied(features[:, 2:], label[2:], real[2:])[1]) == 2
+    assert all((a == b).all() for a, b in zip(S.varied(features, label, real, 10), (f, y, r)))
