@@ -14,10 +14,12 @@ k-th best lower bound (of the block, or of exact scores found before) are few,
 no other vector can be a member.  Their remaining segments are read and they are
 scored exactly, ties included.  Nothing is pruned by guess; recall is 1.
 
-Blocks of queries are broadcast (at most ``QUERY_BLOCK`` at a time) and every
-index block is read once for each; a task keeps the best k per query of all its
-blocks, and the tasks' lists meet in a window that Spark limits before and after
-the shuffle.
+Queries and index blocks meet in a grid of cells: queries are dealt by hash into
+groups of about ``QUERY_BLOCK``, blocks into groups of about ``CELL``, and a cell
+holds one group of each whatever the input's size.  Its task keeps the best k per
+query of all its blocks, and the cells' lists meet in a window that Spark limits
+before and after the shuffle.  The plan is of one size, and nothing passes the
+driver but the two counts.
 
 Edge cases: vectors that are null or hold null, infinite or not-a-number
 components take no part; shorter vectors are continued by zeros, an empty one is
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from sftforge.llm.common import documents, materialize, prepare
 
 K, SCALE, EVERY = 5, 256, 50
-BLOCK, QUERY_BLOCK, STEP = 4096, 8192, 512
+BLOCK, QUERY_BLOCK, CELL, STEP = 4096, 8192, 4, 512
 _LAST = np.iinfo(np.int64).max
 INDEX = "rows array<long>, ids array<long>, low array<long>, impacts array<binary>, wide binary"
 FOUND = "query_row long, query_id long, vec_row long, vec_id long, score long"
@@ -167,57 +169,81 @@ def best(query: np.ndarray, score: np.ndarray, order: np.ndarray, row: np.ndarra
     return by[place < k]
 
 
-def search(index: DataFrame, queries, k: int = K) -> DataFrame:
-    """The best k of each task's blocks for each query of a broadcast block (rows, ids, integer matrix)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_row, q_id, q = queries.value
-        have = [np.zeros(0, np.int64) for _ in range(5)]  # query, score, order, row, is the id null
-        floor = np.full(len(q), -float(_LAST))
-        for batch in batches:
-            for b in range(batch.num_rows):
-                block = Block(batch, b)
-                for s in range(0, len(q), STEP):
-                    # One more than k: the query's own row may be among them.
-                    i, j, score = block.members(q[s:s + STEP], floor[s:s + STEP], k + 1)
-                    other = block.rows[j] != q_row[s + i]
-                    i, j, score = i[other] + s, j[other], score[other]
-                    got = [i, score, block.order[j], block.rows[j], np.array([block.ids[x] is None for x in j], np.int64)]
-                    own = np.r_[np.flatnonzero((have[0] >= s) & (have[0] < s + STEP))]
-                    keep = np.setdiff1d(np.arange(len(have[0])), own, assume_unique=True)
-                    all_ = [np.concatenate([h[own], g]) for h, g in zip(have, got)]
-                    top = best(all_[0], all_[1], all_[2], all_[3], k)
-                    have = [np.concatenate([h[keep], a[top]]) for h, a in zip(have, all_)]
-                    count = np.bincount(have[0], minlength=len(q))
-                    least = np.full(len(q), _LAST, np.int64)
-                    np.minimum.at(least, have[0], have[1])
-                    floor = np.where(count >= k, least.astype(float), -float(_LAST))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(q_row[have[0]], pa.int64()), pa.array(q_id[have[0]], pa.int64()), pa.array(have[3]),
-             pa.array(have[2], pa.int64(), mask=have[4].astype(bool)), pa.array(have[1])],
+class Asked:
+    """The queries of a cell and the best k found for each."""
+
+    def __init__(self, rows: list[int], ids: list, vectors: list, scale: int, k: int):
+        self.rows, self.ids, self.k = np.array(rows, np.int64), ids, k
+        self.q = integer_matrix(pa.array(vectors, pa.list_(pa.float64())), scale)
+        self.have = [np.zeros(0, np.int64) for _ in range(5)]  # query, score, order, row, is the id null
+        self.floor = np.full(len(rows), -float(_LAST))
+
+    def meet(self, block: Block) -> None:
+        for s in range(0, len(self.q), STEP):
+            # One more than k: the query's own row may be among them.
+            i, j, score = block.members(self.q[s:s + STEP], self.floor[s:s + STEP], self.k + 1)
+            other = block.rows[j] != self.rows[s + i]
+            i, j, score = i[other] + s, j[other], score[other]
+            got = [i, score, block.order[j], block.rows[j], np.array([block.ids[x] is None for x in j], np.int64)]
+            own = (self.have[0] >= s) & (self.have[0] < s + STEP)
+            all_ = [np.concatenate([h[own], g]) for h, g in zip(self.have, got)]
+            top = best(*all_[:4], self.k)
+            self.have = [np.concatenate([h[~own], a[top]]) for h, a in zip(self.have, all_)]
+        count = np.bincount(self.have[0], minlength=len(self.q))
+        least = np.full(len(self.q), _LAST, np.int64)
+        np.minimum.at(least, self.have[0], self.have[1])
+        self.floor = np.where(count >= self.k, least.astype(float), -float(_LAST))
+
+    def found(self) -> pa.RecordBatch:
+        query, score, order, row, no_id = self.have
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.rows[query], pa.int64()), pa.array([self.ids[x] for x in query], pa.int64()), pa.array(row),
+             pa.array(order, pa.int64(), mask=no_id.astype(bool)), pa.array(score)],
             names=["query_row", "query_id", "vec_row", "vec_id", "score"])
 
-    return index.mapInArrow(run, FOUND)
+
+def search(asked: DataFrame, index: DataFrame, counts: tuple[int, int], k: int = K, scale: int = SCALE,
+           query_block: int = QUERY_BLOCK, per_cell: int = CELL) -> DataFrame:
+    """The best k of each cell's blocks for each of its queries; ``counts`` of the queries and blocks set the cells' number."""
+    down, across = max(1, -(-counts[0] // query_block)), max(1, -(-counts[1] // per_cell))
+    each = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    queries = asked.select(F.pmod(F.xxhash64("row"), F.lit(down)).alias("r"), F.explode(each(across)).alias("c"),
+                           F.col("row").alias("query"), "vec_id", "v")
+    blocks = index.withColumn("block", F.col("rows")[0]).select(
+        F.explode(each(down)).alias("r"), F.pmod(F.xxhash64("block"), F.lit(across)).alias("c"), "*")
+    cells = (queries.unionByName(blocks, allowMissingColumns=True).repartition(down * across, "r", "c")
+             .sortWithinPartitions("r", "c", F.asc_nulls_first("block"), "query"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, group, wait = None, None, ([], [], [])
+        for batch in batches:
+            where = list(zip(batch.column("r").to_pylist(), batch.column("c").to_pylist()))
+            query = batch.column("query").to_pylist()
+            for i, now in enumerate(where):
+                if now != cell:
+                    if group is not None:
+                        yield group.found()
+                    cell, group, wait = now, None, ([], [], [])
+                if query[i] is not None:
+                    for to, name in zip(wait, ("query", "vec_id", "v")):
+                        to.append(batch.column(name)[i].as_py())
+                elif wait[0]:
+                    group = group or Asked(*wait, scale, k)
+                    group.meet(Block(batch, i))
+        if group is not None:
+            yield group.found()
+
+    return cells.mapInArrow(run, FOUND)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, vector_col: str = "embedding",
-          id_col: str = "vec_id", block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+          id_col: str = "vec_id", block: int = BLOCK, query_block: int = QUERY_BLOCK, per_cell: int = CELL) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of each row for which ``is_query`` (on vec_id) holds."""
-    spark = vectors.sparkSession
-    prepare(spark)
-    rows = usable(vectors, vector_col, id_col)
+    prepare(vectors.sparkSession)
+    rows = materialize(usable(vectors, vector_col, id_col), "top-rows")
     index = materialize(build_index(rows, scale, block), "impact-index")
-    asked = materialize(rows.where(F.coalesce(is_query, F.lit(False))), "top-queries")
-    # Blocks of queries by hash; each is broadcast, so its size is bounded and the number of passes grows.
-    blocks = -(-asked.count() // query_block)
-    found = None
-    for b in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).orderBy("row").toArrow().combine_chunks()
-        matrix = integer_matrix(pa.array(part.column("v").to_pylist(), pa.list_(pa.float64())), scale)
-        block_ = (part.column("row").to_numpy(), part.column("vec_id").to_numpy(), matrix)
-        one = search(index, spark.sparkContext.broadcast(block_), k)
-        found = one if found is None else found.unionByName(one)
-    if found is None:
-        found = spark.createDataFrame([], FOUND)
+    asked = rows.where(F.coalesce(is_query, F.lit(False)))
+    found = search(asked, index, (asked.count(), index.count()), k, scale, query_block, per_cell)
     w = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "vec_row")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

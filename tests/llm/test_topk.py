@@ -33,8 +33,8 @@ def test_query_matches_brute_force(spark):
     assert got(T.op10_impact_ordered_topk(spark, SF)) == brute(rows, lambda i: i % 50 == 0)
 
 
-@pytest.mark.parametrize("block,query_block", [(4096, 8192), (7, 5)])
-def test_edge_cases(spark, tmp_dir, block, query_block):
+@pytest.mark.parametrize("block,query_block,per_cell", [(4096, 8192, 4), (7, 5, 1), (3, 4, 2)])
+def test_edge_cases(spark, tmp_dir, block, query_block, per_cell):
     rng = np.random.default_rng(2)
     base = [[float(np.float32(x)) for x in rng.normal(0, 0.2, 6)] for _ in range(12)]
     rows = [(i, base[i % 12 if i % 3 else 0]) for i in range(60)]  # many ties
@@ -43,7 +43,7 @@ def test_edge_cases(spark, tmp_dir, block, query_block):
     frame = stored(spark, [(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, score int, row string", tmp_dir).coalesce(1)
     order = [(r["vec_id"], r["embedding"]) for r in frame.collect()]
     asked = F.col("vec_id") % 5 == 0
-    assert got(T.top_k(frame, asked, block=block, query_block=query_block)) == brute(order, lambda i: i % 5 == 0)
+    assert got(T.top_k(frame, asked, block=block, query_block=query_block, per_cell=per_cell)) == brute(order, lambda i: i % 5 == 0)
     assert got(T.top_k(frame, asked, k=100, block=block)) == brute(order, lambda i: i % 5 == 0, 100)
     assert got(T.top_k(frame.where("vec_id > 900"), asked)) == []
     assert got(T.top_k(frame.where("vec_id = 5"), asked)) == []
