@@ -45,6 +45,8 @@ ESCAPED = re.compile(r"([<\[])\\(\\*)(\||/?s>|</?SYS>>|/?INST\])")
 TURN = re.compile(r"<\|turn\|>(.*?)<\|says\|>(.*?)<\|end\|>\n", re.S)
 PLACEHOLDER = re.compile(r"<\|(image|audio|document)\|>")
 
+#: Characters of a text that a range's edge may hold.
+HEAD = 256
 PARTS = ("array<struct<kind string, text string, ref string, width int, height int, seconds double, pages int>>")
 TURNS = ("conv_id long, turn long, formatted string, loss array<struct<start int, stop int>>, "
          "attachments array<struct<kind string, ref string, at int, tokens int>>, expanded_tokens long")
@@ -194,7 +196,10 @@ def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
 def read_back(turns: DataFrame) -> DataFrame:
     """Digests of whole conversations from rows (conv_id, turn, role, parts): format each turn, then read it again."""
     key = F.transform("parts", lambda p: F.coalesce(p["text"], F.lit("")))
-    ordered = (turns.repartitionByRange("conv_id", "turn", "role", key)
+    # The range sampler brings its keys to the driver: heads of the texts, in the order of the texts themselves.
+    long_role = F.length("role") > HEAD
+    head = F.when(~long_role, F.substring(F.get(key, F.lit(0)), 1, HEAD))
+    ordered = (turns.repartitionByRange("conv_id", "turn", F.substring("role", 1, HEAD), long_role, head)
                .sortWithinPartitions("conv_id", "turn", "role", key))
     formatted = format_turns(ordered).withColumn("range", F.spark_partition_id())
     pieces = formatted.select("range", "conv_id", "formatted", "loss", "expanded_tokens")
