@@ -7,20 +7,20 @@ positions of two residues modulo 4, so whichever two positions are substituted,
 some mask ignores both and the masked hashes of the two windows are equal: no
 leak is missed.  Hits are verified word by word over the whole window, and
 verified windows are joined into overlaps.  Items of fewer words must stand in
-the text whole.  By default they must be unchanged and hold ``LEAST`` words at
-least.  With ``scaled``, as in the query and the pipeline, those of
-``ONE_FROM`` words or more may differ in one word (two masks, each without every
-other position), and ``SCALED_LEAST`` words are enough; shorter items are no
-evidence and are never matched.
+the text whole; those of ``ONE_FROM`` words or more may differ in one word (two
+masks, each without every other position), shorter ones must be unchanged, and
+items under ``LEAST`` words are no evidence and never matched.
 
 The documents are read once and never shuffled, however hot a passage is.  The
 benchmark's hashes are broadcast in blocks of at most about ``BLOCK_BYTES`` of
 text, each with its own pass over the rows in the same stage, so a large
-benchmark makes more passes and not a larger broadcast.
+benchmark makes more passes and not a larger broadcast.  Items of one text are
+one entry with the list of their ids, so copies of an item add 8 bytes each and
+no work; a block's text and ids both count towards its size.
 
 Edge cases: null and empty texts are clean; null items match nothing; an item
-without id counts, and stands in ``item_ids`` as null, last; repeated items and
-rows each count; an empty benchmark or table gives clean or no rows; other
+without id counts, and stands in ``item_ids`` as null, last; each of repeated items
+is listed by its id, each of repeated rows reported; an empty benchmark or table gives clean or no rows; other
 columns are ignored (``keep_clean`` returns them all).
 """
 
@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import (PrefixHash, documents, lowered, mix, prepare, sliced, spread,
-                                 text_bytes, words)
+from sftforge.llm.common import (PrefixHash, documents, lowered, materialize, mix, prepare, sliced,
+                                 spread, text_bytes, words)
 
-SPAN, SUBSTITUTIONS, LEAST = 13, 2, 5
-ONE_FROM, SCALED_LEAST = 7, 3
+SPAN, SUBSTITUTIONS = 13, 2
+ONE_FROM, LEAST = 7, 3
 RESIDUES = 4
 BLOCK_BYTES = 4 << 20
 
@@ -75,17 +75,17 @@ def window_starts(row: np.ndarray, span: int) -> np.ndarray:
 
 
 class Index:
-    """Masked hashes of a block of the benchmark."""
+    """Masked hashes of a block of the benchmark: distinct texts, each with the ids of its items."""
 
-    def __init__(self, ids: list, texts: list, scaled: bool = False):
+    def __init__(self, ids: list[list], texts: list[str]):
         self.ids = ids
         self.words, self.row, n = tokens(pa.array(texts, pa.string()))
         size = np.bincount(self.row, minlength=n)
         #: (span, substitutions, kept positions, salt, sorted hashes, window starts, filter)
         self.masks = []
         kinds = [(SPAN, SUBSTITUTIONS, m) for m in MASKS]
-        for s in sorted({int(s) for s in size if (SCALED_LEAST if scaled else LEAST) <= s < SPAN}):
-            if scaled and s >= ONE_FROM:
+        for s in sorted({int(s) for s in size if LEAST <= s < SPAN}):
+            if s >= ONE_FROM:
                 kinds += [(s, 1, list(range(odd, s, 2))) for odd in (0, 1)]
             else:
                 kinds.append((s, 0, list(range(s))))
@@ -122,12 +122,12 @@ class Index:
         w, row, n = tokens(column)
         at, span, item = self.overlaps(w, row)
         first = np.searchsorted(row, np.arange(n))
-        ids, spans = [[] for _ in range(n)], [[] for _ in range(n)]
+        met, spans = [set() for _ in range(n)], [[] for _ in range(n)]
         for p, s, i in zip(at.tolist(), span.tolist(), item.tolist()):
             r = int(row[p])
-            ids[r].append(self.ids[i])
+            met[r].add(i)
             spans[r] += [p - int(first[r]), p - int(first[r]) + s]
-        return ids, spans
+        return [[x for i in items for x in self.ids[i]] for items in met], spans
 
     def dirty(self, column: pa.Array) -> np.ndarray:
         w, row, n = tokens(column)
@@ -136,20 +136,25 @@ class Index:
         return out
 
 
-def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, scaled: bool = False) -> list:
+def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
     """Broadcast indexes of the benchmark, a block each; the driver holds one block at a time."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    text = F.col("text").cast("string")
+    # A struct, as collect_set leaves out nulls.
+    classes = materialize(
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text")).where("text IS NOT NULL")
+        .groupBy(F.sha2("text", 256).alias("class"))
+        .agg(F.first("text").alias("text"), F.collect_set(F.struct("item_id")).alias("ids")), "benchmark-classes")
+    size = classes.agg(F.sum(F.octet_length("text") + 8 * F.size("ids"))).first()[0] or 0
     blocks = -(-size // block_bytes)
     out = []
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        out.append(spark.sparkContext.broadcast(Index([r["item_id"] for r in rows], [r["text"] for r in rows], scaled)))
+        rows = classes.where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == b).collect()
+        out.append(spark.sparkContext.broadcast(Index([[i["item_id"] for i in r["ids"]] for r in rows], [r["text"] for r in rows])))
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, scaled: bool = False) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, contaminated, item_ids (ascending, each once), leaked_words, n_words of each row."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -167,7 +172,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
 
         return rows.mapInArrow(run, "doc_id long, text string, items array<long>, spans array<long>")
 
-    for index in indexes(benchmark, block_bytes, scaled):
+    for index in indexes(benchmark, block_bytes):
         rows = search(index)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +195,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
     return rows.mapInArrow(close, "doc_id long, contaminated boolean, item_ids array<long>, leaked_words long, n_words long")
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, scaled: bool = False) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows, all columns, without any leak."""
     prepare(docs.sparkSession)
 
@@ -202,10 +207,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
         return rows.mapInArrow(run, docs.schema)
 
     out = docs
-    for index in indexes(benchmark, block_bytes, scaled):
+    for index in indexes(benchmark, block_bytes):
         out = drop(out, index)
     return out
 
 
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), scaled=True)
+    return find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))

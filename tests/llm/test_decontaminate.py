@@ -21,12 +21,12 @@ def brute(docs, items):
         ids, covered = set(), set()
         for item, b in pieces:
             span = 13 if len(b) >= 13 else len(b)
-            if span < 5:
+            if span < 3:
                 continue
             for p in range(len(w) - span + 1):
                 for q in range(len(b) - span + 1):
                     same = sum(x == y for x, y in zip(w[p:p + span], b[q:q + span]))
-                    if same >= (11 if span == 13 else span):
+                    if same >= (11 if span == 13 else span - 1 if span >= 7 else span):
                         ids.add(item)
                         covered |= set(range(p, p + span))
         out.append((doc, bool(covered), sorted(ids, key=lambda x: (x is None, x or 0)), len(covered), len(w)))
@@ -86,6 +86,18 @@ def test_brute_force_with_substitutions(spark, tmp_dir, block):
     assert sorted(str(r["doc_id"]) for r in rows_of(kept)) == sorted(str(r[0]) for r in want if not r[1])
 
 
+def test_copies_of_an_item_are_one_entry(spark, tmp_dir):
+    """Repeated items, also with other ids or none, add ids to the finding and no entry to the index."""
+    said = " ".join(f"w{i}" for i in range(20))
+    items = [(i % 500, said) for i in range(1500)] + [(None, said), (None, said), (900, said + " more"), (901, None)]
+    bench = stored(spark, items, "item_id long, text string", tmp_dir)
+    built = D.indexes(bench)
+    assert len(built) == 1 and len(built[0].value.ids) == 2
+    docs = stored(spark, [(1, "so " + said), (2, "other words")], "doc_id long, text string", tmp_dir)
+    got = {r["doc_id"]: r["item_ids"] for r in rows_of(D.find_leaks(docs, bench))}
+    assert got == {1: [*range(500), 900, None], 2: []}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
