@@ -17,7 +17,7 @@ seen more often than the discount, a number bounded by the sample.
 
 Edge cases: null and empty texts have no words and get the curve's value at
 zero evidence; rows without id are scored but never learned from; repeated rows
-are scored each for itself; several labels of an id: the highest holds; without
+are scored each for itself, and of rows of one id one is learned from; several labels of an id: the highest holds; without
 labelled rows of both classes every score is that of zero evidence under
 ``DEFAULT``; other columns are ignored (``keep_ordinary`` returns them all).
 """
@@ -204,7 +204,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     prepare(docs.sparkSession)
     chosen = materialize(sample(labels, most), "toxic-sample")
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .join(chosen, "doc_id").select("text", "toxic", "fit"))
+            .join(chosen, "doc_id").withColumn("text", F.coalesce("text", F.lit("")))
+            .groupBy("doc_id", "toxic", "fit").agg(F.min(F.struct(F.sha2("text", 256).alias("digest"), "text"))["text"].alias("text"))
+            .select("text", "toxic", "fit"))
     ratios = learn(pair_counts(rows.where("fit").select("text", "toxic")))
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
