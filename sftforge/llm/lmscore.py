@@ -337,7 +337,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, shard_bytes:
                          "CAST(NULL AS LONG) AS n", "doc_id", "text", "held_out"))
     counts = answers.selectExpr("shard", "level", "bucket", "data", "n", "CAST(NULL AS LONG) AS doc_id",
                                 "CAST(NULL AS STRING) AS text", "CAST(NULL AS BOOLEAN) AS held_out")
-    return (texts.unionByName(counts).repartition("shard")
+    return (texts.unionByName(counts).repartition(buckets, "shard")
             .sortWithinPartitions("shard", F.col("level").asc_nulls_last(), "bucket")
             .mapInArrow(traverse, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                   "base_score double, score double"))
