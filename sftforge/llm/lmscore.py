@@ -41,7 +41,7 @@ from sftforge.llm.buckets import group_bounds
 from sftforge.llm.common import (SLICE_BYTES, PrefixHash, documents, lowered, materialize, mix, prepare,
                                  sliced, text_bytes, words)
 
-ORDER, MU = 2, 50.0
+ORDER, MU = 3, 50.0
 MODULUS, HELD = 7, 2
 SHARD_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
