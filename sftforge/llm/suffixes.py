@@ -401,7 +401,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
 
     applied = materialize(
         found.where("bucket = -1").select("shard", "bucket", "data").unionByName(codes)
-        .repartition("shard").sortWithinPartitions("shard", "bucket")
+        .repartition(buckets, "shard").sortWithinPartitions("shard", "bucket")
         .mapInArrow(apply, "row long, spans array<long>, key long, start long, size long"), "suffix-applied")
 
     # The bytes of the segments to be compared, from those documents alone (a bounded filter keeps most others back).
@@ -461,7 +461,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             yield close(held)
 
     parts = dealt(segments, ["key"], ["row", "start"], block)
-    met = (parts.select("key", "p", "q", "row", "start", "data").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    met = (parts.select("key", "p", "q", "row", "start", "data").repartition(buckets, "key", "p", "q").sortWithinPartitions("key", "p", "q")
            .mapInArrow(compare, "row long, spans array<long>"))
     return (found.where("row IS NOT NULL").select("row", "spans").unionByName(applied.where("spans IS NOT NULL").select("row", "spans"))
             .unionByName(met))
