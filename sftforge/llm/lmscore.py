@@ -38,12 +38,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge.llm.buckets import group_bounds
-from sftforge.llm.common import (SLICE_BYTES, PrefixHash, documents, lowered, materialize, mix, prepare,
-                                 sliced, text_bytes, words)
+from sftforge.llm.common import (PrefixHash, documents, lowered, materialize, mix, prepare, release, sliced,
+                                 text_bytes, words)
 
 ORDER, MU = 3, 50.0
 MODULUS, HELD = 7, 2
 SHARD_BYTES = 8 << 20
+# Texts are hashed in slices of so many bytes: a byte takes some 60 of memory meanwhile.
+SLICE_BYTES = 1 << 19
 BUCKET_BYTES = 16 << 20
 _U = np.uint64
 _START, _END = _U(0x5354415254), _U(0x454E44)
@@ -76,17 +78,18 @@ class Grams:
 
     ``place[k]``: for each token the number of the (k + 1)-gram that ends there,
     -1 if its text begins later (a lone start mark is no gram).  ``keys[k]`` and
-    ``bucket[k]``: the grams, by bucket and key.  ``at[k]``: a token where each ends.
+    ``bucket[k]``: the grams, by bucket and key (``sending``; else just their
+    number, ``n[k]``).  ``at[k]``: a token where each ends.  ``end``: the end
+    token's number among the words, None without one.  Numbers take 32 bits.
     """
 
-    def __init__(self, columns: list[pa.Array], order: int, buckets: int):
-        tokens, rows, self.docs = [], [], 0
+    def __init__(self, columns: list[pa.Array], order: int, buckets: int, sending: bool = True):
+        tokens, sizes = [], []
         for column in columns:
             data, offsets = text_bytes(column)
             data = lowered(data)
             starts, ends, row = words(data, offsets)
-            n = len(offsets) - 1
-            size = np.bincount(row, minlength=n) + 2
+            size = np.bincount(row, minlength=len(offsets) - 1) + 2
             last = np.cumsum(size) - 1
             all_ = np.empty(int(size.sum()), _U)
             word = np.ones(len(all_), bool)
@@ -94,29 +97,46 @@ class Grams:
             all_[word] = PrefixHash(data).of(starts, ends)
             all_[last], all_[last - size + 1] = _END, _START
             tokens.append(all_)
-            rows.append(np.repeat(np.arange(n), size) + self.docs)
-            self.docs += n
-        self.tokens, self.row = np.concatenate(tokens), np.concatenate(rows)
-        self.first = np.searchsorted(self.row, np.arange(self.docs))
-        self.size = np.diff(np.append(self.first, len(self.row))) - 1
-        self.depth = np.arange(len(self.row)) - self.first[self.row]
-        self.place, self.keys, self.bucket, self.at = [], [], [], []
-        gram = self.tokens
+            sizes.append(size)
+        tokens, sizes = np.concatenate(tokens), np.concatenate(sizes)
+        self.docs, self.size = len(sizes), sizes - 1
+        self.first = np.cumsum(sizes) - sizes
+        self.row = np.repeat(np.arange(self.docs, dtype=np.int32), sizes)
+        self.depth = np.arange(len(tokens), dtype=np.int32) - np.repeat(self.first.astype(np.int32), sizes)
+        self.place, self.keys, self.bucket, self.at, self.n = [], [], [], [], []
+        gram = tokens
         for k in range(order):
             if k:
                 gram = np.append(_START, gram[:-1])
-                gram = mix(gram * _U(0x9E3779B97F4A7C15) + self.tokens)
-            live = np.flatnonzero(self.depth >= max(k, 1))
-            h = gram[live]
-            bucket = ((h >> _U(32)) * _U(buckets)) >> _U(32)
-            sort = h if k == 0 else bucket << _U(40) | h & _U((1 << 40) - 1)
-            sort, first, inverse = np.unique(sort, return_index=True, return_inverse=True)
-            place = np.full(len(gram), -1, np.int64)
-            place[live] = inverse
+                gram *= _U(0x9E3779B97F4A7C15)
+                gram += tokens
+                gram = mix(gram)
+            live = np.flatnonzero(self.depth >= max(k, 1)).astype(np.int32)
+            sort = gram[live]
+            if k:
+                bucket = ((sort >> _U(32)) * _U(buckets)) >> _U(32)
+                sort &= _U((1 << 40) - 1)
+                bucket <<= _U(40)
+                sort |= bucket
+                del bucket
+            by = np.argsort(sort, kind="stable").astype(np.int32)
+            sort = sort[by]
+            new = np.ones(len(sort), bool)
+            np.not_equal(sort[1:], sort[:-1], out=new[1:])
+            place = np.full(len(gram), -1, np.int32)
+            place[live[by]] = np.cumsum(new, dtype=np.int32) - 1
             self.place.append(place)
-            self.at.append(live[first])
-            self.keys.append(sort if k == 0 else sort & _U((1 << 40) - 1))
-            self.bucket.append(bucket[first].astype(np.int64))
+            self.at.append(live[by[new]])
+            del live, by
+            keys = sort[new]
+            del sort, new
+            self.n.append(len(keys))
+            if k == 0:
+                end = np.flatnonzero(keys == _END)
+                self.end = int(end[0]) if len(end) else None
+            if sending:
+                self.bucket.append(((((keys >> _U(32)) * _U(buckets)) >> _U(32)) if k == 0 else keys >> _U(40)).astype(np.int32))
+                self.keys.append(keys if k == 0 else keys & _U((1 << 40) - 1))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -126,7 +146,8 @@ def _packed(values: np.ndarray) -> bytes:
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
+    size = len(data) // n
+    return np.frombuffer(data, f"<u{size}").astype(np.int32 if size < 4 else np.int64)
 
 
 def _key_bytes(keys: np.ndarray, level: int) -> bytes:
@@ -146,13 +167,14 @@ def counted(rows: DataFrame, order: int, buckets: int, shard_bytes: int) -> Data
     """(level, bucket, shard, data) for each shard: what the corpus' training texts count of its n-grams."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(shard, held):
+            release()
             grams = Grams([b.column("text") for b in held], order, buckets)
             train = np.concatenate([b.column("train").to_numpy(zero_copy_only=False) for b in held])
             learned = train[grams.row]
             out = {"level": [], "bucket": [], "keys": [], "counts": []}
             for k in range(order):
                 use = grams.place[k][learned]
-                count = np.bincount(use[use >= 0], minlength=len(grams.keys[k]))
+                count = np.bincount(use[use >= 0], minlength=grams.n[k])
                 first, last = group_bounds([grams.bucket[k]])
                 for s, e in zip(first.tolist(), last.tolist()):
                     out["level"].append(k)
@@ -216,39 +238,48 @@ class Automaton:
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, known: int, mu: float):
         order = len(counts)
-        end = np.flatnonzero(grams.keys[0] == _END)
-        texts = int(counts[0][end[0]]) if len(end) else 0  # training texts: starts as many as ends
+        texts = int(counts[0][grams.end]) if grams.end is not None else 0  # training texts: starts as many as ends
         self.begin = self.BEGIN if texts and order > 1 else self.ROOT
-        p = [(counts[0] + 1) / (tokens + (known + 1))]
-        self.base = np.log10(p[0])
+        p = (counts[0].astype(np.float64) + 1) / (tokens + (known + 1))
+        self.base = np.log10(p)
         # States: the root, a text's start, then the histories of each length that training has.
-        state, fail, fail_weight, n = [], [np.array([0, 0])], [np.array([0.0, np.log10(mu / (texts + mu))])], 2
+        state, fail, fail_weight, n = [], [np.array([0, 0], np.int32)], [np.array([0.0, np.log10(mu / (texts + mu))])], 2
         for j in range(order - 1):
             seen = counts[j] > 0
-            number = np.where(seen, n + np.cumsum(seen) - 1, self.ROOT)
+            number = np.where(seen, n + np.cumsum(seen, dtype=np.int32) - 1, self.ROOT).astype(np.int32)
             n += int(seen.sum())
-            shorter = state[j - 1][grams.place[j - 1][grams.at[j]]] if j else np.zeros(len(seen), np.int64)
+            shorter = state[j - 1][grams.place[j - 1][grams.at[j]]] if j else np.zeros(len(seen), np.int32)
             state.append(number)
             fail.append(shorter[seen])
             fail_weight.append(np.log10(mu / (counts[j][seen] + mu)))
         self.fail, self.fail_weight = np.concatenate(fail), np.concatenate(fail_weight)
-        keys, weights, nexts = [np.arange(len(p[0]), dtype=_U)], [self.base], [state[0] if order > 1 else np.zeros(len(p[0]), np.int64)]
+        keys, weights, nexts = [np.arange(len(p), dtype=_U)], [self.base], [state[0] if order > 1 else np.zeros(len(p), np.int32)]
         for k in range(1, order):
             at = grams.at[k]
             before = grams.place[k - 1][at - 1]
             start = before < 0  # only pairs begin with the start mark alone
-            history = np.where(start, texts, counts[k - 1][before])
-            p.append((counts[k] + mu * p[k - 1][grams.place[k - 1][at]]) / (history + mu))
+            history = np.where(start, float(texts), counts[k - 1][before].astype(np.float64))
+            p = (counts[k] + mu * p[grams.place[k - 1][at]]) / (history + mu)
+            del history
             seen = counts[k] > 0
-            source = np.where(start, self.BEGIN, state[k - 1][before])[seen]
-            word = grams.place[0][at][seen]
-            keys.append(source.astype(_U) << _U(32) | word.astype(_U))
-            weights.append(np.log10(p[k][seen]))
+            at, before, start = at[seen], before[seen], start[seen]
+            key = np.where(start, self.BEGIN, state[k - 1][before]).astype(_U)
+            key <<= _U(32)
+            key |= grams.place[0][at].astype(_U)
+            keys.append(key)
+            weights.append(np.log10(p[seen]))
             j = min(k, order - 2)
-            nexts.append(state[j][grams.place[j][at[seen]]])
+            nexts.append(state[j][grams.place[j][at]])
+        del p, state
         keys = np.concatenate(keys)
-        by = np.argsort(keys)
-        self.keys, self.weights, self.nexts = keys[by], np.concatenate(weights)[by], np.concatenate(nexts)[by]
+        by = np.argsort(keys).astype(np.int32)
+        self.keys = keys[by]
+        del keys
+        weights = np.concatenate(weights)
+        self.weights = weights[by]
+        del weights
+        nexts = np.concatenate(nexts)
+        self.nexts = nexts[by]
 
     def scores(self, grams: Grams) -> np.ndarray:
         """log10 probability of each text: all texts step through the automaton together."""
@@ -297,12 +328,13 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, shard_bytes:
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(held, parts):
-            grams = Grams([b.column("text") for b in held], order, buckets)
+            release()
+            grams = Grams([b.column("text") for b in held], order, buckets, sending=False)
             counts = []
             for k in range(order):
                 own = [_unpacked(d, n) for level, d, n in parts if level == k]
                 counts.append(np.concatenate(own) if own else np.zeros(0, np.int64))
-                if len(counts[k]) != len(grams.keys[k]):
+                if len(counts[k]) != grams.n[k]:
                     raise RuntimeError("a shard's texts differ between two reads of the input")
             auto = Automaton(grams, counts, tokens, known, mu)
             scored = grams.depth > 0
@@ -328,7 +360,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, shard_bytes:
                 answer = run.filter(run.column("data").is_valid())
                 parts += zip(answer.column("level").to_pylist(), answer.column("data").to_pylist(), answer.column("n").to_pylist())
                 texts = run.filter(run.column("data").is_null())
-                held += sliced(iter([texts]))
+                held += sliced(iter([texts]), limit=SLICE_BYTES)
         if held:
             yield close(held, parts)
 

@@ -1,8 +1,11 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sftforge.llm import lmscore as M
@@ -69,3 +72,17 @@ def test_no_training_and_empty(spark, tmp_dir):
     compare(M.lm_scores(stored(spark, [(held, "a b")], "doc_id long, text string", tmp_dir)),
             [(held, True, 3, 0, 0, 0.0, 0.0)])
     assert rows_of(M.lm_scores(stored(spark, [], "doc_id long, text string", tmp_dir))) == []
+
+
+def test_a_shard_takes_little_memory_and_counts_beyond_32_bits_hold():
+    rnd = np.random.default_rng(1)
+    texts = pa.array([" ".join(map(str, rnd.zipf(1.3, 1000) % 50_000)) for _ in range(200)])
+    tracemalloc.start()
+    grams = M.Grams([texts.slice(i, 10) for i in range(0, 200, 10)], 3, 64, sending=False)
+    counts = [M._unpacked(M._packed(rnd.integers(0, 3, n)), n) for n in grams.n]
+    counts[0] = counts[0].astype(np.int64) + (1 << 40)
+    auto = M.Automaton(grams, counts, 1 << 50, 50_000, M.MU)
+    scores = auto.scores(grams)
+    assert tracemalloc.get_traced_memory()[1] < 130 * len(grams.row)
+    tracemalloc.stop()
+    assert np.isfinite(scores).all() and (scores < 0).all()
