@@ -49,6 +49,8 @@ PROMPT_CAP = 200
 LICENSE_HINTS = ("MIT License", "Apache License", "General Public License")
 TEMPLATE = EVALUATE_OPTIONS["template"]
 MODEL_NAMES = ("echo", "lead", "rest")
+# A task compares the answers to about so many bytes of documents.
+COMPARED_BYTES = 4 << 20
 
 
 def query(fn: Query) -> Query:
@@ -432,9 +434,13 @@ def similarity(spark, sf):
 @query
 def similarity_documents(spark, sf):
     """The ratio of whole documents' answers, by the rules for long texts too (no SQL: matching them there takes hours)."""
-    # Comparing is dear and the table may be one row group: the answers are dealt out first.
-    dealt = _answers(spark, sf).repartition("id", "model_name")
-    return score_answers(dealt).select("id", "model_name", "item_seq", "reference_similarity")
+    # Comparing is dear and the table may be one row group: the documents are dealt out first, and the answers to
+    # one are compared in the same task.
+    docs = table(spark, sf, "documents")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // COMPARED_BYTES))
+    dealt = document_items(docs.repartition(tasks, "doc_id", "text"))
+    return score_answers(derived_answers(dealt, model_rows(spark, MODEL_SPECS))).select("id", "model_name", "item_seq", "reference_similarity")
 
 
 @query

@@ -3,6 +3,7 @@
 import difflib
 import math
 import random
+import time
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -64,6 +65,26 @@ def test_ratio_of_long_texts():
         assert ratio(b + a[:50], b) == py_ratio(b + a[:50], b)
 
 
+def test_ratio_of_near_copies_takes_steps_as_their_length():
+    """Single characters of all kinds, so none is popular and the blocks are long; and words, whose letters are."""
+    rnd = random.Random(9)
+    for size, letter in ((150_000, lambda: chr(rnd.randrange(0x4E00, 0x9000))), (600_000, lambda: rnd.choice("etaoin shrdlu") if rnd.random() < 0.97 else chr(rnd.randrange(65, 90)))):
+        b = "".join(letter() for _ in range(size))
+        began = time.process_time()
+        assert ratio("  " + b[:-5], b) == 2 * (size - 5) / (2 * size - 3)
+        assert time.process_time() - began < 5
+
+
+def test_ratio_equals_the_definition_with_odd_code_points():
+    rnd = random.Random(4)
+    for alpha in ("\U0010ffff\ud800ab", "".join(map(chr, range(0x4E00, 0x4F00))), "".join(map(chr, range(0x1F600, 0x1F640))) + "abc " * 40):
+        for _ in range(40):
+            b = "".join(rnd.choice(alpha) for _ in range(rnd.choice([200, 500, 1500])))
+            p, q = sorted(rnd.randrange(len(b)) for _ in range(2))
+            for a in (b[q:] + b[:p], b[:p] + "\U0010fffe~" + b[q:], b[p:q] * 3, "".join(rnd.choice(alpha) for _ in range(300))):
+                assert ratio(a, b) == py_ratio(a, b), (a, b)
+
+
 def test_similarity_and_bound(spark):
     pairs = [("", ""), ("tide", "diet"), ("diet", "tide"), ("abc", ""), ("a", "a"), ("a", "ab"), ("x" * 5000, "x" * 4000)]
     pairs += list(random_pairs(150, 3))
