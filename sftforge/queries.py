@@ -51,6 +51,8 @@ TEMPLATE = EVALUATE_OPTIONS["template"]
 MODEL_NAMES = ("echo", "lead", "rest")
 # A task compares the answers to about so many bytes of documents.
 COMPARED_BYTES = 4 << 20
+# A task scores the answers to about so many parts; to at most so many tasks Spark deals rows without keeping any in memory.
+SCORED_PARTS, DEALT_MOST = 10_000, 200
 
 
 def query(fn: Query) -> Query:
@@ -410,8 +412,15 @@ def _doc_scores(spark, sf):
 
 
 def _scores(spark, sf):
-    """Scores of three models' answers to the parts' items, whose texts are short enough for SQL to match block by block."""
-    return score_answers(derived_answers(part_items(table(spark, sf, "part")), model_rows(spark, MODEL_SPECS)))
+    """Scores of three models' answers to the parts' items, whose texts are short enough for SQL to match block by block.
+
+    The table may be one row group, which one task reads: the parts are dealt out
+    first, so that the tasks that score and sort the answers follow the parts' number.
+    """
+    part = table(spark, sf, "part")
+    tasks = min(DEALT_MOST, -(-part.count() // SCORED_PARTS))
+    dealt = part.repartition(max(1, tasks), "p_partkey", "p_name")
+    return score_answers(derived_answers(part_items(dealt), model_rows(spark, MODEL_SPECS)))
 
 
 @query
