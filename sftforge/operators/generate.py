@@ -3,7 +3,7 @@
 Contract: ``make_generator(options) -> generate``, where ``generate`` maps a
 list of chat prompts (each a list of ``{"role", "content"}`` dicts) to a list of
 response strings of the same length.  The factory must be picklable; it is
-called once per task (``mapInPandas`` hands each task an iterator of Arrow
+called once per task (``mapInArrow`` hands each task an iterator of Arrow
 batches), never once per row.  Prompt columns are carried through the same
 batch, so responses are paired positionally without a join (J1); a generator
 returning the wrong number of answers fails the task.
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +33,9 @@ EVALUATE_OPTIONS = {
     "batch_size": 1, "max_new_tokens": 384, "temperature": 0.0, "top_p": 0.9,
     "repetition_penalty": 1.05, "template": "qwen3_nothink",
 }
+# Rows are handed back whenever their responses have so many characters, so that a
+# worker holds the batch it was sent and few Python strings beside it.
+OUTPUT_CHARS = 1 << 20
 
 
 def _as_messages(value) -> list[dict]:
@@ -79,26 +82,25 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
     order = ([group_col] if group_col else []) + ([F.xxhash64(messages_col)] if journal else [])
     source = source.sortWithinPartitions(*order) if order else source
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current_key, gen = object(), None
         done = Journal(journal) if journal else None
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
+            keys = batch.column(group_col).to_pylist() if group_col else [None] * batch.num_rows
             responses: list = []
-            keys = pdf[group_col].tolist() if group_col else [None] * len(pdf)
-            prompts = [_as_messages(v) for v in pdf[messages_col]]
-            start = 0
-            while start < len(pdf):
+            start = first = held = 0
+            while start < batch.num_rows:
                 key = keys[start]
                 if key != current_key:
                     gen = None  # release the previous generator before loading the next
                     current_key = key
                 extra = {group_col: key, **per_group.get(key, {})} if group_col else {}
                 stop = start
-                while stop < len(pdf) and stop - start < batch_size and keys[stop] == key:
+                while stop < batch.num_rows and stop - start < batch_size and keys[stop] == key:
                     stop += 1
-                chunk = prompts[start:stop]
+                chunk = [_as_messages(v) for v in batch.column(messages_col).slice(start, stop - start).to_pylist()]
                 name = done.key(opts | extra, chunk) if done else None
                 out = done.get(name) if done else None
                 if out is None:
@@ -110,12 +112,16 @@ def generate(df: DataFrame, make_generator: GeneratorFactory, options: dict | No
                     raise ValueError(
                         f"generator returned {len(out)} responses for {len(chunk)} prompts")
                 responses.extend(out)
+                held += sum(len(x) for x in out if x is not None)
                 start = stop
-            yield pdf.assign(**{output_col: responses})
+                if held >= OUTPUT_CHARS or start == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([*batch.slice(first, start - first).columns, pa.array(responses, pa.string())],
+                                                     names=[*batch.schema.names, output_col])
+                    responses, first, held = [], start, 0
 
     from sftforge.session import ship_package
     ship_package(df.sparkSession)
-    return source.mapInPandas(run, schema, profile=profile)
+    return source.mapInArrow(run, schema, profile=profile)
 
 
 def pending(df: DataFrame, done: DataFrame | None, keys) -> DataFrame:
