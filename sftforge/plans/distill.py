@@ -1,6 +1,6 @@
 """Distill: prompt table -> generated responses -> training records.
 
-Plan: scan -> project prompt messages -> ``mapInPandas`` (generator built once
+Plan: scan -> project prompt messages -> ``mapInArrow`` (generator built once
 per task) -> strip and project -> write.  No shuffle.  Work is split into
 ``chunks`` by a hash of the prompt key; each chunk is one job whose output is
 committed on its own, so a rerun after a failure skips finished chunks' rows

@@ -1,7 +1,7 @@
 """Evaluate: benchmark x models -> answers -> scores -> summary, pivot, reports.
 
 Plan: benchmark scan -> prompt messages (B1-B3) -> one job per model of the small
-model list (J2, no join) -> ``mapInPandas`` generation, one model at a time in the
+model list (J2, no join) -> ``mapInArrow`` generation, one model at a time in the
 whole cluster (G1, G2) -> answers stored by model -> native scores (E1-E6) stored -> summary (A1-A5) and
 comparison (R1) from the same scores -> reports (R5-R7) -> write (K4).
 """

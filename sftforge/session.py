@@ -39,7 +39,7 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession | None = None) -> None:
-    """Make ``sftforge`` importable in Python workers (pandas UDFs, mapInPandas).
+    """Make ``sftforge`` importable in Python workers (pandas UDFs, mapInArrow).
 
     Zips the package once per application and ships it with ``addPyFile``, so
     executors need no pre-installed copy.

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from sftforge.functions.models import model_rows, model_spec_columns, models_frame
 from sftforge.operators.compare import (
     blank_missing, comparison, detail_report, long_report, model_summary, score_answers, summary_report)
+from sftforge.operators.generate import generate
 from sftforge.plans.distill import distill, run_distill
 from sftforge.plans.evaluate import answers, run_evaluate
 from tests.stubs import (
     STUB_MODELS, FailingGenerator, RecordingFactory, StubGenerator)
+from sftforge.queries import QUERIES
 from sftforge.sources.testdata import benchmark_items
 from tests.conftest import SF
 
@@ -176,3 +178,29 @@ def test_run_distill_resumes_after_a_failed_chunk(spark, tmp_dir):
     back = spark.read.parquet(path)
     assert done_before + written == 40 == back.count()
     assert back.select("instruction").distinct().count() == 40
+
+
+def rss_writer(options):
+    def answer(_):
+        with open("/proc/self/statm") as f:
+            return f"{int(f.read().split()[1]) * 4096:>20}" + "x" * 300_000
+    return lambda prompts: [answer(p) for p in prompts]
+
+
+def test_a_worker_holds_few_responses_at_a_time(spark):
+    rows = spark.range(0, 900, 1, 1).selectExpr("id", "array(named_struct('role', 'user', 'content', string(id))) AS messages")
+    used = generate(rows, rss_writer, {"batch_size": 4}).selectExpr("id", "bigint(trim(substr(response, 1, 20))) AS used", "length(response) AS n").collect()
+    assert sorted(r["id"] for r in used) == list(range(900)) and {r["n"] for r in used} == {300_020}
+    assert max(r["used"] for r in used) - min(r["used"] for r in used) < 100 << 20  # all responses: 270 MB
+
+
+def test_scores_of_a_table_in_one_row_group_take_several_tasks(spark, tmp_dir, monkeypatch):
+    queries = QUERIES["comparison_pivot"].__globals__
+    parts = spark.range(0, 100, 1, 1).selectExpr("IF(id = 7, NULL, id % 90) AS p_partkey", "concat('part ', id) AS p_name", "'Brand#1' AS p_brand",
+                                                "'SMALL TIN' AS p_type", "int(id) AS p_size")
+    parts.write.parquet(f"{tmp_dir}/part.parquet")
+    together = sorted(map(str, queries["_scores"](spark, tmp_dir).collect()))
+    monkeypatch.setitem(queries, "SCORED_PARTS", 10)
+    dealt = queries["_scores"](spark, tmp_dir)
+    assert dealt.rdd.getNumPartitions() == 10
+    assert sorted(map(str, dealt.collect())) == together
