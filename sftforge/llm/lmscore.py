@@ -10,7 +10,9 @@ an automaton: a state for each history seen in training, an arc for each word
 seen after it, weighted log10 P(w | h), and a failure arc to the state of h'
 weighted log10(MU / (c(h) + MU)).  A text is scored in one traversal from left
 to right that carries its state: take the word's arc, or failure arcs until
-there is one.  A worker moves all texts of a shard in step, a word at a time.
+there is one.  An arc leads to one state whatever came before, and a shard's
+tokens know which n-grams end there, so a worker finds each token's arc by the
+n-gram's number, its state from the arc before, and moves all tokens at once.
 
 No worker ever holds the whole model.  Documents are dealt into shards of at
 most ``SHARD_BYTES``; a shard sends its distinct n-grams, with what they count
@@ -46,6 +48,8 @@ MODULUS, HELD = 7, 2
 SHARD_BYTES = 8 << 20
 # Texts are hashed in slices of so many bytes: a byte takes some 60 of memory meanwhile.
 SLICE_BYTES = 1 << 19
+# So many tokens go through the automaton at a time, with some 100 bytes each.
+STEP_TOKENS = 1 << 17
 BUCKET_BYTES = 16 << 20
 _U = np.uint64
 _START, _END = _U(0x5354415254), _U(0x454E44)
@@ -232,7 +236,13 @@ def counted(rows: DataFrame, order: int, buckets: int, shard_bytes: int) -> Data
 
 
 class Automaton:
-    """The states and arcs that a shard's texts can reach, with log10 weights."""
+    """The states and arcs that a shard's texts can reach, with log10 weights.
+
+    ``arcs[k]``: the arc of each (k + 1)-gram, from the state of its history, -1
+    if training lacks it (a word always has one, from the root); a last -1 stands
+    for no gram.  ``weights`` and ``nexts``: of each arc.  ``fail``,
+    ``fail_weight`` and ``depth`` (words of the history): of each state.
+    """
 
     ROOT, BEGIN = 0, 1
 
@@ -244,6 +254,7 @@ class Automaton:
         self.base = np.log10(p)
         # States: the root, a text's start, then the histories of each length that training has.
         state, fail, fail_weight, n = [], [np.array([0, 0], np.int32)], [np.array([0.0, np.log10(mu / (texts + mu))])], 2
+        depth = [np.array([0, 1], np.int8)]
         for j in range(order - 1):
             seen = counts[j] > 0
             number = np.where(seen, n + np.cumsum(seen, dtype=np.int32) - 1, self.ROOT).astype(np.int32)
@@ -252,58 +263,53 @@ class Automaton:
             state.append(number)
             fail.append(shorter[seen])
             fail_weight.append(np.log10(mu / (counts[j][seen] + mu)))
-        self.fail, self.fail_weight = np.concatenate(fail), np.concatenate(fail_weight)
-        keys, weights, nexts = [np.arange(len(p), dtype=_U)], [self.base], [state[0] if order > 1 else np.zeros(len(p), np.int32)]
+            depth.append(np.full(len(fail[-1]), j + 1, np.int8))
+        self.fail, self.fail_weight, self.depth = np.concatenate(fail), np.concatenate(fail_weight), np.concatenate(depth)
+        self.arcs, n = [np.append(np.arange(len(p), dtype=np.int32), np.int32(-1))], len(p)
+        weights, nexts = [self.base], [state[0] if order > 1 else np.zeros(len(p), np.int32)]
         for k in range(1, order):
             at = grams.at[k]
             before = grams.place[k - 1][at - 1]
             start = before < 0  # only pairs begin with the start mark alone
             history = np.where(start, float(texts), counts[k - 1][before].astype(np.float64))
             p = (counts[k] + mu * p[grams.place[k - 1][at]]) / (history + mu)
-            del history
+            del history, before, start
             seen = counts[k] > 0
-            at, before, start = at[seen], before[seen], start[seen]
-            key = np.where(start, self.BEGIN, state[k - 1][before]).astype(_U)
-            key <<= _U(32)
-            key |= grams.place[0][at].astype(_U)
-            keys.append(key)
+            self.arcs.append(np.append(np.where(seen, n + np.cumsum(seen, dtype=np.int32) - 1, np.int32(-1)), np.int32(-1)))
+            n += int(seen.sum())
             weights.append(np.log10(p[seen]))
             j = min(k, order - 2)
-            nexts.append(state[j][grams.place[j][at]])
+            nexts.append(state[j][grams.place[j][at[seen]]])
         del p, state
-        keys = np.concatenate(keys)
-        by = np.argsort(keys).astype(np.int32)
-        self.keys = keys[by]
-        del keys
-        weights = np.concatenate(weights)
-        self.weights = weights[by]
-        del weights
-        nexts = np.concatenate(nexts)
-        self.nexts = nexts[by]
+        self.weights, self.nexts = np.concatenate(weights), np.concatenate(nexts)
 
     def scores(self, grams: Grams) -> np.ndarray:
-        """log10 probability of each text: all texts step through the automaton together."""
+        """log10 probability of each text: all tokens of a shard go through the automaton together.
+
+        A token's arc is that of the longest gram seen that ends there: who sees a
+        gram sees its history, so the traversal is in that history's state or a
+        longer one, and falls back to it.  The arc before thus tells the state.
+        """
+        arc, level = self.arcs[0][grams.place[0]], np.zeros(len(grams.row), np.int8)
+        for k in range(1, len(self.arcs)):
+            own = self.arcs[k][grams.place[k]]
+            hit = own >= 0
+            arc[hit] = own[hit]
+            level[hit] = k
         out = np.zeros(grams.docs)
-        order = np.argsort(-grams.size, kind="stable")
-        size, first = grams.size[order], grams.first[order] + 1
-        state = np.full(grams.docs, self.begin, np.int64)
-        total = np.zeros(grams.docs)
-        live = grams.docs
-        for step in range(int(size[0]) if len(size) else 0):
-            live = int(np.searchsorted(-size[:live], -step, "left"))  # texts longer than step
-            word = grams.place[0][first[:live] + step].astype(_U)
-            todo = np.arange(live)
-            while len(todo):
-                key = state[todo].astype(_U) << _U(32) | word[todo]
-                arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit = self.keys[arc] == key
-                done = todo[hit]
-                total[done] += self.weights[arc[hit]]
-                state[done] = self.nexts[arc[hit]]
-                todo = todo[~hit]
-                total[todo] += self.fail_weight[state[todo]]
+        tokens = np.flatnonzero(grams.depth)
+        for s in range(0, len(tokens), STEP_TOKENS):
+            at = tokens[s:s + STEP_TOKENS]
+            state = np.where(grams.depth[at] == 1, self.begin, self.nexts[arc[at - 1]])
+            # A token's weights in their order, so that a text's sum is that of one traversal from left to right.
+            weight = np.zeros((len(at), len(self.arcs)))
+            todo = np.flatnonzero(self.depth[state] > level[at])
+            for k in range(len(self.arcs) - 1):
+                weight[todo, k] = self.fail_weight[state[todo]]
                 state[todo] = self.fail[state[todo]]
-        out[order] = total
+                todo = todo[self.depth[state[todo]] > level[at[todo]]]
+            weight[:, -1] = self.weights[arc[at]]
+            np.add.at(out, np.repeat(grams.row[at], len(self.arcs)), weight.ravel())
         return out
 
 

@@ -1,5 +1,6 @@
 import math
 import re
+import sys
 import tracemalloc
 import zlib
 from collections import Counter
@@ -86,3 +87,46 @@ def test_a_shard_takes_little_memory_and_counts_beyond_32_bits_hold():
     assert tracemalloc.get_traced_memory()[1] < 130 * len(grams.row)
     tracemalloc.stop()
     assert np.isfinite(scores).all() and (scores < 0).all()
+
+
+def _automaton(texts, order):
+    grams = M.Grams([pa.array(texts)], order, 64, sending=False)
+    learned = (np.arange(grams.docs) % 3 > 0)[grams.row]
+    counts = [np.bincount(p[(p >= 0) & learned], minlength=n) for p, n in zip(grams.place, grams.n)]
+    return grams, M.Automaton(grams, counts, int(counts[0].sum()), int((counts[0] > 0).sum()), 2.5)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_the_traversal_is_one_from_left_to_right_however_it_is_cut(order, monkeypatch):
+    rnd = np.random.default_rng(2)
+    grams, auto = _automaton([" ".join(map(str, rnd.integers(0, 9, n))) for n in (0, 1, 2, 90, 0, 400, 7)], order)
+    want = []
+    for first, size in zip(grams.first.tolist(), grams.size.tolist()):
+        state, total = auto.begin, 0.0
+        for t in range(first + 1, first + 1 + size):
+            while (arc := auto.arcs[auto.depth[state]][grams.place[auto.depth[state]][t]]) < 0:
+                total += auto.fail_weight[state]
+                state = auto.fail[state]
+            total += auto.weights[arc]
+            state = auto.nexts[arc]
+        want.append(total)
+    assert auto.scores(grams).tolist() == want
+    monkeypatch.setattr(M, "STEP_TOKENS", 7)
+    assert auto.scores(grams).tolist() == want
+
+
+def test_a_long_text_takes_no_step_of_the_worker_for_each_of_its_tokens():
+    rnd = np.random.default_rng(3)
+    grams, auto = _automaton([" ".join(map(str, rnd.zipf(1.3, 20_000))), "1 2 3", "2 1"], 3)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        auto.scores(grams)
+    finally:
+        sys.setprofile(None)
+    assert calls < 1000
